@@ -83,7 +83,10 @@ def number_rows(
 
     1. Cut points of the sort order, from a small sample.
     2. Rows counted per (group, segment); running sums give each segment's offset.
-    3. Rows numbered inside (group, segment), plus the offset.
+    3. Rows numbered inside (group, segment), plus the offset. Window and join share
+       one shuffle on those keys.
+
+    The group columns must not be null.
     """
     spark = df.sparkSession
     if segments is None:
@@ -102,10 +105,8 @@ def number_rows(
     )
     inside = Window.partitionBy(*where).orderBy(*[F.asc_nulls_first(c) for c in order])
     numbered = cut.withColumn("_inside", F.row_number().over(inside))
-    left, right = numbered.alias("n"), offsets.alias("o")
-    same = reduce(lambda a, b: a & b, [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in where])
     return (
-        left.join(right, same, "inner")
-        .select("n.*", (F.col("n._inside") + F.col("o._offset")).cast("long").alias(out))
-        .drop("_segment", "_inside")
+        numbered.join(offsets, where, "left")
+        .withColumn(out, (F.col("_inside") + F.col("_offset")).cast("long"))
+        .drop("_segment", "_inside", "_offset")
     )

@@ -1,0 +1,10 @@
+"""Reference SQL per registered query."""
+
+from wardline.plans.oracle import reports
+from wardline.sources.shapes import with_shapes
+
+_RAW: dict[str, str] = {**reports.SQL}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: with_shapes(text) for name, text in _RAW.items()}
