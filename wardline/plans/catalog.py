@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.clock import Clock, ts_lit
+from wardline.functions.clinical import check_interaction
 from wardline.operators import clinical_reports as clinical
+from wardline.operators import lookups
 from wardline.operators import management_reports as management
 from wardline.sources.shapes import Tables
 
@@ -91,3 +93,41 @@ def readmission_flags(t: Tables) -> DataFrame:
     """Every inpatient discharge on file, not only the reporting window."""
     first, last = ts_lit(datetime(1990, 1, 1)), ts_lit(datetime(2010, 1, 1))
     return management.readmission_flags(t["encounters"], first, last)
+
+
+# Lookups.
+register(lookups.patient_encounters, "encounters", "physicians", "departments", "diagnoses", clock=True)
+register(
+    lookups.patient_encounters,
+    "encounters", "physicians", "departments", "diagnoses",
+    clock=True, name="patient_encounters_between", start=date(1998, 1, 1), end=date(1999, 6, 30),
+)
+register(lookups.active_medication_list, "medications", "physicians", "allergies", clock=True)
+register(lookups.lab_trends, "lab_results", clock=True)
+register(lookups.lab_trends, "lab_results", clock=True, name="lab_trends_one_test", test="purchase", days_back=5)
+register(lookups.physician_schedule, "physicians")
+register(lookups.search_patients, "patients", "insurers", "encounters", clock=True)
+register(
+    lookups.search_patients,
+    "patients", "insurers", "encounters",
+    clock=True, name="search_patients_filtered", first_name="b", status="ACTIVE", department_id=7, phone="5",
+    sort="DateOfBirth", direction="DESC", limit=15,
+)
+register(
+    lookups.search_patients,
+    "patients", "insurers", "encounters",
+    clock=True, name="search_patients_fallback", last_name="CUST", physician_id=3, sort="Shoe", direction="UP", limit=20,
+)
+register(lookups.patient_summary, "patients", "encounters", "medications", "allergies", "lab_results")
+register(lookups.readmission_risk, "patients", "encounters", "diagnoses", "medications", clock=True)
+register(lookups.drug_interactions, "medications")
+register(lookups.interaction_pair_counts, "medications")
+register(lookups.hl7_segments, "hl7_messages")
+
+
+@query
+def drug_interaction_check(t: Tables) -> DataFrame:
+    """The pair check as a column, over every pair of drug columns on file."""
+    return t["drug_pairs"].select(
+        "PairID", "DrugA", "DrugB", check_interaction(F.col("DrugA"), F.col("DrugB")).alias("Result")
+    )

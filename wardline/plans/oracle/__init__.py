@@ -1,9 +1,9 @@
 """Reference SQL per registered query."""
 
-from wardline.plans.oracle import reports
+from wardline.plans.oracle import lookups, reports
 from wardline.sources.shapes import with_shapes
 
-_RAW: dict[str, str] = {**reports.SQL}
+_RAW: dict[str, str] = {**reports.SQL, **lookups.SQL}
 
 
 def oracle_sql() -> dict[str, str]:
