@@ -459,7 +459,6 @@ def drug_interactions(medications: DataFrame, patient_id: int | None = None) ->
     live = medications.filter(c("MedicationStatus") == "ACTIVE")
     if patient_id is not None:
         live = live.filter(c("PatientID") == patient_id)
-    spark = medications.sparkSession
     listed = sorted({name for pair in INTERACTIONS for name in pair[:2]})
     drugs = (
         live.select("PatientID", drug_key(c("DrugCode")).alias("Drug"))
@@ -467,9 +466,17 @@ def drug_interactions(medications: DataFrame, patient_id: int | None = None) ->
         .groupBy("PatientID", "Drug")
         .agg(F.count("*").alias("Rows"))
     )
-    # Sixteen fixed rows, so the broadcast has a constant size.
-    pairs = F.broadcast(spark.createDataFrame(list(INTERACTIONS), "DrugA string, DrugB string, Warning string"))
-    first = drugs.select("PatientID", c("Drug").alias("DrugA"), c("Rows").alias("RowsA")).join(pairs, "DrugA")
+    # The partners of each anchor drug come from a literal map, so the pair table needs no join.
+    partners: dict[str, list[Column]] = {}
+    for anchor, partner, warning in INTERACTIONS:
+        entry = F.struct(F.lit(partner).alias("DrugB"), F.lit(warning).alias("Warning"))
+        partners.setdefault(anchor, []).append(entry)
+    table = F.create_map(*[x for anchor, rows in partners.items() for x in (F.lit(anchor), F.array(*rows))])
+    first = (
+        drugs.filter(c("Drug").isin(list(partners)))
+        .select("PatientID", c("Drug").alias("DrugA"), c("Rows").alias("RowsA"), F.explode(table[c("Drug")]).alias("_p"))
+        .select("PatientID", "DrugA", "RowsA", "_p.DrugB", "_p.Warning")
+    )
     second = drugs.select("PatientID", c("Drug").alias("DrugB"), c("Rows").alias("RowsB"))
     return first.join(second, ["PatientID", "DrugB"]).select(
         "PatientID", "DrugA", "DrugB", "RowsA", "RowsB", "Warning"

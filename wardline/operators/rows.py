@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-MAX_SEGMENTS = 64
+MAX_SEGMENTS = 256
 _SAMPLES_PER_SEGMENT = 24
 
 
@@ -54,12 +54,14 @@ def _segment(key: Column, bounds: list[Column], low: int, high: int) -> Column:
     )
 
 
-def sample_bounds(df: DataFrame, order: list[str], segments: int) -> list[Column]:
+def sample_bounds(df: DataFrame, order: list[str], segments: int | None = None) -> list[Column]:
     """Cut points of the sort order as literals, from a fixed-size uniform sample of the rows.
 
     Any cut points give right numbers; even ones only balance the work. Literals keep
     the segments identical in every branch and every recomputed task.
     """
+    if segments is None:
+        segments = min(MAX_SEGMENTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keys = df.select(*order)
     picked = keys.orderBy(F.rand(17)).limit(segments * _SAMPLES_PER_SEGMENT)
     rows = picked.orderBy(*[F.asc_nulls_first(c) for c in order]).collect()
@@ -76,23 +78,20 @@ def number_rows(
     order: list[str],
     by: list[str] = (),
     out: str = "RowNumber",
-    sample_from: DataFrame | None = None,
-    segments: int | None = None,
+    bounds: list[Column] | None = None,
 ) -> DataFrame:
     """Dense 1..n numbers per group (or over the whole table) in ascending sort order.
 
-    1. Cut points of the sort order, from a small sample.
+    1. Cut points of the sort order, from a small sample unless given.
     2. Rows counted per (group, segment); running sums give each segment's offset.
     3. Rows numbered inside (group, segment), plus the offset. Window and join share
        one shuffle on those keys.
 
     The group columns must not be null.
     """
-    spark = df.sparkSession
-    if segments is None:
-        segments = min(MAX_SEGMENTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     by = list(by)
-    bounds = sample_bounds(sample_from if sample_from is not None else df, order, segments)
+    if bounds is None:
+        bounds = sample_bounds(df, order)
     key = F.struct(*[F.col(c) for c in order])
     cut = df.withColumn("_segment", _segment(key, bounds, 0, len(bounds)) if bounds else F.lit(0))
     where = by + ["_segment"]

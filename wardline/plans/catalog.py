@@ -9,10 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.clock import Clock, ts_lit
-from wardline.functions.clinical import check_interaction
+from wardline.functions.clinical import (
+    check_interaction,
+    format_name,
+    icd10_shape_ok,
+    icd10_strict_ok,
+    normalize_drug,
+)
+from wardline.operators import admissions, billing, lookups, quality, retention
 from wardline.operators import clinical_reports as clinical
-from wardline.operators import lookups
 from wardline.operators import management_reports as management
+from wardline.operators.rows import union_all
+from wardline.plans.nightly import BillingTables, nightly_billing
 from wardline.sources.shapes import Tables
 
 CLOCK = Clock.at("2001-07-20 10:30:00")
@@ -29,11 +37,12 @@ def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
 
 def register(operator: Callable, *tables: str, clock: bool = False, name: str | None = None, **options) -> None:
     """Register an operator that takes tables in order, and the clock if asked for."""
+    if clock:
+        options["clock"] = CLOCK
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         source = Tables(spark, folder)
-        arguments = [source[t] for t in tables] + ([CLOCK] if clock else [])
-        return operator(*arguments, **options)
+        return operator(*[source[t] for t in tables], **options)
 
     QUERIES[name or operator.__name__] = run
 
@@ -131,3 +140,230 @@ def drug_interaction_check(t: Tables) -> DataFrame:
     return t["drug_pairs"].select(
         "PairID", "DrugA", "DrugB", check_interaction(F.col("DrugA"), F.col("DrugB")).alias("Result")
     )
+
+
+def outputs(job: Callable[[Tables], dict[str, DataFrame]], names: dict[str, str]) -> None:
+    """Register outputs of a job: query name to output key."""
+    for name, key in names.items():
+        QUERIES[name] = lambda spark, folder, key=key: job(Tables(spark, folder))[key]
+
+
+# Admissions.
+outputs(
+    lambda t: admissions.register_patients(t["registrations"], t["patients"], CLOCK),
+    {"register_patients": "patients", "register_refused": "refused", "register_audit": "audit"},
+)
+outputs(
+    lambda t: admissions.admit(t["admission_requests"], t["patients"], t["encounters"], t["invoices"], CLOCK),
+    {"admit_encounters": "encounters", "admit_refused": "refused", "admit_messages": "messages"},
+)
+outputs(
+    lambda t: admissions.discharge(
+        t["discharge_requests"], t["encounters"], t["medications"], t["orders"], t["billing_charges"], CLOCK
+    ),
+    {
+        "discharge_encounters": "encounters",
+        "discharge_medications": "medications",
+        "discharge_orders": "orders",
+        "discharge_notes": "notes",
+    },
+)
+outputs(
+    lambda t: admissions.order_medications(t["medication_requests"], t["encounters"], t["allergies"], CLOCK),
+    {
+        "allergy_warnings": "warnings",
+        "allergy_audit": "audit",
+        "medication_orders": "orders",
+        "medications_ordered": "medications",
+    },
+)
+
+
+# Billing.
+def _posting(t: Tables) -> dict[str, DataFrame]:
+    return billing.post_encounter_charges(
+        t["procedures"], t["encounters"], t["chargemaster"], t["billing_charges"], t["departments"],
+        t["physicians"], t["diagnoses"], CLOCK,
+    )
+
+
+def _claiming(days_back: int) -> Callable[[Tables], dict[str, DataFrame]]:
+    return lambda t: billing.create_claims(
+        t["encounters"], t["patients"], t["insurers"], t["insurance_claims"], t["billing_charges"], CLOCK,
+        days_back=days_back,
+    )
+
+
+outputs(
+    _posting,
+    {
+        "procedure_charges": "charges",
+        "unpriced_procedures": "unpriced",
+        "charge_totals": "totals",
+        "charge_posting_audit": "audit",
+    },
+)
+register(billing.current_fees, "chargemaster", clock=True)
+register(billing.post_room_charges, "encounters", "chargemaster", "billing_charges", clock=True, name="room_charges")
+outputs(_claiming(1), {"claims_created": "claims", "claim_lines": "lines", "claim_billed_charges": "charges"})
+outputs(_claiming(3650), {"claims_created_backlog": "claims", "claim_lines_backlog": "lines"})
+outputs(
+    lambda t: billing.submit_claims(t["insurance_claims"], CLOCK),
+    {"claims_submitted": "claims", "claims_submitted_audit": "audit"},
+)
+register(
+    billing.self_pay_invoices,
+    "billing_charges", "insurance_claims", "invoices", "patients", "payments",
+    clock=True,
+)
+register(billing.reconcile_encounters, "encounters", "billing_charges", "payments", clock=True)
+register(billing.default_plans, "payment_plans", clock=True)
+register(billing.send_to_collections, "invoices", clock=True)
+register(billing.adjudicate_claims, "insurance_claims", clock=True)
+outputs(
+    lambda t: billing.appeal_claims(t["insurance_claims"], t["billing_audit"], CLOCK),
+    {"claims_appealed": "claims", "claims_appeal_expired": "audit"},
+)
+
+
+def billing_tables(t: Tables) -> BillingTables:
+    return BillingTables(
+        t["encounters"], t["patients"], t["insurers"], t["procedures"], t["diagnoses"], t["physicians"],
+        t["departments"], t["chargemaster"], t["billing_charges"], t["insurance_claims"], t["invoices"], t["payments"],
+    )
+
+
+outputs(
+    lambda t: nightly_billing(billing_tables(t), CLOCK),
+    {"nightly_summary": "summary", "nightly_invoices": "invoices", "nightly_claim_lines": "claim_lines"},
+)
+
+# Retention and the reporting extract.
+ARCHIVE_MONTHS, ARCHIVE_ROWS = 36, 500
+CHILD_TABLES = ["vitals", "lab_results", "medications", "orders", "clinical_notes", "diagnoses", "procedures"]
+PURGED = ["invoices", "charges", "audit_log", "billing_audit"]
+
+
+def _archive(t: Tables, dry_run: bool = False, batch: int | None = ARCHIVE_ROWS) -> dict[str, DataFrame]:
+    children = {name: t[name] for name in CHILD_TABLES}
+    return retention.archive_encounters(t["encounters"], children, CLOCK, ARCHIVE_MONTHS, batch, dry_run)
+
+
+def _purge(t: Tables) -> dict[str, DataFrame]:
+    archived = _archive(t, batch=None)["encounters"]
+    audits = {name: t[name] for name in ("audit_log", "billing_audit")}
+    return retention.purge_billing(t["invoices"], t["billing_charges"], archived, audits, CLOCK, ARCHIVE_MONTHS)
+
+
+outputs(lambda t: _archive(t, dry_run=True), {"archive_dry_run": "log"})
+outputs(
+    _archive,
+    {"archive_summary": "summary", "archive_moved_diagnoses": "moved_diagnoses", "archive_kept_labs": "kept_lab_results"},
+)
+outputs(_purge, {"purged_charges": "purged_charges", "purge_kept_invoices": "kept_invoices"})
+
+
+@query
+def archive_split_counts(t: Tables) -> DataFrame:
+    return retention.split_counts(_archive(t), CHILD_TABLES, "moved", "kept")
+
+
+@query
+def purge_split_counts(t: Tables) -> DataFrame:
+    return retention.split_counts(_purge(t), PURGED, "purged", "kept")
+
+
+register(retention.sync_chargemaster, "chargemaster")
+register(retention.appointment_extract, "appointments", "patients", "rooms")
+
+
+# Data quality.
+@query
+def snapshot_diff(t: Tables) -> DataFrame:
+    return quality.snapshot_diff(t["encounters"], t["encounters_after"], "EncounterID", "Encounters", CLOCK)
+
+
+@query
+def constraint_violations(t: Tables) -> DataFrame:
+    return union_all([quality.check_constraints(t[n], n, rules) for n, rules in quality.CONSTRAINTS.items()])
+
+
+# (child table, child key, parent table, parent key)
+REFERENCES = [
+    ("encounters", "PatientID", "patients", "PatientID"),
+    ("encounters", "AttendingPhysicianID", "physicians", "PhysicianID"),
+    ("encounters", "DepartmentID", "departments", "DepartmentID"),
+    ("patients", "PrimaryInsuranceID", "insurers", "InsuranceProviderID"),
+    ("billing_charges", "EncounterID", "encounters_after", "EncounterID"),
+    ("billing_charges", "ChargeCode", "chargemaster", "ChargeCode"),
+    ("collections", "InvoiceID", "invoices", "InvoiceID"),
+    ("payments", "ClaimID", "insurance_claims", "ClaimID"),
+    ("appointments", "PatientID", "patients", "PatientID"),
+    ("room_assignments", "RoomID", "rooms", "RoomID"),
+]
+
+
+@query
+def orphan_keys(t: Tables) -> DataFrame:
+    return union_all(
+        [quality.orphans(t[a], t[b], x, y, f"{a}.{x}") for a, x, b, y in REFERENCES]
+    )
+
+
+@query
+def orphan_summary(t: Tables) -> DataFrame:
+    return quality.orphan_summary(orphan_keys(t))
+
+
+PROFILED = {
+    "patients": ["PatientID", "MiddleName", "Gender", "PrimaryInsuranceID", "DateOfBirth"],
+    "encounters": ["EncounterID", "EncounterType", "DischargeDate", "TotalPayments"],
+    "medications": ["DrugName", "GenericName", "Dosage"],
+    "lab_results": ["TestCode", "ResultNumeric", "AbnormalFlag"],
+}
+
+
+@query
+def table_profile(t: Tables) -> DataFrame:
+    """Full scan with exact distinct counts."""
+    return union_all(
+        [quality.profile_table(t[n].select(*cols), n, CLOCK, full=True, exact=True) for n, cols in PROFILED.items()]
+    )
+
+
+@query
+def table_profile_weekday(t: Tables) -> DataFrame:
+    """The weekday run: a 30 percent sample with distinct-count sketches (a sampling operator)."""
+    return union_all([quality.profile_table(t[n].select(*cols), n, CLOCK) for n, cols in PROFILED.items()])
+
+
+register(quality.icd_quality, "diagnoses")
+register(quality.vitals_enriched, "vitals")
+register(quality.kidney_function, "lab_results", "patients", name="kidney_function", creatinine_test="signup", clock=True)
+register(quality.drug_name_clusters, "medications")
+
+
+@query
+def patient_names(t: Tables) -> DataFrame:
+    """Every name style for every patient."""
+    parts = [F.col(n) for n in ("FirstName", "MiddleName", "LastName", "Suffix")]
+    styles = ["LAST_FIRST", "FIRST_LAST", "FULL", "FORMAL", "OTHER"]
+    return t["patients"].select("PatientID", *[format_name(*parts, style=s).alias(s) for s in styles])
+
+
+@query
+def icd_checks(t: Tables) -> DataFrame:
+    code = F.col("ICDCode")
+    return t["diagnoses"].select(
+        "DiagnosisID",
+        "ICDCode",
+        icd10_shape_ok(code).cast("int").alias("ShapeOk"),
+        icd10_strict_ok(code).cast("int").alias("StrictOk"),
+    )
+
+
+@query
+def drug_names_normalized(t: Tables) -> DataFrame:
+    return t["medications"].select(
+        "MedicationID", "DrugName", normalize_drug(F.col("DrugName")).alias("NormalName")
+    )
