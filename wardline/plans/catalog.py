@@ -22,6 +22,8 @@ from wardline.operators import management_reports as management
 from wardline.operators.rows import union_all
 from wardline.plans.nightly import BillingTables, nightly_billing
 from wardline.sources.shapes import Tables
+from wardline.streaming import broker
+from wardline.workspace import run_dir
 
 CLOCK = Clock.at("2001-07-20 10:30:00")
 
@@ -367,3 +369,44 @@ def drug_names_normalized(t: Tables) -> DataFrame:
     return t["medications"].select(
         "MedicationID", "DrugName", normalize_drug(F.col("DrugName")).alias("NormalName")
     )
+
+
+# Streaming: each drains the message stream and returns one output.
+def _billing_stream(output: str, with_postings: bool = False) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        t = Tables(spark, folder)
+        effects = broker.billing_effects(CLOCK, billing_tables(t) if with_postings else None)
+        return broker.run_once(spark, t.stream("messages"), effects, output)
+
+    return run
+
+
+QUERIES["stream_encounter_audit"] = _billing_stream("audit")
+QUERIES["stream_encounter_replies"] = _billing_stream("replies")
+QUERIES["stream_dead_letters"] = _billing_stream("dead_letters")
+QUERIES["stream_activation_errors"] = _billing_stream("errors")
+QUERIES["stream_discharge_charges"] = _billing_stream("charges", with_postings=True)
+QUERIES["stream_discharge_errors"] = _billing_stream("posting_errors", with_postings=True)
+
+
+@query
+def stream_lab_alerts(t: Tables) -> DataFrame:
+    return broker.run_once(t.spark, t.stream("messages"), broker.lab_effects(CLOCK), "alerts")
+
+
+@query
+def stream_routes(t: Tables) -> DataFrame:
+    """Messages per route over the whole stream, folded per batch and then over batches."""
+    per_batch = broker.run_once(
+        t.spark, t.stream("messages"), lambda routed: {"routes": broker.count_routes(routed)}, "routes"
+    )
+    return per_batch.groupBy("route").agg(F.sum("Messages").alias("Messages"))
+
+
+@query
+def stream_admission_replies(t: Tables) -> DataFrame:
+    """Admissions send their messages to a queue folder; the billing consumer answers them."""
+    queue = run_dir(t.spark, "queue")
+    admitted = admissions.admit(t["admission_requests"], t["patients"], t["encounters"], t["invoices"], CLOCK)
+    broker.send(admitted["messages"], queue)
+    return broker.run_once(t.spark, broker.read_queue(t.spark, queue), broker.billing_effects(CLOCK), "replies")

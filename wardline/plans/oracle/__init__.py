@@ -1,9 +1,9 @@
 """Reference SQL per registered query."""
 
-from wardline.plans.oracle import checks, jobs, lookups, reports
+from wardline.plans.oracle import checks, jobs, lookups, reports, streams
 from wardline.sources.shapes import with_shapes
 
-_RAW: dict[str, str] = {**reports.SQL, **lookups.SQL, **jobs.SQL, **checks.SQL}
+_RAW: dict[str, str] = {**reports.SQL, **lookups.SQL, **jobs.SQL, **checks.SQL, **streams.SQL}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -263,15 +263,25 @@ SELECT {_LINE_ID} AS RequestID, l_orderkey AS EncounterID, {_drug('l_partkey')}
        CAST(CAST(l_quantity AS INT) AS STRING) AS Dosage, 'ORAL' AS Route, 'DAILY' AS Frequency, l_suppkey AS PrescribingPhysicianID
 FROM {{lineitem}}""",
     "encounters_after": "",
-    "messages": """
-SELECT CONCAT('c-', CAST(event_id - CASE WHEN event_id % 50 = 1 THEN 1 ELSE 0 END AS STRING)) AS conversation_handle,
-       CASE (event_id - CASE WHEN event_id % 50 = 1 THEN 1 ELSE 0 END) % 5
-            WHEN 0 THEN 'PatientEncounterMessage' WHEN 1 THEN 'PatientEncounterMessage' WHEN 2 THEN 'PatientDischargeMessage'
-            WHEN 3 THEN 'LabResultNotificationMessage' ELSE 'EndDialog' END AS message_type,
-       event_id - CASE WHEN event_id % 50 = 1 THEN 1 ELSE 0 END AS k, user_id AS PatientID, ts
-FROM {events}""",
+    "messages": "",
 }
 
+# Broker messages: every 50th is sent twice under one handle, some bodies are cut off or hold a bad number.
+_K = "(event_id - CASE WHEN event_id % 50 = 1 THEN 1 ELSE 0 END)"
+SHAPES["messages"] = f"""
+SELECT CONCAT('c-', CAST(k AS STRING)) AS conversation_handle,
+       CASE k % 5 WHEN 0 THEN 'PatientEncounterMessage' WHEN 1 THEN 'PatientEncounterMessage' WHEN 2 THEN 'PatientDischargeMessage'
+            WHEN 3 THEN 'LabResultNotificationMessage'
+            ELSE CASE WHEN k % 3 = 0 THEN 'OtherMessage' ELSE 'http://schemas.microsoft.com/SQL/ServiceBroker/EndDialog' END END AS message_type,
+       CASE WHEN k % 40 = 10 THEN '<NewEncounter><EncounterID>' WHEN k % 40 = 13 THEN '<LabNotification><PatientID>1</Pat'
+            WHEN k % 60 = 5 THEN CONCAT('<NewEncounter><EncounterID>x', CAST(k AS STRING), '</EncounterID></NewEncounter>')
+            WHEN k % 5 < 2 THEN CONCAT('<NewEncounter><EncounterID>', CAST(k AS STRING), '</EncounterID><PatientID>', CAST(k % 100 AS STRING), '</PatientID><EncounterType>',
+                 CASE k % 2 WHEN 0 THEN 'INPATIENT' ELSE 'EMERGENCY' END, '</EncounterType><AdmitDate>2001-07-20T08:00:00</AdmitDate></NewEncounter>')
+            WHEN k % 5 = 2 THEN CONCAT('<PatientDischarge><EncounterID>', CAST(k AS STRING), '</EncounterID></PatientDischarge>')
+            WHEN k % 5 = 3 THEN CONCAT('<LabNotification><PatientID>', CAST(k % 100 AS STRING), '</PatientID><TestName>Na &amp; K</TestName><CriticalFlag>', CAST(k % 2 AS STRING), '</CriticalFlag></LabNotification>')
+       END AS body, ts
+FROM (SELECT {_K} AS k, ts FROM {{events}}) AS numbered"""
+
 # A changed copy of the visits: some rows gone, some new, some altered.
 SHAPES["encounters_after"] = (
     "SELECT CASE WHEN o_orderkey % 101 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS EncounterID, o_custkey AS PatientID, "
@@ -292,6 +302,17 @@ class Tables:
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def stream(self, name: str) -> DataFrame:
+        """A hospital table of one input, read as a file stream."""
+        text = SHAPES[name]
+        used = [t for t in BASE_TABLES if "{" + t + "}" in text]
+        source = {}
+        for table in used:
+            # A glob pattern, so that a single file and a folder of files both work.
+            path = f"{self.folder}/{table}.parque[t]"
+            source[table] = self.spark.readStream.schema(self.base(table).schema).parquet(path)
+        return self.spark.sql(text, **source)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             text = SHAPES[name]
