@@ -13,7 +13,7 @@ from wardline.functions.dialect import iso_seconds, sum_or_zero, xml_row
 from wardline.operators.allergies import matching_allergens
 from wardline.operators.clinical_reports import PENDING, c
 from wardline.operators.numbering import assign_numbers, next_ids
-from wardline.operators.rows import sample_bounds
+from wardline.operators.rows import plan_numbering
 from wardline.sources.sinks import audit_rows
 
 DUPLICATE_SSN = "A patient with this SSN already exists."
@@ -42,7 +42,7 @@ def register_patients(
         6,
         ["RequestID"],
         key="PatientID",
-        bounds=sample_bounds(requests, ["RequestID"]),
+        layout=plan_numbering(requests, ["RequestID"]),
     ).withColumn("PatientStatus", F.lit("ACTIVE"))
     refused = with_ssn.join(fresh.select("RequestID"), "RequestID", "left_anti").select(
         "RequestID", F.lit(DUPLICATE_SSN).alias("Reason")
@@ -82,7 +82,6 @@ def admit(
     prefix = F.lit(None).cast("string")
     for kind, short in TYPE_PREFIX.items():
         prefix = F.when(c("EncounterType") == kind, f"{short}-{day}-").otherwise(prefix)
-    bounds = sample_bounds(requests, ["RequestID"])
     numbered = assign_numbers(
         accepted.filter(c("EncounterType").isin(*TYPE_PREFIX)),
         encounters.select("EncounterNumber"),
@@ -91,9 +90,9 @@ def admit(
         4,
         ["RequestID"],
         prefix,
-        bounds=bounds,
+        layout=plan_numbering(requests.withColumn("_prefix", prefix), ["RequestID"], ["_prefix"]),
     )
-    keyed = next_ids(numbered, encounters, "EncounterID", ["RequestID"], bounds)
+    keyed = next_ids(numbered, encounters, "EncounterID", ["RequestID"], plan_numbering(requests, ["RequestID"]))
     opened = (
         keyed.join(balances, "PatientID", "left")
         .withColumn("PatientBalance", F.coalesce("PatientBalance", F.lit(0).cast("decimal(18,2)")))

@@ -11,7 +11,7 @@ from wardline.operators.clinical_reports import c
 from wardline.operators.lookups import primary_diagnosis
 from wardline.operators.management_reports import charge_counts, payment_counts
 from wardline.operators.numbering import assign_numbers
-from wardline.operators.rows import fold_facts, number_rows, sample_bounds
+from wardline.operators.rows import fold_facts, number_rows, plan_numbering
 from wardline.sources.sinks import audit_rows
 
 BILLABLE = ("POSTED", "BILLED")
@@ -212,7 +212,7 @@ def create_claims(
         5,
         ["EncounterID"],
         key="ClaimID",
-        bounds=sample_bounds(lately, ["EncounterID"]),
+        layout=plan_numbering(lately, ["EncounterID"]),
     )
     headers = (
         keyed.join(totals, "EncounterID", "left")
@@ -233,17 +233,21 @@ def create_claims(
             "PreAuthNumber",
         )
     )
-    # Room charges carry no procedure code; the line then shows the charge code.
-    entries = billable.join(keyed.select("EncounterID", "ClaimID"), "EncounterID").select(
-        "ClaimID",
+    # Room charges carry no procedure code; the line then shows the charge code. Visits
+    # have one claim each, so lines are numbered per visit and the layout can come from
+    # the charges alone, without the claims join.
+    items = billable.select(
+        "EncounterID",
         "ChargeID",
         "ServiceDate",
         F.coalesce("CPTCode", "ChargeCode").alias("CPTCode"),
         "Quantity",
         net_amount().alias("ChargeAmount"),
     )
-    sort = ["ServiceDate", "ChargeID", "CPTCode", "ChargeAmount", "Quantity"]
-    lines = number_rows(entries, sort, ["ClaimID"], "LineNumber").select(
+    sort, visit = ["ServiceDate", "ChargeID", "CPTCode", "ChargeAmount", "Quantity"], ["EncounterID"]
+    entries = items.join(keyed.select("EncounterID", "ClaimID"), "EncounterID")
+    numbered = number_rows(entries, sort, visit, "LineNumber", plan_numbering(items, sort, visit))
+    lines = numbered.select(
         "ClaimID",
         "LineNumber",
         "ChargeID",
@@ -341,7 +345,7 @@ def self_pay_invoices(
         5,
         ["EncounterID", "PatientID"],
         key="InvoiceID",
-        bounds=sample_bounds(posted, ["EncounterID", "PatientID"]),
+        layout=plan_numbering(posted, ["EncounterID", "PatientID"]),
     )
     return keyed.select(
         "InvoiceID",

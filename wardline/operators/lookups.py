@@ -508,11 +508,11 @@ MIN_SEGMENT = 3
 
 def hl7_segments(messages: DataFrame, key: str = "LabResultID", text: str = "RawHL7Message") -> DataFrame:
     """Segments of line-based messages. Short segments are skipped but keep their index."""
-    cut = F.filter(F.split(c(text), "[\r\n]"), lambda part: part != "")
-    rows = messages.filter(c(text).isNotNull()).select(key, F.posexplode(cut).alias("SegmentIndex", "_part"))
-    segment = trim_unicode(c("_part"))
+    parts = F.filter(F.split(c(text), "[\r\n]"), lambda part: part != "")
+    trimmed = F.transform(parts, trim_unicode)
     return (
-        rows.select(key, "SegmentIndex", segment.alias("RawSegment"))
+        messages.filter(c(text).isNotNull())
+        .select(key, F.posexplode(trimmed).alias("SegmentIndex", "RawSegment"))
         .filter(F.length("RawSegment") >= MIN_SEGMENT)
         .select(
             key,

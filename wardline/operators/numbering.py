@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.dialect import number_suffix, zero_pad
-from wardline.operators.rows import number_rows
+from wardline.operators.rows import Layout, number_rows
 
 
 def last_numbers(existing: DataFrame, number: str, prefixes: list[str]) -> DataFrame:
@@ -31,7 +31,7 @@ def assign_numbers(
     order: list[str],
     prefix: Column | None = None,
     key: str | None = None,
-    bounds: list[Column] | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Number a whole batch per prefix in sort order, after the highest number on file.
 
@@ -41,7 +41,7 @@ def assign_numbers(
     broadcast rather than shuffled on the prefix.
     """
     keyed = batch.withColumn("_prefix", prefix if prefix is not None else F.lit(prefixes[0]))
-    numbered = number_rows(keyed, order, ["_prefix"] if prefix is not None else [], "_n", bounds)
+    numbered = number_rows(keyed, order, ["_prefix"] if prefix is not None else [], "_n", layout)
     last = F.broadcast(last_numbers(existing, number, prefixes))
     running = F.coalesce(F.col("_last"), F.lit(0)) + F.col("_n")
     out = numbered.join(last, "_prefix", "left").withColumn(
@@ -58,8 +58,8 @@ def highest(existing: DataFrame, key: str) -> Column:
 
 
 def next_ids(
-    batch: DataFrame, existing: DataFrame, key: str, order: list[str], bounds: list[Column] | None = None
+    batch: DataFrame, existing: DataFrame, key: str, order: list[str], layout: Layout | None = None
 ) -> DataFrame:
     """Give each row of a batch the next free key in sort order."""
-    numbered = number_rows(batch, order, (), "_id", bounds)
+    numbered = number_rows(batch, order, (), "_id", layout)
     return numbered.withColumn(key, F.col("_id") + highest(existing, key)).drop("_id")

@@ -1,20 +1,26 @@
 """Building blocks shared by the operators: fact folding and ordered numbering.
 
 Both are written for groups of any size. Folding is a partial aggregate before its
-only shuffle. Numbering cuts each group into ordered segments, so a group that
+only shuffle. Numbering cuts large groups into ordered segments, so a group that
 holds a large part of all rows is spread over many tasks.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+# Ordered segments a large group is cut into, at most; also the share of all rows
+# (one part in so many) from which a group counts as large.
 MAX_SEGMENTS = 256
-_SAMPLES_PER_SEGMENT = 24
+# Sampled rows per segment, and the hits in the sample that mark a group as large:
+# a group of one segment's size is hit 24 times on average.
+SAMPLES_PER_SEGMENT, LARGE_HITS = 24, 8
 
 
 def fold_facts(key: str, parts: list[DataFrame], sums: list[str], extra: list[Column] = ()) -> DataFrame:
@@ -54,23 +60,44 @@ def _segment(key: Column, bounds: list[Column], low: int, high: int) -> Column:
     )
 
 
-def sample_bounds(df: DataFrame, order: list[str], segments: int | None = None) -> list[Column]:
-    """Cut points of the sort order as literals, from a fixed-size uniform sample of the rows.
+@dataclass(frozen=True)
+class Layout:
+    """What a sample says about a numbering: the large groups and where to cut them."""
 
-    Any cut points give right numbers; even ones only balance the work. Literals keep
-    the segments identical in every branch and every recomputed task.
+    large: tuple[tuple, ...]
+    bounds: tuple[Column, ...]
+    small_input: bool
+
+
+def plan_numbering(df: DataFrame, order: list[str], by: list[str] = (), segments: int | None = None) -> Layout:
+    """Find large groups and cut points from a fixed-size uniform sample of the rows.
+
+    Any choice gives right numbers; a good one only balances the work. The cut points
+    become literals, so they are the same in every branch and every recomputed task.
+    The sample is a few thousand short rows whatever the size of the table.
     """
     if segments is None:
         segments = min(MAX_SEGMENTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    keys = df.select(*order)
-    picked = keys.orderBy(F.rand(17)).limit(segments * _SAMPLES_PER_SEGMENT)
-    rows = picked.orderBy(*[F.asc_nulls_first(c) for c in order]).collect()
-    if not rows:
-        return []
+    limit = segments * SAMPLES_PER_SEGMENT
+    by = list(by)
+    names = by + [n for n in order if n not in by]
+    picked = df.select(*names).orderBy(F.rand(17)).limit(limit)
+    rows = picked.orderBy(*[F.asc_nulls_first(n) for n in order]).collect()
+    small_input = len(rows) < limit
+    large: tuple[tuple, ...] = ()
+    if by:
+        hits = Counter(tuple(r[n] for n in by) for r in rows)
+        large = tuple(k for k, n in hits.items() if n >= LARGE_HITS and None not in k) if not small_input else ()
+        rows = [r for r in rows if tuple(r[n] for n in by) in set(large)]
+        segments = min(segments, max(1, len(rows) // LARGE_HITS))
     step = len(rows) / segments
-    cuts = sorted({int(step * i) for i in range(1, segments)})
-    fields = keys.schema.fields
-    return [F.struct(*[F.lit(rows[i][f.name]).cast(f.dataType).alias(f.name) for f in fields]) for i in cuts]
+    fields = [df.schema[n] for n in order]
+    bounds = tuple(
+        F.struct(*[F.lit(rows[i][f.name]).cast(f.dataType).alias(f.name) for f in fields])
+        for i in sorted({int(step * j) for j in range(1, segments)})
+        if rows
+    )
+    return Layout(large, bounds, small_input)
 
 
 def number_rows(
@@ -78,22 +105,41 @@ def number_rows(
     order: list[str],
     by: list[str] = (),
     out: str = "RowNumber",
-    bounds: list[Column] | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Dense 1..n numbers per group (or over the whole table) in ascending sort order.
 
-    1. Cut points of the sort order, from a small sample unless given.
-    2. Rows counted per (group, segment); running sums give each segment's offset.
-    3. Rows numbered inside (group, segment), plus the offset. Window and join share
-       one shuffle on those keys.
-
-    The group columns must not be null.
+    Groups that are not large take one ordinary window. Large groups, and a whole
+    table, are numbered in segments of the sort order. The layout may come from a
+    table that the input is a part of; without one the input itself is sampled.
     """
     by = list(by)
-    if bounds is None:
-        bounds = sample_bounds(df, order)
-    key = F.struct(*[F.col(c) for c in order])
-    cut = df.withColumn("_segment", _segment(key, bounds, 0, len(bounds)) if bounds else F.lit(0))
+    if layout is None:
+        layout = plan_numbering(df, order, by)
+    sort = [F.asc_nulls_first(n) for n in order]
+    if by:
+        plain = Window.partitionBy(*by).orderBy(*sort)
+        if not layout.large:
+            return df.withColumn(out, F.row_number().over(plain).cast("long"))
+        if len(by) == 1:
+            in_large = F.col(by[0]).isin([k[0] for k in layout.large])
+        else:
+            in_large = F.struct(*by).isin([F.struct(*[F.lit(v) for v in k]) for k in layout.large])
+        in_large = F.coalesce(in_large, F.lit(False))
+        rest = df.filter(~in_large).withColumn(out, F.row_number().over(plain).cast("long"))
+        return rest.unionByName(_number_segments(df.filter(in_large), order, by, out, layout.bounds))
+    if layout.small_input:
+        # Fewer rows than the sample holds: one task is enough.
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*sort)).cast("long"))
+    return _number_segments(df, order, by, out, layout.bounds)
+
+
+def _number_segments(df: DataFrame, order: list[str], by: list[str], out: str, bounds: tuple[Column, ...]) -> DataFrame:
+    """Count rows per (group, segment), turn counts into offsets, number inside each segment.
+
+    The inner window and the join share one shuffle on (group, segment).
+    """
+    cut = df.withColumn("_segment", _segment(F.struct(*order), list(bounds), 0, len(bounds)))
     where = by + ["_segment"]
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -102,10 +148,10 @@ def number_rows(
         .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .drop("_rows")
     )
-    inside = Window.partitionBy(*where).orderBy(*[F.asc_nulls_first(c) for c in order])
-    numbered = cut.withColumn("_inside", F.row_number().over(inside))
+    inside = Window.partitionBy(*where).orderBy(*[F.asc_nulls_first(n) for n in order])
     return (
-        numbered.join(offsets, where, "left")
+        cut.withColumn("_inside", F.row_number().over(inside))
+        .join(offsets, where)
         .withColumn(out, (F.col("_inside") + F.col("_offset")).cast("long"))
         .drop("_segment", "_inside", "_offset")
     )
