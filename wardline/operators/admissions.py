@@ -15,6 +15,7 @@ from wardline.operators.clinical_reports import PENDING, c
 from wardline.operators.numbering import assign_numbers, next_ids
 from wardline.operators.rows import plan_numbering
 from wardline.sources.sinks import audit_rows
+from wardline.workspace import stage
 
 DUPLICATE_SSN = "A patient with this SSN already exists."
 NO_PATIENT = "Patient not found or inactive."
@@ -33,7 +34,8 @@ def register_patients(
     row = F.struct("RequestID", *[n for n in requests.columns if n not in ("RequestID", "SSN")])
     firsts = with_ssn.groupBy("SSN").agg(F.min(row).alias("_r")).select("SSN", "_r.*")
     fresh = firsts.join(patients.select("SSN"), "SSN", "left_anti").select(*requests.columns)
-    accepted = fresh.unionByName(requests.filter(c("SSN").isNull()))
+    # Numbering reads its input more than once, so the accepted batch is written first.
+    accepted = stage(fresh.unionByName(requests.filter(c("SSN").isNull())), "registrations")
     added = assign_numbers(
         accepted,
         patients.select("MRN", "PatientID"),
@@ -42,9 +44,9 @@ def register_patients(
         6,
         ["RequestID"],
         key="PatientID",
-        layout=plan_numbering(requests, ["RequestID"]),
+        layout=plan_numbering(accepted, ["RequestID"]),
     ).withColumn("PatientStatus", F.lit("ACTIVE"))
-    refused = with_ssn.join(fresh.select("RequestID"), "RequestID", "left_anti").select(
+    refused = with_ssn.join(accepted.select("RequestID"), "RequestID", "left_anti").select(
         "RequestID", F.lit(DUPLICATE_SSN).alias("Reason")
     )
     text = F.concat(
@@ -72,7 +74,8 @@ def admit(
     firsts = requests.groupBy(*pair).agg(F.min(row).alias("_r")).select(*pair, "_r.*")
     active = patients.filter(c("PatientStatus") == "ACTIVE").select("PatientID")
     open_pairs = encounters.filter(c("EncounterStatus") == "ACTIVE").select(*pair)
-    accepted = firsts.join(active, "PatientID", "left_semi").join(open_pairs, pair, "left_anti")
+    fits = firsts.join(active, "PatientID", "left_semi").join(open_pairs, pair, "left_anti")
+    accepted = stage(fits.filter(c("EncounterType").isin(*TYPE_PREFIX)), "admissions")
     balances = (
         invoices.filter(c("InvoiceStatus") == "OPEN")
         .groupBy("PatientID")
@@ -83,16 +86,16 @@ def admit(
     for kind, short in TYPE_PREFIX.items():
         prefix = F.when(c("EncounterType") == kind, f"{short}-{day}-").otherwise(prefix)
     numbered = assign_numbers(
-        accepted.filter(c("EncounterType").isin(*TYPE_PREFIX)),
+        accepted,
         encounters.select("EncounterNumber"),
         "EncounterNumber",
         [f"{short}-{day}-" for short in TYPE_PREFIX.values()],
         4,
         ["RequestID"],
         prefix,
-        layout=plan_numbering(requests.withColumn("_prefix", prefix), ["RequestID"], ["_prefix"]),
+        layout=plan_numbering(accepted.withColumn("_prefix", prefix), ["RequestID"], ["_prefix"]),
     )
-    keyed = next_ids(numbered, encounters, "EncounterID", ["RequestID"], plan_numbering(requests, ["RequestID"]))
+    keyed = next_ids(numbered, encounters, "EncounterID", ["RequestID"], plan_numbering(accepted, ["RequestID"]))
     opened = (
         keyed.join(balances, "PatientID", "left")
         .withColumn("PatientBalance", F.coalesce("PatientBalance", F.lit(0).cast("decimal(18,2)")))
@@ -102,7 +105,7 @@ def admit(
     people = active.distinct().withColumn("_known", F.lit(True))
     refused = (
         requests.select("RequestID", "PatientID")
-        .join(keyed.select("RequestID"), "RequestID", "left_anti")
+        .join(accepted.select("RequestID"), "RequestID", "left_anti")
         .join(people, "PatientID", "left")
         .select("RequestID", F.when(c("_known"), OPEN_VISIT).otherwise(NO_PATIENT).alias("Reason"))
     )

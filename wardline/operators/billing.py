@@ -13,6 +13,7 @@ from wardline.operators.management_reports import charge_counts, payment_counts
 from wardline.operators.numbering import assign_numbers
 from wardline.operators.rows import fold_facts, number_rows, plan_numbering
 from wardline.sources.sinks import audit_rows
+from wardline.workspace import stage
 
 BILLABLE = ("POSTED", "BILLED")
 CHARGE_COLUMNS = [
@@ -65,11 +66,14 @@ def post_encounter_charges(
     Procedures without a valid fee come back as ``unpriced`` instead of failing the run.
     """
     active = encounters.filter(c("EncounterStatus") == "ACTIVE").select("EncounterID", "DepartmentID")
-    posted = charges.select("EncounterID", "CPTCode", c("ServiceDate").alias("ProcedureDate"))
+    posted = charges.filter(c("CPTCode").isNotNull()).select(
+        "EncounterID", "CPTCode", c("ServiceDate").alias("ProcedureDate")
+    )
+    # Closed visits go first, so only procedures of active ones are checked for a charge.
     due = (
         procedures.filter(c("ProcedureStatus") == "COMPLETED")
-        .join(posted, ["EncounterID", "CPTCode", "ProcedureDate"], "left_anti")
         .join(active, "EncounterID")
+        .join(posted, ["EncounterID", "CPTCode", "ProcedureDate"], "left_anti")
     )
     diagnosis = primary_diagnosis(diagnoses.join(active, "EncounterID", "left_semi"))
     priced = (
@@ -100,8 +104,9 @@ def post_encounter_charges(
     unpriced = due.join(current_fees(chargemaster, clock), "CPTCode", "left_anti").select(
         "ProcedureID", "EncounterID", "CPTCode"
     )
-    # New posted total per active visit: what is on file plus what was just added.
-    on_file = charges.filter(c("ChargeStatus") == "POSTED").join(active, "EncounterID", "left_semi")
+    # New posted total per active visit: what is on file plus what was just added. Charges
+    # are folded before they meet the visits, so only one row per visit is shuffled.
+    on_file = charges.filter(c("ChargeStatus") == "POSTED")
     totals = active.select("EncounterID").join(
         fold_facts(
             "EncounterID",
@@ -191,12 +196,14 @@ def create_claims(
         "PatientID", c("PrimaryInsuranceID").alias("InsuranceProviderID"), c("PrimaryPolicyNumber").alias("PolicyNumber"),
         c("PrimaryGroupNumber").alias("GroupNumber"),
     )
-    lately = encounters.filter((c("EncounterStatus") == "DISCHARGED") & (c("DischargeDate") >= clock.days(-days_back)))
     due = (
-        lately.join(claims.select("EncounterID"), "EncounterID", "left_anti")
+        encounters.filter((c("EncounterStatus") == "DISCHARGED") & (c("DischargeDate") >= clock.days(-days_back)))
+        .join(claims.select("EncounterID"), "EncounterID", "left_anti")
         .select("EncounterID", "PatientID", "PreAuthNumber")
         .join(insured, "PatientID")
     )
+    # Headers, totals, lines and status changes all start from these visits.
+    due = stage(due, "claim-visits")
     billable = charges.filter(c("ChargeStatus").isin(*BILLABLE))
     totals = (
         billable.join(due.select("EncounterID"), "EncounterID", "left_semi")
@@ -212,7 +219,7 @@ def create_claims(
         5,
         ["EncounterID"],
         key="ClaimID",
-        layout=plan_numbering(lately, ["EncounterID"]),
+        layout=plan_numbering(due, ["EncounterID"]),
     )
     headers = (
         keyed.join(totals, "EncounterID", "left")
@@ -336,7 +343,7 @@ def self_pay_invoices(
         .join(invoices.select("EncounterID"), "EncounterID", "left_anti")
         .join(insured, "PatientID", "left_anti")
     )
-    posted = charges.filter(c("ChargeStatus") == "POSTED")
+    due = stage(due, "self-pay-visits")
     keyed = assign_numbers(
         due,
         invoices.select("InvoiceNumber", "InvoiceID"),
@@ -345,7 +352,7 @@ def self_pay_invoices(
         5,
         ["EncounterID", "PatientID"],
         key="InvoiceID",
-        layout=plan_numbering(posted, ["EncounterID", "PatientID"]),
+        layout=plan_numbering(due, ["EncounterID", "PatientID"]),
     )
     return keyed.select(
         "InvoiceID",
@@ -371,13 +378,11 @@ def reconcile_encounters(encounters: DataFrame, charges: DataFrame, payments: Da
     scope = encounters.filter(
         c("EncounterStatus").isin("ACTIVE", "DISCHARGED") & (c("AdmitDate") >= clock.years(-1))
     ).select("EncounterID")
+    # Folding the facts first shuffles one row per visit; filtering them to the scope first
+    # would shuffle every row.
     sums = fold_two(
-        charges.filter(charge_counts())
-        .join(scope, "EncounterID", "left_semi")
-        .select("EncounterID", net_amount().alias("TotalCharges")),
-        payments.filter(payment_counts())
-        .join(scope, "EncounterID", "left_semi")
-        .select("EncounterID", c("PaymentAmount").alias("TotalPayments")),
+        charges.filter(charge_counts()).select("EncounterID", net_amount().alias("TotalCharges")),
+        payments.filter(payment_counts()).select("EncounterID", c("PaymentAmount").alias("TotalPayments")),
         ["EncounterID"],
     )
     zero = F.lit(0)

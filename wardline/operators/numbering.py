@@ -35,18 +35,21 @@ def assign_numbers(
 ) -> DataFrame:
     """Number a whole batch per prefix in sort order, after the highest number on file.
 
-    With one prefix, ``key`` asks for the next free ids of that column as well, from
-    the same numbering. A single prefix may hold the whole batch: the numbering is
-    segmented, and the last numbers are at most one row per prefix, so they are
-    broadcast rather than shuffled on the prefix.
+    With one prefix, the last number is a scalar, and ``key`` asks for the next free ids
+    of that column from the same numbering. With several, a single one may hold the
+    whole batch: the numbering is segmented, and the last numbers are at most one row
+    per prefix, so they are broadcast rather than shuffled on the prefix.
     """
-    keyed = batch.withColumn("_prefix", prefix if prefix is not None else F.lit(prefixes[0]))
-    numbered = number_rows(keyed, order, ["_prefix"] if prefix is not None else [], "_n", layout)
-    last = F.broadcast(last_numbers(existing, number, prefixes))
+    if prefix is None:
+        numbered = number_rows(batch, order, (), "_n", layout).withColumn("_prefix", F.lit(prefixes[0]))
+        same = existing.filter(F.col(number).startswith(prefixes[0]))
+        numbered = numbered.withColumn("_last", same.agg(F.max(number_suffix(F.col(number)))).scalar())
+    else:
+        numbered = number_rows(batch.withColumn("_prefix", prefix), order, ["_prefix"], "_n", layout)
+        last = F.broadcast(last_numbers(existing, number, prefixes))
+        numbered = numbered.join(last, "_prefix", "left")
     running = F.coalesce(F.col("_last"), F.lit(0)) + F.col("_n")
-    out = numbered.join(last, "_prefix", "left").withColumn(
-        number, F.concat(F.col("_prefix"), zero_pad(running, width))
-    )
+    out = numbered.withColumn(number, F.concat(F.col("_prefix"), zero_pad(running, width)))
     if key is not None:
         out = out.withColumn(key, F.col("_n") + highest(existing, key))
     return out.drop("_prefix", "_last", "_n")
