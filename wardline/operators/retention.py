@@ -56,11 +56,12 @@ def archive_encounters(
     if batch is not None and batch <= _BROADCAST_KEYS:
         keys = F.broadcast(keys)
     for name, child in children.items():
-        result[f"moved_{name}"] = child.join(keys, "EncounterID", "left_semi")
-        result[f"kept_{name}"] = child.join(keys, "EncounterID", "left_anti")
-    result["encounters"] = encounters.join(keys.withColumn("_old", F.lit(True)), "EncounterID", "left").withColumn(
+        result[f"moved_{name}"] = child.join(keys, "EncounterID", "left_semi").select(*child.columns)
+        result[f"kept_{name}"] = child.join(keys, "EncounterID", "left_anti").select(*child.columns)
+    marked = encounters.join(keys.withColumn("_old", F.lit(True)), "EncounterID", "left").withColumn(
         "EncounterStatus", F.when(c("_old"), "ARCHIVED").otherwise(c("EncounterStatus"))
-    ).drop("_old")
+    )
+    result["encounters"] = marked.select(*encounters.columns)
     return result
 
 
@@ -88,7 +89,7 @@ def purge_billing(
     result = {
         "purged_invoices": invoices.filter(closed),
         "kept_invoices": invoices.filter(~closed),
-        "purged_charges": aged.join(live, "EncounterID", "left_anti"),
+        "purged_charges": aged.join(live, "EncounterID", "left_anti").select(*charges.columns),
         "kept_charges": charges.filter(~F.coalesce(old, F.lit(False))).unionByName(
             aged.join(live, "EncounterID", "left_semi")
         ),
