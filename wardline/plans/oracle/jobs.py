@@ -121,8 +121,10 @@ lines AS (SELECT h.ClaimID, row_number() OVER (PARTITION BY h.ClaimID ORDER BY b
 
 
 _EDI_PAYER = "COALESCE(PayerID, 'UNKNOWN')"
+_NET_OF_FILE = "net AS (SELECT PatientID, EncounterID, SUM(ChargeAmount - AdjustmentAmount) AS c, bool_or(ChargeStatus = 'POSTED') AS posted FROM h_billing_charges WHERE ChargeStatus IN ('POSTED', 'BILLED') GROUP BY 1, 2)"
+_NET_OF_RUN = "net AS (SELECT PatientID, EncounterID, SUM(net) AS c, bool_or(posted) AS posted FROM charged GROUP BY 1, 2)"
 _INVOICES = f"""
-WITH net AS (SELECT PatientID, EncounterID, SUM(ChargeAmount - AdjustmentAmount) AS c, bool_or(ChargeStatus = 'POSTED') AS posted FROM h_billing_charges WHERE ChargeStatus IN ('POSTED', 'BILLED') GROUP BY 1, 2),
+WITH {_NET_OF_FILE},
 paid AS (SELECT PatientID, EncounterID, SUM(PaymentAmount) AS p FROM h_payments WHERE PaymentStatus IN ('POSTED', 'APPLIED') GROUP BY 1, 2),
 due AS (SELECT n.PatientID, n.EncounterID, n.c - COALESCE(p.p, 0) AS b FROM net n LEFT JOIN paid p USING (PatientID, EncounterID)
    WHERE n.posted AND n.c - COALESCE(p.p, 0) > 0 AND n.EncounterID NOT IN (SELECT EncounterID FROM h_insurance_claims)
@@ -167,8 +169,13 @@ FROM h_insurance_claims WHERE ClaimStatus = 'SUBMITTED' AND date_diff('day', Sub
     "claims_appeal_expired": f"""SELECT 'InsuranceClaims' AS TableName, ClaimID AS RecordID, 'APPEAL_EXPIRED' AS Action, 'Claim ' || ClaimNumber || ' denial is past appeal deadline ($' || TotalCharges || ')' AS NewValues, {_ACTOR}
 FROM h_insurance_claims WHERE ClaimStatus = 'DENIED' AND AppealDeadline < {NOW} AND ClaimID NOT IN (SELECT RecordID FROM h_billing_audit WHERE TableName = 'InsuranceClaims' AND Action = 'APPEAL_EXPIRED')""",
     "nightly_summary": _posting("AND EncounterType IN ('INPATIENT', 'OBSERVATION')", f", {_ROOM}")
-    + "SELECT 'ROOM_CHARGE' AS Action, 'SUCCESS' AS Result, COUNT(*) AS Count FROM room UNION ALL SELECT 'ROOM_CHARGE', 'ERROR', COUNT(DISTINCT EncounterID) FROM due WHERE CPTCode NOT IN (SELECT CPTCode FROM fees)"
-    + " UNION ALL SELECT 'CLAIM_CREATED', 'SUCCESS', (" + _claims(1) + "SELECT COUNT(*) FROM heads)",
+    + "SELECT * FROM (SELECT 'ROOM_CHARGE' AS Action, 'SUCCESS' AS Result, COUNT(*) AS Count FROM room UNION ALL SELECT 'ROOM_CHARGE', 'ERROR', COUNT(DISTINCT EncounterID) FROM due WHERE CPTCode NOT IN (SELECT CPTCode FROM fees)"
+    + " UNION ALL SELECT 'CLAIM_CREATED', 'SUCCESS', (" + _claims(1) + "SELECT COUNT(*) FROM heads)) WHERE Count > 0",
+    # Self-pay invoices also see the room and procedure charges the run has just posted.
+    "nightly_invoices": _posting("AND EncounterType IN ('INPATIENT', 'OBSERVATION')", f""", {_ROOM},
+charged AS (SELECT PatientID, EncounterID, ChargeAmount - AdjustmentAmount AS net, ChargeStatus = 'POSTED' AS posted FROM h_billing_charges WHERE ChargeStatus IN ('POSTED', 'BILLED')
+   UNION ALL SELECT PatientID, EncounterID, ChargeAmount, TRUE FROM room UNION ALL SELECT PatientID, EncounterID, ChargeAmount, TRUE FROM added),
+""") + _INVOICES.strip().removeprefix("WITH ").replace(_NET_OF_FILE, _NET_OF_RUN),
     # Claims and lines touch discharged visits, room and procedure charges only active ones.
     "nightly_claim_lines": _claims(1) + "SELECT * FROM lines",
 })

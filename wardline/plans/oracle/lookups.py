@@ -3,7 +3,7 @@
 from wardline.functions.clinical import INTERACTIONS
 from wardline.plans.oracle.reports import AGE, DOCTOR, NOW
 
-_PRIMARY = """dx AS (SELECT EncounterID, arg_min(ICDDescription, (DiagnosisID, ICDCode)) AS t, arg_min(ICDCode, (DiagnosisID, ICDCode)) AS code
+_PRIMARY = """dx AS (SELECT EncounterID, arg_min(ICDDescription, (DiagnosisID, ICDCode, ICDDescription)) AS t, arg_min(ICDCode, (DiagnosisID, ICDCode, ICDDescription)) AS code
   FROM h_diagnoses WHERE DiagnosisType = 'PRIMARY' GROUP BY 1)"""
 
 _VISITS = f"""
