@@ -33,7 +33,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
     """Register a function of the hospital tables under its own name."""
-    QUERIES[build.__name__] = lambda spark, folder: build(Tables(spark, folder))
+    QUERIES[build.__name__] = lambda spark, folder: build(Tables.of(spark, folder))
     return build
 
 
@@ -43,7 +43,7 @@ def register(operator: Callable, *tables: str, clock: bool = False, name: str |
         options["clock"] = CLOCK
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        source = Tables(spark, folder)
+        source = Tables.of(spark, folder)
         return operator(*[source[t] for t in tables], **options)
 
     QUERIES[name or operator.__name__] = run
@@ -147,7 +147,7 @@ def drug_interaction_check(t: Tables) -> DataFrame:
 def outputs(job: Callable[[Tables], dict[str, DataFrame]], names: dict[str, str]) -> None:
     """Register outputs of a job: query name to output key."""
     for name, key in names.items():
-        QUERIES[name] = lambda spark, folder, key=key: job(Tables(spark, folder))[key]
+        QUERIES[name] = lambda spark, folder, key=key: job(Tables.of(spark, folder))[key]
 
 
 # Admissions.
@@ -374,7 +374,7 @@ def drug_names_normalized(t: Tables) -> DataFrame:
 # Streaming: each drains the message stream and returns one output.
 def _billing_stream(output: str, with_postings: bool = False) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        t = Tables(spark, folder)
+        t = Tables.of(spark, folder)
         effects = broker.billing_effects(CLOCK, billing_tables(t) if with_postings else None)
         return broker.run_once(spark, t.stream("messages"), effects, output)
 

@@ -126,10 +126,10 @@ _NET_OF_RUN = "net AS (SELECT PatientID, EncounterID, SUM(net) AS c, bool_or(pos
 _INVOICES = f"""
 WITH {_NET_OF_FILE},
 paid AS (SELECT PatientID, EncounterID, SUM(PaymentAmount) AS p FROM h_payments WHERE PaymentStatus IN ('POSTED', 'APPLIED') GROUP BY 1, 2),
-due AS (SELECT n.PatientID, n.EncounterID, n.c - COALESCE(p.p, 0) AS b FROM net n LEFT JOIN paid p USING (PatientID, EncounterID)
+owed AS (SELECT n.PatientID, n.EncounterID, n.c - COALESCE(p.p, 0) AS b FROM net n LEFT JOIN paid p USING (PatientID, EncounterID)
    WHERE n.posted AND n.c - COALESCE(p.p, 0) > 0 AND n.EncounterID NOT IN (SELECT EncounterID FROM h_insurance_claims)
    AND n.EncounterID NOT IN (SELECT EncounterID FROM h_invoices WHERE EncounterID IS NOT NULL) AND n.PatientID NOT IN (SELECT PatientID FROM h_patients WHERE PrimaryInsuranceID IS NOT NULL)),
-k AS (SELECT *, row_number() OVER (ORDER BY EncounterID, PatientID) AS n FROM due)
+k AS (SELECT *, row_number() OVER (ORDER BY EncounterID, PatientID) AS n FROM owed)
 SELECT n + (SELECT MAX(InvoiceID) FROM h_invoices) AS InvoiceID,
        'INV-200107-' || {_pad("n + (SELECT COALESCE(MAX(CAST(right(InvoiceNumber, 5) AS BIGINT)), 0) FROM h_invoices WHERE InvoiceNumber LIKE 'INV-200107-%')", 5)} AS InvoiceNumber,
        PatientID, EncounterID, {TODAY} AS InvoiceDate, {TODAY} + 30 AS DueDate, CAST(b AS DECIMAL(18,2)) AS TotalAmount, CAST(0 AS DECIMAL(18,2)) AS PaidAmount, 'OPEN' AS InvoiceStatus FROM k"""

@@ -294,13 +294,34 @@ SHAPES["encounters_after"] = (
 class Tables:
     """Hospital tables by name, built on first use from one folder of Parquet files."""
 
+    _open: dict[tuple[int, str], "Tables"] = {}
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._base: dict[str, DataFrame] = {}
         self._built: dict[str, DataFrame] = {}
 
+    @classmethod
+    def of(cls, spark: SparkSession, folder: str) -> "Tables":
+        """The tables of a folder, opened once per session: file schemas are read a single time."""
+        key = (id(spark), folder)
+        known = cls._open.get(key)
+        if known is None or known.spark is not spark:
+            known = cls._open[key] = cls(spark, folder)
+        return known
+
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._base:
+            self._base[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._base[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            text = SHAPES[name]
+            used = {t: self.base(t) for t in BASE_TABLES if "{" + t + "}" in text}
+            self._built[name] = self.spark.sql(text, **used)
+        return self._built[name]
 
     def stream(self, name: str) -> DataFrame:
         """A hospital table of one input, read as a file stream."""
@@ -313,13 +334,6 @@ class Tables:
             source[table] = self.spark.readStream.schema(self.base(table).schema).parquet(path)
         return self.spark.sql(text, **source)
 
-    def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            text = SHAPES[name]
-            used = {t: self.base(t) for t in BASE_TABLES if "{" + t + "}" in text}
-            self._built[name] = self.spark.sql(text, **used)
-        return self._built[name]
-
 
 def duckdb_shape(name: str) -> str:
     """The same projection as DuckDB text over its registered views."""
