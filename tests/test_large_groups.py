@@ -228,3 +228,20 @@ def test_allergy_match_collapses_repeats(spark):
     ]
     hits = allergies.matching_allergens(meds, notes, ["DrugName"])
     assert hits.count() == 1 and hits.first()["_records"] == 30
+
+
+def test_large_group_is_spread_after_a_join_on_it(spark):
+    """The segments get a shuffle of their own, although the join has already partitioned the group."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        data = spark.createDataFrame(hot_rows(3000, 9), "k int, i int, at timestamp_ntz")
+        names = spark.createDataFrame([(k, f"n{k}") for k in range(1, 40)], "k int, name string")
+        joined = data.join(names, "k")
+        layout = rows.plan_numbering(data, ["at", "i"], ["k"])
+        large = joined.filter("k = 1")
+        numbered = rows._number_segments(large, ["at", "i"], ["k"], "n", layout.bounds)
+        text = numbered._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression [k" in text
+        assert sorted(r["n"] for r in numbered.collect()) == list(range(1, large.count() + 1))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -91,3 +91,11 @@ def test_discharge_of_closed_visit_is_an_error(spark, folder):
     made = broker.discharge_postings(routed, catalog.billing_tables(tables), CLOCK)
     assert made["charges"].count() == 0
     assert values(made["posting_errors"], "RecordID") == sorted([(closed,), (-5,)], key=repr)
+
+
+def test_handle_sent_very_many_times_in_many_files(spark):
+    queue, out = run_dir(spark, "queue"), run_dir(spark, "out")
+    for _ in range(6):
+        push(spark, queue, [("hot", broker.ENCOUNTER, new_visit(1))] * 40 + [(f"h{i}", broker.ENCOUNTER, new_visit(i)) for i in range(2, 5)])
+    broker.drain(broker.read_queue(spark, queue), broker.billing_effects(CLOCK), out)
+    assert values(broker.output(spark, out, "audit"), "RecordID") == [(1,), (2,), (3,), (4,)]

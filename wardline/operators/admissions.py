@@ -144,12 +144,8 @@ def discharge(
     asked = requests.groupBy("EncounterID").agg(F.min(row).alias("_r")).select("EncounterID", "_r.*")
     closing = encounters.filter(c("EncounterStatus") == "ACTIVE").join(asked, "EncounterID")
     ids = closing.select("EncounterID")
-    totals = (
-        charges.select("EncounterID", "ChargeAmount")
-        .join(ids, "EncounterID", "left_semi")
-        .groupBy("EncounterID")
-        .agg(sum_or_zero(c("ChargeAmount")).alias("TotalCharges"))
-    )
+    # Folded before the join, so a visit with very many charges is one row.
+    totals = charges.groupBy("EncounterID").agg(sum_or_zero(c("ChargeAmount")).alias("TotalCharges"))
     closed = (
         closing.select("EncounterID", "PatientID", "DischargeDisposition", "DischargeDiagnosis")
         .join(totals, "EncounterID", "left")

@@ -70,24 +70,27 @@ class Layout:
 
 
 def plan_numbering(df: DataFrame, order: list[str], by: list[str] = (), segments: int | None = None) -> Layout:
-    """Find large groups and cut points from a fixed-size uniform sample of the rows.
+    """Find large groups and cut points from a uniform sample of a few thousand short rows.
 
     Any choice gives right numbers; a good one only balances the work. The cut points
     become literals, so they are the same in every branch and every recomputed task.
-    The sample is a few thousand short rows whatever the size of the table.
+    The row count sets the sampling rate, so the sample stays the same size however
+    large the table is. A table smaller than the sample needs no cutting.
     """
     if segments is None:
         segments = min(MAX_SEGMENTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    limit = segments * SAMPLES_PER_SEGMENT
     by = list(by)
+    wanted = segments * SAMPLES_PER_SEGMENT
+    total = df.count()
+    if total <= wanted:
+        return Layout((), (), True)
     names = by + [n for n in order if n not in by]
-    picked = df.select(*names).orderBy(F.rand(17)).limit(limit)
+    picked = df.select(*names).sample(min(1.0, wanted / total), seed=17)
     rows = picked.orderBy(*[F.asc_nulls_first(n) for n in order]).collect()
-    small_input = len(rows) < limit
     large: tuple[tuple, ...] = ()
     if by:
         hits = Counter(tuple(r[n] for n in by) for r in rows)
-        large = tuple(k for k, n in hits.items() if n >= LARGE_HITS and None not in k) if not small_input else ()
+        large = tuple(k for k, n in hits.items() if n >= LARGE_HITS and None not in k)
         rows = [r for r in rows if tuple(r[n] for n in by) in set(large)]
         segments = min(segments, max(1, len(rows) // LARGE_HITS))
     step = len(rows) / segments
@@ -97,7 +100,7 @@ def plan_numbering(df: DataFrame, order: list[str], by: list[str] = (), segments
         for i in sorted({int(step * j) for j in range(1, segments)})
         if rows
     )
-    return Layout(large, bounds, small_input)
+    return Layout(large, bounds, False)
 
 
 def number_rows(
@@ -137,7 +140,9 @@ def number_rows(
 def _number_segments(df: DataFrame, order: list[str], by: list[str], out: str, bounds: tuple[Column, ...]) -> DataFrame:
     """Count rows per (group, segment), turn counts into offsets, number inside each segment.
 
-    The inner window and the join share one shuffle on (group, segment).
+    The explicit repartition matters: an input already partitioned on the group would
+    satisfy the window as it is, and keep a large group in one task. The window and
+    the join share that one shuffle.
     """
     cut = df.withColumn("_segment", _segment(F.struct(*order), list(bounds), 0, len(bounds)))
     where = by + ["_segment"]
@@ -150,7 +155,8 @@ def _number_segments(df: DataFrame, order: list[str], by: list[str], out: str, b
     )
     inside = Window.partitionBy(*where).orderBy(*[F.asc_nulls_first(n) for n in order])
     return (
-        cut.withColumn("_inside", F.row_number().over(inside))
+        cut.repartition(*where)
+        .withColumn("_inside", F.row_number().over(inside))
         .join(offsets, where)
         .withColumn(out, (F.col("_inside") + F.col("_offset")).cast("long"))
         .drop("_segment", "_inside", "_offset")

@@ -21,6 +21,7 @@ from wardline.operators import clinical_reports as clinical
 from wardline.operators import management_reports as management
 from wardline.operators.rows import union_all
 from wardline.plans.nightly import BillingTables, nightly_billing
+from wardline.session import tune
 from wardline.sources.shapes import Tables
 from wardline.streaming import broker
 from wardline.workspace import run_dir
@@ -31,9 +32,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def opened(spark: SparkSession, folder: str) -> Tables:
+    return Tables.of(tune(spark), folder)
+
+
 def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
     """Register a function of the hospital tables under its own name."""
-    QUERIES[build.__name__] = lambda spark, folder: build(Tables.of(spark, folder))
+    QUERIES[build.__name__] = lambda spark, folder: build(opened(spark, folder))
     return build
 
 
@@ -43,7 +48,7 @@ def register(operator: Callable, *tables: str, clock: bool = False, name: str |
         options["clock"] = CLOCK
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        source = Tables.of(spark, folder)
+        source = opened(spark, folder)
         return operator(*[source[t] for t in tables], **options)
 
     QUERIES[name or operator.__name__] = run
@@ -147,7 +152,7 @@ def drug_interaction_check(t: Tables) -> DataFrame:
 def outputs(job: Callable[[Tables], dict[str, DataFrame]], names: dict[str, str]) -> None:
     """Register outputs of a job: query name to output key."""
     for name, key in names.items():
-        QUERIES[name] = lambda spark, folder, key=key: job(Tables.of(spark, folder))[key]
+        QUERIES[name] = lambda spark, folder, key=key: job(opened(spark, folder))[key]
 
 
 # Admissions.
@@ -374,7 +379,7 @@ def drug_names_normalized(t: Tables) -> DataFrame:
 # Streaming: each drains the message stream and returns one output.
 def _billing_stream(output: str, with_postings: bool = False) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        t = Tables.of(spark, folder)
+        t = opened(spark, folder)
         effects = broker.billing_effects(CLOCK, billing_tables(t) if with_postings else None)
         return broker.run_once(spark, t.stream("messages"), effects, output)
 

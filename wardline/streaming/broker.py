@@ -37,6 +37,7 @@ BODY_SCHEMA = (
 ACTOR = "ServiceBroker"
 # How long a repeated handle is recognised; also the lateness the stream tolerates.
 REPEAT_WINDOW = "30 days"
+SLICES = 64
 
 
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
@@ -45,9 +46,15 @@ def read_queue(spark: SparkSession, path: str) -> DataFrame:
 
 
 def once_per_handle(messages: DataFrame, within: str = REPEAT_WINDOW) -> DataFrame:
-    """Drop repeats of a conversation handle; the state is bounded by the watermark."""
+    """Drop repeats of a conversation handle; the state is bounded by the watermark.
+
+    Done in two steps, so that a handle sent very many times does not land in one task:
+    first per handle and input slice, then per handle over the few rows left.
+    """
     timed = messages.withColumn("ts", c("ts").cast("timestamp")).withWatermark("ts", within)
-    return timed.dropDuplicatesWithinWatermark(["conversation_handle"])
+    sliced = timed.withColumn("_slice", F.spark_partition_id() % SLICES)
+    few = sliced.dropDuplicatesWithinWatermark(["conversation_handle", "_slice"]).drop("_slice")
+    return few.dropDuplicatesWithinWatermark(["conversation_handle"])
 
 
 def route(messages: DataFrame) -> DataFrame:
