@@ -20,6 +20,7 @@ from wardline.workspace import stage
 DUPLICATE_SSN = "A patient with this SSN already exists."
 NO_PATIENT = "Patient not found or inactive."
 OPEN_VISIT = "Patient already has an active encounter of this type."
+UNKNOWN_TYPE = "Unknown encounter type."
 
 
 def register_patients(
@@ -104,10 +105,16 @@ def admit(
     )
     people = active.distinct().withColumn("_known", F.lit(True))
     refused = (
-        requests.select("RequestID", "PatientID")
+        requests.select("RequestID", "PatientID", "EncounterType")
         .join(accepted.select("RequestID"), "RequestID", "left_anti")
         .join(people, "PatientID", "left")
-        .select("RequestID", F.when(c("_known"), OPEN_VISIT).otherwise(NO_PATIENT).alias("Reason"))
+        .select(
+            "RequestID",
+            F.when(c("_known").isNull(), NO_PATIENT)
+            .when(c("EncounterType").isin(*TYPE_PREFIX), OPEN_VISIT)
+            .otherwise(UNKNOWN_TYPE)
+            .alias("Reason"),
+        )
     )
     return {"encounters": opened, "refused": refused, "messages": encounter_messages(opened)}
 

@@ -9,7 +9,7 @@ _PRIMARY = """dx AS (SELECT EncounterID, arg_min(ICDDescription, (DiagnosisID, I
 _VISITS = f"""
 WITH {_PRIMARY}
 SELECT e.PatientID, e.EncounterID, e.EncounterNumber, e.EncounterType, e.AdmitDate, e.DischargeDate,
-       date_diff('day', e.AdmitDate, COALESCE(e.DischargeDate, {NOW})) AS LengthOfStay, {DOCTOR} AS AttendingPhysician, d.DepartmentName,
+       CAST(date_diff('day', e.AdmitDate, COALESCE(e.DischargeDate, {NOW})) AS INTEGER) AS LengthOfStay, {DOCTOR} AS AttendingPhysician, d.DepartmentName,
        dx.t AS PrimaryDiagnosis, e.TotalCharges, e.EncounterStatus
 FROM h_encounters e JOIN h_physicians ph ON ph.PhysicianID = e.AttendingPhysicianID LEFT JOIN h_departments d ON d.DepartmentID = e.DepartmentID
 LEFT JOIN dx ON dx.EncounterID = e.EncounterID"""
@@ -34,7 +34,7 @@ def _search(where: str, order: str, limit: int) -> str:
     return f"""
 WITH top AS (SELECT * FROM h_patients p WHERE {where} ORDER BY {order}, PatientID LIMIT {limit}),
 v AS (SELECT * FROM h_encounters QUALIFY row_number() OVER (PARTITION BY PatientID ORDER BY AdmitDate DESC, EncounterID DESC) = 1)
-SELECT p.PatientID, p.MRN, p.LastName, p.FirstName, p.MiddleName, p.DateOfBirth, year({NOW}) - year(p.DateOfBirth) AS Age, p.Gender, p.Address1, p.City,
+SELECT p.PatientID, p.MRN, p.LastName, p.FirstName, p.MiddleName, p.DateOfBirth, CAST(year({NOW}) - year(p.DateOfBirth) AS INTEGER) AS Age, p.Gender, p.Address1, p.City,
        p.State, p.ZipCode, p.HomePhone, p.MobilePhone, p.Email, p.PatientStatus, i.ProviderName AS PrimaryInsurance, p.PrimaryPolicyNumber,
        v.AdmitDate AS LastEncounterDate, v.EncounterType AS LastEncounterType
 FROM top p LEFT JOIN h_insurers i ON i.InsuranceProviderID = p.PrimaryInsuranceID LEFT JOIN v ON v.PatientID = p.PatientID"""
@@ -48,7 +48,7 @@ SQL: dict[str, str] = {
     "patient_encounters_between": _VISITS + "\nWHERE e.AdmitDate >= DATE '1998-01-01' AND e.AdmitDate <= DATE '1999-06-30'",
     "active_medication_list": f"""
 SELECT m.PatientID, m.MedicationID, m.DrugName, m.GenericName, m.DrugClass, m.Dosage, m.Route, m.Frequency, m.StartDate,
-       date_diff('day', m.StartDate, {NOW}) AS DaysOnMedication, ph.LastName || ', ' || ph.FirstName AS PrescribingPhysician, m.IsControlledSubstance,
+       CAST(date_diff('day', m.StartDate, {NOW}) AS INTEGER) AS DaysOnMedication, ph.LastName || ', ' || ph.FirstName AS PrescribingPhysician, m.IsControlledSubstance,
        CAST(EXISTS (SELECT 1 FROM h_allergies a WHERE a.PatientID = m.PatientID AND a.AllergyType = 'DRUG' AND a.AllergyStatus = 'ACTIVE'
                     AND contains(lower(m.DrugName), lower(a.AllergenName))) AS INTEGER) AS HasAllergyConflict
 FROM h_medications m JOIN h_physicians ph ON ph.PhysicianID = m.PrescribingPhysicianID WHERE m.MedicationStatus = 'ACTIVE'""",
@@ -103,7 +103,7 @@ SELECT c.PatientID, c.n AS Drugs, COALESCE(q.n, 0) AS Pairs, COALESCE(q.k, 0) AS
 WITH parts AS (SELECT LabResultID, list_filter(regexp_split_to_array(RawHL7Message, '[\r\n]'), lambda x: x <> '') AS p FROM h_hl7_messages),
 rows AS (SELECT LabResultID, unnest(p) AS s, generate_subscripts(p, 1) - 1 AS i FROM parts),
 clean AS (SELECT LabResultID, i, regexp_replace(s, '^[\\t-\\r\\x20\\x{85}\\pZ]+|[\\t-\\r\\x20\\x{85}\\pZ]+$', '', 'g') AS s FROM rows)
-SELECT LabResultID, i AS SegmentIndex, left(s, 3) AS SegmentType, length(s) - length(replace(s, '|', '')) + 1 AS FieldCount, s AS RawSegment
+SELECT LabResultID, CAST(i AS INTEGER) AS SegmentIndex, left(s, 3) AS SegmentType, CAST(length(s) - length(replace(s, '|', '')) + 1 AS INTEGER) AS FieldCount, s AS RawSegment
 FROM clean WHERE length(s) >= 3""",
     "drug_interaction_check": f"""
 WITH pairs(a, b, w) AS (VALUES {_PAIRS}),

@@ -11,7 +11,7 @@ def today(column: str) -> str:
 
 
 AGE = (
-    f"date_diff('year', p.DateOfBirth, {TODAY}) - CASE WHEN p.DateOfBirth + to_years(CAST(date_diff('year', p.DateOfBirth, {TODAY}) AS INTEGER)) > {TODAY} THEN 1 ELSE 0 END"
+    f"CAST(date_diff('year', p.DateOfBirth, {TODAY}) - CASE WHEN p.DateOfBirth + to_years(CAST(date_diff('year', p.DateOfBirth, {TODAY}) AS INTEGER)) > {TODAY} THEN 1 ELSE 0 END AS INTEGER)"
 )
 PATIENT = "p.LastName || ', ' || p.FirstName"
 DOCTOR = "ph.LastName || ', ' || ph.FirstName || ' ' || COALESCE(ph.Credentials, '')"
@@ -26,7 +26,7 @@ WHERE p.PatientStatus = 'ACTIVE' AND p.DeceasedIndicator = 0""",
 WITH med AS (SELECT EncounterID, COUNT(*) AS n FROM h_medications WHERE MedicationStatus = 'ACTIVE' GROUP BY 1),
 ord AS (SELECT EncounterID, COUNT(*) AS n FROM h_orders WHERE OrderStatus IN ('ORDERED', 'IN_PROGRESS') GROUP BY 1)
 SELECT e.EncounterID, e.EncounterNumber, p.PatientID, p.MRN, {PATIENT} AS PatientName, p.DateOfBirth,
-       year({NOW}) - year(p.DateOfBirth) AS Age, p.Gender, e.EncounterType, e.AdmitDate, date_diff('day', e.AdmitDate, {NOW}) AS LengthOfStay,
+       CAST(year({NOW}) - year(p.DateOfBirth) AS INTEGER) AS Age, p.Gender, e.EncounterType, e.AdmitDate, CAST(date_diff('day', e.AdmitDate, {NOW}) AS INTEGER) AS LengthOfStay,
        e.RoomNumber, e.BedNumber, d.DepartmentName, {DOCTOR} AS AttendingPhysician, e.AdmitDiagnosis, i.ProviderName AS Insurance, e.TotalCharges,
        COALESCE(med.n, 0) AS ActiveMedicationCount, COALESCE(ord.n, 0) AS PendingOrderCount
 FROM h_encounters e JOIN h_patients p USING (PatientID) JOIN h_physicians ph ON ph.PhysicianID = e.AttendingPhysicianID
@@ -48,7 +48,7 @@ JOIN h_physicians ph ON ph.PhysicianID = e.AttendingPhysicianID
 WHERE r.CriticalFlag = 1 AND r.ResultStatus IN ('PRELIMINARY', 'FINAL')""",
     "active_medications": f"""
 SELECT m.MedicationID, p.MRN, {PATIENT} AS PatientName, m.DrugCode, m.DrugName, m.GenericName, m.DrugClass, m.Dosage, m.DosageUnit, m.Route, m.Frequency,
-       m.StartDate, date_diff('day', m.StartDate, {NOW}) AS DaysOnMedication, ph.LastName || ', ' || ph.FirstName AS PrescribingPhysician,
+       m.StartDate, CAST(date_diff('day', m.StartDate, {NOW}) AS INTEGER) AS DaysOnMedication, ph.LastName || ', ' || ph.FirstName AS PrescribingPhysician,
        m.IsControlledSubstance, m.DEASchedule, m.PharmacyVerified,
        CAST(EXISTS (SELECT 1 FROM h_allergies a WHERE a.PatientID = m.PatientID AND a.AllergyType = 'DRUG' AND a.AllergyStatus = 'ACTIVE'
                     AND contains(lower(m.DrugName), lower(a.AllergenName))) AS INTEGER) AS PotentialAllergyConflict

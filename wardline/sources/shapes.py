@@ -132,7 +132,7 @@ SELECT c_custkey * 2 AS AllergyID, c_custkey AS PatientID, CASE WHEN c_custkey %
 UNION ALL
 SELECT c_custkey * 2 + 1 AS AllergyID, c_custkey AS PatientID, 'DRUG' AS AllergyType,
        {_drug('(c_custkey * 5 + 3)')} AS AllergenName, 'Nausea' AS Reaction, 'MODERATE' AS Severity, 'ACTIVE' AS AllergyStatus
-FROM {{customer}} WHERE c_custkey % 2 = 0""",
+FROM {{customer}} WHERE c_acctbal >= 0""",
     "lab_results": """
 SELECT event_id AS LabResultID, event_id % (SELECT COUNT(*) FROM {orders}) AS EncounterID, user_id AS PatientID, event_type AS TestCode,
        CONCAT('Test ', event_type) AS TestName, CASE WHEN event_id % 25 = 0 THEN NULL ELSE CONCAT('v', CAST(event_id % 1000 AS STRING)) END AS ResultValue, 'mg/dL' AS ResultUnit,
@@ -185,7 +185,7 @@ UNION ALL
 SELECT CONCAT('CH-', CAST(p_partkey AS STRING)) AS ChargeCode, CAST(p_partkey AS STRING) AS CPTCode, '0300' AS RevenueCode, p_name AS ChargeDescription,
        CAST(p_retailprice + 5 AS DECIMAL(10,2)) AS StandardCharge, CAST(p_retailprice * 0.5 AS DECIMAL(10,2)) AS MedicareRate, CAST(p_retailprice * 0.25 AS DECIMAL(10,2)) AS MedicaidRate,
        DATE '1999-01-01' + p_size AS EffectiveDate, CAST(NULL AS DATE) AS ExpirationDate, CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS IsActive
-FROM {part} WHERE p_partkey % 3 = 0
+FROM {part} WHERE p_size <= 16
 UNION ALL
 SELECT CASE r_regionkey WHEN 0 THEN 'RC-SEMI-PRIV' ELSE 'RC-OBS' END AS ChargeCode, CAST(NULL AS STRING) AS CPTCode, '0120' AS RevenueCode, r_name AS ChargeDescription,
        CAST(2500 - 700 * r_regionkey AS DECIMAL(10,2)) AS StandardCharge, CAST(1200 AS DECIMAL(10,2)) AS MedicareRate, CAST(900 AS DECIMAL(10,2)) AS MedicaidRate,
@@ -214,21 +214,21 @@ SELECT o_orderkey AS ClaimID, CONCAT('CLM-', {_ymd('o_orderdate')}, '-', {_pad('
        CASE o_orderkey % 8 WHEN 0 THEN 'CREATED' WHEN 1 THEN 'SUBMITTED' WHEN 2 THEN 'SUBMITTED' WHEN 3 THEN 'ADJUDICATED' WHEN 4 THEN 'PAID' WHEN 5 THEN 'PARTIAL_PAID' ELSE 'DENIED' END AS ClaimStatus,
        CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE o_orderdate + 3 * INTERVAL '1' DAY END AS SubmittedDate,
        CASE WHEN o_orderkey % 8 = 6 THEN NULL ELSE CAST(o_orderdate AS DATE) + 45 END AS AppealDeadline, o_orderdate AS CreatedDate
-FROM {{orders}} WHERE o_orderkey % 3 <> 0""",
+FROM {{orders}} WHERE o_orderpriority NOT IN ('3-MEDIUM', '5-LOW')""",
     "invoices": """
 SELECT o_orderkey AS InvoiceID, CONCAT('INV-', SUBSTRING(""" + _ymd("o_orderdate") + """, 1, 6), '-', """ + _pad("o_orderkey", 5) + """) AS InvoiceNumber, o_custkey AS PatientID,
        CASE WHEN o_orderkey % 40 = 0 THEN NULL ELSE o_orderkey END AS EncounterID,
        CAST(o_orderdate AS DATE) AS InvoiceDate, CAST(o_orderdate AS DATE) + 30 AS DueDate, CAST(o_totalprice AS DECIMAL(12,2)) AS TotalAmount,
        CASE WHEN o_orderkey % 10 = 0 THEN CAST(o_totalprice AS DECIMAL(12,2)) - CAST(o_orderkey % 100 AS DECIMAL(12,2)) ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.30 AS DECIMAL(3,2)) AS DECIMAL(12,2)) END AS PaidAmount,
        CASE o_orderkey % 6 WHEN 0 THEN 'PAID' WHEN 1 THEN 'PARTIAL' WHEN 2 THEN 'WRITTEN_OFF' ELSE 'OPEN' END AS InvoiceStatus
-FROM {orders} WHERE o_orderkey % 4 <> 3""",
+FROM {orders} WHERE o_orderpriority <> '5-LOW'""",
     "payment_plans": """
 SELECT c_custkey AS PaymentPlanID, c_custkey AS PatientID, DATE '2001-07-20' - CAST(c_custkey % 120 AS INT) AS NextPaymentDate,
        CASE c_custkey % 4 WHEN 0 THEN 'COMPLETED' ELSE 'ACTIVE' END AS PlanStatus FROM {customer}""",
     "collections": """
 SELECT o_orderkey AS CollectionID, o_custkey AS PatientID, o_orderkey AS InvoiceID, CAST(o_totalprice AS DECIMAL(12,2)) AS OriginalBalance,
        CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.50 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS CurrentBalance,
-       CASE o_orderkey % 3 WHEN 0 THEN 'RECOVERED' ELSE 'ACTIVE' END AS CollectionStatus FROM {orders} WHERE o_orderkey % 4 = 2""",
+       CASE o_orderkey % 3 WHEN 0 THEN 'RECOVERED' ELSE 'ACTIVE' END AS CollectionStatus FROM {orders} WHERE o_orderpriority IN ('1-URGENT', '5-LOW')""",
     "rooms": """
 SELECT s_suppkey AS RoomID, CONCAT('RM-', CAST(s_suppkey AS STRING)) AS RoomNumber, CASE s_suppkey % 3 WHEN 0 THEN 'EXAM' WHEN 1 THEN 'ICU' ELSE 'OR' END AS RoomType,
        CONCAT('NATION_', CAST(s_nationkey AS STRING)) AS DepartmentCode, CASE WHEN s_suppkey % 10 = 9 THEN 0 ELSE 1 END AS IsActive FROM {supplier}""",
@@ -255,7 +255,7 @@ SELECT o_orderkey AS RequestID, o_custkey AS PatientID, {_TYPE} AS EncounterType
        CAST(o_custkey % 25 AS INT) AS DepartmentID, o_orderpriority AS AdmitDiagnosis FROM {{orders}} WHERE o_orderstatus = 'P'""",
     "discharge_requests": """
 SELECT o_orderkey AS EncounterID, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS DischargeDiagnosis,
-       CASE WHEN o_orderkey % 10 = 0 THEN 'SNF' ELSE 'HOME' END AS DischargeDisposition FROM {orders} WHERE o_orderkey % 5 = 0""",
+       CASE WHEN o_orderkey % 10 = 0 THEN 'SNF' ELSE 'HOME' END AS DischargeDisposition FROM {orders}""",
     "medication_requests": f"""
 SELECT {_LINE_ID} AS RequestID, l_orderkey AS EncounterID, {_drug('l_partkey')} AS DrugCode,
        CONCAT({_drug('l_partkey')}, CASE l_suppkey % 3 WHEN 0 THEN ' HCL' ELSE '' END) AS DrugName,
@@ -287,7 +287,7 @@ SHAPES["encounters_after"] = (
     "SELECT CASE WHEN o_orderkey % 101 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS EncounterID, o_custkey AS PatientID, "
     "CASE WHEN o_orderkey % 13 = 0 THEN 'DISCHARGED' ELSE CASE o_orderstatus WHEN 'O' THEN 'ACTIVE' WHEN 'F' THEN 'DISCHARGED' ELSE 'CANCELLED' END END AS EncounterStatus, "
     "CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 6 = 0 THEN CONCAT('PA', CAST(o_orderkey AS STRING)) END AS PreAuthNumber "
-    "FROM {orders} WHERE o_orderkey % 97 <> 0"
+    "FROM {orders} WHERE o_totalprice >= 5000"
 )
 
 
