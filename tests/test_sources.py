@@ -35,6 +35,12 @@ def test_remote_options(spark):
     assert "O''X" in remote.studies_query("O'X")
 
 
+def test_recent_remote_results(spark):
+    rows = [("M1", datetime(2001, 7, 13, 10, 30)), ("M1", datetime(2001, 7, 13, 10, 29)), ("M2", datetime(2001, 7, 19))]
+    df = spark.createDataFrame(rows, "PatientMRN string, ResultDate timestamp_ntz")
+    assert values(remote.recent_results(df, "M1", CLOCK), "ResultDate") == [(datetime(2001, 7, 13, 10, 30),)]
+
+
 def test_tables_by_schema_and_append(spark, tables):
     root = run_dir(spark, "tables")
     sinks.replace(tables["departments"], f"{root}/patient/departments")
@@ -98,9 +104,6 @@ def test_search_options(tables):
     assert names == sorted(names) and len(names) == 100
 
 
-SUMMARY = "PatientID int, {0} timestamp_ntz"
-
-
 def test_summary_limits(spark, tables):
     person = tables["patients"].filter("PatientID = 1")
     at = datetime(2001, 1, 1)

@@ -62,10 +62,14 @@ def test_routes(spark):
         ("h", "Something", "<x/>"),
         ("i", broker.LAB, None),
         ("j", None, "<x/>"),
+        ("k", broker.ENCOUNTER, '<?xml version="1.0"?>\n' + new_visit(4)),
+        ("l", broker.LAB, "<LabNotification><PatientID>1</PatientID><CriticalFlag>true</CriticalFlag></LabNotification>"),
+        ("m", broker.LAB, "<LabNotification><PatientID>1</PatientID><CriticalFlag>maybe</CriticalFlag></LabNotification>"),
     ]
     df = spark.createDataFrame([(h, t, b, T0) for h, t, b in rows], broker.MESSAGE_SCHEMA)
     want = ["encounter", "malformed", "malformed", "malformed", "discharge", "lab", "control", "ignored", "malformed", "ignored"]
-    assert values(broker.route(df), "conversation_handle", "route") == list(zip("abcdefghij", want))
+    want += ["encounter", "lab", "malformed"]
+    assert values(broker.route(df), "conversation_handle", "route") == list(zip("abcdefghijklm", want))
 
 
 def test_lab_alerts_only_for_critical(spark):

@@ -9,6 +9,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wardline.clock import Clock
 
 # Query timeouts in seconds per remote system (fixed values).
 TIMEOUTS = {"pharmacy": 60, "clearinghouse": 120}
@@ -74,3 +77,8 @@ def low_stock_query(limit: int = 10) -> str:
 def studies_query(mrn: str) -> str:
     """The studies of one patient; quotes in the record number are doubled."""
     return STUDIES.format(mrn=mrn.replace("'", "''"))
+
+
+def recent_results(results: DataFrame, mrn: str, clock: Clock, days: int = 7) -> DataFrame:
+    """One patient's results of the last days; both filters are pushed to the remote server."""
+    return results.filter((F.col("PatientMRN") == mrn) & (F.col("ResultDate") >= clock.days(-days)))

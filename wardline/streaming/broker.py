@@ -32,8 +32,12 @@ CONTROL = (
 )
 ROOTS = {ENCOUNTER: "NewEncounter", DISCHARGE: "PatientDischarge", LAB: "LabNotification"}
 BODY_SCHEMA = (
-    "EncounterID int, PatientID int, EncounterType string, TestName string, CriticalFlag int, _corrupt_record string"
+    "EncounterID int, PatientID int, EncounterType string, TestName string, CriticalFlag string, _corrupt_record string"
 )
+# Texts a 0/1 flag may have (fixed values).
+FLAG_ON, FLAG_OFF = ("1", "true"), ("0", "false")
+# The name of the root element, after an optional XML declaration.
+ROOT_NAME = r"^\s*(?:<\?[^>]*\?>\s*)?<([A-Za-z]+)"
 ACTOR = "ServiceBroker"
 # How long a repeated handle is recognised; also the lateness the stream tolerates.
 REPEAT_WINDOW = "30 days"
@@ -68,11 +72,12 @@ def route(messages: DataFrame) -> DataFrame:
         F.from_xml("body", BODY_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}),
     )
     kind = c("message_type")
-    root = F.regexp_extract("body", r"^\s*<([A-Za-z]+)", 1)
+    root = F.regexp_extract("body", ROOT_NAME, 1)
     expected = F.lit(None).cast("string")
     for name, element in ROOTS.items():
         expected = F.when(kind == name, element).otherwise(expected)
-    broken = c("body").isNull() | c("m._corrupt_record").isNotNull() | (root != expected)
+    bad_flag = ~F.lower("m.CriticalFlag").isin(*FLAG_ON, *FLAG_OFF)
+    broken = c("body").isNull() | c("m._corrupt_record").isNotNull() | (root != expected) | F.coalesce(bad_flag, F.lit(False))
     return parsed.withColumn(
         "route",
         F.when(kind.isin(*CONTROL), "control")
@@ -118,7 +123,7 @@ def activation_errors(routed: DataFrame, clock: Clock) -> DataFrame:
 def lab_alerts(routed: DataFrame, clock: Clock) -> DataFrame:
     """Audit rows for critical results only."""
     text = F.concat(F.lit("Critical lab result notification processed: "), c("m.TestName"))
-    critical = routed.filter((c("route") == "lab") & (c("m.CriticalFlag") == 1))
+    critical = routed.filter((c("route") == "lab") & F.lower("m.CriticalFlag").isin(*FLAG_ON))
     return audit_rows(critical, "LabResults", c("m.PatientID"), "CRITICAL_LAB_NOTIFICATION", text, ACTOR, clock)
 
 
