@@ -11,7 +11,7 @@ from wardline.operators.clinical_reports import c
 from wardline.operators.lookups import primary_diagnosis
 from wardline.operators.management_reports import charge_counts, payment_counts
 from wardline.operators.numbering import assign_numbers
-from wardline.operators.rows import fold_facts, number_rows, plan_numbering
+from wardline.operators.rows import BROADCAST_KEYS, broadcast_counted, fold_facts, number_rows, plan_numbering
 from wardline.sources.sinks import audit_rows
 from wardline.workspace import stage
 
@@ -202,15 +202,9 @@ def create_claims(
         .select("EncounterID", "PatientID", "PreAuthNumber")
         .join(insured, "PatientID")
     )
-    # Headers, totals, lines and status changes all start from these visits.
+    # Headers, totals, lines and status changes all start from these visits and their numbers.
     due = stage(due, "claim-visits")
-    billable = charges.filter(c("ChargeStatus").isin(*BILLABLE))
-    totals = (
-        billable.join(due.select("EncounterID"), "EncounterID", "left_semi")
-        .groupBy("EncounterID")
-        .agg(sum_or_zero(net_amount()).alias("TotalCharges"))
-    )
-    form = "UB04" if claim_type == "INSTITUTIONAL" else "CMS1500"
+    layout = plan_numbering(due, ["EncounterID"])
     keyed = assign_numbers(
         due,
         claims.select("ClaimNumber", "ClaimID"),
@@ -219,8 +213,16 @@ def create_claims(
         5,
         ["EncounterID"],
         key="ClaimID",
-        layout=plan_numbering(due, ["EncounterID"]),
+        layout=layout,
     )
+    keyed = stage(keyed, "claim-numbers")
+    chosen = broadcast_counted(keyed.select("EncounterID", "ClaimID"), layout.rows)
+    billable = charges.filter(c("ChargeStatus").isin(*BILLABLE))
+    # A day's visits are few: they filter the charges before the sum. A backlog is not, and
+    # there the charges are folded first, so that a large visit is never joined row by row.
+    summed = billable.join(chosen, "EncounterID", "left_semi") if layout.rows <= BROADCAST_KEYS else billable
+    totals = summed.groupBy("EncounterID").agg(sum_or_zero(net_amount()).alias("TotalCharges"))
+    form = "UB04" if claim_type == "INSTITUTIONAL" else "CMS1500"
     headers = (
         keyed.join(totals, "EncounterID", "left")
         .join(insurers.select("InsuranceProviderID", "PayerID"), "InsuranceProviderID", "left")
@@ -252,7 +254,7 @@ def create_claims(
         net_amount().alias("ChargeAmount"),
     )
     sort, visit = ["ServiceDate", "ChargeID", "CPTCode", "ChargeAmount", "Quantity"], ["EncounterID"]
-    entries = items.join(keyed.select("EncounterID", "ClaimID"), "EncounterID")
+    entries = items.join(chosen, "EncounterID")
     numbered = number_rows(entries, sort, visit, "LineNumber", plan_numbering(items, sort, visit))
     lines = numbered.select(
         "ClaimID",
@@ -267,7 +269,7 @@ def create_claims(
     )
     billed = (
         charges.filter(c("ChargeStatus") == "POSTED")
-        .join(due.select("EncounterID"), "EncounterID", "left_semi")
+        .join(chosen, "EncounterID", "left_semi")
         .withColumn("ChargeStatus", F.lit("BILLED"))
     )
     return {"claims": headers, "lines": lines, "charges": billed}

@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from wardline.clock import Clock
 from wardline.functions.dialect import last_first
 from wardline.operators.clinical_reports import c
-from wardline.operators.rows import union_all
+from wardline.operators.rows import broadcast_counted, union_all
 
 RETENTION_MONTHS, ARCHIVE_BATCH = 84, 1000
-# Broadcast the batch's keys only up to this many; larger batches are shuffled.
-_BROADCAST_KEYS = 100_000
 
 
 def archive_batch(
@@ -53,8 +51,8 @@ def archive_encounters(
     if dry_run:
         return result
     keys = chosen.select("EncounterID")
-    if batch is not None and batch <= _BROADCAST_KEYS:
-        keys = F.broadcast(keys)
+    if batch is not None:
+        keys = broadcast_counted(keys, batch)
     for name, child in children.items():
         result[f"moved_{name}"] = child.join(keys, "EncounterID", "left_semi").select(*child.columns)
         result[f"kept_{name}"] = child.join(keys, "EncounterID", "left_anti").select(*child.columns)

@@ -40,6 +40,15 @@ def stack_totals(parts: list[DataFrame]) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
+# Counted keys up to this many may be broadcast; more are left to a shuffle.
+BROADCAST_KEYS = 100_000
+
+
+def broadcast_counted(keys: DataFrame, rows: int) -> DataFrame:
+    """Mark a table of keys for broadcast when its counted size allows it."""
+    return F.broadcast(keys) if rows <= BROADCAST_KEYS else keys
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -62,8 +71,9 @@ def _segment(key: Column, bounds: list[Column], low: int, high: int) -> Column:
 
 @dataclass(frozen=True)
 class Layout:
-    """What a sample says about a numbering: the large groups and where to cut them."""
+    """What a count and a sample say about a numbering: size, large groups, where to cut them."""
 
+    rows: int
     large: tuple[tuple, ...]
     bounds: tuple[Column, ...]
     small_input: bool
@@ -83,7 +93,7 @@ def plan_numbering(df: DataFrame, order: list[str], by: list[str] = (), segments
     wanted = segments * SAMPLES_PER_SEGMENT
     total = df.count()
     if total <= wanted:
-        return Layout((), (), True)
+        return Layout(total, (), (), True)
     names = by + [n for n in order if n not in by]
     picked = df.select(*names).sample(min(1.0, wanted / total), seed=17)
     rows = picked.orderBy(*[F.asc_nulls_first(n) for n in order]).collect()
@@ -100,7 +110,7 @@ def plan_numbering(df: DataFrame, order: list[str], by: list[str] = (), segments
         for i in sorted({int(step * j) for j in range(1, segments)})
         if rows
     )
-    return Layout(large, bounds, False)
+    return Layout(total, large, bounds, False)
 
 
 def number_rows(
