@@ -10,6 +10,7 @@ from tests.compare import values
 from wardline.clock import Clock
 from wardline.operators import admissions, billing, quality, retention
 from wardline.operators import management_reports as management
+from wardline.operators import rows as rows_module
 from wardline.plans import catalog
 from wardline.plans.nightly import after_run, nightly_billing
 from wardline.sources.shapes import Tables
@@ -42,7 +43,7 @@ def test_claim_lines_add_up(tables):
         tables["encounters"], tables["patients"], tables["insurers"], tables["insurance_claims"],
         tables["billing_charges"], CLOCK, days_back=3650,
     )
-    lines = made["lines"].groupBy("ClaimID").agg(
+    lines = billing.claim_lines(made["visits"], tables["billing_charges"]).groupBy("ClaimID").agg(
         F.sum("ChargeAmount").alias("s"), F.count("*").alias("n"), F.max("LineNumber").alias("top"), F.countDistinct("LineNumber").alias("d")
     )
     joined = made["claims"].join(lines, "ClaimID", "left")
@@ -51,8 +52,9 @@ def test_claim_lines_add_up(tables):
     assert made["claims"].select("ClaimNumber").distinct().count() == joined.count()
 
 
-def test_claims_of_one_dominant_visit(spark, tables):
+def test_claims_of_one_dominant_visit(spark, tables, monkeypatch):
     """One visit holds nearly all charges, many on one instant."""
+    monkeypatch.setattr(rows_module, "SMALL_ROWS", 0)
     n = 2500
     charges = spark.createDataFrame(
         [(i, 1 if i % 20 else 2, "C", None if i % 7 else "X", datetime(2001, 7, 1 + i % 3), 1, Decimal(5), Decimal(1), "POSTED") for i in range(n)],
@@ -74,7 +76,7 @@ def test_claims_of_one_dominant_visit(spark, tables):
     ]
     order = sorted((1 + i % 3, i) for i in range(n) if i % 20)
     want = {i: k for k, (_, i) in enumerate(order, 1)}
-    got = made["lines"].filter("ClaimID = 1").collect()
+    got = billing.claim_lines(made["visits"], charges).filter("ClaimID = 1").collect()
     assert {r["ChargeID"]: r["LineNumber"] for r in got} == want
     assert {r["CPTCode"] for r in got} == {"C", "X"}
 
@@ -214,3 +216,30 @@ def test_empty_census_department(spark, tables):
     got = management.hospital_census(tables["departments"], tables["encounters"].filter("false"), tables["rooms"], tables["room_assignments"], CLOCK)
     row = got.first()
     assert row["InpatientCount"] == 0 and row["AdmissionsToday"] == 0 and row["AvgCurrentLOS"] is None
+
+
+def test_folding_first_gives_the_same_claims(tables, monkeypatch):
+    """A backlog too large to broadcast takes the other route to the same rows."""
+
+    def made():
+        out = billing.create_claims(
+            tables["encounters"], tables["patients"], tables["insurers"], tables["insurance_claims"],
+            tables["billing_charges"], CLOCK, days_back=3650,
+        )
+        return out | {"lines": billing.claim_lines(out["visits"], tables["billing_charges"])}
+
+    few = made()
+    monkeypatch.setattr(billing, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(rows_module, "BROADCAST_KEYS", 0)
+    many = made()
+    for name in ("claims", "lines", "charges"):
+        assert few[name].exceptAll(many[name]).count() == 0 and few[name].count() == many[name].count()
+
+
+def test_segmented_numbers_equal_plain_ones(spark, folder, tables, monkeypatch):
+    """The whole registered numbering queries, cut into segments, against the uncut run."""
+    names = ("claim_lines_backlog", "admit_encounters", "register_patients", "self_pay_invoices", "patient_summary")
+    plain = {n: catalog.QUERIES[n](spark, folder).collect() for n in names}
+    monkeypatch.setattr(rows_module, "SMALL_ROWS", 0)
+    for n in names:
+        assert sorted(map(repr, catalog.QUERIES[n](spark, folder).collect())) == sorted(map(repr, plain[n])), n

@@ -15,6 +15,11 @@ from wardline.operators import allergies, lookups, management_reports, numbering
 DAY0 = datetime(2001, 1, 1)
 
 
+@pytest.fixture(autouse=True)
+def cut_small_tables_too(monkeypatch):
+    monkeypatch.setattr(rows, "SMALL_ROWS", 0)
+
+
 def hot_rows(count, seed, share=0.4, keys=40):
     """(key, id, moment) rows; one key holds a large share and many moments tie."""
     pick = random.Random(seed)

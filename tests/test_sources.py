@@ -104,6 +104,7 @@ def test_search_options(tables):
     assert names == sorted(names) and len(names) == 100
 
 
+
 def test_summary_limits(spark, tables):
     person = tables["patients"].filter("PatientID = 1")
     at = datetime(2001, 1, 1)

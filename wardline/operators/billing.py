@@ -191,7 +191,10 @@ def create_claims(
     claim_type: str = "INSTITUTIONAL",
     days_back: int = 1,
 ) -> dict[str, DataFrame]:
-    """Claims, line items and billed charges for insured visits discharged lately without a claim."""
+    """Claims and billed charges for insured visits discharged lately without a claim.
+
+    ``visits`` pairs each new claim with its visit, for :func:`claim_lines`.
+    """
     insured = patients.filter(c("PrimaryInsuranceID").isNotNull()).select(
         "PatientID", c("PrimaryInsuranceID").alias("InsuranceProviderID"), c("PrimaryPolicyNumber").alias("PolicyNumber"),
         c("PrimaryGroupNumber").alias("GroupNumber"),
@@ -242,10 +245,22 @@ def create_claims(
             "PreAuthNumber",
         )
     )
-    # Room charges carry no procedure code; the line then shows the charge code. Visits
-    # have one claim each, so lines are numbered per visit and the layout can come from
-    # the charges alone, without the claims join.
-    items = billable.select(
+    billed = (
+        charges.filter(c("ChargeStatus") == "POSTED")
+        .join(chosen, "EncounterID", "left_semi")
+        .withColumn("ChargeStatus", F.lit("BILLED"))
+    )
+    return {"claims": headers, "charges": billed, "visits": keyed.select("EncounterID", "ClaimID")}
+
+
+def claim_lines(visits: DataFrame, charges: DataFrame) -> DataFrame:
+    """Numbered line items of new claims, from the visits they were made for.
+
+    Room charges carry no procedure code; the line then shows the charge code. Visits
+    have one claim each, so lines are numbered per visit, and the layout can come from
+    the charges alone, without the join.
+    """
+    items = charges.filter(c("ChargeStatus").isin(*BILLABLE)).select(
         "EncounterID",
         "ChargeID",
         "ServiceDate",
@@ -254,9 +269,8 @@ def create_claims(
         net_amount().alias("ChargeAmount"),
     )
     sort, visit = ["ServiceDate", "ChargeID", "CPTCode", "ChargeAmount", "Quantity"], ["EncounterID"]
-    entries = items.join(chosen, "EncounterID")
-    numbered = number_rows(entries, sort, visit, "LineNumber", plan_numbering(items, sort, visit))
-    lines = numbered.select(
+    entries = items.join(broadcast_counted(visits, visits.count()), "EncounterID")
+    return number_rows(entries, sort, visit, "LineNumber", plan_numbering(items, sort, visit)).select(
         "ClaimID",
         "LineNumber",
         "ChargeID",
@@ -267,12 +281,6 @@ def create_claims(
         "ChargeAmount",
         F.lit("PENDING").alias("LineStatus"),
     )
-    billed = (
-        charges.filter(c("ChargeStatus") == "POSTED")
-        .join(chosen, "EncounterID", "left_semi")
-        .withColumn("ChargeStatus", F.lit("BILLED"))
-    )
-    return {"claims": headers, "lines": lines, "charges": billed}
 
 
 def submit_claims(

@@ -21,6 +21,8 @@ MAX_SEGMENTS = 256
 # Sampled rows per segment, and the hits in the sample that mark a group as large:
 # a group of one segment's size is hit 24 times on average.
 SAMPLES_PER_SEGMENT, LARGE_HITS = 24, 8
+# Tables counted at no more than this are numbered without cutting: one task can sort them.
+SMALL_ROWS = 200_000
 
 
 def fold_facts(key: str, parts: list[DataFrame], sums: list[str], extra: list[Column] = ()) -> DataFrame:
@@ -85,14 +87,14 @@ def plan_numbering(df: DataFrame, order: list[str], by: list[str] = (), segments
     Any choice gives right numbers; a good one only balances the work. The cut points
     become literals, so they are the same in every branch and every recomputed task.
     The row count sets the sampling rate, so the sample stays the same size however
-    large the table is. A table smaller than the sample needs no cutting.
+    large the table is. A small table needs no cutting and no sample.
     """
     if segments is None:
         segments = min(MAX_SEGMENTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     by = list(by)
     wanted = segments * SAMPLES_PER_SEGMENT
     total = df.count()
-    if total <= wanted:
+    if total <= max(wanted, SMALL_ROWS):
         return Layout(total, (), (), True)
     names = by + [n for n in order if n not in by]
     picked = df.select(*names).sample(min(1.0, wanted / total), seed=17)
@@ -142,7 +144,7 @@ def number_rows(
         rest = df.filter(~in_large).withColumn(out, F.row_number().over(plain).cast("long"))
         return rest.unionByName(_number_segments(df.filter(in_large), order, by, out, layout.bounds))
     if layout.small_input:
-        # Fewer rows than the sample holds: one task is enough.
+        # Counted and few: one task is enough.
         return df.withColumn(out, F.row_number().over(Window.orderBy(*sort)).cast("long"))
     return _number_segments(df, order, by, out, layout.bounds)
 

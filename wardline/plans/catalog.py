@@ -212,8 +212,14 @@ outputs(
 )
 register(billing.current_fees, "chargemaster", clock=True)
 register(billing.post_room_charges, "encounters", "chargemaster", "billing_charges", clock=True, name="room_charges")
-outputs(_claiming(1), {"claims_created": "claims", "claim_lines": "lines", "claim_billed_charges": "charges"})
-outputs(_claiming(3650), {"claims_created_backlog": "claims", "claim_lines_backlog": "lines"})
+def _lines(days_back: int) -> Callable[[Tables], DataFrame]:
+    return lambda t: billing.claim_lines(_claiming(days_back)(t)["visits"], t["billing_charges"])
+
+
+outputs(_claiming(1), {"claims_created": "claims", "claim_billed_charges": "charges"})
+outputs(_claiming(3650), {"claims_created_backlog": "claims"})
+for _name, _days in (("claim_lines", 1), ("claim_lines_backlog", 3650)):
+    outputs(lambda t, days=_days: {"lines": _lines(days)(t)}, {_name: "lines"})
 outputs(
     lambda t: billing.submit_claims(t["insurance_claims"], CLOCK),
     {"claims_submitted": "claims", "claims_submitted_audit": "audit"},

@@ -77,7 +77,7 @@ def nightly_billing(tables: BillingTables, clock: Clock) -> dict[str, DataFrame]
         "unpriced": posting["unpriced"],
         "totals": posting["totals"],
         "claims": created,
-        "claim_lines": claiming["lines"],
+        "claim_lines": billing.claim_lines(claiming["visits"], posted),
         "billed_charges": claiming["charges"],
         "submitted": submitted["claims"],
         "invoices": invoices,
