@@ -1,5 +1,7 @@
 """Sources, sinks and the search and summary options."""
 
+import contextlib
+import io
 from datetime import date, datetime
 
 import pytest
@@ -145,3 +147,30 @@ def test_plans_stay_in_the_engine(spark, folder, name):
     plan = registered.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "ExistingRDD"):
         assert bad not in plan
+
+
+def scan_of(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+def test_date_filters_and_columns_reach_the_scan(spark, tables):
+    """On stored hospital tables the clock's bounds are pushed down and only used columns are read."""
+    from wardline.operators import billing
+    from wardline.operators import management_reports as management
+
+    visits, charges = stage(tables["encounters"], "e"), stage(tables["billing_charges"], "c")
+    invoices, claims = stage(tables["invoices"], "i"), stage(tables["insurance_claims"], "k")
+    plan = scan_of(management.average_stay(visits, CLOCK))
+    assert "GreaterThanOrEqual(DischargeDate,2001-06-20T10:30)" in plan and "EqualTo(EncounterStatus,DISCHARGED)" in plan
+    assert "RoomNumber" not in plan
+    plan = scan_of(management.charge_flow(charges, CLOCK))
+    assert "GreaterThanOrEqual(PostedDate,2001-01-01T00:00)" in plan and "CPTCode" not in plan
+    plan = scan_of(billing.send_to_collections(invoices, CLOCK))
+    assert "LessThan(DueDate,2001-03-22)" in plan
+    plan = scan_of(billing.adjudicate_claims(claims, CLOCK))
+    assert "LessThan(SubmittedDate,2001-07-06T00:00)" in plan and "EqualTo(ClaimStatus,SUBMITTED)" in plan
+    plan = scan_of(management.readmission_rate(visits, CLOCK))
+    assert "GreaterThanOrEqual(AdmitDate,2001-04-21T10:30)" in plan and "WindowGroupLimit" in plan

@@ -136,13 +136,14 @@ STRENGTHS = r"\s*\d+\s*(MG|MCG|ML|G|%|UNITS?)\s*"
 def normalize_drug(name: Column) -> Column:
     """Drug name without salt, dosage form and strength, for comparing spellings.
 
-    No suffix ends with another one, so a single alternation removes at most one.
+    No suffix ends with another one, so a single alternation removes at most one. The
+    (?U) flag makes blanks and digits mean the Unicode ones.
     """
     clean = F.upper(trim_unicode(name))
     clean = F.regexp_replace(clean, " (" + "|".join(SALT_SUFFIXES) + ")$", "")
-    clean = F.regexp_replace(clean, DOSAGE_FORMS, " ")
-    clean = F.regexp_replace(clean, STRENGTHS, " ")
-    return F.trim(F.regexp_replace(clean, r"\s+", " "))
+    clean = F.regexp_replace(clean, "(?U)" + DOSAGE_FORMS, " ")
+    clean = F.regexp_replace(clean, "(?U)" + STRENGTHS, " ")
+    return F.trim(F.regexp_replace(clean, r"(?U)\s+", " "))
 
 
 # Known drug pairs and their warnings (fixed values).
