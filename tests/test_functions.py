@@ -144,6 +144,7 @@ def test_icd(spark, code, loose, strict):
         ("drug 2.5MG", "DRUG 2."),
         ("fentanyl 500 MCG patch", "FENTANYL"),
         (" aspirin ", "ASPIRIN"),
+        ("\u00a0iron\u00a0sulfate\u00a05 MG", "IRON SULFATE"),
         (None, None),
     ],
 )

@@ -144,7 +144,7 @@ PLANS = [n for n in registered.QUERIES if not n.startswith(("stream_", "nightly_
 @pytest.mark.parametrize("name", PLANS)
 def test_plans_stay_in_the_engine(spark, folder, name):
     """No cross product, nested-loop join or Python step in any physical plan."""
-    plan = registered.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    plan = scan_of(registered.QUERIES[name](spark, folder))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "ExistingRDD"):
         assert bad not in plan
 

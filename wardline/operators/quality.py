@@ -140,6 +140,39 @@ CONSTRAINTS: dict[str, Rules] = {
         {"InvoiceNumber": 20},
         ("InvoiceID", "InvoiceNumber"),
     ),
+    "procedures": Rules(
+        {"ProcedureStatus": ("SCHEDULED", "IN_PROGRESS", "COMPLETED", "CANCELLED")},
+        ("EncounterID", "CPTCode"),
+        {"CPTCode": 10},
+        ("ProcedureID",),
+    ),
+    "clinical_notes": Rules(
+        {"NoteStatus": ("DRAFT", "SIGNED", "COSIGNED", "AMENDED", "ADDENDED")}, ("EncounterID", "AuthorID"), {}, ("NoteID",)
+    ),
+    "radiology_studies": Rules(
+        {"StudyStatus": ("ORDERED", "SCHEDULED", "IN_PROGRESS", "COMPLETED", "DICTATED", "FINAL", "CANCELLED")},
+        ("EncounterID", "PatientID"),
+        {},
+        ("StudyID",),
+    ),
+    "room_assignments": Rules(
+        {"AssignmentStatus": ("ACTIVE", "TRANSFERRED", "DISCHARGED", "CANCELLED")},
+        ("EncounterID", "RoomID"),
+        {},
+        ("AssignmentID",),
+    ),
+    "staff_schedules": Rules(
+        {
+            "ShiftType": ("DAY", "EVENING", "NIGHT", "ON_CALL", "SPLIT"),
+            "ScheduleStatus": ("SCHEDULED", "CONFIRMED", "CANCELLED", "CALLED_OFF", "SWAPPED"),
+        },
+        (),
+        {},
+        ("ScheduleID",),
+    ),
+    "waiting_list": Rules(
+        {"WaitListStatus": ("WAITING", "NOTIFIED", "SCHEDULED", "CANCELLED", "EXPIRED")}, (), {}, ("WaitListID",)
+    ),
     "payment_plans": Rules({"PlanStatus": ("ACTIVE", "COMPLETED", "DEFAULTED", "CANCELLED")}, ("PatientID",), {}, ("PaymentPlanID",)),
     "collections": Rules(
         {"CollectionStatus": ("ACTIVE", "RECOVERED", "WRITTEN_OFF", "RECALLED")}, ("InvoiceID",), {}, ("CollectionID",)

@@ -22,7 +22,7 @@ from wardline.operators import management_reports as management
 from wardline.operators.rows import union_all
 from wardline.plans.nightly import BillingTables, nightly_billing
 from wardline.session import tune
-from wardline.sources.shapes import Tables
+from wardline.sources.shapes import SHAPES, Tables
 from wardline.streaming import broker
 from wardline.workspace import run_dir
 
@@ -298,7 +298,8 @@ def snapshot_diff(t: Tables) -> DataFrame:
 
 @query
 def constraint_violations(t: Tables) -> DataFrame:
-    return union_all([quality.check_constraints(t[n], n, rules) for n, rules in quality.CONSTRAINTS.items()])
+    checked = {n: rules for n, rules in quality.CONSTRAINTS.items() if n in SHAPES}
+    return union_all([quality.check_constraints(t[n], n, rules) for n, rules in checked.items()])
 
 
 # (child table, child key, parent table, parent key)
