@@ -198,3 +198,16 @@ def test_clock_bounds(spark):
     assert one(spark, clock.is_today(ts("2001-04-01 00:00:00"))) is False
     assert one(spark, clock.older_than_days(ts("2001-03-24 23:59:59"), 7)) is False
     assert one(spark, clock.older_than_days(ts("2001-03-23 23:59:59"), 7)) is True
+
+
+def test_wall_clock_differences_ignore_the_session_zone(spark):
+    """Across a change to summer time the wall clock still counts 24 hours a day."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        start, end = ts("2001-03-31 12:00:30"), ts("2001-04-01 12:00:00")
+        assert one(spark, dialect.minute_diff(start, end)) == 1440
+        assert one(spark, dialect.second_index(end) - dialect.second_index(start)) == 86_370
+        assert one(spark, dialect.second_index(ts("1969-12-31 23:59:59.5"))) == -1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

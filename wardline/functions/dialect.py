@@ -21,9 +21,20 @@ def day_diff(start: Column, end: Column) -> Column:
     return F.datediff(end, start)
 
 
+def minute_index(moment: Column) -> Column:
+    """Whole minutes on the wall clock since 1970, whatever the session time zone."""
+    days = F.datediff(moment, F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 1440 + F.hour(moment) * 60 + F.minute(moment)
+
+
+def second_index(moment: Column) -> Column:
+    """Whole seconds on the wall clock since 1970."""
+    return minute_index(moment) * 60 + F.second(moment)
+
+
 def minute_diff(start: Column, end: Column) -> Column:
     """Minute boundaries crossed: 00:00:59 to 00:01:00 is one."""
-    return F.timestamp_diff("MINUTE", F.date_trunc("MINUTE", start), F.date_trunc("MINUTE", end))
+    return minute_index(end) - minute_index(start)
 
 
 def flag(column: Column) -> Column:

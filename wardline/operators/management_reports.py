@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardline.clock import Clock
-from wardline.functions.dialect import day_diff, flag, minute_diff, money
+from wardline.functions.dialect import day_diff, flag, minute_diff, money, second_index
 from wardline.operators.clinical_reports import (
     c,
     count_if,
@@ -304,11 +304,11 @@ def rate(hits: Column, base: Column) -> Column:
 
 
 READMISSION_DAYS = 30
-_BUCKET_MICROS = READMISSION_DAYS * 86_400_000_000
+_BUCKET_SECONDS = READMISSION_DAYS * 86_400
 
 
 def _bucket(moment: Column) -> Column:
-    return F.floor(F.unix_micros(moment.cast("timestamp")) / F.lit(_BUCKET_MICROS)).cast("long")
+    return F.floor(second_index(moment) / F.lit(_BUCKET_SECONDS)).cast("long")
 
 
 def readmission_flags(encounters: DataFrame, start: Column, end: Column) -> DataFrame:
