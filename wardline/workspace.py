@@ -2,27 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    A local session without the setting gets a fresh temporary folder; a cluster
-    session without it is an error, because a machine-local folder would not
-    survive the loss of an executor.
-    """
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or a folder in the warehouse where that is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="wardline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/wardline-staging"
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -36,3 +26,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = run_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this run through the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(*staged: DataFrame) -> None:
+    """Remove staged tables that no later result reads."""
+    for df in staged:
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            discard(df.sparkSession, folder)
