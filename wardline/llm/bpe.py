@@ -16,10 +16,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
+from wardline.llm.python_tasks import prepare
+
 # The pattern that splits text into pre-tokens in byte-level BPE.
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -258,7 +260,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    small_batches(spark)
+    prepare(spark)
     return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
@@ -277,10 +279,5 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    small_batches(spark)
+    prepare(spark)
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
-
-
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Rows that go to Python at once: whole texts can be very long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

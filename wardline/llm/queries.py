@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, exact_dedup, token_counts
+from wardline.llm import bpe, chat, exact_dedup, token_counts
 
 BPE_FILE = "byte_bpe_50k.json"
 
@@ -35,6 +35,29 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(["user", "assistant"])]
+    turns = turns.unionByName(spark.createDataFrame(tricky, "conv_id long, turn long, role string, text string"))
+    formatted = chat.format_trees(chat.conversation_nodes(turns))
+    learned = F.col("learned")
+    return formatted.select(
+        F.col("tree_id").alias("conv_id"),
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("learned"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    ).select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(
+            F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))), 256
+        ).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(BPE_FILE))
 
@@ -42,6 +65,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
+    "op8_chat_format": op8_chat_format,
     "op10_token_counts": op10_token_counts,
 }
 
@@ -52,4 +76,28 @@ ORACLE = {
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
         FROM d JOIN g ON d.t = g.t
     """,
+    # Every control string costs one code point more, a backslash too; a turn has 12 + 1 + 11 around role and text.
+    "op8_chat_format": """
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+        ),
+        m AS (
+            SELECT *, length(text) + length(role) + 24
+                + length(text) - length(replace(text, chr(92), ''))
+                + len(regexp_extract_all(text, '<\\|im_start\\|>|<\\|im_end\\|>|<\\|endoftext\\|>|</?s>|\\[/?INST\\]|<</?SYS>>'))
+                + length(role) - length(replace(role, chr(92), '')) AS chars
+            FROM c
+        ),
+        g AS (
+            SELECT conv_id, count(*) AS n_turns,
+                string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+                coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS learned,
+                sum(chars)::BIGINT AS formatted_chars
+            FROM m GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_chars,
+            sha256(learned) AS loss_sha256, formatted_chars
+        FROM g
+    """,
 }

@@ -8,7 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.bpe import ByteBpe, Remembered, opened, read_file, slices, small_batches
+from wardline.llm.bpe import ByteBpe, Remembered, opened, read_file, slices
+from wardline.llm.python_tasks import prepare
 
 
 def whole_tokens(bpe: ByteBpe) -> list[bytes]:
@@ -73,6 +74,6 @@ def count_tokens(
 
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    small_batches(spark)
+    prepare(spark)
     counted = rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
