@@ -15,6 +15,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -227,7 +228,7 @@ def read_file(path: str) -> str:
 
 def slices(batch: pa.RecordBatch, text: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in parts of a few MB of text, so that what is made from it stays small."""
-    sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
     begin = size = 0
     for at, more in enumerate(sizes):
         if at > begin and size + more > most_bytes:

@@ -52,8 +52,10 @@ def exact_duplicates(
         )
         .drop("texts")
     )
-    keys = rows.select("doc_id", "hash", F.sha2("text", 256).alias("text_sha256"))
-    return keys.join(groups, ["hash", "text_sha256"]).select(
+    # One key of both hashes: the join deals out both sides itself, so that it can split a frequent text's rows.
+    both = F.concat("hash", F.unhex("text_sha256"))
+    keys = rows.select("doc_id", F.concat("hash", F.unhex(F.sha2("text", 256))).alias("key"))
+    return keys.join(groups.withColumn("key", both).drop("hash"), "key").select(
         "doc_id",
         "keep_id",
         "group_size",

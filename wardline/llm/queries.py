@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, chat, exact_dedup, token_counts
+from wardline.llm import bpe, chat, exact_dedup, language_id, token_counts, toxicity
 
 BPE_FILE = "byte_bpe_50k.json"
 
@@ -15,11 +15,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def held_out() -> Column:
+    """The fifth of the documents that no model learns from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
 def joined_digest(values: Column) -> Column:
     """SHA-256 of an array's values, joined by commas."""
     return F.sha2(F.array_join(values.cast("array<string>"), ","), 256)
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.train(docs.where(~held_out()), labels)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending"
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"), keep="max")
 
@@ -35,6 +48,12 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language_id.train(docs.where(~held_out()))
+    return language_id.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     tricky = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(["user", "assistant"])]
@@ -63,8 +82,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
+    "op7_language_id": op7_language_id,
     "op8_chat_format": op8_chat_format,
     "op10_token_counts": op10_token_counts,
 }

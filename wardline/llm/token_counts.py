@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +47,17 @@ class Counter:
         return total
 
 
+_counters: dict[int, Counter] = {}
+
+
+def counter_for(source: str, proven: Iterable[bytes]) -> Counter:
+    """The counter of a tokenizer file, which a worker keeps with what it remembers."""
+    key = hash(source)
+    if key not in _counters:
+        _counters[key] = Counter(opened(source), proven)
+    return _counters[key]
+
+
 def count_tokens(
     docs: DataFrame, path: str, limit: int = 1024, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -59,15 +71,13 @@ def count_tokens(
     spark = docs.sparkSession
     source = read_file(path)
     shared = spark.sparkContext.broadcast((source, whole_tokens(opened(source))))
-    counters: dict[int, Counter] = {}
-
     def run(batches):
         source, proven = shared.value
-        counter = counters.setdefault(hash(source), Counter(opened(source), proven))
+        counter = counter_for(source, proven)
         for whole in batches:
             for batch in slices(whole, "text"):
                 counts = [counter.count(t) if t else 0 for t in batch.column("text").to_pylist()]
-                size = pa.compute.binary_length(batch.column("text")).cast(pa.int64()).fill_null(0)
+                size = pc.binary_length(batch.column("text")).cast(pa.int64()).fill_null(0)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), size, pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
                 )

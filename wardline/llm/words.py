@@ -93,7 +93,7 @@ def spans(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple[np
 
 
 def span_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Fingerprint of each byte span."""
+    """Fingerprint of each byte span; the spans are in order of their begin."""
     codes = np.empty(len(start), np.uint64)
     at = 0
     while at < len(start):
