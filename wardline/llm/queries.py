@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, chat, exact_dedup, language_id, token_counts, toxicity
+from wardline.llm import bpe, chat, exact_dedup, language_id, substring_dedup, token_counts, toxicity
 
 BPE_FILE = "byte_bpe_50k.json"
 
@@ -33,6 +33,12 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"), keep="max")
 
@@ -83,6 +89,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
@@ -91,6 +98,25 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op4_substring_dedup": """
+        WITH d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ),
+        p AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM d WHERE len(w) >= 13),
+        g AS (SELECT doc_id, s, list_aggregate(w[s:s+12], 'string_agg', ' ') AS gram FROM p),
+        m AS (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY gram) AS first_doc FROM g),
+        r AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS place FROM m WHERE first_doc < doc_id),
+        x AS (SELECT doc_id, list(place) AS removed FROM r GROUP BY doc_id),
+        k AS (
+            SELECT d.doc_id, w, coalesce(removed, []) AS removed,
+                list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(coalesce(removed, []), i)) AS stay
+            FROM d LEFT JOIN x ON d.doc_id = x.doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, len(removed) AS n_removed,
+            sha256(coalesce(list_aggregate(list_transform(stay, lambda i: w[i]), 'string_agg', ' '), '')) AS kept_sha256
+        FROM k
+    """,
     "op5_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
