@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, chat, exact_dedup, language_id, substring_dedup, token_counts, toxicity
+from wardline.llm import bpe, chat, decontamination, exact_dedup, language_id, substring_dedup, token_counts, toxicity
 
 BPE_FILE = "byte_bpe_50k.json"
 
@@ -83,6 +83,20 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.find_phrases(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.col("items").cast("array<string>")))
+    hit = F.aggregate("hits", F.lit(0).cast("long"), lambda total, span: total + span["length"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(BPE_FILE))
 
@@ -94,6 +108,7 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
     "op8_chat_format": op8_chat_format,
+    "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
 }
 
@@ -147,4 +162,35 @@ ORACLE = {
             sha256(learned) AS loss_sha256, formatted_chars
         FROM g
     """,
+    "op9_decontamination": """
+        WITH d AS (
+            SELECT doc_id, list_filter(
+                regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+            FROM documents
+        ),
+        b AS (
+            SELECT item_id, list_filter(
+                regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+            FROM benchmark
+        ),
+        t AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM b WHERE len(w) > 0),
+        q AS (SELECT DISTINCT item_id, n, list_aggregate(w[s:s+n-1], 'string_agg', ' ') AS gram FROM t),
+        sizes AS (SELECT DISTINCT n FROM q),
+        p AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n),
+        h AS (
+            SELECT doc_id, s, p.n, item_id
+            FROM p JOIN q ON p.n = q.n AND list_aggregate(w[s:s+p.n-1], 'string_agg', ' ') = gram
+        ),
+        c AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS place FROM h) GROUP BY doc_id),
+        i AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+            FROM h GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN i ON d.doc_id = i.doc_id
+    """,
 }
