@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, chat, decontamination, exact_dedup, language_id, substring_dedup, token_counts, toxicity
+from wardline.llm import bpe, chat, decontamination, exact_dedup, language_id, ngram_jaccard, substring_dedup, token_counts, toxicity
 
 BPE_FILE = "byte_bpe_50k.json"
 
@@ -33,6 +33,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_jaccard.near_duplicates(table(spark, folder, "documents"), size=3, num=90, den=100)
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
@@ -103,6 +107,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
@@ -113,6 +118,27 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_ngram_jaccard": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(
+                regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ),
+        s AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [list_aggregate(w, 'string_agg', ' ')]
+                ELSE list_transform(range(1, len(w) - 1), lambda i: list_aggregate(w[i:i+2], 'string_agg', ' ')) END) AS g
+            FROM d
+        ),
+        x AS (SELECT doc_id, len(g) AS n, unnest(g) AS h FROM s),
+        e AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.h = b.h AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+        ),
+        r AS (SELECT doc_id AS node, doc_id AS seen FROM s UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a)
+        SELECT s.doc_id, len(g) AS n_shingles, min(seen) AS component_id
+        FROM s JOIN r ON s.doc_id = r.node GROUP BY s.doc_id, g
+    """,
     "op4_substring_dedup": """
         WITH d AS (
             SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
