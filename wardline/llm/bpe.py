@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -26,9 +28,12 @@ from wardline.llm.python_tasks import prepare
 # The pattern that splits text into pre-tokens in byte-level BPE.
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Fragments longer than this are not remembered, and no more than so many are.
+#: Below this lie only characters that all Unicode versions in question agree on.
+LATER_LETTERS = re.compile("[\u0370-\U0010ffff]")
+
+#: Pre-tokens longer than this are not remembered, and no more than so many are.
 LONGEST_KEPT = 64
-MOST_KEPT = 500_000
+MOST_KEPT = 1_000_000
 #: Fragments longer than this are merged with a heap instead of scanning their pairs again after each merge.
 LONGEST_SCANNED = 32
 
@@ -107,12 +112,13 @@ class ByteBpe:
         strings = sorted(self.special, key=len, reverse=True)
         self.specials = regex.compile("|".join(map(regex.escape, strings))) if strings else None
         self.pieces = Remembered(self.encode_piece)
+        self.table: tuple[np.ndarray, np.ndarray] | None = None
 
     def pre_tokens(self, text: str) -> list[str]:
         """Pre-tokens of a text without special strings."""
         if self.prefix and text and not text[0].isspace():
             text = " " + text
-        if not text.isascii() and self.newer is not None and self.newer.search(text):
+        if self.newer is not None and LATER_LETTERS.search(text) and self.newer.search(text):
             return self.old_pre_tokens(text)
         return self.pattern.findall(text)
 
@@ -177,11 +183,11 @@ class ByteBpe:
                 offer(before[left], left)
         return [self.ids[p] for p in parts if p is not None]
 
-    def encode_piece(self, piece: str) -> list[int]:
+    def encode_piece(self, piece: str) -> bytes:
         found: list[int] = []
         for fragment in self.fragments(piece.encode()):
             found += self.merge(fragment)
-        return found
+        return np.array(found, np.int32).tobytes()
 
     def plain_parts(self, text: str) -> Iterator[tuple[str, int | None]]:
         """Stretches of ordinary text, and the special tokens between them."""
@@ -195,19 +201,32 @@ class ByteBpe:
         if at < len(text):
             yield text[at:], None
 
-    def encode(self, text: str) -> list[int]:
-        found: list[int] = []
-        known = self.pieces
+    def encode(self, text: str) -> bytes:
+        """Token ids of a text as 32-bit integers side by side."""
+        found: list[bytes] = []
         for part, special in self.plain_parts(text):
             if special is not None:
-                found.append(special)
+                found.append(np.int32(special).tobytes())
             else:
-                for piece in self.pre_tokens(part):
-                    found += known[piece]
-        return found
-
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
+                found += map(self.pieces.__getitem__, self.pre_tokens(part))
+        return b"".join(found)
+
+    def token_table(self) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all tokens, and where those of each id begin."""
+        if self.table is None:
+            tokens = [self.tokens.get(number, b"") for number in range(max(self.tokens) + 1)]
+            begins = np.cumsum([0, *map(len, tokens)])
+            self.table = np.frombuffer(b"".join(tokens), np.uint8), begins
+        return self.table
+
+    def decode(self, ids: np.ndarray, cuts: np.ndarray) -> list[str]:
+        """The texts of id lists that lie side by side, cut at ``cuts``."""
+        data, begins = self.token_table()
+        size = begins[ids + 1] - begins[ids]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        raw = data[np.repeat(begins[ids] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+        at = ends[cuts]
+        return [raw[a:b].decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 _opened: dict[int, ByteBpe] = {}
@@ -254,10 +273,10 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
         bpe = opened(source.value)
         for whole in batches:
             for batch in slices(whole, "text"):
-                ids = [bpe.encode(t) if t else [] for t in batch.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
-                )
+                ids = [bpe.encode(t) if t else b"" for t in batch.column("text").to_pylist()]
+                cuts = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -276,7 +295,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches):
         bpe = opened(source.value)
         for batch in batches:
-            texts = [bpe.decode(ids or []) for ids in batch.column("ids").to_pylist()]
+            lists = batch.column("ids")
+            cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False))])
+            texts = bpe.decode(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), cuts.astype(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()

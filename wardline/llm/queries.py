@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, chat, decontamination, exact_dedup, language_id, ngram_jaccard, substring_dedup, token_counts, toxicity
+from wardline.llm import bpe, chat, decontamination, exact_dedup, language_id, line_dedup, ngram_jaccard, substring_dedup, token_counts, toxicity
 
 BPE_FILE = "byte_bpe_50k.json"
 
@@ -33,6 +33,12 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.remove_lines(table(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_removed", joined_digest(F.col("removed")).alias("removed_sha256"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard.near_duplicates(table(spark, folder, "documents"), size=3, num=90, den=100)
 
@@ -107,6 +113,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_line_dedup": op2_line_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
