@@ -104,11 +104,13 @@ def reply_paths(nodes: DataFrame, best: int | None = 1) -> DataFrame:
     ranked = leaves.withColumn("rank", F.row_number().over(order))
     if best is not None:
         ranked = ranked.where(F.col("rank") <= best)
-    members = ranked.withColumn(NODE, F.col("leaf_id"))
+    # Written in each round: a round reads its members twice, and rounds that are only planned would double their work.
+    members = stage(ranked.withColumn(NODE, F.col("leaf_id")), "reply-members")
     for jump in reversed(pointers[:-1]):
         above = jump.where(F.col("up").isNotNull()).select(F.col(TREE).alias("t"), F.col(NODE).alias("p"), "up")
         higher = members.join(above, same_tree & (F.col(NODE) == F.col("p")))
-        members = members.unionByName(higher.select(TREE, "leaf_id", "path_score", "rank", F.col("up").alias(NODE)))
+        more = members.unionByName(higher.select(TREE, "leaf_id", "path_score", "rank", F.col("up").alias(NODE)))
+        members = stage(more, "reply-members")
     places = reached.select(F.col(TREE).alias("t"), F.col(NODE).alias("p"), "depth")
     return members.join(places, same_tree & (F.col(NODE) == F.col("p"))).drop("t", "p")
 
