@@ -9,13 +9,14 @@ although they were never seen.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardline.llm.python_tasks import prepare
 from wardline.llm.words import ALNUM, LOWER, blocks, mix, span_codes, spans, text_bytes
@@ -188,8 +189,10 @@ def train(
     return fit(sentences_of(pa.array(found["text"], pa.string())), found["label"].to_numpy(dtype=np.int64))
 
 
-def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, score, offending``.
+def score(
+    docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """One row per input row: ``doc_id, score, offending``, and the columns in ``carry`` as the struct ``row``.
 
     ``score`` is the noisy-or of the sentence scores over the whole text; null and empty texts have no
     sentence and score 0. ``offending`` lists the sentences that score 0.5 or more as ``start, length``
@@ -217,15 +220,16 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
             )
             yield pa.RecordBatch.from_arrays(
                 [
-                    block.column("doc_id").combine_chunks(),
+                    *(block.column(c).combine_chunks() for c in kept),
                     pa.array(np.clip(document_scores(odds, found.text, total), 0, 1)),
                     pa.ListArray.from_arrays(pa.array(at), spans_of),
                 ],
-                ["doc_id", "score", "offending"],
+                [*kept, "score", "offending"],
             )
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(
-        run, f"doc_id {kind}, score double, offending array<struct<start:bigint,length:bigint,score:double>>"
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"), *([F.struct(*carry).alias("row")] if carry else []), F.col(text).alias("text")
     )
+    kept = rows.columns[:-1]
+    made = T.StructType.fromDDL("score double, offending array<struct<start:bigint,length:bigint,score:double>>")
+    return rows.mapInArrow(run, T.StructType([*(rows.schema[c] for c in kept), *made]))
