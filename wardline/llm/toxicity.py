@@ -22,7 +22,7 @@ from wardline.llm.python_tasks import prepare
 from wardline.llm.words import ALNUM, LOWER, blocks, mix, span_codes, spans, text_bytes
 
 #: Bounds of the training sample: labelled documents, and the bytes of each; scoring has no bounds.
-SAMPLE_DOCUMENTS = 8_000
+SAMPLE_DOCUMENTS = 5_000
 SAMPLE_BYTES = 20_000
 #: A word or beginning is a feature if toxic documents hold it more often than chance would have it, by so
 #: many standard deviations. The many words that merely happen to be rare are left out.
@@ -103,6 +103,23 @@ def document_scores(odds: np.ndarray, text: np.ndarray, total: int) -> np.ndarra
     return -np.expm1(-np.bincount(text, softplus(odds), total))
 
 
+def associated(found: Sentences, label: np.ndarray, share: float) -> np.ndarray:
+    """Sorted fingerprints of the features that documents of label 1 hold more often than chance would have it."""
+    documents = len(label)
+    pairs = np.unique(found.word * documents + found.text[found.of])
+    word, document = np.divmod(pairs, documents)
+    chosen = []
+    for column in found.features.T:  # one length of beginning at a time, to keep the tables small
+        names, number = np.unique(column, return_inverse=True)
+        pairs = np.unique(number[word] * documents + document)
+        feature, holder = np.divmod(pairs, documents)
+        held = np.bincount(feature, minlength=len(names))
+        toxic = np.bincount(feature, label[holder], len(names))
+        excess = (toxic - held * share) / np.sqrt(np.maximum(held, 1) * share * (1 - share))
+        chosen.append(names[(excess >= LEAST_EXCESS) & (names != 0)])
+    return np.unique(np.concatenate(chosen))
+
+
 def fit(found: Sentences, label: np.ndarray) -> Model:
     """Train on the sentences of documents with labels 0 and 1.
 
@@ -112,21 +129,14 @@ def fit(found: Sentences, label: np.ndarray) -> Model:
     if share in (0.0, 1.0) or not len(found.word):
         return Model(np.zeros(0, np.uint64), np.zeros(0), 30.0 if share == 1.0 else -30.0)
     documents, sentences = len(label), len(found.text)
-    word, at = np.nonzero(found.features)
-    features, number = np.unique(found.features[word, at], return_inverse=True)
-    pairs = np.unique(found.word * documents + found.text[found.of])  # words by document
-    each, document = np.divmod(pairs, documents)
-    first_row = np.searchsorted(word, np.arange(len(found.features) + 1))
-    rows = first_row[each + 1] - first_row[each]
-    feature = number[np.repeat(first_row[each] - (np.cumsum(rows) - rows), rows) + np.arange(rows.sum())]
-    pairs = np.unique(feature * documents + np.repeat(document, rows))  # features by document
-    feature, document = np.divmod(pairs, documents)
-    held = np.bincount(feature, minlength=len(features))
-    toxic = np.bincount(feature, label[document], len(features))
-    excess = (toxic - held * share) / np.sqrt(held * share * (1 - share))
-    chosen = excess >= LEAST_EXCESS
-    renumbered = np.cumsum(chosen) - 1
-    word, number, features = word[chosen[number]], renumbered[number[chosen[number]]], features[chosen]
+    features = associated(found, label, share)
+    word, number = [], []
+    for column in found.features.T:
+        at = np.minimum(np.searchsorted(features, column), max(0, len(features) - 1))
+        known = np.flatnonzero(features[at] == column) if len(features) else np.zeros(0, np.int64)
+        word.append(known)
+        number.append(at[known])
+    word, number = np.concatenate(word), np.concatenate(number)
     weights, bias = np.zeros(len(features)), float(np.log(share / max(1.0, sentences / documents)))
     first, second = np.zeros(len(features) + 1), np.zeros(len(features) + 1)
     # Words without a chosen feature weigh nothing.
