@@ -16,9 +16,13 @@ from pyspark.sql import SparkSession
 
 
 def index_blocks(spark: SparkSession) -> int:
-    """Number of index blocks: a power of two, some for each shuffle partition."""
+    """Number of index blocks: a power of two, some for each shuffle partition.
+
+    At least 128, so that findings, which are one row for each block and document, follow the documents
+    and not the number of partitions where both are small.
+    """
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return 1 << max(4, (2 * partitions - 1).bit_length())
+    return 1 << max(7, (2 * partitions - 1).bit_length())
 
 
 def pack_codes(codes: np.ndarray) -> bytes:
