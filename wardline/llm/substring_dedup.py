@@ -23,7 +23,7 @@ from wardline.llm.python_tasks import prepare
 from wardline.llm.words import NOT_BLANK, Words, blocks, covered, mix, windows, words_of
 
 #: Text of one block of documents, whose phrases are folded before the shuffle.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
 #: Stands for a null id: later than any document, so its copies go and it is nobody's reference.
 NO_ID = (1 << 63) - 1
 
