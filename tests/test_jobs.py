@@ -34,7 +34,7 @@ def test_second_nightly_run_adds_nothing(night):
     inputs, result = night
     assert result["room_charges"].count() > 0 and result["invoices"].count() > 0
     again = nightly_billing(after_run(inputs, result), CLOCK)
-    for name in ("room_charges", "procedure_charges", "claims", "claim_lines", "invoices"):
+    for name in ("room_charges", "procedure_charges", "claims", "claim_lines", "submitted", "invoices"):
         assert again[name].count() == 0, name
 
 
@@ -54,7 +54,7 @@ def test_claim_lines_add_up(tables):
 
 def test_claims_of_one_dominant_visit(spark, tables, monkeypatch):
     """One visit holds nearly all charges, many on one instant."""
-    monkeypatch.setattr(rows_module, "SMALL_ROWS", 0)
+    monkeypatch.setattr(rows_module.number_rows, "__defaults__", (*rows_module.number_rows.__defaults__[:-1], 100))
     n = 2500
     charges = spark.createDataFrame(
         [(i, 1 if i % 20 else 2, "C", None if i % 7 else "X", datetime(2001, 7, 1 + i % 3), 1, Decimal(5), Decimal(1), "POSTED") for i in range(n)],
@@ -203,13 +203,11 @@ def test_constraints(spark):
     ]
 
 
-def test_profile_sampling_day(spark):
-    assert quality.full_scan_day(Clock.at("2001-07-21 00:00:00")) and not quality.full_scan_day(CLOCK)
+def test_profile_reads_every_row(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 7)
-    full = quality.profile_table(df, "T", Clock.at("2001-07-21 00:00:00"))
-    assert values(full, "ColumnName", "Rows", "MinValue", "MaxValue")[1] == ("v", 1000, "0", "6")
-    sampled = quality.profile_table(df, "T", CLOCK)
-    assert 0 < sampled.first()["Rows"] < 1000
+    for exact in (False, True):
+        profile = quality.profile_table(df, "T", exact)
+        assert values(profile, "ColumnName", "Rows", "MinValue", "MaxValue", "DistinctValues")[1] == ("v", 1000, "0", "6", 7)
 
 
 def test_empty_census_department(spark, tables):
@@ -218,28 +216,10 @@ def test_empty_census_department(spark, tables):
     assert row["InpatientCount"] == 0 and row["AdmissionsToday"] == 0 and row["AvgCurrentLOS"] is None
 
 
-def test_folding_first_gives_the_same_claims(tables, monkeypatch):
-    """A backlog too large to broadcast takes the other route to the same rows."""
-
-    def made():
-        out = billing.create_claims(
-            tables["encounters"], tables["patients"], tables["insurers"], tables["insurance_claims"],
-            tables["billing_charges"], CLOCK, days_back=3650,
-        )
-        return out | {"lines": billing.claim_lines(out["visits"], tables["billing_charges"])}
-
-    few = made()
-    monkeypatch.setattr(billing, "BROADCAST_KEYS", 0)
-    monkeypatch.setattr(rows_module, "BROADCAST_KEYS", 0)
-    many = made()
-    for name in ("claims", "lines", "charges"):
-        assert few[name].exceptAll(many[name]).count() == 0 and few[name].count() == many[name].count()
-
-
 def test_segmented_numbers_equal_plain_ones(spark, folder, tables, monkeypatch):
-    """The whole registered numbering queries, cut into segments, against the uncut run."""
+    """The whole registered numbering queries, cut into many ranges, against the run in few."""
     names = ("claim_lines_backlog", "admit_encounters", "register_patients", "self_pay_invoices", "patient_summary")
     plain = {n: catalog.QUERIES[n](spark, folder).collect() for n in names}
-    monkeypatch.setattr(rows_module, "SMALL_ROWS", 0)
+    monkeypatch.setattr(rows_module.number_rows, "__defaults__", (*rows_module.number_rows.__defaults__[:-1], 50))
     for n in names:
         assert sorted(map(repr, catalog.QUERIES[n](spark, folder).collect())) == sorted(map(repr, plain[n])), n

@@ -16,8 +16,9 @@ DAY0 = datetime(2001, 1, 1)
 
 
 @pytest.fixture(autouse=True)
-def cut_small_tables_too(monkeypatch):
-    monkeypatch.setattr(rows, "SMALL_ROWS", 0)
+def several_ranges(monkeypatch):
+    """Few rows per task, so that small tables take several ranges; the path is the same for all sizes."""
+    monkeypatch.setattr(rows.number_rows, "__defaults__", (*rows.number_rows.__defaults__[:-1], 100))
 
 
 def hot_rows(count, seed, share=0.4, keys=40):
@@ -43,11 +44,7 @@ def test_numbering_is_dense_and_ordered(spark, by_key, count):
     data = hot_rows(count, count)
     df = spark.createDataFrame(data, "k int, i int, at timestamp_ntz")
     by = ["k"] if by_key else []
-    layout = rows.plan_numbering(df, ["at", "i"], by)
-    if count == 3000:
-        assert not layout.small_input and len(layout.bounds) > 1
-        assert (1,) in layout.large if by_key else layout.large == ()
-    numbered = rows.number_rows(df, ["at", "i"], by, "n", layout)
+    numbered = rows.number_rows(df, ["at", "i"], by, "n")
     assert {r["i"]: r["n"] for r in numbered.collect()} == expected_numbers(data, by_key)
 
 
@@ -235,18 +232,21 @@ def test_allergy_match_collapses_repeats(spark):
     assert hits.count() == 1 and hits.first()["_records"] == 30
 
 
-def test_large_group_is_spread_after_a_join_on_it(spark):
-    """The segments get a shuffle of their own, although the join has already partitioned the group."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        data = spark.createDataFrame(hot_rows(3000, 9), "k int, i int, at timestamp_ntz")
-        names = spark.createDataFrame([(k, f"n{k}") for k in range(1, 40)], "k int, name string")
-        joined = data.join(names, "k")
-        layout = rows.plan_numbering(data, ["at", "i"], ["k"])
-        large = joined.filter("k = 1")
-        numbered = rows._number_segments(large, ["at", "i"], ["k"], "n", layout.bounds)
-        text = numbered._jdf.queryExecution().optimizedPlan().toString()
-        assert "RepartitionByExpression [k" in text
-        assert sorted(r["n"] for r in numbered.collect()) == list(range(1, large.count() + 1))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_a_large_group_is_spread_over_ranges(spark, monkeypatch):
+    """One group with most rows takes many ranges of about the asked size, and offsets only at their borders."""
+    written = []
+    real = rows.stage
+    monkeypatch.setattr(rows, "stage", lambda df, name: written.append(real(df, name)) or written[-1])
+    data = spark.createDataFrame(hot_rows(3000, 9, share=0.9), "k int, i int, at timestamp_ntz")
+    numbered = rows.number_rows(data, ["at", "i"], ["k"], "n")
+    sizes = [r["count"] for r in written[-1].groupBy("_range").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 400
+    assert rows._offsets(written[-1], ["k"]).count() <= len(sizes)
+    large = sorted(r["n"] for r in numbered.where("k = 1").collect())
+    assert large == list(range(1, len(large) + 1))
+
+
+def test_empty_tables_are_numbered(spark):
+    none = spark.createDataFrame([], "k int, i int")
+    assert rows.number_rows(none, ["i"], ["k"]).columns == ["k", "i", "RowNumber"]
+    assert rows.number_rows(none, ["i"]).count() == 0

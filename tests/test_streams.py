@@ -18,7 +18,7 @@ def new_visit(i, patient=5, kind="INPATIENT"):
 
 
 def push(spark, path, rows):
-    data = [(h, t, b, T0 + timedelta(minutes=n)) for n, (h, t, b) in enumerate(rows)]
+    data = [(*(h if isinstance(h, tuple) else (h, 0)), t, b, T0 + timedelta(minutes=n)) for n, (h, t, b) in enumerate(rows)]
     broker.send(spark.createDataFrame(data, broker.MESSAGE_SCHEMA), path)
 
 
@@ -43,7 +43,7 @@ def test_drained_twice_takes_effect_once(spark):
 
 def test_replayed_batch_replaces_its_output(spark):
     out = run_dir(spark, "out")
-    rows = [("h1", broker.ENCOUNTER, new_visit(1), T0)]
+    rows = [("h1", 0, broker.ENCOUNTER, new_visit(1), T0)]
     routed = broker.route(spark.createDataFrame(rows, broker.MESSAGE_SCHEMA))
     for _ in range(2):
         broker.encounter_audit(routed, CLOCK).write.mode("overwrite").parquet(f"{out}/audit/batch=0")
@@ -66,7 +66,7 @@ def test_routes(spark):
         ("l", broker.LAB, "<LabNotification><PatientID>1</PatientID><CriticalFlag>true</CriticalFlag></LabNotification>"),
         ("m", broker.LAB, "<LabNotification><PatientID>1</PatientID><CriticalFlag>maybe</CriticalFlag></LabNotification>"),
     ]
-    df = spark.createDataFrame([(h, t, b, T0) for h, t, b in rows], broker.MESSAGE_SCHEMA)
+    df = spark.createDataFrame([(h, 0, t, b, T0) for h, t, b in rows], broker.MESSAGE_SCHEMA)
     want = ["encounter", "malformed", "malformed", "malformed", "discharge", "lab", "control", "ignored", "malformed", "ignored"]
     want += ["encounter", "lab", "malformed"]
     assert values(broker.route(df), "conversation_handle", "route") == list(zip("abcdefghijklm", want))
@@ -90,7 +90,7 @@ def test_discharge_of_closed_visit_is_an_error(spark, folder):
     tables = Tables(spark, folder)
     closed = tables["encounters"].filter("EncounterStatus = 'DISCHARGED'").first()["EncounterID"]
     body = "<PatientDischarge><EncounterID>{}</EncounterID></PatientDischarge>"
-    rows = [("a", broker.DISCHARGE, body.format(closed), T0), ("b", broker.DISCHARGE, body.format(-5), T0)]
+    rows = [("a", 0, broker.DISCHARGE, body.format(closed), T0), ("b", 0, broker.DISCHARGE, body.format(-5), T0)]
     routed = broker.route(spark.createDataFrame(rows, broker.MESSAGE_SCHEMA))
     made = broker.discharge_postings(routed, catalog.billing_tables(tables), CLOCK)
     assert made["charges"].count() == 0
@@ -103,3 +103,43 @@ def test_handle_sent_very_many_times_in_many_files(spark):
         push(spark, queue, [("hot", broker.ENCOUNTER, new_visit(1))] * 40 + [(f"h{i}", broker.ENCOUNTER, new_visit(i)) for i in range(2, 5)])
     broker.drain(broker.read_queue(spark, queue), broker.billing_effects(CLOCK), out)
     assert values(broker.output(spark, out, "audit"), "RecordID") == [(1,), (2,), (3,), (4,)]
+
+
+def test_a_conversation_has_many_messages_of_any_age(spark):
+    queue, out = run_dir(spark, "queue"), run_dir(spark, "out")
+    effects = lambda routed, earlier: {"routes": routed.select("conversation_handle", "message_sequence", "route")}
+    push(spark, queue, [(("h", 0), broker.ENCOUNTER, new_visit(1)), (("h", 1), broker.LAB, "<Lab")])
+    broker.drain(broker.read_queue(spark, queue, 1), effects, out)
+    old = [("h", 2, broker.CONTROL[0], None, datetime(1970, 1, 1)), ("h", 0, broker.ENCOUNTER, new_visit(1), datetime(2031, 1, 1))]
+    old += [("n", None, "Other", "<x/>", None), ("n", None, "Other", "<x/>", None), (None, 0, broker.CONTROL[1], "", T0)]
+    broker.send(spark.createDataFrame(old, broker.MESSAGE_SCHEMA), queue)
+    for _ in range(2):
+        broker.drain(broker.read_queue(spark, queue, 1), effects, out)
+        assert values(broker.output(spark, out, "routes"), "conversation_handle", "message_sequence", "route") == sorted(
+            [("h", 0, "encounter"), ("h", 1, "malformed"), ("h", 2, "control"), ("n", None, "ignored"), (None, 0, "control")], key=repr
+        )
+
+
+def test_every_message_ends_in_one_route(spark, folder):
+    """All messages of the test table, drained a file at a time: each name once, none lost."""
+    tables, out = Tables(spark, folder), run_dir(spark, "out")
+    effects = lambda routed, earlier: {"routes": routed.select("conversation_handle", "message_sequence", "route")}
+    broker.drain(catalog.queue(tables), effects, out)
+    names = ["conversation_handle", "message_sequence"]
+    routes = broker.output(spark, out, "routes")
+    sent = tables["messages"].select(*names).distinct()
+    assert routes.count() == sent.count() < tables["messages"].count()
+    assert sent.exceptAll(routes.select(*names)).count() == 0
+    assert broker.handled(spark, out).exceptAll(sent).count() == 0
+
+
+def test_a_visit_discharged_again_later_is_posted_once(spark, folder):
+    tables = Tables(spark, folder)
+    billing_tables = catalog.billing_tables(tables)
+    due = catalog._posting(tables)["charges"].groupBy("EncounterID").count().orderBy("EncounterID").first()
+    queue, out = run_dir(spark, "queue"), run_dir(spark, "out")
+    body = f"<PatientDischarge><EncounterID>{due['EncounterID']}</EncounterID></PatientDischarge>"
+    for sequence in (0, 1, 2):
+        push(spark, queue, [(("d", sequence), broker.DISCHARGE, body)])
+        broker.drain(broker.read_queue(spark, queue), broker.billing_effects(CLOCK, billing_tables), out)
+    assert broker.output(spark, out, "charges").count() == due["count"] > 0

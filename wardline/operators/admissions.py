@@ -13,7 +13,6 @@ from wardline.functions.dialect import iso_seconds, sum_or_zero, xml_row
 from wardline.operators.allergies import matching_allergens
 from wardline.operators.clinical_reports import PENDING, c
 from wardline.operators.numbering import assign_numbers, next_ids
-from wardline.operators.rows import plan_numbering
 from wardline.sources.sinks import audit_rows
 from wardline.workspace import stage
 
@@ -45,7 +44,7 @@ def register_patients(
         6,
         ["RequestID"],
         key="PatientID",
-        layout=plan_numbering(accepted, ["RequestID"]),
+        staged=True,
     ).withColumn("PatientStatus", F.lit("ACTIVE"))
     refused = with_ssn.join(accepted.select("RequestID"), "RequestID", "left_anti").select(
         "RequestID", F.lit(DUPLICATE_SSN).alias("Reason")
@@ -94,9 +93,9 @@ def admit(
         4,
         ["RequestID"],
         prefix,
-        layout=plan_numbering(accepted.withColumn("_prefix", prefix), ["RequestID"], ["_prefix"]),
+        staged=True,
     )
-    keyed = next_ids(numbered, encounters, "EncounterID", ["RequestID"], plan_numbering(accepted, ["RequestID"]))
+    keyed = next_ids(numbered, encounters, "EncounterID", ["RequestID"])
     opened = (
         keyed.join(balances, "PatientID", "left")
         .withColumn("PatientBalance", F.coalesce("PatientBalance", F.lit(0).cast("decimal(18,2)")))
@@ -132,6 +131,7 @@ def encounter_messages(encounters: DataFrame) -> DataFrame:
     )
     return encounters.select(
         F.concat(F.lit("enc-"), c("EncounterID").cast("string")).alias("conversation_handle"),
+        F.lit(0).cast("long").alias("message_sequence"),
         F.lit("PatientEncounterMessage").alias("message_type"),
         body.alias("body"),
         c("AdmitDate").alias("ts"),

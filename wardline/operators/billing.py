@@ -11,7 +11,7 @@ from wardline.operators.clinical_reports import c
 from wardline.operators.lookups import primary_diagnosis
 from wardline.operators.management_reports import charge_counts, payment_counts
 from wardline.operators.numbering import assign_numbers
-from wardline.operators.rows import BROADCAST_KEYS, broadcast_counted, fold_facts, number_rows, plan_numbering
+from wardline.operators.rows import fold_facts, number_rows
 from wardline.sources.sinks import audit_rows
 from wardline.workspace import stage
 
@@ -207,7 +207,6 @@ def create_claims(
     )
     # Headers, totals, lines and status changes all start from these visits and their numbers.
     due = stage(due, "claim-visits")
-    layout = plan_numbering(due, ["EncounterID"])
     keyed = assign_numbers(
         due,
         claims.select("ClaimNumber", "ClaimID"),
@@ -216,15 +215,13 @@ def create_claims(
         5,
         ["EncounterID"],
         key="ClaimID",
-        layout=layout,
+        staged=True,
     )
     keyed = stage(keyed, "claim-numbers")
-    chosen = broadcast_counted(keyed.select("EncounterID", "ClaimID"), layout.rows)
+    chosen = keyed.select("EncounterID", "ClaimID")
+    # Charges are folded first, so that a large visit is never joined row by row.
     billable = charges.filter(c("ChargeStatus").isin(*BILLABLE))
-    # A day's visits are few: they filter the charges before the sum. A backlog is not, and
-    # there the charges are folded first, so that a large visit is never joined row by row.
-    summed = billable.join(chosen, "EncounterID", "left_semi") if layout.rows <= BROADCAST_KEYS else billable
-    totals = summed.groupBy("EncounterID").agg(sum_or_zero(net_amount()).alias("TotalCharges"))
+    totals = billable.groupBy("EncounterID").agg(sum_or_zero(net_amount()).alias("TotalCharges"))
     form = "UB04" if claim_type == "INSTITUTIONAL" else "CMS1500"
     headers = (
         keyed.join(totals, "EncounterID", "left")
@@ -257,8 +254,8 @@ def claim_lines(visits: DataFrame, charges: DataFrame) -> DataFrame:
     """Numbered line items of new claims, from the visits they were made for.
 
     Room charges carry no procedure code; the line then shows the charge code. Visits
-    have one claim each, so lines are numbered per visit, and the layout can come from
-    the charges alone, without the join.
+    have one claim each, so lines are numbered per visit; only the charges of the claimed
+    visits are numbered.
     """
     items = charges.filter(c("ChargeStatus").isin(*BILLABLE)).select(
         "EncounterID",
@@ -269,8 +266,8 @@ def claim_lines(visits: DataFrame, charges: DataFrame) -> DataFrame:
         net_amount().alias("ChargeAmount"),
     )
     sort, visit = ["ServiceDate", "ChargeID", "CPTCode", "ChargeAmount", "Quantity"], ["EncounterID"]
-    entries = items.join(broadcast_counted(visits, visits.count()), "EncounterID")
-    return number_rows(entries, sort, visit, "LineNumber", plan_numbering(items, sort, visit)).select(
+    entries = items.join(visits, "EncounterID")
+    return number_rows(entries, sort, visit, "LineNumber").select(
         "ClaimID",
         "LineNumber",
         "ChargeID",
@@ -362,7 +359,7 @@ def self_pay_invoices(
         5,
         ["EncounterID", "PatientID"],
         key="InvoiceID",
-        layout=plan_numbering(due, ["EncounterID", "PatientID"]),
+        staged=True,
     )
     return keyed.select(
         "InvoiceID",

@@ -305,7 +305,7 @@ def patient_summary(
     """Text lines in five sections per patient; sort by (SectionOrder, LineNumber) to read.
 
     Visits and labs are trimmed to the newest few per patient before any shuffle. The
-    medication and allergy lists are unlimited, so they use the segmented numbering.
+    medication and allergy lists are unlimited, so they are numbered in ranges.
     """
     sources = {"p": patients, "e": encounters, "m": medications, "a": allergies, "l": labs}
     if patient_id is not None:

@@ -311,9 +311,11 @@ def _bucket(moment: Column) -> Column:
     return F.floor(second_index(moment) / F.lit(_BUCKET_SECONDS)).cast("long")
 
 
-def readmission_flags(encounters: DataFrame, start: Column, end: Column) -> DataFrame:
+def readmission_flags(encounters: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
     """Inpatient discharges in [start, end] with whether another inpatient visit followed in 30 days.
 
+    An open bound takes everything on that side.
+
     Time is cut into 30-day buckets. A later admission in the discharge's own bucket is
     within reach whenever it is not before the discharge, so the latest admission
     decides; in the next bucket the earliest one decides. Two candidates per patient
@@ -321,12 +323,17 @@ def readmission_flags(encounters: DataFrame, start: Column, end: Column) -> Data
     trims to those two before the shuffle: no patient's visits are ever paired up.
     """
     inpatient = encounters.filter(c("EncounterType") == "INPATIENT")
-    index = inpatient.filter(
-        (c("EncounterStatus") == "DISCHARGED") & (c("DischargeDate") >= start) & (c("DischargeDate") <= end)
-    ).select("EncounterID", "PatientID", "AdmitDate", "DischargeDate", _bucket(c("DischargeDate")).alias("_bucket"))
-    admissions = inpatient.filter(
-        (c("AdmitDate") >= start) & (c("AdmitDate") <= end + F.expr(f"INTERVAL '{READMISSION_DAYS}' DAY"))
-    ).select("PatientID", "EncounterID", "AdmitDate", _bucket(c("AdmitDate")).alias("_bucket"))
+    discharged = (c("EncounterStatus") == "DISCHARGED") & c("DischargeDate").isNotNull()
+    admitted = c("AdmitDate").isNotNull()
+    if start is not None:
+        discharged, admitted = discharged & (c("DischargeDate") >= start), admitted & (c("AdmitDate") >= start)
+    if end is not None:
+        last = end + F.expr(f"INTERVAL '{READMISSION_DAYS}' DAY")
+        discharged, admitted = discharged & (c("DischargeDate") <= end), admitted & (c("AdmitDate") <= last)
+    index = inpatient.filter(discharged).select(
+        "EncounterID", "PatientID", "AdmitDate", "DischargeDate", _bucket(c("DischargeDate")).alias("_bucket")
+    )
+    admissions = inpatient.filter(admitted).select("PatientID", "EncounterID", "AdmitDate", _bucket(c("AdmitDate")).alias("_bucket"))
 
     def candidates(order: list[Column], prefix: str, shift: int) -> DataFrame:
         window = Window.partitionBy("PatientID", "_bucket").orderBy(*order)

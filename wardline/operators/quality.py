@@ -262,23 +262,12 @@ def orphan_summary(missing: DataFrame) -> DataFrame:
     )
 
 
-WEEKDAY_SAMPLE = 0.3
+def profile_table(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
+    """Rows, nulls, distinct values, least and greatest value per column, over the whole table.
 
-
-def full_scan_day(clock: Clock) -> bool:
-    """Saturday and Sunday take a full scan, weekdays a sample."""
-    return clock.now.isoweekday() >= 6
-
-
-def profile_table(df: DataFrame, table: str, clock: Clock, full: bool | None = None, exact: bool = False) -> DataFrame:
-    """Rows, nulls, distinct values, least and greatest value per column.
-
-    One pass with a distinct-count sketch by default. ``exact`` counts distinct
-    values from (column, value) pairs, folded map-side, in one more shuffle.
+    One pass with a distinct-count sketch by default; all other figures are exact. ``exact``
+    counts distinct values from (column, value) pairs, folded map-side, in one more shuffle.
     """
-    if full is None:
-        full = full_scan_day(clock)
-    rows = df if full else df.sample(WEEKDAY_SAMPLE, seed=13)
     names = df.columns
     aggregates = [F.count("*").alias("_rows")]
     for i, name in enumerate(names):
@@ -286,7 +275,7 @@ def profile_table(df: DataFrame, table: str, clock: Clock, full: bool | None = N
         aggregates += [F.count(name).alias(f"c{i}"), text_low.alias(f"lo{i}"), text_high.alias(f"hi{i}")]
         if not exact:
             aggregates.append(F.approx_count_distinct(name).alias(f"d{i}"))
-    wide = rows.agg(*aggregates)
+    wide = df.agg(*aggregates)
     entries = []
     for i, name in enumerate(names):
         fields = [
@@ -302,7 +291,7 @@ def profile_table(df: DataFrame, table: str, clock: Clock, full: bool | None = N
     profile = wide.select(F.explode(F.array(*entries)).alias("_p")).select(F.lit(table).alias("TableName"), "_p.*")
     if not exact:
         return profile
-    pairs = rows.select(
+    pairs = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(n).alias("ColumnName"), c(n).cast("string").alias("v")) for n in names])
         ).alias("_v")

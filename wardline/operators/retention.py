@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from wardline.clock import Clock
 from wardline.functions.dialect import last_first
 from wardline.operators.clinical_reports import c
-from wardline.operators.rows import broadcast_counted, union_all
+from wardline.operators.rows import union_all
+from wardline.workspace import stage
 
-RETENTION_MONTHS, ARCHIVE_BATCH = 84, 1000
+RETENTION_MONTHS = 84
 
 
 def archive_batch(
-    encounters: DataFrame, clock: Clock, retention_months: int = RETENTION_MONTHS, batch: int | None = ARCHIVE_BATCH
+    encounters: DataFrame, clock: Clock, retention_months: int = RETENTION_MONTHS, batch: int | None = None
 ) -> DataFrame:
-    """The oldest discharged visits past retention; ``batch=None`` takes all of them."""
+    """All discharged visits past retention, or the oldest ``batch`` of them."""
     old = encounters.filter(
         (c("EncounterStatus") == "DISCHARGED")
         & (c("DischargeDate") < clock.date_in_months(-retention_months).cast("timestamp_ntz"))
@@ -33,14 +34,15 @@ def archive_encounters(
     children: dict[str, DataFrame],
     clock: Clock,
     retention_months: int = RETENTION_MONTHS,
-    batch: int | None = ARCHIVE_BATCH,
+    batch: int | None = None,
     dry_run: bool = True,
 ) -> dict[str, DataFrame]:
     """Split each child table into moved and kept rows and mark the visits ARCHIVED.
 
-    A dry run returns only the log of what would move.
+    The chosen visits are written once and read by every output. A child row is moved or kept by
+    one join that says which. A dry run returns only the log of what would move.
     """
-    chosen = archive_batch(encounters, clock, retention_months, batch)
+    chosen = stage(archive_batch(encounters, clock, retention_months, batch), "archive-visits")
     log = chosen.select(
         "EncounterID",
         "PatientID",
@@ -51,18 +53,44 @@ def archive_encounters(
     if dry_run:
         return result
     keys = chosen.select("EncounterID")
-    if batch is not None:
-        keys = broadcast_counted(keys, batch)
     for name, child in children.items():
         result[f"moved_{name}"] = child.join(keys, "EncounterID", "left_semi").select(*child.columns)
         result[f"kept_{name}"] = child.join(keys, "EncounterID", "left_anti").select(*child.columns)
-    marked = encounters.join(keys.withColumn("_old", F.lit(True)), "EncounterID", "left").withColumn(
-        "EncounterStatus", F.when(c("_old"), "ARCHIVED").otherwise(c("EncounterStatus"))
-    )
-    result["encounters"] = marked.select(*encounters.columns)
+    marked = encounters.join(keys.withColumn("_old", F.lit(True)), "EncounterID", "left")
+    before = c("ModifiedDate") if "ModifiedDate" in encounters.columns else F.lit(None).cast("timestamp_ntz")
+    changed = {
+        "EncounterStatus": F.when(c("_old"), "ARCHIVED").otherwise(c("EncounterStatus")),
+        "ModifiedDate": F.when(c("_old"), clock.ts).otherwise(before),
+    }
+    result["encounters"] = marked.withColumns(changed).drop("_old")
     return result
 
 
+def archive_counts(
+    encounters: DataFrame,
+    children: dict[str, DataFrame],
+    clock: Clock,
+    retention_months: int = RETENTION_MONTHS,
+    batch: int | None = None,
+) -> DataFrame:
+    """Rows moved and kept per child table, each child folded to its visits before the join."""
+    keys = stage(archive_batch(encounters, clock, retention_months, batch), "archive-visits").select(
+        "EncounterID", F.lit(True).alias("_old")
+    )
+    held = union_all(
+        [
+            child.groupBy("EncounterID").agg(F.count("*").alias("_n")).withColumn("TableName", F.lit(name))
+            for name, child in children.items()
+        ]
+    )
+    side = F.when(c("_old"), "moved").otherwise("kept").alias("Side")
+    counted = held.join(keys, "EncounterID", "left").groupBy("TableName", side).agg(F.sum("_n").alias("Rows"))
+    # A side without rows is listed with 0; the names come from the caller.
+    all_sides = F.explode(F.array(*[F.struct(F.lit(n).alias("TableName"), F.lit(s).alias("Side")) for n in children for s in ("moved", "kept")]))
+    listed = held.sparkSession.range(1).select(all_sides.alias("_s")).select("_s.*")
+    return listed.join(counted, ["TableName", "Side"], "left").withColumn("Rows", F.coalesce("Rows", F.lit(0)).cast("long"))
+
+
 def purge_billing(
     invoices: DataFrame,
     charges: DataFrame,

@@ -1,28 +1,22 @@
 """Building blocks shared by the operators: fact folding and ordered numbering.
 
 Both are written for groups of any size. Folding is a partial aggregate before its
-only shuffle. Numbering cuts large groups into ordered segments, so a group that
+only shuffle. Numbering deals rows into ranges of the sort order, so a group that
 holds a large part of all rows is spread over many tasks.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Ordered segments a large group is cut into, at most; also the share of all rows
-# (one part in so many) from which a group counts as large.
-MAX_SEGMENTS = 256
-# Sampled rows per segment, and the hits in the sample that mark a group as large:
-# a group of one segment's size is hit 24 times on average.
-SAMPLES_PER_SEGMENT, LARGE_HITS = 24, 8
-# Tables counted at no more than this are numbered without cutting: one task can sort them.
-SMALL_ROWS = 200_000
+from wardline.workspace import stage
+
+# Rows one task numbers.
+ROWS_PER_TASK = 500_000
 
 
 def fold_facts(key: str, parts: list[DataFrame], sums: list[str], extra: list[Column] = ()) -> DataFrame:
@@ -42,15 +36,6 @@ def stack_totals(parts: list[DataFrame]) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
-# Counted keys up to this many may be broadcast; more are left to a shuffle.
-BROADCAST_KEYS = 100_000
-
-
-def broadcast_counted(keys: DataFrame, rows: int) -> DataFrame:
-    """Mark a table of keys for broadcast when its counted size allows it."""
-    return F.broadcast(keys) if rows <= BROADCAST_KEYS else keys
-
-
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -61,115 +46,43 @@ def first_rows(df: DataFrame, by: list[str], order: list[Column], n: int, rank:
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
-def _segment(key: Column, bounds: list[Column], low: int, high: int) -> Column:
-    """Index of the segment a key falls in, as a binary search over literal bounds."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(key <= bounds[middle], _segment(key, bounds, low, middle)).otherwise(
-        _segment(key, bounds, middle + 1, high)
-    )
-
-
-@dataclass(frozen=True)
-class Layout:
-    """What a count and a sample say about a numbering: size, large groups, where to cut them."""
-
-    rows: int
-    large: tuple[tuple, ...]
-    bounds: tuple[Column, ...]
-    small_input: bool
-
-
-def plan_numbering(df: DataFrame, order: list[str], by: list[str] = (), segments: int | None = None) -> Layout:
-    """Find large groups and cut points from a uniform sample of a few thousand short rows.
-
-    Any choice gives right numbers; a good one only balances the work. The cut points
-    become literals, so they are the same in every branch and every recomputed task.
-    The row count sets the sampling rate, so the sample stays the same size however
-    large the table is. A small table needs no cutting and no sample.
-    """
-    if segments is None:
-        segments = min(MAX_SEGMENTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    by = list(by)
-    wanted = segments * SAMPLES_PER_SEGMENT
-    total = df.count()
-    if total <= max(wanted, SMALL_ROWS):
-        return Layout(total, (), (), True)
-    names = by + [n for n in order if n not in by]
-    picked = df.select(*names).sample(min(1.0, wanted / total), seed=17)
-    rows = picked.orderBy(*[F.asc_nulls_first(n) for n in order]).collect()
-    large: tuple[tuple, ...] = ()
-    if by:
-        hits = Counter(tuple(r[n] for n in by) for r in rows)
-        large = tuple(k for k, n in hits.items() if n >= LARGE_HITS and None not in k)
-        rows = [r for r in rows if tuple(r[n] for n in by) in set(large)]
-        segments = min(segments, max(1, len(rows) // LARGE_HITS))
-    step = len(rows) / segments
-    fields = [df.schema[n] for n in order]
-    bounds = tuple(
-        F.struct(*[F.lit(rows[i][f.name]).cast(f.dataType).alias(f.name) for f in fields])
-        for i in sorted({int(step * j) for j in range(1, segments)})
-        if rows
-    )
-    return Layout(total, large, bounds, False)
-
-
 def number_rows(
     df: DataFrame,
     order: list[str],
     by: list[str] = (),
     out: str = "RowNumber",
-    layout: Layout | None = None,
+    staged: bool = False,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Dense 1..n numbers per group (or over the whole table) in ascending sort order.
+    """Dense 1..n numbers per group (or over the whole table) in ascending sort order, nulls first.
 
-    Groups that are not large take one ordinary window. Large groups, and a whole
-    table, are numbered in segments of the sort order. The layout may come from a
-    table that the input is a part of; without one the input itself is sampled.
+    The rows are written, dealt into as many ranges of (group, sort order) as their count asks for,
+    written with the number of their range, and numbered inside each range. A group that goes on
+    from one range to the next continues from an offset; there is at most one such group
+    at each border, so the offsets are few whatever the table holds. ``staged`` says that the input
+    is a written table already. The sort order should tell rows apart: equal rows share a range.
     """
     by = list(by)
-    if layout is None:
-        layout = plan_numbering(df, order, by)
-    sort = [F.asc_nulls_first(n) for n in order]
-    if by:
-        plain = Window.partitionBy(*by).orderBy(*sort)
-        if not layout.large:
-            return df.withColumn(out, F.row_number().over(plain).cast("long"))
-        if len(by) == 1:
-            in_large = F.col(by[0]).isin([k[0] for k in layout.large])
-        else:
-            in_large = F.struct(*by).isin([F.struct(*[F.lit(v) for v in k]) for k in layout.large])
-        in_large = F.coalesce(in_large, F.lit(False))
-        rest = df.filter(~in_large).withColumn(out, F.row_number().over(plain).cast("long"))
-        return rest.unionByName(_number_segments(df.filter(in_large), order, by, out, layout.bounds))
-    if layout.small_input:
-        # Counted and few: one task is enough.
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*sort)).cast("long"))
-    return _number_segments(df, order, by, out, layout.bounds)
-
-
-def _number_segments(df: DataFrame, order: list[str], by: list[str], out: str, bounds: tuple[Column, ...]) -> DataFrame:
-    """Count rows per (group, segment), turn counts into offsets, number inside each segment.
-
-    The explicit repartition matters: an input already partitioned on the group would
-    satisfy the window as it is, and keep a large group in one task. The window and
-    the join share that one shuffle.
-    """
-    cut = df.withColumn("_segment", _segment(F.struct(*order), list(bounds), 0, len(bounds)))
-    where = by + ["_segment"]
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(*where)
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .drop("_rows")
-    )
-    inside = Window.partitionBy(*where).orderBy(*[F.asc_nulls_first(n) for n in order])
-    return (
-        cut.repartition(*where)
-        .withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, where)
-        .withColumn(out, (F.col("_inside") + F.col("_offset")).cast("long"))
-        .drop("_segment", "_inside", "_offset")
-    )
+    source = df if staged else stage(df, "to-number")
+    ranges = max(1, -(-source.count() // rows_per_task))
+    keys = [F.asc_nulls_first(n) for n in [*by, *(n for n in order if n not in by)]]
+    dealt = source.repartitionByRange(ranges, *keys).withColumn("_range", F.spark_partition_id())
+    dealt = stage(dealt, "ranges")
+    inside = Window.partitionBy("_range", *by).orderBy(*[F.asc_nulls_first(n) for n in order])
+    numbered = dealt.withColumn("_inside", F.row_number().over(inside).cast("long"))
+    offsets = _offsets(dealt, by)
+    same = F.col("_range") == F.col("_at")
+    for name in by:
+        same = same & F.col(name).eqNullSafe(F.col(f"_of_{name}"))
+    # One row for each border between ranges at most.
+    joined = numbered.join(F.broadcast(offsets), same, "left")
+    return joined.withColumn(out, F.col("_inside") + F.coalesce("_before", F.lit(0))).select(*df.columns, out)
+
+
+def _offsets(dealt: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of a group in the ranges before a range, for the groups that lie in several ranges."""
+    held = dealt.groupBy(*by, "_range").agg(F.count("*").alias("_rows"))
+    group = [F.col(n).alias(f"_of_{n}") for n in by]
+    earlier = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = held.withColumn("_before", F.sum("_rows").over(earlier))
+    return before.where("_before > 0").select(*group, F.col("_range").alias("_at"), "_before")

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.clock import Clock, ts_lit
+from wardline.clock import Clock
 from wardline.functions.clinical import (
     check_interaction,
     format_name,
@@ -20,9 +20,9 @@ from wardline.operators import admissions, billing, lookups, quality, retention
 from wardline.operators import clinical_reports as clinical
 from wardline.operators import management_reports as management
 from wardline.operators.rows import union_all
-from wardline.plans.nightly import BillingTables, nightly_billing
+from wardline.plans.nightly import BillingTables, after_run, nightly_billing
 from wardline.session import tune
-from wardline.sources.shapes import SHAPES, Tables
+from wardline.sources.shapes import PROFILED, SHAPES, Tables
 from wardline.streaming import broker
 from wardline.workspace import run_dir
 
@@ -107,8 +107,7 @@ register(management.claim_denial_rate, "insurance_claims", clock=True)
 @query
 def readmission_flags(t: Tables) -> DataFrame:
     """Every inpatient discharge on file, not only the reporting window."""
-    first, last = ts_lit(datetime(1990, 1, 1)), ts_lit(datetime(2010, 1, 1))
-    return management.readmission_flags(t["encounters"], first, last)
+    return management.readmission_flags(t["encounters"])
 
 
 # Lookups.
@@ -251,34 +250,66 @@ outputs(
     {"nightly_summary": "summary", "nightly_invoices": "invoices", "nightly_claim_lines": "claim_lines"},
 )
 
+RUN_STEPS = ("room_charges", "procedure_charges", "claims", "claim_lines", "submitted", "invoices")
+
+
+@query
+def nightly_second_run(t: Tables) -> DataFrame:
+    """Rows each step adds when the run is repeated on the tables that the first run left: none."""
+    tables = billing_tables(t)
+    again = nightly_billing(after_run(tables, nightly_billing(tables, CLOCK)), CLOCK)
+    return union_all([again[n].agg(F.lit(n).alias("Step"), F.count("*").alias("Rows")) for n in RUN_STEPS])
+
+
+@query
+def nightly_claims_after(t: Tables) -> DataFrame:
+    """Every claim as a run leaves it."""
+    tables = billing_tables(t)
+    left = after_run(tables, nightly_billing(tables, CLOCK))
+    return left.claims.select("ClaimID", "ClaimNumber", "EncounterID", "TotalCharges", "ClaimStatus", "EDIBatchID")
+
+
+@query
+def nightly_visit_totals(t: Tables) -> DataFrame:
+    """Visits with the posted total that a run writes back, and how many of their charges it leaves open."""
+    tables = billing_tables(t)
+    left = after_run(tables, nightly_billing(tables, CLOCK))
+    posted = left.charges.groupBy("EncounterID").agg(F.count_if(F.col("ChargeStatus") == "POSTED").alias("OpenCharges"))
+    visits = left.encounters.select("EncounterID", F.col("TotalCharges").cast("decimal(18,2)").alias("TotalCharges"))
+    return visits.join(posted, "EncounterID", "left").withColumn("OpenCharges", F.coalesce("OpenCharges", F.lit(0)))
+
 # Retention and the reporting extract.
-ARCHIVE_MONTHS, ARCHIVE_ROWS = 36, 500
-CHILD_TABLES = ["vitals", "lab_results", "medications", "orders", "clinical_notes", "diagnoses", "procedures"]
+ARCHIVE_MONTHS = 36
+CHILD_TABLES = [
+    "vitals", "lab_results", "medications", "orders", "clinical_notes", "diagnoses", "procedures", "radiology_studies",
+]
 PURGED = ["invoices", "charges", "audit_log", "billing_audit"]
 
 
-def _archive(t: Tables, dry_run: bool = False, batch: int | None = ARCHIVE_ROWS) -> dict[str, DataFrame]:
+def _archive(t: Tables, dry_run: bool = False, batch: int | None = None) -> dict[str, DataFrame]:
     children = {name: t[name] for name in CHILD_TABLES}
     return retention.archive_encounters(t["encounters"], children, CLOCK, ARCHIVE_MONTHS, batch, dry_run)
 
 
 def _purge(t: Tables) -> dict[str, DataFrame]:
-    archived = _archive(t, batch=None)["encounters"]
+    archived = _archive(t)["encounters"]
     audits = {name: t[name] for name in ("audit_log", "billing_audit")}
     return retention.purge_billing(t["invoices"], t["billing_charges"], archived, audits, CLOCK, ARCHIVE_MONTHS)
 
 
 outputs(lambda t: _archive(t, dry_run=True), {"archive_dry_run": "log"})
+# The batch limit of a run, as the caller gives it.
+outputs(lambda t: _archive(t, dry_run=True, batch=500), {"archive_oldest_500": "log"})
 outputs(
     _archive,
-    {"archive_summary": "summary", "archive_moved_diagnoses": "moved_diagnoses", "archive_kept_labs": "kept_lab_results"},
+    {"archive_summary": "summary", "archive_moved_diagnoses": "moved_diagnoses", "archive_kept_labs": "kept_lab_results", "archive_marked": "encounters"},
 )
 outputs(_purge, {"purged_charges": "purged_charges", "purge_kept_invoices": "kept_invoices"})
 
 
 @query
 def archive_split_counts(t: Tables) -> DataFrame:
-    return retention.split_counts(_archive(t), CHILD_TABLES, "moved", "kept")
+    return retention.archive_counts(t["encounters"], {n: t[n] for n in CHILD_TABLES}, CLOCK, ARCHIVE_MONTHS)
 
 
 @query
@@ -329,26 +360,10 @@ def orphan_summary(t: Tables) -> DataFrame:
     return quality.orphan_summary(orphan_keys(t))
 
 
-PROFILED = {
-    "patients": ["PatientID", "MiddleName", "Gender", "PrimaryInsuranceID", "DateOfBirth"],
-    "encounters": ["EncounterID", "EncounterType", "DischargeDate", "TotalPayments"],
-    "medications": ["DrugName", "GenericName", "Dosage"],
-    "lab_results": ["TestCode", "ResultNumeric", "AbnormalFlag"],
-}
-
-
 @query
 def table_profile(t: Tables) -> DataFrame:
-    """Full scan with exact distinct counts."""
-    return union_all(
-        [quality.profile_table(t[n].select(*cols), n, CLOCK, full=True, exact=True) for n, cols in PROFILED.items()]
-    )
-
-
-@query
-def table_profile_weekday(t: Tables) -> DataFrame:
-    """The weekday run: a 30 percent sample with distinct-count sketches (a sampling operator)."""
-    return union_all([quality.profile_table(t[n].select(*cols), n, CLOCK) for n, cols in PROFILED.items()])
+    """Every column of every table, with exact distinct counts."""
+    return union_all([quality.profile_table(t[n], n, exact=True) for n in PROFILED])
 
 
 register(quality.icd_quality, "diagnoses")
@@ -383,12 +398,22 @@ def drug_names_normalized(t: Tables) -> DataFrame:
     )
 
 
-# Streaming: each drains the message stream and returns one output.
+# Streaming: each drains a queue of several files, a file at a time, and returns one output.
+QUEUE_FILES = 4
+
+
+def queue(t: Tables) -> DataFrame:
+    """The test messages in a queue folder, in order of their time, so that repeats come in later batches."""
+    path = run_dir(t.spark, "queue")
+    broker.send(t["messages"].repartitionByRange(QUEUE_FILES, "ts"), path)
+    return broker.read_queue(t.spark, path, files_per_batch=1)
+
+
 def _billing_stream(output: str, with_postings: bool = False) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         t = opened(spark, folder)
         effects = broker.billing_effects(CLOCK, billing_tables(t) if with_postings else None)
-        return broker.run_once(spark, t.stream("messages"), effects, output)
+        return broker.run_once(spark, queue(t), effects, output)
 
     return run
 
@@ -403,22 +428,21 @@ QUERIES["stream_discharge_errors"] = _billing_stream("posting_errors", with_post
 
 @query
 def stream_lab_alerts(t: Tables) -> DataFrame:
-    return broker.run_once(t.spark, t.stream("messages"), broker.lab_effects(CLOCK), "alerts")
+    return broker.run_once(t.spark, queue(t), broker.lab_effects(CLOCK), "alerts")
 
 
 @query
 def stream_routes(t: Tables) -> DataFrame:
     """Messages per route over the whole stream, folded per batch and then over batches."""
-    per_batch = broker.run_once(
-        t.spark, t.stream("messages"), lambda routed: {"routes": broker.count_routes(routed)}, "routes"
-    )
+    count = lambda routed, earlier: {"routes": broker.count_routes(routed)}
+    per_batch = broker.run_once(t.spark, queue(t), count, "routes")
     return per_batch.groupBy("route").agg(F.sum("Messages").alias("Messages"))
 
 
 @query
 def stream_admission_replies(t: Tables) -> DataFrame:
     """Admissions send their messages to a queue folder; the billing consumer answers them."""
-    queue = run_dir(t.spark, "queue")
+    path = run_dir(t.spark, "queue")
     admitted = admissions.admit(t["admission_requests"], t["patients"], t["encounters"], t["invoices"], CLOCK)
-    broker.send(admitted["messages"], queue)
-    return broker.run_once(t.spark, broker.read_queue(t.spark, queue), broker.billing_effects(CLOCK), "replies")
+    broker.send(admitted["messages"], path)
+    return broker.run_once(t.spark, broker.read_queue(t.spark, path), broker.billing_effects(CLOCK), "replies")

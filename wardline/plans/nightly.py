@@ -11,6 +11,7 @@ from wardline.clock import Clock
 from wardline.operators import billing
 from wardline.operators.clinical_reports import c
 from wardline.operators.rows import union_all
+from wardline.sources.sinks import upsert
 from wardline.workspace import stage
 
 
@@ -79,6 +80,7 @@ def nightly_billing(tables: BillingTables, clock: Clock) -> dict[str, DataFrame]
         "claims": created,
         "claim_lines": billing.claim_lines(claiming["visits"], posted),
         "billed_charges": claiming["charges"],
+        "claim_visits": claiming["visits"],
         "submitted": submitted["claims"],
         "invoices": invoices,
         "log": log,
@@ -87,12 +89,27 @@ def nightly_billing(tables: BillingTables, clock: Clock) -> dict[str, DataFrame]
 
 
 def after_run(tables: BillingTables, result: dict[str, DataFrame]) -> BillingTables:
-    """The tables as the run leaves them, for the next run to start from."""
+    """The tables as the run leaves them, for the next run to start from.
+
+    New charges, claims and invoices are added; charges of claimed visits are BILLED, sent claims
+    SUBMITTED with their batch, and visits carry their posted total.
+    """
     fresh = result["room_charges"].unionByName(result["procedure_charges"], allowMissingColumns=True)
     fresh = fresh.withColumn("AdjustmentAmount", F.lit(0).cast("decimal(10,2)"))
+    charges = tables.charges.unionByName(fresh, allowMissingColumns=True)
+    claimed = result["claim_visits"].select("EncounterID", F.lit(True).alias("_claimed"))
+    billed = F.when(c("_claimed") & (c("ChargeStatus") == "POSTED"), "BILLED").otherwise(c("ChargeStatus"))
+    columns = charges.columns
+    charges = charges.join(claimed, "EncounterID", "left").withColumn("ChargeStatus", billed).select(*columns)
+    claims = tables.claims.unionByName(result["claims"], allowMissingColumns=True)
+    for name in ("SubmittedDate", "EDIBatchID"):
+        if name not in claims.columns:
+            claims = claims.withColumn(name, F.lit(None).cast(result["submitted"].schema[name].dataType))
+    sent = result["submitted"].select("ClaimID", "ClaimStatus", "SubmittedDate", "EDIBatchID")
     return replace(
         tables,
-        charges=tables.charges.unionByName(fresh, allowMissingColumns=True),
-        claims=tables.claims.unionByName(result["claims"], allowMissingColumns=True),
+        encounters=upsert(tables.encounters, result["totals"].select("EncounterID", "TotalCharges"), ["EncounterID"]),
+        charges=charges,
+        claims=upsert(claims, sent, ["ClaimID"]),
         invoices=tables.invoices.unionByName(result["invoices"], allowMissingColumns=True),
     )

@@ -1,5 +1,7 @@
 """Reference SQL for data quality and enrichment."""
 
+import re
+
 from wardline.functions.clinical import (
     BMI_BANDS,
     BMI_TOP_BAND,
@@ -11,7 +13,7 @@ from wardline.functions.clinical import (
 )
 from wardline.operators.quality import CONSTRAINTS
 from wardline.plans.oracle.reports import AGE, NOW
-from wardline.sources.shapes import SHAPES
+from wardline.sources.shapes import PROFILED, SHAPES
 
 _DIFF_COLUMNS = ["EncounterID", "PatientID", "EncounterStatus", "PreAuthNumber"]
 
@@ -53,16 +55,18 @@ _ORPHANS = " UNION ALL ".join(
     f"SELECT '{a}.{x}' AS Reference, CAST({x} AS VARCHAR) AS Key, COUNT(*) AS Rows FROM h_{a} c WHERE {x} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM h_{b} p WHERE p.{y} = c.{x}) GROUP BY ALL"
     for a, x, b, y in _REFERENCES
 )
-_PROFILED = {
-    "patients": ["PatientID", "MiddleName", "Gender", "PrimaryInsuranceID", "DateOfBirth"],
-    "encounters": ["EncounterID", "EncounterType", "DischargeDate", "TotalPayments"],
-    "medications": ["DrugName", "GenericName", "Dosage"],
-    "lab_results": ["TestCode", "ResultNumeric", "AbnormalFlag"],
-}
+
+
+def _columns(table: str) -> list[str]:
+    """Column names of a shape, as its text gives them."""
+    named = re.findall(r"\bAS ([A-Z]\w*)(?=\s*(?:,|$|\s+FROM\b))", SHAPES[table])
+    return list(dict.fromkeys(named))
+
+
 _PROFILE = " UNION ALL ".join(
     f"SELECT '{t}' AS TableName, '{n}' AS ColumnName, COUNT(*) AS Rows, COUNT(*) - COUNT({n}) AS Nulls, CAST(MIN({n}) AS VARCHAR) AS MinValue, CAST(MAX({n}) AS VARCHAR) AS MaxValue, COUNT(DISTINCT {n}) AS DistinctValues FROM h_{t}"
-    for t, cols in _PROFILED.items()
-    for n in cols
+    for t in PROFILED
+    for n in _columns(t)
 )
 
 _CLEAN = "upper(trim(ICDCode))"

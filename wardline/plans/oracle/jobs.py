@@ -53,7 +53,7 @@ SQL: dict[str, str] = {
     + """SELECT r.RequestID, CASE WHEN p.PatientStatus = 'ACTIVE' THEN 'Patient already has an active encounter of this type.' ELSE 'Patient not found or inactive.' END AS Reason
 FROM h_admission_requests r LEFT JOIN h_patients p USING (PatientID) WHERE r.RequestID NOT IN (SELECT RequestID FROM opened)""",
     "admit_messages": _ADMIT
-    + """SELECT 'enc-' || EncounterID AS conversation_handle, 'PatientEncounterMessage' AS message_type,
+    + """SELECT 'enc-' || EncounterID AS conversation_handle, CAST(0 AS BIGINT) AS message_sequence, 'PatientEncounterMessage' AS message_type,
  '<NewEncounter><EncounterID>' || EncounterID || '</EncounterID><PatientID>' || PatientID || '</PatientID><EncounterType>' || EncounterType
  || '</EncounterType><AdmitDate>2001-07-20T10:30:00</AdmitDate></NewEncounter>' AS body, AdmitDate AS ts FROM opened""",
     "discharge_encounters": _CLOSING
@@ -178,13 +178,24 @@ charged AS (SELECT PatientID, EncounterID, ChargeAmount - AdjustmentAmount AS ne
 """) + _INVOICES.strip().removeprefix("WITH ").replace(_NET_OF_FILE, _NET_OF_RUN),
     # Claims and lines touch discharged visits, room and procedure charges only active ones.
     "nightly_claim_lines": _claims(1) + "SELECT * FROM lines",
+    # Every step of a repeated run adds nothing; the visits only say that the tables are there.
+    "nightly_second_run": "SELECT Step, COUNT(*) FILTER (WHERE EncounterID IS NULL) AS Rows FROM (VALUES ('room_charges'), ('procedure_charges'), ('claims'), ('claim_lines'), ('submitted'), ('invoices')) AS s(Step), h_encounters GROUP BY Step",
+    "nightly_claims_after": _claims(1) + """SELECT ClaimID, ClaimNumber, EncounterID, CAST(TotalCharges AS DECIMAL(18,2)) AS TotalCharges, CASE ClaimStatus WHEN 'CREATED' THEN 'SUBMITTED' ELSE ClaimStatus END AS ClaimStatus,
+       CASE ClaimStatus WHEN 'CREATED' THEN 'EDI-20010720103000' END AS EDIBatchID
+FROM (SELECT ClaimID, ClaimNumber, EncounterID, TotalCharges, ClaimStatus FROM h_insurance_claims UNION ALL SELECT ClaimID, ClaimNumber, EncounterID, TotalCharges, ClaimStatus FROM heads)""",
+    "nightly_visit_totals": _posting("AND EncounterType IN ('INPATIENT', 'OBSERVATION')", f", {_ROOM}") + """, due_claims AS (""" + _claims(1) + """SELECT EncounterID FROM heads),
+ all_charges AS (SELECT EncounterID, CASE WHEN ChargeStatus = 'POSTED' AND EncounterID IN (SELECT EncounterID FROM due_claims) THEN 'BILLED' ELSE ChargeStatus END AS s, ChargeAmount, ChargeStatus FROM h_billing_charges
+   UNION ALL SELECT EncounterID, 'POSTED', ChargeAmount, 'POSTED' FROM room UNION ALL SELECT EncounterID, 'POSTED', ChargeAmount, 'POSTED' FROM added),
+ sums AS (SELECT EncounterID, COUNT(*) FILTER (WHERE s = 'POSTED') AS OpenCharges, SUM(ChargeAmount) FILTER (WHERE ChargeStatus = 'POSTED') AS total FROM all_charges GROUP BY 1)
+SELECT e.EncounterID, CAST(CASE WHEN e.EncounterStatus = 'ACTIVE' AND e.EncounterType IN ('INPATIENT', 'OBSERVATION') THEN COALESCE(total, 0) ELSE e.TotalCharges END AS DECIMAL(18,2)) AS TotalCharges,
+       COALESCE(OpenCharges, 0) AS OpenCharges FROM h_encounters e LEFT JOIN sums USING (EncounterID)""",
 })
 
 # --- retention --------------------------------------------------------------------------
 _CUTOFF = "DATE '1998-07-20'"
-_OLD = f"old AS (SELECT EncounterID, PatientID, AdmitDate FROM h_encounters WHERE EncounterStatus = 'DISCHARGED' AND DischargeDate < {_CUTOFF} ORDER BY DischargeDate, EncounterID LIMIT 500)"
+_OLD = f"old AS (SELECT EncounterID, PatientID, AdmitDate FROM h_encounters WHERE EncounterStatus = 'DISCHARGED' AND DischargeDate < {_CUTOFF})"
 _ALL_OLD = f"gone AS (SELECT EncounterID FROM h_encounters WHERE EncounterStatus = 'DISCHARGED' AND DischargeDate < {_CUTOFF})"
-_CHILDREN = ["vitals", "lab_results", "medications", "orders", "clinical_notes", "diagnoses", "procedures"]
+_CHILDREN = ["vitals", "lab_results", "medications", "orders", "clinical_notes", "diagnoses", "procedures", "radiology_studies"]
 _LIVE = "SELECT EncounterID FROM h_encounters WHERE EncounterID NOT IN (SELECT EncounterID FROM gone)"
 _PURGED_CHARGES = f"ServiceDate < {_CUTOFF} AND EncounterID NOT IN ({_LIVE})"
 _CLOSED = f"InvoiceStatus IN ('PAID', 'WRITTEN_OFF', 'VOIDED') AND InvoiceDate < {_CUTOFF}"
@@ -200,6 +211,8 @@ def _sides(table: str, label: str, moved: str, kept: str, condition: str) -> str
 
 SQL.update({
     "archive_dry_run": f"WITH {_OLD} SELECT *, 'WOULD_ARCHIVE' AS ArchiveStatus FROM old",
+    "archive_oldest_500": f"WITH {_OLD} SELECT *, 'WOULD_ARCHIVE' AS ArchiveStatus FROM (SELECT EncounterID, PatientID, AdmitDate FROM h_encounters WHERE EncounterID IN (SELECT EncounterID FROM old) ORDER BY DischargeDate, EncounterID LIMIT 500)",
+    "archive_marked": f"WITH {_OLD} SELECT * REPLACE (CASE WHEN EncounterID IN (SELECT EncounterID FROM old) THEN 'ARCHIVED' ELSE EncounterStatus END AS EncounterStatus), CASE WHEN EncounterID IN (SELECT EncounterID FROM old) THEN TIMESTAMP '2001-07-20 10:30:00' END AS ModifiedDate FROM h_encounters",
     "archive_summary": f"WITH {_OLD} SELECT 'ARCHIVED' AS ArchiveStatus, COUNT(*) AS RecordCount FROM old",
     "archive_moved_diagnoses": f"WITH {_OLD} SELECT * FROM h_diagnoses WHERE EncounterID IN (SELECT EncounterID FROM old)",
     "archive_kept_labs": f"WITH {_OLD} SELECT * FROM h_lab_results WHERE EncounterID NOT IN (SELECT EncounterID FROM old)",

@@ -15,6 +15,7 @@ from wardline.operators.clinical_reports import c
 from wardline.operators.quality import profile_table
 from wardline.operators.rows import union_all
 
+
 def load_tables(spark: SparkSession, root: str, layout: dict[str, list[str]]) -> dict[str, DataFrame]:
     """Parquet tables kept as root/<schema>/<table>, keyed by (schema-qualified) name."""
     return {
@@ -30,10 +31,10 @@ def catalog_tables(spark: SparkSession, schema: str) -> dict[str, DataFrame]:
     return {t.name: spark.table(f"{schema}.{t.name}") for t in listed if t.tableType != "TEMPORARY"}
 
 
-def profile_schema(spark: SparkSession, schema: str, clock: Clock, full: bool | None = None) -> DataFrame:
-    """Profile of every table of a schema: sampled on weekdays, full at weekends."""
+def profile_schema(spark: SparkSession, schema: str, exact: bool = False) -> DataFrame:
+    """Profile of every table of a schema, over all rows."""
     tables = catalog_tables(spark, schema)
-    return union_all([profile_table(df, name, clock, full) for name, df in sorted(tables.items())])
+    return union_all([profile_table(df, name, exact) for name, df in sorted(tables.items())])
 
 
 def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType) -> DataFrame:

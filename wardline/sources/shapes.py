@@ -158,6 +158,11 @@ SELECT {_LINE_ID} AS ProcedureID, l_orderkey AS EncounterID, o_custkey AS Patien
        CONCAT('Procedure ', CAST(l_partkey AS STRING)) AS CPTDescription, l_shipdate AS ProcedureDate, l_suppkey AS PerformingPhysicianID,
        CASE WHEN l_linestatus = 'F' THEN 'COMPLETED' ELSE 'SCHEDULED' END AS ProcedureStatus, CAST(l_extendedprice AS DECIMAL(10,2)) AS ChargeAmount
 FROM {_LINES}""",
+    "radiology_studies": f"""
+SELECT {_LINE_ID} AS StudyID, {_LINE_ID} AS OrderID, l_orderkey AS EncounterID, o_custkey AS PatientID,
+       CASE l_partkey % 3 WHEN 0 THEN 'XRAY' WHEN 1 THEN 'CT' ELSE 'MRI' END AS Modality, l_shipdate AS StudyDate,
+       CASE WHEN l_returnflag = 'N' THEN 'SCHEDULED' ELSE 'COMPLETED' END AS StudyStatus
+FROM {_LINES} WHERE l_linenumber % 4 = 0""",
     "vitals": f"""
 SELECT {_LINE_ID} AS VitalID, l_orderkey AS EncounterID, o_custkey AS PatientID,
        CASE WHEN CAST(l_quantity AS INT) % 13 = 0 THEN CAST(0 AS DECIMAL(5,2)) ELSE CAST(48 + CAST(l_quantity AS INT) AS DECIMAL(5,2)) END AS HeightInches,
@@ -266,10 +271,11 @@ FROM {{lineitem}}""",
     "messages": "",
 }
 
-# Broker messages: every 50th is sent twice under one handle, some bodies are cut off or hold a bad number.
+# Broker messages: three to a conversation. Every 50th is sent again months later, some first arrive decades late,
+# some bodies are cut off or hold a bad number, and some visits are discharged by two messages.
 _K = "(event_id - CASE WHEN event_id % 50 = 1 THEN 1 ELSE 0 END)"
 SHAPES["messages"] = f"""
-SELECT CONCAT('c-', CAST(k AS STRING)) AS conversation_handle,
+SELECT CONCAT('c-', CAST((k - k % 3) AS STRING)) AS conversation_handle, CAST(k % 3 AS BIGINT) AS message_sequence,
        CASE k % 5 WHEN 0 THEN 'PatientEncounterMessage' WHEN 1 THEN 'PatientEncounterMessage' WHEN 2 THEN 'PatientDischargeMessage'
             WHEN 3 THEN 'LabResultNotificationMessage'
             ELSE CASE WHEN k % 3 = 0 THEN 'OtherMessage' ELSE 'http://schemas.microsoft.com/SQL/ServiceBroker/EndDialog' END END AS message_type,
@@ -277,10 +283,11 @@ SELECT CONCAT('c-', CAST(k AS STRING)) AS conversation_handle,
             WHEN k % 60 = 5 THEN CONCAT('<NewEncounter><EncounterID>x', CAST(k AS STRING), '</EncounterID></NewEncounter>')
             WHEN k % 5 < 2 THEN CONCAT('<NewEncounter><EncounterID>', CAST(k AS STRING), '</EncounterID><PatientID>', CAST(k % 100 AS STRING), '</PatientID><EncounterType>',
                  CASE k % 2 WHEN 0 THEN 'INPATIENT' ELSE 'EMERGENCY' END, '</EncounterType><AdmitDate>2001-07-20T08:00:00</AdmitDate></NewEncounter>')
-            WHEN k % 5 = 2 THEN CONCAT('<PatientDischarge><EncounterID>', CAST(k AS STRING), '</EncounterID></PatientDischarge>')
+            WHEN k % 5 = 2 THEN CONCAT('<PatientDischarge><EncounterID>', CAST(k - CASE WHEN k % 20 = 12 THEN 10 ELSE 0 END AS STRING), '</EncounterID></PatientDischarge>')
             WHEN k % 5 = 3 THEN CONCAT('<LabNotification><PatientID>', CAST(k % 100 AS STRING), '</PatientID><TestName>Na &amp; K</TestName><CriticalFlag>', CAST(k % 2 AS STRING), '</CriticalFlag></LabNotification>')
-       END AS body, ts
-FROM (SELECT {_K} AS k, ts FROM {{events}}) AS numbered"""
+       END AS body,
+       CASE WHEN event_id <> k THEN ts + INTERVAL '100' DAY WHEN k % 97 = 0 THEN ts - INTERVAL '9000' DAY ELSE ts END AS ts
+FROM (SELECT {_K} AS k, event_id, ts FROM {{events}}) AS numbered"""
 
 # A changed copy of the visits: some rows gone, some new, some altered.
 SHAPES["encounters_after"] = (
@@ -291,6 +298,13 @@ SHAPES["encounters_after"] = (
 )
 
 
+# Tables whose columns the profile reads. Message texts and requests are input, not stored tables.
+PROFILED = [
+    n for n in SHAPES
+    if n not in ("messages", "encounters_after", "drug_pairs", "registrations", "admission_requests", "discharge_requests", "medication_requests")
+]
+
+
 class Tables:
     """Hospital tables by name, built on first use from one folder of Parquet files."""
 
@@ -323,17 +337,6 @@ class Tables:
             self._built[name] = self.spark.sql(text, **used)
         return self._built[name]
 
-    def stream(self, name: str) -> DataFrame:
-        """A hospital table of one input, read as a file stream."""
-        text = SHAPES[name]
-        used = [t for t in BASE_TABLES if "{" + t + "}" in text]
-        source = {}
-        for table in used:
-            # A glob pattern, so that a single file and a folder of files both work.
-            path = f"{self.folder}/{table}.parque[t]"
-            source[table] = self.spark.readStream.schema(self.base(table).schema).parquet(path)
-        return self.spark.sql(text, **source)
-
 
 def duckdb_shape(name: str) -> str:
     """The same projection as DuckDB text over its registered views."""

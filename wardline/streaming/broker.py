@@ -1,9 +1,11 @@
 """Message consumers as Structured Streaming queries.
 
-A message is (conversation_handle, message_type, body, ts) with an XML body. A run
-drains what is there and stops. Each micro-batch writes to a folder named after its
+A message is (conversation_handle, message_sequence, message_type, body, ts) with an XML body;
+a conversation has many messages, and handle and sequence number together name one. A run
+drains what is there, some files at a time, and stops. Each micro-batch writes to a folder named after its
 batch id in overwrite mode, so a batch replayed after a failure replaces its own
-output, and a handle sent twice takes effect once.
+output. The names of the messages a batch has handled are one of its outputs: a message that
+comes again takes effect once, however late, and no message is too old to be handled.
 """
 
 from __future__ import annotations
@@ -19,9 +21,10 @@ from wardline.operators import billing
 from wardline.operators.clinical_reports import c
 from wardline.plans.nightly import BillingTables
 from wardline.sources.sinks import audit_rows
-from wardline.workspace import run_dir
+from wardline.workspace import exists, run_dir
 
-MESSAGE_SCHEMA = "conversation_handle string, message_type string, body string, ts timestamp_ntz"
+IDENTITY = ["conversation_handle", "message_sequence"]
+MESSAGE_SCHEMA = "conversation_handle string, message_sequence bigint, message_type string, body string, ts timestamp_ntz"
 
 # Message types and the root element each one's body must have (fixed values).
 ENCOUNTER, DISCHARGE, LAB = "PatientEncounterMessage", "PatientDischargeMessage", "LabResultNotificationMessage"
@@ -39,26 +42,25 @@ FLAG_ON, FLAG_OFF = ("1", "true"), ("0", "false")
 # The name of the root element, after an optional XML declaration.
 ROOT_NAME = r"^\s*(?:<\?[^>]*\?>\s*)?<([A-Za-z]+)"
 ACTOR = "ServiceBroker"
-# How long a repeated handle is recognised; also the lateness the stream tolerates.
-REPEAT_WINDOW = "30 days"
-SLICES = 64
+# Output that lists the messages a batch has handled.
+HANDLED = "_handled"
+FILES_PER_BATCH = 1000
 
 
-def read_queue(spark: SparkSession, path: str) -> DataFrame:
-    """Messages appended as Parquet files under a folder."""
-    return spark.readStream.schema(MESSAGE_SCHEMA).parquet(path)
+def read_queue(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """Messages appended as Parquet files under a folder; a backlog is taken some files at a time."""
+    reader = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
-def once_per_handle(messages: DataFrame, within: str = REPEAT_WINDOW) -> DataFrame:
-    """Drop repeats of a conversation handle; the state is bounded by the watermark.
-
-    Done in two steps, so that a handle sent very many times does not land in one task:
-    first per handle and input slice, then per handle over the few rows left.
-    """
-    timed = messages.withColumn("ts", c("ts").cast("timestamp")).withWatermark("ts", within)
-    sliced = timed.withColumn("_slice", F.spark_partition_id() % SLICES)
-    few = sliced.dropDuplicatesWithinWatermark(["conversation_handle", "_slice"]).drop("_slice")
-    return few.dropDuplicatesWithinWatermark(["conversation_handle"])
+def not_handled(batch: DataFrame, handled: DataFrame | None) -> DataFrame:
+    """Each message of a batch once, without those that earlier batches have handled."""
+    once = batch.dropDuplicates(IDENTITY)
+    if handled is None:
+        return once
+    seen = handled.select(*[c(n).alias(f"_{n}") for n in IDENTITY])
+    same = c(IDENTITY[0]).eqNullSafe(c(f"_{IDENTITY[0]}")) & c(IDENTITY[1]).eqNullSafe(c(f"_{IDENTITY[1]}"))
+    return once.join(seen, same, "left_anti")
 
 
 def route(messages: DataFrame) -> DataFrame:
@@ -106,12 +108,12 @@ def encounter_replies(routed: DataFrame, clock: Clock) -> DataFrame:
         {"EncounterID": c("m.EncounterID"), "Status": F.lit("RECEIVED"), "ProcessedDate": iso_seconds(clock.ts)},
     )
     return routed.filter(c("route") == "encounter").select(
-        "conversation_handle", F.lit(RESPONSE).alias("message_type"), body.alias("body"), clock.ts.alias("ts")
+        *IDENTITY, F.lit(RESPONSE).alias("message_type"), body.alias("body"), clock.ts.alias("ts")
     )
 
 
 def dead_letters(routed: DataFrame) -> DataFrame:
-    return routed.filter(c("route") == "malformed").select("conversation_handle", "message_type", "body")
+    return routed.filter(c("route") == "malformed").select(*IDENTITY, "message_type", "body")
 
 
 def activation_errors(routed: DataFrame, clock: Clock) -> DataFrame:
@@ -127,19 +129,23 @@ def lab_alerts(routed: DataFrame, clock: Clock) -> DataFrame:
     return audit_rows(critical, "LabResults", c("m.PatientID"), "CRITICAL_LAB_NOTIFICATION", text, ACTOR, clock)
 
 
-def discharge_postings(routed: DataFrame, tables: BillingTables, clock: Clock) -> dict[str, DataFrame]:
+def discharge_postings(
+    routed: DataFrame, tables: BillingTables, clock: Clock, posted: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Post charges for all visits of the batch's discharge messages at once.
 
+    ``posted`` has the charges of earlier batches: like those on file, they are not posted again.
     Visits that are unknown or not active give one error row per message.
     """
-    named = routed.filter(c("route") == "discharge").select("conversation_handle", c("m.EncounterID").alias("EncounterID"))
+    named = routed.filter(c("route") == "discharge").select(*IDENTITY, c("m.EncounterID").alias("EncounterID"))
+    charges = tables.charges if posted is None else tables.charges.unionByName(posted, allowMissingColumns=True)
     visits = tables.encounters.join(named.select("EncounterID"), "EncounterID", "left_semi")
     ids = visits.select("EncounterID")
     posting = billing.post_encounter_charges(
         tables.procedures.join(ids, "EncounterID", "left_semi"),
         visits,
         tables.chargemaster,
-        tables.charges.join(ids, "EncounterID", "left_semi"),
+        charges.join(ids, "EncounterID", "left_semi"),
         tables.departments,
         tables.physicians,
         tables.diagnoses,
@@ -152,13 +158,15 @@ def discharge_postings(routed: DataFrame, tables: BillingTables, clock: Clock) -
     return {"charges": posting["charges"], "posting_errors": errors}
 
 
-Effects = Callable[[DataFrame], dict[str, DataFrame]]
+# Reads an output as earlier batches have left it; nothing before the first.
+Earlier = Callable[[str], DataFrame | None]
+Effects = Callable[[DataFrame, Earlier], dict[str, DataFrame]]
 
 
 def billing_effects(clock: Clock, tables: BillingTables | None = None) -> Effects:
     """What one batch of billing events leaves behind, by output name."""
 
-    def effects(routed: DataFrame) -> dict[str, DataFrame]:
+    def effects(routed: DataFrame, earlier: Earlier) -> dict[str, DataFrame]:
         out = {
             "audit": encounter_audit(routed, clock),
             "replies": encounter_replies(routed, clock),
@@ -166,26 +174,20 @@ def billing_effects(clock: Clock, tables: BillingTables | None = None) -> Effect
             "errors": activation_errors(routed, clock),
         }
         if tables is not None:
-            out.update(discharge_postings(routed, tables, clock))
+            out.update(discharge_postings(routed, tables, clock, earlier("charges")))
         return out
 
     return effects
 
 
 def lab_effects(clock: Clock) -> Effects:
-    return lambda routed: {
+    return lambda routed, earlier: {
         "alerts": lab_alerts(routed, clock),
         "dead_letters": dead_letters(routed.filter(c("message_type") == LAB)),
     }
 
 
-def drain(
-    messages: DataFrame,
-    effects: Effects,
-    folder: str,
-    wanted: tuple[str, ...] | None = None,
-    repeat_window: str = REPEAT_WINDOW,
-) -> None:
+def drain(messages: DataFrame, effects: Effects, folder: str, wanted: tuple[str, ...] | None = None) -> None:
     """Process everything waiting in the stream and stop.
 
     The folder holds the query's checkpoint and one sub-folder per output and batch.
@@ -193,18 +195,27 @@ def drain(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+
+        def earlier(name: str) -> DataFrame | None:
+            # Without this batch's own folder, so that a replay sees what the first try saw.
+            if not exists(spark, f"{folder}/{name}"):
+                return None
+            found = spark.read.option("basePath", f"{folder}/{name}").parquet(f"{folder}/{name}")
+            return found.filter(c("batch") != batch_id).drop("batch")
+
         # Only the chosen outputs are computed; the batch is read once for all of them.
-        routed = batch.persist()
+        routed = route(not_handled(batch, earlier(HANDLED))).persist()
         try:
-            for name, df in effects(routed).items():
+            for name, df in effects(routed, earlier).items():
                 if wanted is None or name in wanted:
                     df.write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch_id}")
+            routed.select(*IDENTITY).write.mode("overwrite").parquet(f"{folder}/{HANDLED}/batch={batch_id}")
         finally:
             routed.unpersist()
 
     query = (
-        route(once_per_handle(messages, repeat_window))
-        .writeStream.foreachBatch(write)
+        messages.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{folder}/_checkpoint")
         .trigger(availableNow=True)
         .start()
@@ -233,6 +244,11 @@ def count_routes(routed: DataFrame) -> DataFrame:
     return routed.groupBy("route").agg(F.count("*").alias("Messages"))
 
 
+def handled(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of all messages handled so far."""
+    return output(spark, folder, HANDLED)
+
+
 def send(messages: DataFrame, path: str) -> None:
     """Append messages to a queue folder."""
     messages.select(*[n.split()[0] for n in MESSAGE_SCHEMA.split(", ")]).write.mode("append").parquet(path)

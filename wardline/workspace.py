@@ -28,6 +28,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder of this run through the file system that holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
