@@ -31,7 +31,9 @@ from wardline.workspace import stage
 
 BLOCK_BYTES = 8 << 20
 #: Parts of the fingerprint range that a set is counted in for the suffix filter.
-RANGES = 16
+RANGES = 64
+#: N-grams of a prefix that every posting carries, so that most pairs come up once only.
+HEAD = 16
 
 
 @dataclass(frozen=True)
@@ -204,7 +206,11 @@ def whole_sets(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
 
 
 def postings(sets: DataFrame, at_least: Threshold) -> DataFrame:
-    """``gram, class, n, place, unique``: the n-grams of each prefix, rarest first, that some other class has."""
+    """``gram, class, n, place, unique, ranges, head``: the n-grams of each prefix that some other class has.
+
+    ``place`` counts from the rarest; ``ranges`` and the ``head`` of the prefix come with each, so that a pair
+    can be judged where it meets.
+    """
     each = sets.select("class", "n", F.explode("grams").alias("gram"))
     often = each.groupBy("gram").agg(F.count("*").alias("held")).where("held > 1")
     common = each.join(often, "gram")
@@ -214,8 +220,15 @@ def postings(sets: DataFrame, at_least: Threshold) -> DataFrame:
     prefix = F.col("n") - F.ceil(F.col("n") * at_least.num / F.lit(at_least.den)) + 1
     left = F.greatest(prefix - unique, F.lit(0)).cast("int")
     taken = ranked.select("class", "n", unique.alias("unique"), F.slice("common", F.lit(1), left).alias("taken"))
-    return taken.select("class", "n", "unique", F.posexplode("taken").alias("at", "member")).select(
-        F.col("member.gram").alias("gram"), "class", "n", (F.col("unique") + F.col("at") + 1).alias("place"), "unique"
+    taken = taken.join(sets.select("class", "ranges"), "class").withColumn("head", F.slice("taken.gram", 1, HEAD))
+    return taken.select("class", "n", "unique", "ranges", "head", F.posexplode("taken").alias("at", "member")).select(
+        F.col("member.gram").alias("gram"),
+        "class",
+        "n",
+        (F.col("unique") + F.col("at") + 1).alias("place"),
+        "unique",
+        "ranges",
+        "head",
     )
 
 
@@ -227,30 +240,34 @@ def similar_length(at_least: Threshold, a: Column, b: Column) -> Column:
     return F.least(a, b) * at_least.den >= F.greatest(a, b) * at_least.num
 
 
-def candidates(pairs: DataFrame, at_least: Threshold) -> DataFrame:
-    """Distinct pairs ``a, b, na, nb`` left by the positional filter.
+def possible(at_least: Threshold, x: str, y: str) -> Column:
+    """Whether two postings that meet on an n-gram are a pair to verify.
 
-    The first common n-gram of two prefixes bounds what the sets can share: nothing before it, and no more
-    than the shorter of the two rests from it on.
+    Before and after the n-gram, the sets can share no more than the shorter of their parts there
+    (positional filter); what their counts in ranges of the fingerprint differ in they cannot share
+    (suffix filter). A pair whose heads share an n-gram comes up on the first such one only.
     """
-    first = pairs.groupBy("a", "b").agg(
-        F.max("na").alias("na"), F.max("nb").alias("nb"), F.min("pa").alias("pa"), F.min("pb").alias("pb")
+    a, b = F.col(x), F.col(y)
+    total = a["n"] + b["n"]
+    needed = least_overlap(at_least, total)
+    most = F.least(a["place"], b["place"]) + F.least(a["n"] - a["place"], b["n"] - b["place"])
+    met = F.get(F.array_intersect(a["head"], b["head"]), F.lit(0))
+    apart = F.aggregate(
+        F.zip_with(a["ranges"], b["ranges"], lambda p, q: F.abs(p - q)), F.lit(0), lambda sum_, d: sum_ + d
+    )
+    return (
+        (a["class"] != b["class"])
+        & similar_length(at_least, a["n"], b["n"])
+        & (most >= needed)
+        & (apart <= total - 2 * needed)
+        & (met.isNull() | (met == F.col("gram")))
     )
-    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
-    return first.where(rest >= least_overlap(at_least, F.col("na") + F.col("nb"))).select("a", "b", "na", "nb")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, at_least: Threshold) -> DataFrame:
-    """The pairs that are similar, each checked once on whole sets after a suffix filter on their ranges."""
-    ranges = sets.select("class", "ranges")
-    a, b = ranges.toDF("a", "ra"), ranges.toDF("b", "rb")
-    apart = F.aggregate(F.zip_with("ra", "rb", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, x: total + x)
-    total = F.col("na") + F.col("nb")
-    close = (
-        pairs.join(a, "a").join(b, "b").where(apart <= total - 2 * least_overlap(at_least, total)).select("a", "b")
-    )
+    """The pairs ``a, b`` that are similar, each checked once on whole sets."""
     grams = sets.select("class", "grams")
-    both = close.join(grams.toDF("a", "ga"), "a").join(grams.toDF("b", "gb"), "b")
+    both = pairs.distinct().join(grams.toDF("a", "ga"), "a").join(grams.toDF("b", "gb"), "b")
     common = F.size(F.array_intersect("ga", "gb"))
     union = F.size("ga") + F.size("gb") - common
     return both.where(common * at_least.den >= union * at_least.num).select("a", "b")
@@ -259,15 +276,12 @@ def verified(pairs: DataFrame, sets: DataFrame, at_least: Threshold) -> DataFram
 def linked_classes(sets: DataFrame, at_least: Threshold) -> DataFrame:
     """``key, label``: components of the classes under all links between them."""
     found = stage(postings(sets, at_least), "prefixes")
+    row = F.struct("class", "n", "place", "ranges", "head")
     # The most common class of a group: the one with the fewest n-grams of its own.
-    hubs = found.groupBy("gram").agg(
-        F.min(F.struct("unique", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"))).alias("hub")
-    )
-    near = found.join(hubs, "gram").select(
-        F.col("class").alias("a"), F.col("hub.b"), F.col("n").alias("na"), F.col("hub.nb"), F.col("place").alias("pa"), F.col("hub.pb")
-    )
-    near = near.where((F.col("a") != F.col("b")) & similar_length(at_least, F.col("na"), F.col("nb")))
-    first = stage(verified(candidates(near, at_least), sets, at_least), "first-links")
+    hubs = found.groupBy("gram").agg(F.min(F.struct("unique", row.alias("row")))["row"].alias("y"))
+    stars = found.select("gram", row.alias("x")).join(hubs, "gram").where(possible(at_least, "x", "y"))
+    ends = [F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")]
+    first = stage(verified(stars.select(*ends), sets, at_least), "first-links")
     labels = stage(components(first), "first-components")
     grouped = stage(
         found.join(labels.withColumnRenamed("key", "class"), "class", "left").withColumn(
@@ -277,36 +291,15 @@ def linked_classes(sets: DataFrame, at_least: Threshold) -> DataFrame:
     )
     # Pairs across components: one side is outside its group's largest component or both are.
     sizes = grouped.groupBy("gram", "label").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("gram").agg(
-        F.max(F.struct("size", "label")).alias("most"), F.count("*").alias("parts")
-    ).where("parts > 1")
-    mixed = grouped.join(largest.select("gram", F.col("most.label").alias("main")), "gram")
-    left = mixed.where("label != main").select(
-        "gram", F.col("class").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("label").alias("la")
-    )
-    right = mixed.select(
-        "gram",
-        F.col("class").alias("b"),
-        F.col("n").alias("nb"),
-        F.col("place").alias("pb"),
-        F.col("label").alias("lb"),
-        "main",
-    )
-    across = left.join(right, "gram").where(
-        (F.col("la") != F.col("lb"))
-        & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b")))
-        & similar_length(at_least, F.col("na"), F.col("nb"))
-    )
-    ordered = across.select(
-        F.least("a", "b").alias("a"),
-        F.greatest("a", "b").alias("b"),
-        F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
-        F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"),
-        F.when(F.col("a") < F.col("b"), F.col("pa")).otherwise(F.col("pb")).alias("pa"),
-        F.when(F.col("a") < F.col("b"), F.col("pb")).otherwise(F.col("pa")).alias("pb"),
-    )
-    rest = verified(candidates(ordered, at_least), sets, at_least)
-    return components(first.unionByName(rest))
+    largest = sizes.groupBy("gram").agg(F.max(F.struct("size", "label")).alias("most"), F.count("*").alias("parts"))
+    mixed = grouped.join(largest.where("parts > 1").select("gram", F.col("most.label").alias("main")), "gram")
+    left = mixed.where("label != main").select("gram", row.alias("x"), F.col("label").alias("la"))
+    right = mixed.select("gram", row.alias("y"), F.col("label").alias("lb"), "main")
+    once = (F.col("lb") == F.col("main")) | (F.col("x.class") < F.col("y.class"))
+    across = left.join(right, "gram").where((F.col("la") != F.col("lb")) & once & possible(at_least, "x", "y"))
+    # A pair that meets in a group of another component may have met its hub before: it is not verified twice.
+    rest = across.select(*ends).join(first, ["a", "b"], "left_anti")
+    return components(first.unionByName(verified(rest, sets, at_least)))
 
 
 def near_duplicates(
