@@ -25,7 +25,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = run_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -40,7 +42,6 @@ def discard(spark: SparkSession, path: str) -> None:
 
 
 def release(*staged: DataFrame) -> None:
-    """Remove staged tables that no later result reads."""
+    """Remove staged tables, as ``stage`` returned them, that no later result reads."""
     for df in staged:
-        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-            discard(df.sparkSession, folder)
+        discard(df.sparkSession, df.staged_at)
