@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.session import tune
-from wardline.workspace import stage
+from wardline.workspace import release, stage
 
 # The marks of a turn, and control strings of common chat templates.
 TURN_BEGIN = "<|im_start|>"
@@ -110,7 +110,9 @@ def reply_paths(nodes: DataFrame, best: int | None = 1) -> DataFrame:
         above = jump.where(F.col("up").isNotNull()).select(F.col(TREE).alias("t"), F.col(NODE).alias("p"), "up")
         higher = members.join(above, same_tree & (F.col(NODE) == F.col("p")))
         more = members.unionByName(higher.select(TREE, "leaf_id", "path_score", "rank", F.col("up").alias(NODE)))
-        members = stage(more, "reply-members")
+        before, members = members, stage(more, "reply-members")
+        release(before)
+    release(*pointers[:-1])
     places = reached.select(F.col(TREE).alias("t"), F.col(NODE).alias("p"), "depth")
     return members.join(places, same_tree & (F.col(NODE) == F.col("p"))).drop("t", "p")
 

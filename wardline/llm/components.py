@@ -14,7 +14,8 @@ def components(links: DataFrame) -> DataFrame:
     Each round moves every link of a key to the smallest key around it, first from the larger side,
     then from the smaller; stars are left after a number of rounds in the order of the logarithm of the
     longest chain. A key with very many links meets its smallest neighbour in a join that Spark can
-    split, and never has its links collected. Rounds are written tables, so a lost executor costs no more than the round.
+    split, and never has its links collected. Rounds and result are
+    written tables, so a lost executor costs no more than the round.
     """
     now = stage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "links")
     before = None
@@ -39,7 +40,9 @@ def components(links: DataFrame) -> DataFrame:
         now = after
     labels = now.groupBy("a").agg(F.min("b").alias("label")).select(F.col("a").alias("key"), "label")
     roots = now.select(F.col("b").alias("key")).distinct().join(labels, "key", "left_anti")
-    return labels.unionByName(roots.select("key", F.col("key").alias("label")))
+    found = stage(labels.unionByName(roots.select("key", F.col("key").alias("label"))), "components")
+    release(now)
+    return found
 
 
 def summary(links: DataFrame) -> tuple:

@@ -27,7 +27,7 @@ from wardline.llm.components import components
 from wardline.llm.phrase_index import dealt, fold, index_blocks, unpack_codes, unpack_owners
 from wardline.llm.python_tasks import prepare
 from wardline.llm.words import NOT_BLANK, Words, blocks, mix, windows, words_of
-from wardline.workspace import stage
+from wardline.workspace import release, stage
 
 BLOCK_BYTES = 8 << 20
 #: Parts of the fingerprint range that a set is counted in for the suffix filter.
@@ -282,7 +282,7 @@ def linked_classes(sets: DataFrame, at_least: Threshold) -> DataFrame:
     stars = found.select("gram", row.alias("x")).join(hubs, "gram").where(possible(at_least, "x", "y"))
     ends = [F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")]
     first = stage(verified(stars.select(*ends), sets, at_least), "first-links")
-    labels = stage(components(first), "first-components")
+    labels = components(first)
     grouped = stage(
         found.join(labels.withColumnRenamed("key", "class"), "class", "left").withColumn(
             "label", F.coalesce("label", "class")
@@ -299,7 +299,9 @@ def linked_classes(sets: DataFrame, at_least: Threshold) -> DataFrame:
     across = left.join(right, "gram").where((F.col("la") != F.col("lb")) & once & possible(at_least, "x", "y"))
     # A pair that meets in a group of another component may have met its hub before: it is not verified twice.
     rest = across.select(*ends).join(first, ["a", "b"], "left_anti")
-    return components(first.unionByName(verified(rest, sets, at_least)))
+    linked = components(first.unionByName(verified(rest, sets, at_least)))
+    release(found, first, labels, grouped)
+    return linked
 
 
 def near_duplicates(
@@ -339,7 +341,7 @@ def near_duplicates(
     needed = F.least(smallest - F.ceil(smallest * num / F.lit(den)) + 1, smallest)
     chosen = groups.join(shared, "class").where(F.col("shared") >= needed).select("class", "first_id")
     sets = stage(whole_sets(rows, chosen, size), "sets")
-    labels = stage(linked_classes(sets, at_least), "class-components")
+    labels = linked_classes(sets, at_least)
     linked = groups.join(labels.withColumnRenamed("key", "class"), "class")
     ids = linked.groupBy("label").agg(F.min("first_id").alias("component_id"))
     linked = linked.join(ids, "label").select("class", "check", "component_id")
@@ -348,6 +350,7 @@ def near_duplicates(
     )
     # Written, so that the last join deals out both sides itself and can split a frequent set's rows.
     classes = stage(classes, "classes")
+    release(sets, labels)
     return found.join(classes, ["class", "check"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
