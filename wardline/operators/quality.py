@@ -51,7 +51,7 @@ class Rules:
     domains: dict[str, tuple[str, ...]]
     required: tuple[str, ...] = ()
     lengths: dict[str, int] = None
-    unique: tuple[str, ...] = ()
+    unique: tuple[str | tuple[str, ...], ...] = ()
 
 
 # Allowed values, declared lengths, required and unique columns (fixed values).
@@ -177,6 +177,12 @@ CONSTRAINTS: dict[str, Rules] = {
     "collections": Rules(
         {"CollectionStatus": ("ACTIVE", "RECOVERED", "WRITTEN_OFF", "RECALLED")}, ("InvoiceID",), {}, ("CollectionID",)
     ),
+    "chargemaster": Rules(
+        {},
+        ("ChargeCode", "ChargeDescription", "StandardCharge", "EffectiveDate"),
+        {"ChargeCode": 20, "ChargeDescription": 500},
+        (("ChargeCode", "EffectiveDate"),),
+    ),
     "rooms": Rules(
         {"RoomType": ("EXAM", "OR", "PROCEDURE", "IMAGING", "CONFERENCE", "OFFICE", "ICU", "NICU", "ED_BAY")},
         ("RoomNumber",),
@@ -215,9 +221,11 @@ CONSTRAINTS: dict[str, Rules] = {
 
 
 def check_constraints(df: DataFrame, table: str, rules: Rules) -> DataFrame:
-    """Violations per rule: allowed values, required columns, lengths (one pass) and duplicate keys.
+    """Violations per rule: allowed values, required columns, lengths (one pass) and duplicate keys (another).
 
-    A null passes the allowed-value rule, as a check constraint does.
+    A null passes the allowed-value rule, as a check constraint does. A unique key may have several
+    columns; rows with a null in it are not compared. All keys of a table are folded as
+    (key, value) pairs, so the table is read once for them.
     """
     tests: dict[tuple[str, str], Column] = {}
     for name, allowed in rules.domains.items():
@@ -235,15 +243,51 @@ def check_constraints(df: DataFrame, table: str, rules: Rules) -> DataFrame:
         ]
     )
     single = counted.select(F.explode(entries).alias("_v")).select("_v.*")
-    repeated = [
-        df.filter(c(name).isNotNull())
-        .groupBy(name)
-        .agg(F.count("*").alias("n"))
-        .agg(F.coalesce(F.sum(c("n") - 1), F.lit(0)).alias("Violations"))
-        .select(F.lit("UNIQUE").alias("Rule"), F.lit(name).alias("ColumnName"), "Violations")
-        for name in rules.unique
+    keys = {key if isinstance(key, str) else "+".join(key): [key] if isinstance(key, str) else list(key) for key in rules.unique}
+    if not keys:
+        return single.select(F.lit(table).alias("TableName"), "*")
+    values = [
+        F.struct(F.lit(label).alias("ColumnName"), F.when(_none_null(names), F.to_json(F.struct(*names))).alias("v"))
+        for label, names in keys.items()
+    ]
+    held = df.select(F.explode(F.array(*values)).alias("_v")).select("_v.*").filter(c("v").isNotNull()).groupBy("ColumnName", "v")
+    repeated = held.agg((F.count("*") - 1).alias("Violations")).select(F.lit("UNIQUE").alias("Rule"), "ColumnName", "Violations")
+    listed = counted.select(
+        F.explode(F.array(*[F.struct(F.lit("UNIQUE").alias("Rule"), F.lit(k).alias("ColumnName"), F.lit(0).cast("long").alias("Violations")) for k in keys])).alias("_v")
+    ).select("_v.*")
+    unique = listed.unionByName(repeated).groupBy("Rule", "ColumnName").agg(F.sum("Violations").alias("Violations"))
+    return single.unionByName(unique).select(F.lit(table).alias("TableName"), "*")
+
+
+def _none_null(names: list[str]) -> Column:
+    found = F.lit(True)
+    for name in names:
+        found = found & c(name).isNotNull()
+    return found
+
+
+def all_orphans(tables: dict[str, DataFrame], references: list[tuple[str, str, str, str]]) -> DataFrame:
+    """Keys without a parent row over many references ``(child, column, parent, column)``, with how many rows use each.
+
+    Each child table is read once: its references are stacked as (reference, key) pairs and folded. So are
+    the parents' keys, and one join finds what is missing.
+    """
+    by_child: dict[str, list[tuple[str, str, str]]] = {}
+    for child, column, parent, key in references:
+        by_child.setdefault(child, []).append((column, f"{parent}.{key}", f"{child}.{column}"))
+    parts = []
+    for child, found in by_child.items():
+        pairs = [
+            F.struct(F.lit(label).alias("Reference"), F.lit(parent).alias("_parent"), c(column).cast("string").alias("Key"))
+            for column, parent, label in found
+        ]
+        stacked = tables[child].select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*").filter(c("Key").isNotNull())
+        parts.append(stacked.groupBy("Reference", "_parent", "Key").agg(F.count("*").alias("Rows")))
+    parents = [
+        tables[parent].select(F.lit(f"{parent}.{key}").alias("_parent"), c(key).cast("string").alias("Key"))
+        for parent, key in dict.fromkeys((parent, key) for _, _, parent, key in references)
     ]
-    return union_all([single, *repeated]).select(F.lit(table).alias("TableName"), "*")
+    return union_all(parts).join(union_all(parents), ["_parent", "Key"], "left_anti").select("Reference", "Key", "Rows")
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, reference: str) -> DataFrame:

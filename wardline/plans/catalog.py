@@ -333,26 +333,47 @@ def constraint_violations(t: Tables) -> DataFrame:
     return union_all([quality.check_constraints(t[n], n, rules) for n, rules in checked.items()])
 
 
-# (child table, child key, parent table, parent key)
+# Declared references, and those across databases: (child table, child key, parent table, parent key).
 REFERENCES = [
+    ("patients", "PrimaryInsuranceID", "insurers", "InsuranceProviderID"),
+    ("physicians", "DepartmentID", "departments", "DepartmentID"),
     ("encounters", "PatientID", "patients", "PatientID"),
     ("encounters", "AttendingPhysicianID", "physicians", "PhysicianID"),
     ("encounters", "DepartmentID", "departments", "DepartmentID"),
-    ("patients", "PrimaryInsuranceID", "insurers", "InsuranceProviderID"),
+    ("orders", "EncounterID", "encounters", "EncounterID"),
+    ("orders", "PatientID", "patients", "PatientID"),
+    ("orders", "OrderingPhysicianID", "physicians", "PhysicianID"),
+    ("medications", "EncounterID", "encounters", "EncounterID"),
+    ("medications", "PatientID", "patients", "PatientID"),
+    ("medications", "PrescribingPhysicianID", "physicians", "PhysicianID"),
+    ("lab_results", "EncounterID", "encounters", "EncounterID"),
+    ("lab_results", "PatientID", "patients", "PatientID"),
+    ("radiology_studies", "OrderID", "orders", "OrderID"),
+    ("radiology_studies", "EncounterID", "encounters", "EncounterID"),
+    ("radiology_studies", "PatientID", "patients", "PatientID"),
+    ("diagnoses", "EncounterID", "encounters", "EncounterID"),
+    ("diagnoses", "PatientID", "patients", "PatientID"),
+    ("procedures", "EncounterID", "encounters", "EncounterID"),
+    ("procedures", "PatientID", "patients", "PatientID"),
+    ("procedures", "PerformingPhysicianID", "physicians", "PhysicianID"),
+    ("vitals", "EncounterID", "encounters", "EncounterID"),
+    ("vitals", "PatientID", "patients", "PatientID"),
+    ("clinical_notes", "EncounterID", "encounters", "EncounterID"),
+    ("clinical_notes", "AuthorID", "physicians", "PhysicianID"),
+    ("allergies", "PatientID", "patients", "PatientID"),
     ("billing_charges", "EncounterID", "encounters_after", "EncounterID"),
     ("billing_charges", "ChargeCode", "chargemaster", "ChargeCode"),
     ("collections", "InvoiceID", "invoices", "InvoiceID"),
     ("payments", "ClaimID", "insurance_claims", "ClaimID"),
     ("appointments", "PatientID", "patients", "PatientID"),
     ("room_assignments", "RoomID", "rooms", "RoomID"),
+    ("room_assignments", "EncounterID", "encounters_after", "EncounterID"),
 ]
 
 
 @query
 def orphan_keys(t: Tables) -> DataFrame:
-    return union_all(
-        [quality.orphans(t[a], t[b], x, y, f"{a}.{x}") for a, x, b, y in REFERENCES]
-    )
+    return quality.all_orphans({n: t[n] for n in dict.fromkeys([r[0] for r in REFERENCES] + [r[2] for r in REFERENCES])}, REFERENCES)
 
 
 @query

@@ -2,16 +2,16 @@
 
 import re
 
-from wardline.functions.clinical import (
+from wardline.plans.oracle.constants import (
     BMI_BANDS,
     BMI_TOP_BAND,
+    CONSTRAINTS,
     DOSAGE_FORMS,
     ICD_CHAPTER_MAX,
     ICD_STRICT,
     SALT_SUFFIXES,
     STRENGTHS,
 )
-from wardline.operators.quality import CONSTRAINTS
 from wardline.plans.oracle.reports import AGE, NOW
 from wardline.sources.shapes import PROFILED, SHAPES
 
@@ -28,28 +28,54 @@ _SAME = " AND ".join(f"o.{n} IS NOT DISTINCT FROM n.{n}" for n in _DIFF_COLUMNS)
 
 def _violations() -> str:
     parts = []
-    for table, rules in CONSTRAINTS.items():
+    for table, (domains, required, lengths, unique) in CONSTRAINTS.items():
         if table not in SHAPES:
             continue
-        tests = [("DOMAIN", n, f"{n} NOT IN ({', '.join(repr(v) for v in allowed)})") for n, allowed in rules.domains.items()]
-        tests += [("REQUIRED", n, f"{n} IS NULL") for n in rules.required]
-        tests += [("LENGTH", n, f"length({n}) > {limit}") for n, limit in (rules.lengths or {}).items()]
+        tests = [("DOMAIN", n, f"{n} NOT IN ({', '.join(repr(v) for v in allowed)})") for n, allowed in domains.items()]
+        tests += [("REQUIRED", n, f"{n} IS NULL") for n in required]
+        tests += [("LENGTH", n, f"length({n}) > {limit}") for n, limit in lengths.items()]
         parts += [f"SELECT '{table}' AS TableName, '{r}' AS Rule, '{n}' AS ColumnName, COUNT(*) FILTER (WHERE {t}) AS Violations FROM h_{table}" for r, n, t in tests]
-        parts += [f"SELECT '{table}', 'UNIQUE', '{n}', COUNT({n}) - COUNT(DISTINCT {n}) FROM h_{table}" for n in rules.unique]
+        for key in unique:
+            names = [key] if isinstance(key, str) else list(key)
+            there = " AND ".join(f"{n} IS NOT NULL" for n in names)
+            parts.append(f"SELECT '{table}', 'UNIQUE', '{'+'.join(names)}', COUNT(*) FILTER (WHERE {there}) - COUNT(DISTINCT ({', '.join(names)})) FILTER (WHERE {there}) FROM h_{table}")
     return " UNION ALL ".join(parts)
 
 
 _REFERENCES = [
+    ("patients", "PrimaryInsuranceID", "insurers", "InsuranceProviderID"),
+    ("physicians", "DepartmentID", "departments", "DepartmentID"),
     ("encounters", "PatientID", "patients", "PatientID"),
     ("encounters", "AttendingPhysicianID", "physicians", "PhysicianID"),
     ("encounters", "DepartmentID", "departments", "DepartmentID"),
-    ("patients", "PrimaryInsuranceID", "insurers", "InsuranceProviderID"),
+    ("orders", "EncounterID", "encounters", "EncounterID"),
+    ("orders", "PatientID", "patients", "PatientID"),
+    ("orders", "OrderingPhysicianID", "physicians", "PhysicianID"),
+    ("medications", "EncounterID", "encounters", "EncounterID"),
+    ("medications", "PatientID", "patients", "PatientID"),
+    ("medications", "PrescribingPhysicianID", "physicians", "PhysicianID"),
+    ("lab_results", "EncounterID", "encounters", "EncounterID"),
+    ("lab_results", "PatientID", "patients", "PatientID"),
+    ("radiology_studies", "OrderID", "orders", "OrderID"),
+    ("radiology_studies", "EncounterID", "encounters", "EncounterID"),
+    ("radiology_studies", "PatientID", "patients", "PatientID"),
+    ("diagnoses", "EncounterID", "encounters", "EncounterID"),
+    ("diagnoses", "PatientID", "patients", "PatientID"),
+    ("procedures", "EncounterID", "encounters", "EncounterID"),
+    ("procedures", "PatientID", "patients", "PatientID"),
+    ("procedures", "PerformingPhysicianID", "physicians", "PhysicianID"),
+    ("vitals", "EncounterID", "encounters", "EncounterID"),
+    ("vitals", "PatientID", "patients", "PatientID"),
+    ("clinical_notes", "EncounterID", "encounters", "EncounterID"),
+    ("clinical_notes", "AuthorID", "physicians", "PhysicianID"),
+    ("allergies", "PatientID", "patients", "PatientID"),
     ("billing_charges", "EncounterID", "encounters_after", "EncounterID"),
     ("billing_charges", "ChargeCode", "chargemaster", "ChargeCode"),
     ("collections", "InvoiceID", "invoices", "InvoiceID"),
     ("payments", "ClaimID", "insurance_claims", "ClaimID"),
     ("appointments", "PatientID", "patients", "PatientID"),
     ("room_assignments", "RoomID", "rooms", "RoomID"),
+    ("room_assignments", "EncounterID", "encounters_after", "EncounterID"),
 ]
 _ORPHANS = " UNION ALL ".join(
     f"SELECT '{a}.{x}' AS Reference, CAST({x} AS VARCHAR) AS Key, COUNT(*) AS Rows FROM h_{a} c WHERE {x} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM h_{b} p WHERE p.{y} = c.{x}) GROUP BY ALL"

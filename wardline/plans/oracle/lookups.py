@@ -1,6 +1,6 @@
 """Reference SQL for the lookups."""
 
-from wardline.functions.clinical import INTERACTIONS
+from wardline.plans.oracle.constants import INTERACTIONS
 from wardline.plans.oracle.reports import AGE, DOCTOR, NOW
 
 _PRIMARY = """dx AS (SELECT EncounterID, arg_min(ICDDescription, (DiagnosisID, ICDCode, ICDDescription)) AS t, arg_min(ICDCode, (DiagnosisID, ICDCode, ICDDescription)) AS code

@@ -90,7 +90,7 @@ FROM {{supplier}}""",
     "encounters": f"""
 SELECT o_orderkey AS EncounterID,
        CONCAT(CASE o_orderkey % 4 WHEN 0 THEN 'IP' WHEN 1 THEN 'OP' WHEN 2 THEN 'ER' ELSE 'OB' END, '-', {_ymd('o_orderdate')}, '-', {_pad('o_orderkey', 4)}) AS EncounterNumber,
-       o_custkey AS PatientID, {_TYPE} AS EncounterType,
+       CASE WHEN o_orderkey % 12 = 0 AND CAST(o_orderdate AS DATE) >= DATE '2001-03-01' THEN o_custkey % 20 ELSE o_custkey END AS PatientID, {_TYPE} AS EncounterType,
        CASE o_orderstatus WHEN 'O' THEN 'ACTIVE' WHEN 'F' THEN 'DISCHARGED' ELSE 'CANCELLED' END AS EncounterStatus,
        o_orderdate + ((o_orderkey * 7) % 1440) * INTERVAL '1' MINUTE AS AdmitDate,
        CASE WHEN o_orderstatus = 'F' THEN o_orderdate + (o_orderkey % 12) * INTERVAL '1' DAY
@@ -108,7 +108,7 @@ SELECT {_LINE_ID} AS OrderID, l_orderkey AS EncounterID, o_custkey AS PatientID,
        CONCAT('T', CAST(l_partkey % 40 AS STRING)) AS OrderCode, CONCAT('Test ', CAST(l_partkey AS STRING)) AS OrderDescription,
        CASE WHEN l_partkey % 8 = 0 THEN 'STAT' ELSE 'ROUTINE' END AS OrderPriority,
        CASE WHEN l_partkey % 8 = 0 THEN 1 ELSE 0 END AS IsStatOrder, l_suppkey AS OrderingPhysicianID,
-       l_shipdate + (l_partkey % 1440) * INTERVAL '1' MINUTE AS OrderDate,
+       o_orderdate + ((o_orderkey * 7) % 1440 + 5 + l_partkey % 900) * INTERVAL '1' MINUTE AS OrderDate,
        CASE l_returnflag WHEN 'N' THEN 'ORDERED' WHEN 'A' THEN 'COMPLETED' ELSE CASE WHEN l_linestatus = 'O' THEN 'IN_PROGRESS' ELSE 'CANCELLED' END END AS OrderStatus
 FROM {_LINES}""",
     "medications": f"""
@@ -159,9 +159,9 @@ SELECT {_LINE_ID} AS ProcedureID, l_orderkey AS EncounterID, o_custkey AS Patien
        CASE WHEN l_linestatus = 'F' THEN 'COMPLETED' ELSE 'SCHEDULED' END AS ProcedureStatus, CAST(l_extendedprice AS DECIMAL(10,2)) AS ChargeAmount
 FROM {_LINES}""",
     "radiology_studies": f"""
-SELECT {_LINE_ID} AS StudyID, {_LINE_ID} AS OrderID, l_orderkey AS EncounterID, o_custkey AS PatientID,
+SELECT {_LINE_ID} AS StudyID, {_LINE_ID} AS OrderID, l_orderkey AS EncounterID, CASE WHEN l_partkey % 23 = 0 THEN NULL ELSE o_custkey END AS PatientID,
        CASE l_partkey % 3 WHEN 0 THEN 'XRAY' WHEN 1 THEN 'CT' ELSE 'MRI' END AS Modality, l_shipdate AS StudyDate,
-       CASE WHEN l_returnflag = 'N' THEN 'SCHEDULED' ELSE 'COMPLETED' END AS StudyStatus
+       CASE WHEN l_partkey % 37 = 0 THEN 'LOST' WHEN l_returnflag = 'N' THEN 'SCHEDULED' ELSE 'COMPLETED' END AS StudyStatus
 FROM {_LINES} WHERE l_linenumber % 4 = 0""",
     "vitals": f"""
 SELECT {_LINE_ID} AS VitalID, l_orderkey AS EncounterID, o_custkey AS PatientID,
