@@ -174,3 +174,36 @@ def test_date_filters_and_columns_reach_the_scan(spark, tables):
     assert "LessThan(SubmittedDate,2001-07-06T00:00)" in plan and "EqualTo(ClaimStatus,SUBMITTED)" in plan
     plan = scan_of(management.readmission_rate(visits, CLOCK))
     assert "GreaterThanOrEqual(AdmitDate,2001-04-21T10:30)" in plan and "WindowGroupLimit" in plan
+
+
+def scans(plan):
+    return plan.count("Scan parquet")
+
+
+def test_each_child_is_read_once_for_all_its_references(spark, folder):
+    from wardline.operators import quality
+    from wardline.plans.catalog import REFERENCES
+
+    tables = {n: stage(Tables(spark, folder)[n], "t") for n in dict.fromkeys([r[0] for r in REFERENCES] + [r[2] for r in REFERENCES])}
+    plan = scan_of(quality.all_orphans(tables, REFERENCES))
+    children = {r[0] for r in REFERENCES}
+    parents = {(r[2], r[3]) for r in REFERENCES}
+    # The formatted plan names each scan twice: in the tree and in its details.
+    assert scans(plan) <= 2 * (len(children) + len(parents))
+
+
+def test_unique_keys_of_a_table_are_read_once(spark, folder):
+    from wardline.operators import quality
+
+    visits = stage(Tables(spark, folder)["encounters"], "t")
+    plan = scan_of(quality.check_constraints(visits, "encounters", quality.CONSTRAINTS["encounters"]))
+    assert scans(plan) <= 2 * 3  # single-row rules, the keys, and the list of keys
+
+
+def test_archive_counts_read_each_child_once(spark, folder):
+    from wardline.operators import retention
+
+    tables = Tables(spark, folder)
+    children = {n: stage(tables[n], "t") for n in ("orders", "vitals", "diagnoses")}
+    plan = scan_of(retention.archive_counts(stage(tables["encounters"], "t"), children, CLOCK, 36))
+    assert scans(plan) <= 2 * (len(children) + 1)

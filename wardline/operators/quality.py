@@ -287,7 +287,10 @@ def all_orphans(tables: dict[str, DataFrame], references: list[tuple[str, str, s
         tables[parent].select(F.lit(f"{parent}.{key}").alias("_parent"), c(key).cast("string").alias("Key"))
         for parent, key in dict.fromkeys((parent, key) for _, _, parent, key in references)
     ]
-    return union_all(parts).join(union_all(parents), ["_parent", "Key"], "left_anti").select("Reference", "Key", "Rows")
+    there = union_all(parents).distinct().withColumn("_there", F.lit(True))
+    # An anti join would be moved into every part of the union, and read the parents once for each.
+    found = union_all(parts).join(there, ["_parent", "Key"], "left")
+    return found.filter(c("_there").isNull()).select("Reference", "Key", "Rows")
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, reference: str) -> DataFrame:
