@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.python_tasks import prepare
@@ -261,15 +261,12 @@ def train(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull())
     counts = known.groupBy(F.col(lang).alias("lang")).count()
     langs = [r["lang"] for r in counts.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
-    keys = known.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"))
     if not langs:
         return Crf([], np.zeros((FEATURES, 0)), np.zeros((0, 0)))
-    parts = [
-        keys.where(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS) for name in langs
-    ]
-    chosen = parts[0]
-    for part in parts[1:]:
-        chosen = chosen.unionByName(part)
+    keys = known.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang")).where(F.col("lang").isin(langs))
+    # Spark trims each language to its first rows before the shuffle.
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = keys.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_DOCUMENTS).drop("place")
     texts = known.select(
         F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.substring(F.col(text), 1, SAMPLE_BYTES // 4).alias("text")
     )
