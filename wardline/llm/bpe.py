@@ -163,13 +163,15 @@ class ByteBpe:
             return self.merge_long(fragment)
         rank, none = self.ranks.get, len(self.ranks)
         parts = [fragment[i : i + 1] for i in range(len(fragment))]
-        while len(parts) > 1:
-            found = [rank(pair, none) for pair in zip(parts, parts[1:])]
-            best = min(found)
-            if best == none:
-                break
-            at = found.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        ranks = [rank(pair, none) for pair in zip(parts, parts[1:])]
+        while ranks and (best := min(ranks)) != none:
+            at = ranks.index(best)
+            parts[at] = joined = parts[at] + parts.pop(at + 1)
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank((joined, parts[at + 1]), none)
+            if at:
+                ranks[at - 1] = rank((parts[at - 1], joined), none)
         return [self.ids[p] for p in parts]
 
     def merge_long(self, fragment: bytes) -> list[int]:
