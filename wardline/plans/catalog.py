@@ -22,6 +22,7 @@ from wardline.operators import management_reports as management
 from wardline.operators.rows import union_all
 from wardline.plans.nightly import BillingTables, after_run, nightly_billing
 from wardline.session import tune
+from wardline.sources.catalog import appointments_on, literal_rows
 from wardline.sources.shapes import PROFILED, SHAPES, Tables
 from wardline.streaming import broker
 from wardline.workspace import run_dir
@@ -318,6 +319,17 @@ def purge_split_counts(t: Tables) -> DataFrame:
 
 
 register(retention.sync_chargemaster, "chargemaster")
+
+
+@query
+def literal_appointments(t: Tables) -> DataFrame:
+    """Two lists of literal appointments for patients given by record number, one of them unknown."""
+    columns = "MRN string, DayOffset int, AppointmentType string"
+    first = literal_rows(t.spark, [("MRN-000001", 1, "CONSULT"), ("MRN-000002", 3, "FOLLOW_UP"), ("MRN-999999", 3, "CONSULT")], columns)
+    second = literal_rows(t.spark, [("MRN-000002", -2, "PROCEDURE"), ("MRN-000007", 0, "CONSULT")], columns)
+    return appointments_on(union_all([first, second]), t["patients"], CLOCK)
+
+
 register(retention.appointment_extract, "appointments", "patients", "rooms")
 
 

@@ -211,6 +211,8 @@ def _sides(table: str, label: str, moved: str, kept: str, condition: str) -> str
 
 SQL.update({
     "archive_dry_run": f"WITH {_OLD} SELECT *, 'WOULD_ARCHIVE' AS ArchiveStatus FROM old",
+    "literal_appointments": f"""SELECT v.AppointmentType, p.PatientID, {TODAY} + v.DayOffset AS AppointmentDate FROM h_patients p JOIN (VALUES ('MRN-000001', 1, 'CONSULT'), ('MRN-000002', 3, 'FOLLOW_UP'),
+       ('MRN-999999', 3, 'CONSULT'), ('MRN-000002', -2, 'PROCEDURE'), ('MRN-000007', 0, 'CONSULT')) AS v(MRN, DayOffset, AppointmentType) USING (MRN)""",
     "archive_oldest_500": f"WITH {_OLD} SELECT *, 'WOULD_ARCHIVE' AS ArchiveStatus FROM (SELECT EncounterID, PatientID, AdmitDate FROM h_encounters WHERE EncounterID IN (SELECT EncounterID FROM old) ORDER BY DischargeDate, EncounterID LIMIT 500)",
     "archive_marked": f"WITH {_OLD} SELECT * REPLACE (CASE WHEN EncounterID IN (SELECT EncounterID FROM old) THEN 'ARCHIVED' ELSE EncounterStatus END AS EncounterStatus), CASE WHEN EncounterID IN (SELECT EncounterID FROM old) THEN TIMESTAMP '2001-07-20 10:30:00' END AS ModifiedDate FROM h_encounters",
     "archive_summary": f"WITH {_OLD} SELECT 'ARCHIVED' AS ArchiveStatus, COUNT(*) AS RecordCount FROM old",

@@ -38,8 +38,15 @@ def profile_schema(spark: SparkSession, schema: str, exact: bool = False) -> Dat
 
 
 def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType) -> DataFrame:
-    """A small table from literal rows."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small table from literal rows, as constants of the plan."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    if not (listed := list(rows)):
+        return spark.createDataFrame([], T.StructType(fields))
+    entries = [
+        F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(row, fields, strict=True)])
+        for row in listed
+    ]
+    return spark.range(1).select(F.inline(F.array(*entries)))
 
 
 def add_derived_columns(table: str, df: DataFrame) -> DataFrame:
