@@ -26,10 +26,10 @@ SAMPLE_DOCUMENTS = 5_000
 SAMPLE_BYTES = 20_000
 #: A word or beginning is a feature if toxic documents hold it more often than chance would have it, by so
 #: many standard deviations. The many words that merely happen to be rare are left out.
-LEAST_EXCESS = 6.0
+LEAST_EXCESS = 5.0
 STEPS = 200
 RATE = 0.2
-DECAY = 1e-5
+DECAY = 1e-4
 
 BLOCK_BYTES = 8 << 20
 
