@@ -34,7 +34,7 @@ LATER = re.compile(f"[\\u{FIRST_LATER:04x}-\U0010ffff]")
 
 #: Pre-tokens longer than this are not remembered, and no more than so many are.
 LONGEST_KEPT = 64
-MOST_KEPT = 1_000_000
+MOST_KEPT = 400_000
 #: Fragments longer than this are merged with a heap instead of scanning their pairs again after each merge.
 LONGEST_SCANNED = 32
 
@@ -263,7 +263,7 @@ def read_file(path: str) -> str:
         return file.read()
 
 
-def slices(batch: pa.RecordBatch, text: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in parts of a few MB of text, so that what is made from it stays small."""
     sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
     begin = size = 0

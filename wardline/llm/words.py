@@ -24,7 +24,7 @@ ALNUM[0x30:0x3A] = ALNUM[0x41:0x5B] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _STEP = np.uint64(0xD1342543DE82EF95)
 _BYTES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
