@@ -39,7 +39,13 @@ def test_components_of_random_links(spark):
     found = components.components(spark.createDataFrame(links, "a long, b long"))
     keys = {k for a, b in links if a != b for k in (a, b)}
     assert sorted_rows(found, "key", "label") == sorted(linked(keys, [x for x in links if x[0] != x[1]]).items(), key=repr)
-    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    none = spark.createDataFrame([], "a long, b long")
+    assert components.components(none).count() == 0
+    # The same links in two parts.
+    labels = components.components(spark.createDataFrame(links[::2], "a long, b long"))
+    again = components.joined(labels, spark.createDataFrame(links[1::2], "a long, b long"))
+    assert sorted_rows(again, "key", "label") == sorted_rows(found, "key", "label")
+    assert sorted_rows(components.joined(labels, none), "key", "label") == sorted_rows(labels, "key", "label")
 
 
 def test_packed_fingerprints_come_back():

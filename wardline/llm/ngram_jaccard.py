@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.components import components
+from wardline.llm.components import components, joined
 from wardline.llm.phrase_index import dealt, fold, index_blocks, unpack_codes, unpack_owners
 from wardline.llm.python_tasks import prepare
 from wardline.llm.words import NOT_BLANK, Words, blocks, mix, windows, words_of
@@ -299,7 +299,7 @@ def linked_classes(sets: DataFrame, at_least: Threshold) -> DataFrame:
     across = left.join(right, "gram").where((F.col("la") != F.col("lb")) & once & possible(at_least, "x", "y"))
     # A pair that meets in a group of another component may have met its hub before: it is not verified twice.
     rest = across.select(*ends).join(first, ["a", "b"], "left_anti")
-    linked = components(first.unionByName(verified(rest, sets, at_least)))
+    linked = joined(labels, verified(rest, sets, at_least))
     release(found, first, labels, grouped)
     return linked
 
