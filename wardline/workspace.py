@@ -15,9 +15,22 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/wardline-staging"
 
 
+_kept: set[str] = set()
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no earlier run has used.
+
+    All paths of an application lie in one folder, which is removed when its driver ends.
+    """
+    own = f"{shared_dir(spark).rstrip('/')}/wardline-{spark.sparkContext.applicationId}"
+    if own not in _kept:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(own)
+        system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)
+        _kept.add(own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
