@@ -244,6 +244,12 @@ def test_lines(spark, bits):
     assert line_dedup.remove_lines(no_documents(spark)).count() == 0
 
 
+def test_tables_without_repeated_lines(spark):
+    rows = [(k, prose(k)) for k in range(3)] + [(9, None), (10, "")]
+    found = line_dedup.remove_lines(documents(spark, rows))
+    assert sorted_rows(found, "doc_id", "n_removed", "kept") == sorted(((i, 0, t or "") for i, t in rows), key=repr)
+
+
 def test_layouts_find_the_same_lines(spark, monkeypatch):
     rows = line_rows(8)
     found = []
