@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardline.clock import Clock
 from wardline.functions.clinical import (
@@ -269,28 +270,47 @@ def _none_null(names: list[str]) -> Column:
 def all_orphans(tables: dict[str, DataFrame], references: list[tuple[str, str, str, str]]) -> DataFrame:
     """Keys without a parent row over many references ``(child, column, parent, column)``, with how many rows use each.
 
-    Each child table is read once: its references are stacked as (reference, key) pairs and folded. So are
-    the parents' keys, and one join finds what is missing.
+    Each child table is read once: its references are stacked as (reference, key) pairs and folded, whole
+    numbers as such. So are the parents' keys, and one join finds what is missing.
     """
-    by_child: dict[str, list[tuple[str, str, str]]] = {}
-    for child, column, parent, key in references:
-        by_child.setdefault(child, []).append((column, f"{parent}.{key}", f"{child}.{column}"))
     parts = []
-    for child, found in by_child.items():
-        pairs = [
-            F.struct(F.lit(label).alias("Reference"), F.lit(parent).alias("_parent"), c(column).cast("string").alias("Key"))
-            for column, parent, label in found
+    for whole in (True, False):
+        chosen = [
+            (i, r) for i, r in enumerate(references) if _whole(tables[r[0]], r[1]) & _whole(tables[r[2]], r[3]) == whole
         ]
-        stacked = tables[child].select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*").filter(c("Key").isNotNull())
-        parts.append(stacked.groupBy("Reference", "_parent", "Key").agg(F.count("*").alias("Rows")))
-    parents = [
-        tables[parent].select(F.lit(f"{parent}.{key}").alias("_parent"), c(key).cast("string").alias("Key"))
-        for parent, key in dict.fromkeys((parent, key) for _, _, parent, key in references)
+        if chosen:
+            parts.append(_missing(tables, chosen, "long" if whole else "string"))
+    labels = F.array(*[F.lit(f"{child}.{column}") for child, column, _, _ in references])
+    return union_all(parts).select(F.element_at(labels, c("_reference") + 1).alias("Reference"), "Key", "Rows")
+
+
+def _whole(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
+def _missing(tables: dict[str, DataFrame], references: list[tuple[int, tuple]], kind: str) -> DataFrame:
+    """``_reference, Key, Rows`` of the missing keys of references whose keys are all of one kind."""
+    parents = list(dict.fromkeys((parent, key) for _, (_, _, parent, key) in references))
+    children: dict[str, list[Column]] = {}
+    for number, (child, column, parent, key) in references:
+        entry = F.struct(
+            F.lit(number).alias("_reference"),
+            F.lit(parents.index((parent, key))).alias("_parent"),
+            c(column).cast(kind).alias("_key"),
+        )
+        children.setdefault(child, []).append(entry)
+    used = []
+    for child, entries in children.items():
+        stacked = tables[child].select(F.explode(F.array(*entries)).alias("_p")).select("_p.*").filter(c("_key").isNotNull())
+        used.append(stacked.groupBy("_reference", "_parent", "_key").agg(F.count("*").alias("Rows")))
+    known = [
+        tables[parent].select(F.lit(number).alias("_parent"), c(key).cast(kind).alias("_key"))
+        for number, (parent, key) in enumerate(parents)
     ]
-    there = union_all(parents).distinct().withColumn("_there", F.lit(True))
+    there = union_all(known).distinct().withColumn("_there", F.lit(True))
     # An anti join would be moved into every part of the union, and read the parents once for each.
-    found = union_all(parts).join(there, ["_parent", "Key"], "left")
-    return found.filter(c("_there").isNull()).select("Reference", "Key", "Rows")
+    found = union_all(used).join(there, ["_parent", "_key"], "left").filter(c("_there").isNull())
+    return found.select("_reference", c("_key").cast("string").alias("Key"), "Rows")
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, reference: str) -> DataFrame:
