@@ -269,6 +269,36 @@ def test_large_groups_of_a_key_are_whole(spark, monkeypatch):
     assert sorted_rows(found, "doc_id", "n_lines", "n_removed", "kept") == expected
 
 
+def edited_lines(seed=4):
+    """Documents with one line each: pairs of a line and a copy with one edit, by their length in words."""
+    pick, rows = random.Random(seed), []
+    for k in range(160):
+        words = prose(9000 + k, pick.choice([6, 12, 25, 45]), 1).split(" ")
+        other = list(words)
+        at = pick.randrange(len(words))
+        if k % 4 == 0:
+            other[at] = "changed"
+        elif k % 4 == 1:
+            other[at] = other[at][:-1] + "q"
+        elif k % 4 == 2:
+            other.insert(at, "more")
+        else:
+            del other[at]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    return rows
+
+
+def test_lines_linked_by_edit_similarity_alone(spark):
+    rows = edited_lines()
+    normal = [" ".join(re.findall(ALNUM, t.translate(LOWER))) for _, t in rows]
+    links = [(a, b) for b in range(len(rows)) for a in range(b) if line_dedup.similar(normal[a], normal[b], 80)]
+    groups = linked(range(len(rows)), links)
+    wanted = {rows[k][0] for k in range(len(rows)) if k != min(n for n in range(len(rows)) if groups[n] == groups[k])}
+    found = line_dedup.remove_lines(documents(spark, rows), bits=None)
+    removed = {r["doc_id"] for r in found.where("n_removed > 0").collect()}
+    assert removed <= wanted and len(removed) >= 0.97 * len(wanted) > 100
+
+
 # Decontamination
 
 

@@ -35,7 +35,7 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.remove_lines(table(spark, folder, "documents")).select(
+    return line_dedup.remove_lines(table(spark, folder, "documents"), bits=None).select(
         "doc_id", "n_lines", "n_removed", joined_digest(F.col("removed")).alias("removed_sha256"), F.sha2("kept", 256).alias("kept_sha256")
     )
 
