@@ -249,3 +249,21 @@ def test_language_of_odd_rows(spark, folder):
     assert {r["lang_pred"] for r in language_id.predict(documents(spark), nothing).collect()} == {"und"}
     one = language_id.fit(["abc def"], ["xx"])
     assert {r["lang_pred"] for r in language_id.predict(documents(spark, [(1, "abc")]), one).collect()} == {"xx"}
+
+
+def test_every_language_is_learned_from_the_whole_text(spark):
+    rows = []
+    for k in range(70):
+        pick = random.Random(k)
+        own = ["".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)]
+        for d in range(3 if k < 69 else 2):
+            words = " ".join(pick.choice(own) for _ in range(30))
+            # The words of the rarest language come late in its texts.
+            rows.append((10 * k + d, f"l{k:02}", "1 " * (3000 if k == 69 else 0) + words))
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = language_id.train(docs)
+    assert model.labels == [f"l{k:02}" for k in range(70)]
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(docs, model).collect()}
+    assert found == {i: lang for i, lang, _ in rows}
+    late = language_id.drawn_words(" ".join(f"w{chr(97 + k % 26)}" for k in range(6000)) + " end", 150)
+    assert len(late.split()) <= 150 and late.endswith("end")

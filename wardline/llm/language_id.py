@@ -22,9 +22,11 @@ from wardline.llm.words import LOWER, blocks, mix, span_codes, spans, text_bytes
 #: Bounds of the training sample: documents of each language, and words of each document.
 SAMPLE_DOCUMENTS = 400
 SAMPLE_WORDS = 150
-#: Bytes of a document that the sample's words are taken from; predictions read whole texts.
+#: Bytes of a document's words in the sample.
 SAMPLE_BYTES = 20_000
-MOST_LANGUAGES = 64
+#: Words of the sample times languages, which the memory of training follows; more languages get fewer words each, down to a least number.
+SAMPLE_CELLS = 1 << 23
+LEAST_DOCUMENTS, LEAST_WORDS = 8, 24
 
 FEATURES = 1 << 15
 CHAIN = 48
@@ -228,8 +230,8 @@ def fit(texts: list[str], langs: list[str]) -> Crf:
         moves = np.zeros((size, size))
         for t in range(steps - 2, -1, -1):
             ahead = potential[t + 1] * beta[t + 1]
-            pair = alpha[t][:, :, None] * step * ahead[:, None, :]
-            moves += (pair / pair.sum((1, 2), keepdims=True)).sum(0)
+            whole = ((alpha[t] @ step) * ahead).sum(1, keepdims=True)
+            moves += step * ((alpha[t] / whole).T @ ahead)
             moved = ahead @ step.T
             beta[t] = moved / moved.sum(1, keepdims=True)
         node = alpha * beta
@@ -252,26 +254,57 @@ def fit(texts: list[str], langs: list[str]) -> Crf:
     return Crf(labels, weights, transitions)
 
 
+def sample_size(languages: int) -> tuple[int, int]:
+    """Documents of each language in the sample, and words of each document."""
+    words = SAMPLE_CELLS // languages**2
+    documents = min(SAMPLE_DOCUMENTS, max(LEAST_DOCUMENTS, words // 50))
+    return documents, min(SAMPLE_WORDS, max(LEAST_WORDS, words // documents))
+
+
+def drawn_words(text: str, most: int) -> str:
+    """At most ``most`` words of a text, in runs of ``LEAST_WORDS`` or more spread evenly over the whole of it.
+
+    Of a word with more than its share of ``SAMPLE_BYTES`` the beginning is taken.
+    """
+    data, offsets = text_bytes(pa.array([text], pa.string()))
+    start, end = spans(data, offsets, LETTERS)
+    chosen = np.arange(len(start))
+    if len(start) > most:
+        runs = most // LEAST_WORDS
+        length = most // runs
+        begins = np.linspace(0, len(start) - length, runs).astype(np.int64) if runs > 1 else np.array([(len(start) - length) // 2])
+        chosen = np.unique(begins[:, None] + np.arange(length))
+    share = SAMPLE_BYTES // max(len(chosen), 1)
+    return b" ".join(data[start[k] : min(end[k], start[k] + share)].tobytes() for k in chosen).decode("utf-8", "ignore")
+
+
 def train(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str = "text") -> Crf:
-    """Fit on at most ``SAMPLE_DOCUMENTS`` documents of each language and ``SAMPLE_WORDS`` words of each.
+    """Fit on a sample of every language: at most ``SAMPLE_DOCUMENTS`` documents and ``SAMPLE_WORDS`` words of each.
 
-    Rows without a language or text are left out, and so are languages beyond the ``MOST_LANGUAGES``
-    with the most documents. The sample is taken in the order of a hash of the ids.
+    Rows without a language or text are left out. With many languages the sample has fewer documents and words of
+    each (``sample_size``). It is taken in the order of a hash of the ids; words are drawn from the whole text.
     """
+    prepare(docs.sparkSession)
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull())
-    counts = known.groupBy(F.col(lang).alias("lang")).count()
-    langs = [r["lang"] for r in counts.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
-    if not langs:
+    languages = known.select(F.col(lang)).distinct().count()
+    if not languages:
         return Crf([], np.zeros((FEATURES, 0)), np.zeros((0, 0)))
-    keys = known.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang")).where(F.col("lang").isin(langs))
+    documents, most = sample_size(languages)
+    keys = known.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"))
     # Spark trims each language to its first rows before the shuffle.
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = keys.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_DOCUMENTS).drop("place")
-    texts = known.select(
-        F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.substring(F.col(text), 1, SAMPLE_BYTES // 4).alias("text")
-    )
-    # The chosen ids are a fixed number for each language.
-    rows = texts.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"]).orderBy("doc_id", "text").toPandas()
+    chosen = keys.withColumn("place", F.row_number().over(order)).where(F.col("place") <= documents).drop("place")
+    texts = known.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [drawn_words(t, most) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(words, pa.string())], batch.schema.names)
+
+    # The chosen ids are a bounded number for each language.
+    met = texts.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"])
+    rows = met.select("doc_id", "lang", "text").mapInArrow(draw, met.select("doc_id", "lang", "text").schema)
+    rows = rows.orderBy("doc_id", "text").toPandas()
     return fit(rows["text"].tolist(), rows["lang"].tolist())
 
 
