@@ -299,6 +299,18 @@ def test_lines_linked_by_edit_similarity_alone(spark):
     assert removed <= wanted and len(removed) >= 0.97 * len(wanted) > 100
 
 
+def test_short_lines_and_lines_without_blanks(spark):
+    chinese = "我们在这里发布最新的新闻和文章，欢迎大家阅读并且转发给更多的朋友。"
+    rows = [
+        (1, "Read more\n" + chinese + "\nPrice list"),
+        (2, "read more!\n" + chinese + "\nPrice lists"),
+        (3, chinese.replace("朋", "亲") + "\n...\nok"),
+        (4, "...\nOK\nalone"),
+    ]
+    found = line_dedup.remove_lines(documents(spark, rows), bits=None)
+    assert sorted_rows(found, "doc_id", "removed") == [(1, []), (2, [0, 1]), (3, [0]), (4, [1])]
+
+
 # Decontamination
 
 
