@@ -21,17 +21,15 @@ from pyspark.sql import functions as F
 from wardline.llm.python_tasks import prepare
 from wardline.llm.words import ALNUM, LOWER, blocks, text_bytes
 from wardline.operators.rows import number_rows
-from wardline.workspace import stage
+from wardline.workspace import release, stage
 
 BUCKETS = 10_000
 #: Text one step of a task works on.
 BLOCK_BYTES = 1 << 20
-#: Bounds of what is broadcast: words of at most 64 bytes, and pairs of them.
-HEAD_WORDS = 16_384
-HEAD_PAIRS = 32_768
-HEAD_BYTES = 64
-#: A word or pair with this share of a block's is a candidate for the head; what has it in the corpus has it in a block.
+#: The head has the words, of at most 64 bytes, and the pairs of them that make up this share of all words: 20,000 of
+#: each at most, which bounds what is broadcast. What has the share in the corpus has it in a block of text.
 SHARE = 1 / 20_000
+HEAD_BYTES = 64
 PAIR_SLOTS = 1 << 17
 
 #: Lower case for A-Z, and a blank for every byte that is in no word.
@@ -169,9 +167,9 @@ NO_HEAD = Head([], np.zeros(0, np.int64), np.zeros(0, np.uint32))
 
 
 def frequent(docs: DataFrame, text: str = "text") -> Head:
-    """The head of the vocabulary: at most ``HEAD_WORDS`` words and ``HEAD_PAIRS`` pairs, counted over all texts.
+    """The head of the vocabulary, counted over all texts.
 
-    Each block names only what holds ``SHARE`` of its words or pairs, so at most ``1 / SHARE`` of each.
+    Each block of text names the words and pairs with ``SHARE`` of its words, and how many words it has.
     """
     prepare(docs.sparkSession)
 
@@ -179,7 +177,7 @@ def frequent(docs: DataFrame, text: str = "text") -> Head:
         vocabulary = Vocabulary(NO_HEAD)
         for block in blocks(batches, "text", BLOCK_BYTES):
             found = read_words(block.column("text"), vocabulary)
-            least = max(2.0, SHARE * len(found.words))
+            least = SHARE * len(found.words)
             names = list(vocabulary)
             held = np.bincount(found.number, minlength=len(names))
             short = np.array(vocabulary.length, np.int64) <= HEAD_BYTES
@@ -187,20 +185,23 @@ def frequent(docs: DataFrame, text: str = "text") -> Head:
             number = np.where(short[found.number], found.number, -1) if len(names) else found.number
             key, times = np.unique(pair_keys(number)[(number[:-1] >= 0) & (number[1:] >= 0)], return_counts=True)
             key, times = key[times >= least], times[times >= least]
-            first = [names[k] for k in chosen] + [names[k] for k in (key >> 32).tolist()]
-            second = [b""] * len(chosen) + [names[k] for k in (key & 0xFFFFFFFF).tolist()]
+            first = [b""] + [names[k] for k in chosen] + [names[k] for k in (key >> 32).tolist()]
+            second = [b""] * (1 + len(chosen)) + [names[k] for k in (key & 0xFFFFFFFF).tolist()]
             vocabulary.forget()
+            counts = np.concatenate([[len(found.words)], held[chosen], times])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(first, pa.binary()), pa.array(second, pa.binary()), pa.array(np.concatenate([held[chosen], times]), pa.int64())],
+                [pa.array(first, pa.binary()), pa.array(second, pa.binary()), pa.array(counts, pa.int64())],
                 ["first", "second", "n"],
             )
 
     named = docs.select(F.col(text).alias("text")).mapInArrow(run, "first binary, second binary, n long")
-    counted = named.groupBy("first", "second").agg(F.sum("n").alias("n"))
-    order = [F.desc("n"), "first", "second"]
-    words = [bytes(r[0]) for r in counted.where(F.length("second") == 0).orderBy(*order).limit(HEAD_WORDS).collect()]
-    pairs = counted.where(F.length("second") > 0).orderBy(*order).limit(HEAD_PAIRS).collect()
-    return head_of(words, [(bytes(r[0]), bytes(r[1])) for r in pairs])
+    counted = stage(named.groupBy("first", "second").agg(F.sum("n").alias("n")), "vocabulary")
+    total = counted.where(F.length("first") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = counted.where((F.length("first") > 0) & (F.col("n") >= SHARE * total)).collect()
+    release(counted)
+    rows.sort(key=lambda r: (-r["n"], bytes(r["first"]), bytes(r["second"])))
+    words = [bytes(r["first"]) for r in rows if not r["second"]]
+    return head_of(words, [(bytes(r["first"]), bytes(r["second"])) for r in rows if r["second"]])
 
 
 def head_of(words: list[bytes], pairs: list[tuple[bytes, bytes]]) -> Head:
@@ -239,7 +240,7 @@ def bucket_totals(docs: DataFrame, head: Head, text: str = "text", buckets: int
 def bucket_gains(raw: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     """Log ratio of target to corpus per bucket, with one feature added to each, in whole thousandths."""
     spark = raw.sparkSession
-    sums = raw.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("S")).first()[0], target.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    sums = [df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for df in (raw, target)]
     s, t = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("s", "t"))
     ratio = (t + 1) * F.lit(float(sums[0] + buckets)) / ((s + 1) * F.lit(float(sums[1] + buckets)))
     rows = (
@@ -310,8 +311,10 @@ def resample(
     Null ids share one noise. Repeated rows are rows of their own; other columns are ignored.
     """
     head = frequent(docs, text)
-    raw = bucket_totals(docs, head, text)
-    gains = bucket_gains(raw, bucket_totals(target, head, target_text))
+    # As many rows as there are buckets, read several times.
+    raw, wanted = (stage(totals, "buckets") for totals in (bucket_totals(docs, head, text), bucket_totals(target, head, target_text)))
+    gains = bucket_gains(raw, wanted)
+    release(raw, wanted)
     scored = weigh(docs, gains, head, doc_id, text).withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
     order = {
         "_below": -F.col("score"),
