@@ -116,7 +116,9 @@ def test_a_conversation_has_many_messages_of_any_age(spark):
     for _ in range(2):
         broker.drain(broker.read_queue(spark, queue, 1), effects, out)
         assert values(broker.output(spark, out, "routes"), "conversation_handle", "message_sequence", "route") == sorted(
-            [("h", 0, "encounter"), ("h", 1, "malformed"), ("h", 2, "control"), ("n", None, "ignored"), (None, 0, "control")], key=repr
+            # Messages without a full name are kept apart, the same text twice included.
+            [("h", 0, "encounter"), ("h", 1, "malformed"), ("h", 2, "control"), ("n", None, "ignored"), ("n", None, "ignored"), (None, 0, "control")],
+            key=repr,
         )
 
 
@@ -143,3 +145,60 @@ def test_a_visit_discharged_again_later_is_posted_once(spark, folder):
         push(spark, queue, [(("d", sequence), broker.DISCHARGE, body)])
         broker.drain(broker.read_queue(spark, queue), broker.billing_effects(CLOCK, billing_tables), out)
     assert broker.output(spark, out, "charges").count() == due["count"] > 0
+
+
+def test_a_batch_costs_the_same_after_many_batches(spark):
+    """Fifty batches of equal size, a part of each old: every batch adds its new names to the state and reads no output."""
+    queue, out = run_dir(spark, "queue"), run_dir(spark, "out")
+    for n in range(50):
+        rows = [(f"h{n}-{k}", 0, "Other", "<x/>", T0) for k in range(30)] + [(f"h{n // 2}-{k}", 0, "Other", "<x/>", T0) for k in range(10)]
+        spark.createDataFrame(rows, broker.MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(queue)
+    asked = []
+
+    def effects(routed, earlier):
+        asked.append(routed.count())
+        return {"names": routed.select("conversation_handle")}
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        progress = broker.drain(broker.read_queue(spark, queue, 1), effects, out)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    state = [p["stateOperators"][0] for p in progress if p["numInputRows"]]
+    assert len(state) == 50 and sum(asked) == 1500 == broker.handled(spark, out).count()
+    assert all(s["numRowsUpdated"] <= 40 for s in state) and state[-1]["numRowsTotal"] == 1500
+    # A batch sees its own 30 messages, and the ten of an earlier batch only where the file order brings them first.
+    assert max(asked) <= 40
+    took = [p["durationMs"]["triggerExecution"] for p in progress if p["numInputRows"]]
+    assert sum(took[40:]) <= 2.5 * sum(took[10:20])
+
+
+def test_a_batch_that_was_not_committed_is_done_again(spark):
+    """The driver ends after a batch wrote its outputs, before it committed: the replay replaces them."""
+    queue, out = run_dir(spark, "queue"), run_dir(spark, "out")
+    effects = broker.billing_effects(CLOCK)
+    push(spark, queue, [("h1", broker.ENCOUNTER, new_visit(1))])
+    broker.drain(broker.read_queue(spark, queue), effects, out)
+    push(spark, queue, [("h1", broker.ENCOUNTER, new_visit(1)), ("h2", broker.ENCOUNTER, new_visit(2))])
+    broker.drain(broker.read_queue(spark, queue), effects, out)
+    system = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+    for name in ("1", ".1.crc"):
+        system.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{out}/_checkpoint/commits/{name}"), False)
+    broker.drain(broker.read_queue(spark, queue), effects, out)
+    assert values(broker.output(spark, out, "audit"), "RecordID") == [(1,), (2,)]
+
+
+def test_earlier_postings_are_read_for_repeated_visits_only(spark, folder):
+    tables = Tables(spark, folder)
+    effects = broker.billing_effects(CLOCK, catalog.billing_tables(tables))
+    due = [r[0] for r in catalog._posting(tables)["charges"].select("EncounterID").distinct().orderBy("EncounterID").limit(2).collect()]
+    asked = []
+    earlier = lambda name: asked.append(name)
+    marked = lambda *rows: spark.createDataFrame(list(rows), "EncounterID int, again boolean")
+    first = effects.post(marked((due[0], False), (due[1], False)), earlier)["charges"]
+    assert first.count() > 0 and asked == []
+    effects.post(marked((due[0], True)), earlier)
+    assert asked == ["charges"]
+    again = effects.post(marked((due[0], True), (due[1], False)), lambda name: first.where(f"EncounterID = {due[0]}"))["charges"]
+    assert {r["EncounterID"] for r in again.collect()} == {due[1]}

@@ -3,17 +3,25 @@
 A message is (conversation_handle, message_sequence, message_type, body, ts) with an XML body;
 a conversation has many messages, and handle and sequence number together name one. A run
 drains what is there, some files at a time, and stops. Each micro-batch writes to a folder named after its
-batch id in overwrite mode, so a batch replayed after a failure replaces its own
-output. The names of the messages a batch has handled are one of its outputs: a message that
-comes again takes effect once, however late, and no message is too old to be handled.
+batch id in overwrite mode, so a batch replayed after a failure replaces its own output.
+
+What has been handled is keyed state of the stream, in RocksDB: one entry per message name, looked up by key, so
+a batch costs what its own messages cost however many came before. A message that comes again takes effect once,
+however late, and no message is too old to be handled. Messages without a handle or a sequence number have no
+name; each of them is a message of its own. Visits whose charges a discharge has posted are keyed state of a
+second query; only for visits discharged again are earlier postings looked up.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from wardline.clock import Clock
 from wardline.functions.dialect import iso_seconds, xml_row
@@ -42,9 +50,15 @@ FLAG_ON, FLAG_OFF = ("1", "true"), ("0", "false")
 # The name of the root element, after an optional XML declaration.
 ROOT_NAME = r"^\s*(?:<\?[^>]*\?>\s*)?<([A-Za-z]+)"
 ACTOR = "ServiceBroker"
-# Output that lists the messages a batch has handled.
-HANDLED = "_handled"
 FILES_PER_BATCH = 1000
+# Keyed state lies in RocksDB; a batch adds its changes to the checkpoint instead of a copy of the state.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+# Visits that discharge messages name, as the first query hands them to the second.
+DISCHARGES = "discharges"
+DISCHARGE_SCHEMA = "conversation_handle string, message_sequence bigint, EncounterID int"
 
 
 def read_queue(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
@@ -53,14 +67,11 @@ def read_queue(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_
     return reader.parquet(path)
 
 
-def not_handled(batch: DataFrame, handled: DataFrame | None) -> DataFrame:
-    """Each message of a batch once, without those that earlier batches have handled."""
-    once = batch.dropDuplicates(IDENTITY)
-    if handled is None:
-        return once
-    seen = handled.select(*[c(n).alias(f"_{n}") for n in IDENTITY])
-    same = c(IDENTITY[0]).eqNullSafe(c(f"_{IDENTITY[0]}")) & c(IDENTITY[1]).eqNullSafe(c(f"_{IDENTITY[1]}"))
-    return once.join(seen, same, "left_anti")
+def once(messages: DataFrame) -> DataFrame:
+    """Each named message of a stream the first time it comes; messages without a full name always."""
+    unnamed = c(IDENTITY[0]).isNull() | c(IDENTITY[1]).isNull()
+    keyed = messages.withColumn("_unnamed", F.when(unnamed, F.uuid()))
+    return keyed.dropDuplicates([*IDENTITY, "_unnamed"]).drop("_unnamed")
 
 
 def route(messages: DataFrame) -> DataFrame:
@@ -129,33 +140,41 @@ def lab_alerts(routed: DataFrame, clock: Clock) -> DataFrame:
     return audit_rows(critical, "LabResults", c("m.PatientID"), "CRITICAL_LAB_NOTIFICATION", text, ACTOR, clock)
 
 
-def discharge_postings(
-    routed: DataFrame, tables: BillingTables, clock: Clock, posted: DataFrame | None = None
-) -> dict[str, DataFrame]:
-    """Post charges for all visits of the batch's discharge messages at once.
+def discharges(routed: DataFrame) -> DataFrame:
+    return routed.filter(c("route") == "discharge").select(*IDENTITY, c("m.EncounterID").alias("EncounterID"))
 
-    ``posted`` has the charges of earlier batches: like those on file, they are not posted again.
-    Visits that are unknown or not active give one error row per message.
-    """
-    named = routed.filter(c("route") == "discharge").select(*IDENTITY, c("m.EncounterID").alias("EncounterID"))
+
+def post_visits(visits: DataFrame, tables: BillingTables, clock: Clock, posted: DataFrame | None = None) -> DataFrame:
+    """Charges of visits, given by number and repeated at will; ``posted`` are not posted again, like those on file."""
     charges = tables.charges if posted is None else tables.charges.unionByName(posted, allowMissingColumns=True)
-    visits = tables.encounters.join(named.select("EncounterID"), "EncounterID", "left_semi")
-    ids = visits.select("EncounterID")
-    posting = billing.post_encounter_charges(
+    known = tables.encounters.join(visits.select("EncounterID"), "EncounterID", "left_semi")
+    ids = known.select("EncounterID")
+    return billing.post_encounter_charges(
         tables.procedures.join(ids, "EncounterID", "left_semi"),
-        visits,
+        known,
         tables.chargemaster,
         charges.join(ids, "EncounterID", "left_semi"),
         tables.departments,
         tables.physicians,
         tables.diagnoses,
         clock,
-    )
+    )["charges"]
+
+
+def posting_errors(named: DataFrame, tables: BillingTables, clock: Clock) -> DataFrame:
+    """Visits that are unknown or not active give one error row per message."""
     active = tables.encounters.filter(c("EncounterStatus") == "ACTIVE").select("EncounterID")
     failed = named.join(active, "EncounterID", "left_anti")
     text = F.concat(F.lit("Encounter "), c("EncounterID").cast("string"), F.lit(" not found or is not active."))
-    errors = audit_rows(failed, "Encounters", c("EncounterID"), "CHARGE_PROCESSING_ERROR", text, ACTOR, clock)
-    return {"charges": posting["charges"], "posting_errors": errors}
+    return audit_rows(failed, "Encounters", c("EncounterID"), "CHARGE_PROCESSING_ERROR", text, ACTOR, clock)
+
+
+def discharge_postings(
+    routed: DataFrame, tables: BillingTables, clock: Clock, posted: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Charges and errors for all discharge messages of a batch at once."""
+    named = discharges(routed)
+    return {"charges": post_visits(named, tables, clock, posted), "posting_errors": posting_errors(named, tables, clock)}
 
 
 # Reads an output as earlier batches have left it; nothing before the first.
@@ -163,21 +182,54 @@ Earlier = Callable[[str], DataFrame | None]
 Effects = Callable[[DataFrame, Earlier], dict[str, DataFrame]]
 
 
-def billing_effects(clock: Clock, tables: BillingTables | None = None) -> Effects:
-    """What one batch of billing events leaves behind, by output name."""
+@dataclass(frozen=True)
+class BillingEffects:
+    """What billing events leave behind: outputs of each batch, and the charges of discharged visits."""
 
-    def effects(routed: DataFrame, earlier: Earlier) -> dict[str, DataFrame]:
+    clock: Clock
+    tables: BillingTables | None = None
+
+    def __call__(self, routed: DataFrame, earlier: Earlier) -> dict[str, DataFrame]:
         out = {
-            "audit": encounter_audit(routed, clock),
-            "replies": encounter_replies(routed, clock),
+            "audit": encounter_audit(routed, self.clock),
+            "replies": encounter_replies(routed, self.clock),
             "dead_letters": dead_letters(routed),
-            "errors": activation_errors(routed, clock),
+            "errors": activation_errors(routed, self.clock),
         }
-        if tables is not None:
-            out.update(discharge_postings(routed, tables, clock, earlier("charges")))
+        if self.tables is not None:
+            named = discharges(routed)
+            out |= {DISCHARGES: named, "posting_errors": posting_errors(named, self.tables, self.clock)}
         return out
 
-    return effects
+    def post(self, visits: DataFrame, earlier: Earlier) -> dict[str, DataFrame]:
+        """Charges of a batch of visits, as ``mark_visits`` gives them."""
+        again = visits.filter("again")
+        # Visits discharged for the first time have nothing posted before.
+        posted = None if again.isEmpty() else earlier("charges")
+        if posted is not None:
+            posted = posted.join(again.select("EncounterID"), "EncounterID", "left_semi")
+        return {"charges": post_visits(visits, self.tables, self.clock, posted)}
+
+
+def billing_effects(clock: Clock, tables: BillingTables | None = None) -> BillingEffects:
+    return BillingEffects(clock, tables)
+
+
+def _mark(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    for _ in frames:
+        pass
+    again = state.exists
+    state.update((1,))
+    yield pd.DataFrame({"EncounterID": pd.Series([key[0]], dtype="int32"), "again": [again]})
+
+
+def mark_visits(named: DataFrame) -> DataFrame:
+    """Visits of a stream of discharges, once per batch, with whether an earlier batch had them."""
+    return (
+        named.filter(c("EncounterID").isNotNull())
+        .groupBy("EncounterID")
+        .applyInPandasWithState(_mark, "EncounterID int, again boolean", "seen int", "append", GroupStateTimeout.NoTimeout)
+    )
 
 
 def lab_effects(clock: Clock) -> Effects:
@@ -187,12 +239,32 @@ def lab_effects(clock: Clock) -> Effects:
     }
 
 
-def drain(messages: DataFrame, effects: Effects, folder: str, wanted: tuple[str, ...] | None = None) -> None:
-    """Process everything waiting in the stream and stop.
+def drain(messages: DataFrame, effects: Effects, folder: str, wanted: tuple[str, ...] | None = None) -> list[dict]:
+    """Process everything waiting in the stream and stop; gives the progress of the last batches.
 
-    The folder holds the query's checkpoint and one sub-folder per output and batch.
+    The folder holds the checkpoints and one sub-folder per output and batch.
     Running again with the same folder continues where the last run ended.
     """
+    spark = messages.sparkSession
+    posts = isinstance(effects, BillingEffects) and effects.tables is not None and (wanted is None or "charges" in wanted)
+    if wanted is not None and posts:
+        wanted = (*wanted, DISCHARGES)
+    progress = _run(once(messages), effects, folder, "_checkpoint", wanted, route)
+    if posts and exists(spark, f"{folder}/{DISCHARGES}"):
+        named = spark.readStream.schema(DISCHARGE_SCHEMA).parquet(f"{folder}/{DISCHARGES}/batch=*")
+        _run(mark_visits(named), effects.post, folder, "_visits", wanted)
+    return progress
+
+
+def _run(
+    rows: DataFrame,
+    effects: Effects,
+    folder: str,
+    checkpoint: str,
+    wanted: tuple[str, ...] | None,
+    prepared: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> list[dict]:
+    """One query over what is waiting: the outputs of every batch, each in a folder of its own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -205,22 +277,24 @@ def drain(messages: DataFrame, effects: Effects, folder: str, wanted: tuple[str,
             return found.filter(c("batch") != batch_id).drop("batch")
 
         # Only the chosen outputs are computed; the batch is read once for all of them.
-        routed = route(not_handled(batch, earlier(HANDLED))).persist()
+        ready = prepared(batch).persist()
         try:
-            for name, df in effects(routed, earlier).items():
+            for name, df in effects(ready, earlier).items():
                 if wanted is None or name in wanted:
                     df.write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch_id}")
-            routed.select(*IDENTITY).write.mode("overwrite").parquet(f"{folder}/{HANDLED}/batch={batch_id}")
         finally:
-            routed.unpersist()
+            ready.unpersist()
 
+    for name, value in STATE_SETTINGS.items():
+        rows.sparkSession.conf.set(name, value)
     query = (
-        messages.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{folder}/_checkpoint")
+        rows.writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{folder}/{checkpoint}")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    return [json.loads(p.json) for p in query.recentProgress]
 
 
 def output(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -245,8 +319,9 @@ def count_routes(routed: DataFrame) -> DataFrame:
 
 
 def handled(spark: SparkSession, folder: str) -> DataFrame:
-    """Names of all messages handled so far."""
-    return output(spark, folder, HANDLED)
+    """Names of all messages handled so far, from the state of the stream."""
+    state = spark.read.format("statestore").load(f"{folder}/_checkpoint")
+    return state.select(*[c(f"key.{n}").alias(n) for n in IDENTITY])
 
 
 def send(messages: DataFrame, path: str) -> None:
