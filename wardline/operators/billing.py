@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +52,56 @@ def current_fees(chargemaster: DataFrame, clock: Clock) -> DataFrame:
     )
 
 
+#: Days one bin of the fee history covers.
+FEE_BIN_DAYS = 64
+
+
+def fees_by_bin(chargemaster: DataFrame, first: int, last: int, bin_days: int = FEE_BIN_DAYS) -> DataFrame:
+    """The fee history cut into bins of days: ``CPTCode, _bin`` and the fees of the code valid on some day of the bin.
+
+    ``first`` and ``last`` bound the bins, so an open end stops at the last bin asked for. A bin holds the fees of
+    one code whose validity touches its days, whatever length the history has.
+    """
+    number = lambda day: F.floor(F.unix_date(day) / bin_days)
+    start, end = number(c("EffectiveDate")), number(F.date_sub("ExpirationDate", 1))
+    span = F.sequence(F.greatest(start, F.lit(first)), F.least(F.coalesce(end, F.lit(last)), F.lit(last)))
+    valid = flag(c("IsActive")) & c("CPTCode").isNotNull() & (c("ExpirationDate").isNull() | (c("ExpirationDate") > c("EffectiveDate")))
+    touched = (start <= last) & (end.isNull() | (end >= first))
+    fee = F.struct("EffectiveDate", "ChargeCode", "RevenueCode", "StandardCharge", "ExpirationDate")
+    cut = chargemaster.filter(valid).filter(touched).select("CPTCode", F.explode(span).alias("_bin"), fee.alias("_fee"))
+    return cut.groupBy("CPTCode", "_bin").agg(F.collect_set("_fee").alias("_fees"))
+
+
+def fees_on_date(rows: DataFrame, chargemaster: DataFrame, day: str, bin_days: int = FEE_BIN_DAYS) -> DataFrame:
+    """Rows with ``ChargeCode, RevenueCode, StandardCharge`` of the fee valid on each row's own day; nulls without one.
+
+    Of several valid fees the latest effective one is taken. Rows meet the fees by code and bin of days, an equality
+    join, and choose among the few fees of their bin; a code that most rows have is dealt out by its bins.
+    """
+    of_day = F.to_date(c(day))
+    bounds = rows.agg(F.min(of_day).alias("low"), F.max(of_day).alias("high")).first()
+    number = lambda d: ((d - date(1970, 1, 1)).days if d else 0) // bin_days
+    fees = fees_by_bin(chargemaster, number(bounds["low"]), number(bounds["high"]), bin_days)
+    keyed = rows.withColumn("_day", of_day).withColumn("_bin", F.floor(F.unix_date("_day") / bin_days))
+    valid = lambda f: (f["EffectiveDate"] <= c("_day")) & (f["ExpirationDate"].isNull() | (f["ExpirationDate"] > c("_day")))
+    chosen = keyed.join(fees, ["CPTCode", "_bin"], "left").withColumn("_fee", F.array_max(F.filter("_fees", valid)))
+    return chosen.select(*[c(n) for n in rows.columns], "_fee.ChargeCode", "_fee.RevenueCode", "_fee.StandardCharge")
+
+
+def backdated_charges(procedures: DataFrame, encounters: DataFrame, chargemaster: DataFrame, charges: DataFrame) -> DataFrame:
+    """Completed procedures of closed visits that were never charged, at the fee of the day they were done."""
+    closed = encounters.filter(c("EncounterStatus") == "DISCHARGED").select("EncounterID")
+    posted = charges.filter(c("CPTCode").isNotNull()).select("EncounterID", "CPTCode", c("ServiceDate").alias("ProcedureDate"))
+    due = (
+        procedures.filter(c("ProcedureStatus") == "COMPLETED")
+        .join(closed, "EncounterID", "left_semi")
+        .join(posted, ["EncounterID", "CPTCode", "ProcedureDate"], "left_anti")
+    )
+    return fees_on_date(due, chargemaster, "ProcedureDate").select(
+        "ProcedureID", "EncounterID", "CPTCode", c("ProcedureDate").alias("ServiceDate"), "ChargeCode", "RevenueCode", c("StandardCharge").alias("UnitPrice")
+    )
+
+
 def post_encounter_charges(
     procedures: DataFrame,
     encounters: DataFrame,

@@ -16,14 +16,16 @@ from wardline.functions.clinical import (
     icd10_strict_ok,
     normalize_drug,
 )
-from wardline.operators import admissions, billing, lookups, quality, retention
+from wardline.operators import admissions, billing, daily, lookups, profiles, quality, retention
 from wardline.operators import clinical_reports as clinical
 from wardline.operators import management_reports as management
 from wardline.operators.rows import union_all
 from wardline.plans.nightly import BillingTables, after_run, nightly_billing
 from wardline.session import tune
-from wardline.sources.catalog import appointments_on, literal_rows
+from wardline.sources import colocated
+from wardline.sources.catalog import appointments_on, literal_rows, profile_schema
 from wardline.sources.shapes import PROFILED, SHAPES, Tables
+from wardline.sources.sinks import append, merge_partitions, write_partitioned
 from wardline.streaming import broker
 from wardline.workspace import run_dir
 
@@ -211,6 +213,16 @@ outputs(
     },
 )
 register(billing.current_fees, "chargemaster", clock=True)
+register(billing.backdated_charges, "procedures", "encounters", "chargemaster", "billing_charges")
+
+
+@query
+def charge_fees_on_date(t: Tables) -> DataFrame:
+    """Every charge with the fee that its procedure code had on the day of service."""
+    charges = t["billing_charges"].select("ChargeID", "CPTCode", "ServiceDate", "ChargeAmount")
+    return billing.fees_on_date(charges, t["chargemaster"], "ServiceDate")
+
+
 register(billing.post_room_charges, "encounters", "chargemaster", "billing_charges", clock=True, name="room_charges")
 def _lines(days_back: int) -> Callable[[Tables], DataFrame]:
     return lambda t: billing.claim_lines(_claiming(days_back)(t)["visits"], t["billing_charges"])
@@ -318,6 +330,44 @@ def purge_split_counts(t: Tables) -> DataFrame:
     return retention.split_counts(_purge(t), PURGED, "purged", "kept")
 
 
+# Partitioned tables: a year's folder each, changed partition by partition.
+def by_year(df: DataFrame, day: str) -> DataFrame:
+    return df.withColumn("Year", F.year(day))
+
+
+def _partitioned(t: Tables, rows: DataFrame) -> str:
+    path = run_dir(t.spark, "partitioned")
+    write_partitioned(rows, path, ["Year"])
+    return path
+
+
+# The test lines' numbers repeat; these columns tell charges apart.
+CHARGE_KEY = ["ChargeID", "ChargeCode", "ServiceDate", "ChargeAmount"]
+
+
+@query
+def charges_after_billing_and_purge(t: Tables) -> DataFrame:
+    """Charges by year of service: those of new claims become BILLED, purged ones go, other years stay as written."""
+    path = _partitioned(t, by_year(t["billing_charges"], "ServiceDate"))
+    billed = by_year(_claiming(1)(t)["charges"], "ServiceDate").select(*CHARGE_KEY, "Year", "ChargeStatus")
+    purged = by_year(_purge(t)["purged_charges"], "ServiceDate").select(*CHARGE_KEY, "Year")
+    merge_partitions(t.spark, path, CHARGE_KEY, ["Year"], billed, purged)
+    return t.spark.read.parquet(path).select(*t["billing_charges"].columns)
+
+
+@query
+def visits_after_archive(t: Tables) -> DataFrame:
+    """Visits by year of admission: archived ones move to an archive of the same form; both sides with their side's name."""
+    active = _partitioned(t, by_year(t["encounters"], "AdmitDate"))
+    archive = run_dir(t.spark, "archive")
+    columns = t["encounters"].columns
+    moved = by_year(_archive(t)["encounters"].where("EncounterStatus = 'ARCHIVED'").select(*columns), "AdmitDate")
+    append(moved, archive, ["Year"])
+    merge_partitions(t.spark, active, ["EncounterID"], ["Year"], removed=moved)
+    sides = [t.spark.read.parquet(path).select(F.lit(side).alias("Side"), *columns) for side, path in (("active", active), ("archive", archive))]
+    return union_all(sides)
+
+
 register(retention.sync_chargemaster, "chargemaster")
 
 
@@ -339,6 +389,11 @@ def snapshot_diff(t: Tables) -> DataFrame:
     return quality.snapshot_diff(t["encounters"], t["encounters_after"], "EncounterID", "Encounters", CLOCK)
 
 
+@query
+def snapshot_diff_by_range(t: Tables) -> DataFrame:
+    return quality.snapshot_diff_by_range(t["encounters"], t["encounters_after"], "EncounterID", "Encounters", CLOCK)
+
+
 @query
 def constraint_violations(t: Tables) -> DataFrame:
     checked = {n: rules for n, rules in quality.CONSTRAINTS.items() if n in SHAPES}
@@ -399,6 +454,123 @@ def table_profile(t: Tables) -> DataFrame:
     return union_all([quality.profile_table(t[n], n, exact=True) for n in PROFILED])
 
 
+LATE_YEAR = 2000
+SKETCHED = {"billing_charges": "ServiceDate", "encounters": "AdmitDate", "payments": "PaymentDate"}
+
+
+@query
+def table_profile_from_sketches(t: Tables) -> DataFrame:
+    """Profiles of tables kept by year, merged from the stored sketches of the years; later years are added last."""
+    parts = []
+    for name, day in SKETCHED.items():
+        rows = by_year(t[name], day)
+        late = F.coalesce(F.col("Year") >= LATE_YEAR, F.lit(False))
+        path, store = _partitioned(t, rows.where(~late)), run_dir(t.spark, "sketches")
+        profiles.refresh(t.spark, t.spark.read.schema(rows.schema).parquet(path), ["Year"], store)
+        write_partitioned(rows.where(late), path, ["Year"], mode="append")
+        table = t.spark.read.schema(rows.schema).parquet(path)
+        profiles.refresh(t.spark, table, ["Year"], store)
+        parts.append(profiles.stored_profile(t.spark, table, ["Year"], store, name))
+    return union_all(parts).select("TableName", "ColumnName", "Rows", "Nulls", "MinValue", "MaxValue")
+
+
+CATALOGUED = ["insurance_claims", "collections", "payments"]
+
+
+@query
+def schema_profile(t: Tables) -> DataFrame:
+    """Every table that a catalog schema lists, profiled one after the other."""
+    path = run_dir(t.spark, "schema")
+    schema = path.rsplit("/", 1)[1].replace("-", "_")
+    t.spark.sql(f"CREATE SCHEMA {schema} LOCATION '{path}'")
+    for name in CATALOGUED:
+        t[name].write.saveAsTable(f"{schema}.{name}")
+    return profile_schema(t.spark, schema, exact=True)
+
+
+# Reports from aggregates kept per day.
+def _bitmaps(t: Tables, rows: DataFrame, by: list[str], ids: dict[str, str], day: str) -> DataFrame:
+    """Bitmaps stored day by day, a part of the days later and a part of the rows loaded twice."""
+    store = run_dir(t.spark, "bitmaps")
+    late = F.coalesce(F.year(day) >= LATE_YEAR, F.lit(False))
+    columns = {name: F.col(column) for name, column in ids.items()}
+    loads = (rows.where(~late), rows.where(late), rows.where(F.col(next(iter(ids.values()))) % 3 == 0))
+    for load in loads:
+        append(daily.daily_bitmaps(load, F.to_date(day), by, columns), store)
+    return t.spark.read.parquet(store)
+
+
+@query
+def order_distinct_counts(t: Tables) -> DataFrame:
+    """Distinct visits, patients and physicians per kind of order, from bitmaps of single days."""
+    ids = {"Visits": "EncounterID", "Patients": "PatientID", "Physicians": "OrderingPhysicianID"}
+    return daily.distinct_counts(_bitmaps(t, t["orders"], ["OrderType"], ids, "OrderDate"), ["OrderType"], list(ids))
+
+
+@query
+def department_distinct_visits(t: Tables) -> DataFrame:
+    """Open visits and their patients per department and kind, where a part of the visit rows was loaded twice."""
+    ids, by = {"Visits": "EncounterID", "Patients": "PatientID"}, ["DepartmentID", "EncounterType"]
+    active = t["encounters"].where(F.col("EncounterStatus") == "ACTIVE")
+    return daily.distinct_counts(_bitmaps(t, active, by, ids, "AdmitDate"), by, list(ids))
+
+
+@query
+def revenue_cycle_daily(t: Tables) -> DataFrame:
+    """The revenue report from kept sums: old days, new days, then late rows and rows whose state changed."""
+    store = run_dir(t.spark, "daily")
+    names = {"charges": "billing_charges", "payments": "payments", "claims": "insurance_claims", "invoices": "invoices", "collections": "collections", "encounters": "encounters"}
+    tables = {fact: t[name] for fact, name in names.items()}
+    loads: dict[str, dict[str, DataFrame]] = {"old": {}, "new": {}, "changes": {}}
+    for fact, df in tables.items():
+        key, spec = F.col(df.columns[0]), daily.REVENUE_FACTS[fact]
+        recent = F.coalesce(spec.day() >= F.lit("2001-07-01").cast("date"), F.lit(False))
+        # A tenth of the old rows comes late, and another tenth was on file in another state first.
+        first = df.where(~recent & (key % 10 != 3)).withColumn(spec.status, F.when(key % 10 == 7, "DRAFT").otherwise(F.col(spec.status)))
+        changed = df.where(~recent & (key % 10 == 7))
+        loads["old"][fact], loads["new"][fact] = first, df.where(recent)
+        signed = daily.changes(changed.withColumn(spec.status, F.lit("DRAFT")), changed)
+        loads["changes"][fact] = signed.unionByName(df.where(~recent & (key % 10 == 3)).withColumn(daily.SIGN, F.lit(1)))
+    for load, rows in loads.items():
+        daily.add_load(store, load, daily.fold_load(rows))
+    return daily.revenue_cycle(t.spark.read.parquet(store), CLOCK)
+
+
+# The same reports over facts stored bucketed by their common key.
+BUCKETS = 16
+
+
+def _visit_facts(t: Tables) -> colocated.Colocated:
+    names = ("encounters", "procedures", "diagnoses", "billing_charges", "payments")
+    return colocated.store({n: t[n] for n in names}, "EncounterID", BUCKETS, "visits")
+
+
+@query
+def reconcile_encounters_colocated(t: Tables) -> DataFrame:
+    return _visit_facts(t).per_key(lambda f: billing.reconcile_encounters(f["encounters"], f["billing_charges"], f["payments"], CLOCK))
+
+
+@query
+def procedure_charges_colocated(t: Tables) -> DataFrame:
+    def post(f: dict[str, DataFrame]) -> DataFrame:
+        return billing.post_encounter_charges(
+            f["procedures"], f["encounters"], t["chargemaster"], f["billing_charges"], t["departments"], t["physicians"], f["diagnoses"], CLOCK,
+        )["charges"]
+
+    return _visit_facts(t).per_key(post)
+
+
+@query
+def patient_financial_summary_colocated(t: Tables) -> DataFrame:
+    names = ("patients", "encounters", "billing_charges", "payments", "insurance_claims", "invoices", "collections")
+    facts = colocated.store({n: t[n] for n in names}, "PatientID", BUCKETS, "patients")
+    return facts.per_key(
+        lambda f: management.patient_financial_summary(
+            f["patients"], t["insurers"], f["encounters"], f["billing_charges"], f["payments"], f["insurance_claims"], f["invoices"], f["collections"],
+        )
+    )
+
+
 register(quality.icd_quality, "diagnoses")
 register(quality.vitals_enriched, "vitals")
 register(quality.kidney_function, "lab_results", "patients", name="kidney_function", creatinine_test="signup", clock=True)

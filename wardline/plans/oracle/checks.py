@@ -89,11 +89,15 @@ def _columns(table: str) -> list[str]:
     return list(dict.fromkeys(named))
 
 
-_PROFILE = " UNION ALL ".join(
-    f"SELECT '{t}' AS TableName, '{n}' AS ColumnName, COUNT(*) AS Rows, COUNT(*) - COUNT({n}) AS Nulls, CAST(MIN({n}) AS VARCHAR) AS MinValue, CAST(MAX({n}) AS VARCHAR) AS MaxValue, COUNT(DISTINCT {n}) AS DistinctValues FROM h_{t}"
-    for t in PROFILED
-    for n in _columns(t)
-)
+def _profile(tables: list[str], distinct: bool = True) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS TableName, '{n}' AS ColumnName, COUNT(*) AS Rows, COUNT(*) - COUNT({n}) AS Nulls, CAST(MIN({n}) AS VARCHAR) AS MinValue, CAST(MAX({n}) AS VARCHAR) AS MaxValue"
+        + (f", COUNT(DISTINCT {n}) AS DistinctValues" if distinct else "")
+        + f" FROM h_{t}"
+        for t in tables
+        for n in _columns(t)
+    )
+
 
 _CLEAN = "upper(trim(ICDCode))"
 _CAPS = " ".join(f"WHEN '{k}' THEN CAST(substr({_CLEAN}, 2, 2) AS INTEGER) <= {v}" for k, v in ICD_CHAPTER_MAX.items())
@@ -117,7 +121,9 @@ FROM h_encounters o FULL JOIN h_encounters_after n ON o.EncounterID = n.Encounte
     "constraint_violations": _violations(),
     "orphan_keys": _ORPHANS,
     "orphan_summary": f"SELECT Reference, COUNT(*) AS OrphanKeys, CAST(SUM(Rows) AS BIGINT) AS OrphanRows, MIN(Key) AS SampleKey FROM ({_ORPHANS}) GROUP BY 1",
-    "table_profile": _PROFILE,
+    "table_profile": _profile(PROFILED),
+    "table_profile_from_sketches": _profile(["billing_charges", "encounters", "payments"], distinct=False),
+    "schema_profile": _profile(["insurance_claims", "collections", "payments"]),
     "icd_quality": f"""
 SELECT upper(left(ltrim(ICDCode), 1)) AS Chapter, COUNT(*) AS Codes, COUNT(*) FILTER (WHERE a) AS ShapeValid, COUNT(*) FILTER (WHERE b) AS StrictValid, COUNT(*) FILTER (WHERE a <> b) AS Disagree
 FROM (SELECT ICDCode, {_SHAPE} AS a, {_STRICT} AS b FROM h_diagnoses) GROUP BY 1""",
@@ -137,3 +143,4 @@ SELECT PatientID, LastName || ', ' || FirstName || COALESCE(' ' || left(MiddleNa
        FirstName || COALESCE(' ' || MiddleName, '') || ' ' || LastName || COALESCE(', ' || Suffix, '') AS "FULL",
        LastName || ', ' || FirstName || COALESCE(' ' || MiddleName, '') || COALESCE(', ' || Suffix, '') AS FORMAL, LastName || ', ' || FirstName AS OTHER FROM h_patients""",
 }
+SQL["snapshot_diff_by_range"] = SQL["snapshot_diff"]

@@ -232,3 +232,40 @@ SQL.update({
 SELECT a.*, (SELECT RoomID FROM h_rooms WHERE RoomType = 'EXAM' ORDER BY RoomNumber LIMIT 1) AS RoomID, p.LastName || ', ' || p.FirstName AS PatientName,
        COALESCE(p.MobilePhone, p.HomePhone) AS PatientPhone FROM h_appointments a JOIN h_patients p USING (PatientID)""",
 })
+
+SQL.update({
+    "charges_after_billing_and_purge": f"""
+WITH billed AS (SELECT DISTINCT EncounterID FROM ({SQL["claim_billed_charges"]})), left_over AS (SELECT * FROM h_billing_charges EXCEPT ALL SELECT * FROM ({SQL["purged_charges"]}))
+SELECT * REPLACE (CASE WHEN ChargeStatus = 'POSTED' AND EncounterID IN (SELECT EncounterID FROM billed) THEN 'BILLED' ELSE ChargeStatus END AS ChargeStatus) FROM left_over""",
+    "visits_after_archive": f"""
+WITH {_OLD} SELECT 'archive' AS Side, * REPLACE ('ARCHIVED' AS EncounterStatus) FROM h_encounters WHERE EncounterID IN (SELECT EncounterID FROM old)
+UNION ALL SELECT 'active', * FROM h_encounters WHERE EncounterID NOT IN (SELECT EncounterID FROM old)""",
+    "reconcile_encounters_colocated": SQL["reconcile_encounters"],
+    "procedure_charges_colocated": SQL["procedure_charges"],
+})
+
+_OWN_DAY = "m.IsActive = 1 AND m.EffectiveDate <= k.d AND (m.ExpirationDate IS NULL OR m.ExpirationDate > k.d)"
+
+
+def _on_date(rows: str, day: str, columns: str) -> str:
+    """Rows with the latest effective fee that is valid on their own day, found once per code and day."""
+    return f"""SELECT {columns} FROM {rows} x LEFT JOIN (
+   SELECT k.CPTCode, k.d, m.ChargeCode AS fee_code, m.RevenueCode AS fee_revenue, m.StandardCharge AS fee,
+     row_number() OVER (PARTITION BY k.CPTCode, k.d ORDER BY m.EffectiveDate DESC, m.ChargeCode DESC, m.RevenueCode DESC, m.StandardCharge DESC) AS nr
+   FROM (SELECT DISTINCT CPTCode, CAST({day} AS DATE) AS d FROM {rows}) k JOIN h_chargemaster m ON m.CPTCode = k.CPTCode AND {_OWN_DAY}) f
+   ON f.CPTCode = x.CPTCode AND f.d = CAST(x.{day} AS DATE) AND f.nr = 1"""
+
+
+SQL.update({
+    "backdated_charges": """
+WITH late AS (SELECT p.* FROM h_procedures p WHERE p.ProcedureStatus = 'COMPLETED' AND p.EncounterID IN (SELECT EncounterID FROM h_encounters WHERE EncounterStatus = 'DISCHARGED')
+   AND NOT EXISTS (SELECT 1 FROM h_billing_charges b WHERE b.EncounterID = p.EncounterID AND b.CPTCode = p.CPTCode AND b.ServiceDate = p.ProcedureDate))
+"""
+    + _on_date("late", "ProcedureDate", "x.ProcedureID, x.EncounterID, x.CPTCode, x.ProcedureDate AS ServiceDate, fee_code AS ChargeCode, fee_revenue AS RevenueCode, fee AS UnitPrice"),
+    "charge_fees_on_date": _on_date(
+        "h_billing_charges", "ServiceDate",
+        "x.ChargeID, x.CPTCode, x.ServiceDate, x.ChargeAmount, fee_code AS ChargeCode, fee_revenue AS RevenueCode, fee AS StandardCharge",
+    ),
+    "order_distinct_counts": "SELECT OrderType, COUNT(DISTINCT EncounterID) AS Visits, COUNT(DISTINCT PatientID) AS Patients, COUNT(DISTINCT OrderingPhysicianID) AS Physicians FROM h_orders GROUP BY 1",
+    "department_distinct_visits": "SELECT DepartmentID, EncounterType, COUNT(DISTINCT EncounterID) AS Visits, COUNT(DISTINCT PatientID) AS Patients FROM h_encounters WHERE EncounterStatus = 'ACTIVE' GROUP BY 1, 2",
+})

@@ -183,3 +183,5 @@ SELECT e.EncounterID, e.PatientID, e.AdmitDate, e.DischargeDate,
        CAST(EXISTS (SELECT 1 FROM h_encounters f WHERE f.PatientID = e.PatientID AND f.EncounterID <> e.EncounterID AND f.EncounterType = 'INPATIENT'
             AND f.AdmitDate BETWEEN e.DischargeDate AND e.DischargeDate + INTERVAL 30 DAY) AS INTEGER) AS Readmitted
 FROM h_encounters e WHERE e.EncounterType = 'INPATIENT' AND e.EncounterStatus = 'DISCHARGED'"""
+SQL["patient_financial_summary_colocated"] = SQL["patient_financial_summary"]
+SQL["revenue_cycle_daily"] = SQL["revenue_cycle_summary"]
