@@ -16,6 +16,11 @@ def year_diff(start: Column, end: Column) -> Column:
     return F.year(end) - F.year(start)
 
 
+def is_weekend(day: Column) -> Column:
+    """Saturday or Sunday, whatever the session's locale."""
+    return F.weekday(day) >= 5
+
+
 def day_diff(start: Column, end: Column) -> Column:
     """Calendar days from start to end, time of day ignored."""
     return F.datediff(end, start)

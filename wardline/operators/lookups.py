@@ -294,6 +294,12 @@ SECTIONS = {"DEMOGRAPHICS": 0, "ENCOUNTERS": 10, "MEDICATIONS": 20, "ALLERGIES":
 SUMMARY_VISITS, SUMMARY_LABS = 10, 20
 
 
+def _texts(*columns: str) -> list[Column]:
+    """Up to three text columns under common names."""
+    values = [c(n).cast("string") for n in columns] + [F.lit(None).cast("string")] * (3 - len(columns))
+    return [value.alias(name) for value, name in zip(values, ("_a", "_b", "_c"))]
+
+
 def patient_summary(
     patients: DataFrame,
     encounters: DataFrame,
@@ -354,8 +360,15 @@ def patient_summary(
         .filter((c("AllergyStatus") == "ACTIVE") & c("PatientID").isNotNull())
         .select("PatientID", "AllergyID", "AllergenName", "Severity")
     )
-    drugs = number_rows(drugs, ["MedicationID", "DrugName", "Dosage", "Frequency"], ["PatientID"])
-    allergens = number_rows(allergens, ["AllergyID", "AllergenName", "Severity"], ["PatientID"])
+    # Both lists are numbered at once.
+    listed = union_all(
+        [
+            drugs.select("PatientID", F.lit("MEDICATIONS").alias("_list"), c("MedicationID").alias("_id"), *_texts("DrugName", "Dosage", "Frequency")),
+            allergens.select("PatientID", F.lit("ALLERGIES").alias("_list"), c("AllergyID").alias("_id"), *_texts("AllergenName", "Severity")),
+        ]
+    )
+    listed = number_rows(listed, ["_id", "_a", "_b", "_c"], ["PatientID", "_list"])
+    drugs, allergens = (listed.filter(c("_list") == name) for name in ("MEDICATIONS", "ALLERGIES"))
     blank = F.lit(" ")
     sections = union_all(
         [
@@ -370,13 +383,13 @@ def patient_summary(
                 drugs,
                 "MEDICATIONS",
                 c("RowNumber"),
-                F.concat(c("DrugName"), blank, c("Dosage"), blank, c("Frequency")),
+                F.concat(c("_a"), blank, c("_b"), blank, c("_c")),
             ),
             lines(
                 allergens,
                 "ALLERGIES",
                 c("RowNumber"),
-                F.concat(c("AllergenName"), F.lit(" ["), c("Severity"), F.lit("]")),
+                F.concat(c("_a"), F.lit(" ["), c("_b"), F.lit("]")),
             ),
             lines(
                 results,

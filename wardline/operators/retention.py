@@ -39,8 +39,8 @@ def archive_encounters(
 ) -> dict[str, DataFrame]:
     """Split each child table into moved and kept rows and mark the visits ARCHIVED.
 
-    The chosen visits are written once and read by every output. A child row is moved or kept by
-    one join that says which. A dry run returns only the log of what would move.
+    The chosen visits are written once and read by every output. Moved and kept rows of a child are a semi and an
+    anti join with them, each read for itself. A dry run returns only the log of what would move.
     """
     chosen = stage(archive_batch(encounters, clock, retention_months, batch), "archive-visits")
     log = chosen.select(

@@ -16,7 +16,8 @@ from wardline.functions.clinical import (
     icd10_strict_ok,
     normalize_drug,
 )
-from wardline.operators import admissions, billing, daily, lookups, profiles, quality, retention
+from wardline.functions.dialect import is_weekend
+from wardline.operators import admissions, billing, daily, lookups, profiles, quality, retention, substring_index
 from wardline.operators import clinical_reports as clinical
 from wardline.operators import management_reports as management
 from wardline.operators.rows import union_all
@@ -141,6 +142,16 @@ register(lookups.readmission_risk, "patients", "encounters", "diagnoses", "medic
 register(lookups.drug_interactions, "medications")
 register(lookups.interaction_pair_counts, "medications")
 register(lookups.hl7_segments, "hl7_messages")
+register(lookups.hl7_segments, "lab_messages", name="hl7_segments_of_lab_messages")
+register(substring_index.drug_allergy_matches, "medications", "allergies")
+
+
+@query
+def patients_by_phone_part(t: Tables) -> DataFrame:
+    """Patients with a part of a number in one of their phones, through the index of grams."""
+    phones = ["HomePhone", "MobilePhone", "WorkPhone"]
+    index = substring_index.build(t["patients"], "PatientID", phones)
+    return substring_index.search(t.spark, t["patients"], "PatientID", phones, "0012", index).select("PatientID", *phones)
 
 
 @query
@@ -188,6 +199,13 @@ outputs(
 )
 
 
+@query
+def visits_by_weekend(t: Tables) -> DataFrame:
+    """Visits per kind that began on a weekend and on other days."""
+    weekend = is_weekend(F.col("AdmitDate")).cast("int").alias("Weekend")
+    return t["encounters"].groupBy("EncounterType", weekend).agg(F.count("*").alias("Visits"))
+
+
 # Billing.
 def _posting(t: Tables) -> dict[str, DataFrame]:
     return billing.post_encounter_charges(

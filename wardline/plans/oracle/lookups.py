@@ -111,3 +111,10 @@ both_ways AS (SELECT a, b, w FROM pairs UNION ALL SELECT b, a, w FROM pairs)
 SELECT q.PairID, q.DrugA, q.DrugB, CASE WHEN q.DrugA IS NULL OR q.DrugB IS NULL THEN NULL ELSE COALESCE(k.w, 'NO_INTERACTION') END AS Result
 FROM h_drug_pairs q LEFT JOIN both_ways k ON k.a = upper(trim(q.DrugA)) AND k.b = upper(trim(q.DrugB))""",
 }
+
+SQL["hl7_segments_of_lab_messages"] = SQL["hl7_segments"].replace("h_hl7_messages", "h_lab_messages")
+SQL["patients_by_phone_part"] = "SELECT PatientID, HomePhone, MobilePhone, WorkPhone FROM h_patients WHERE contains(HomePhone, '0012') OR contains(MobilePhone, '0012') OR contains(WorkPhone, '0012')"
+SQL["drug_allergy_matches"] = """
+SELECT DISTINCT m.PatientID, m.DrugName, lower(a.AllergenName) AS Allergen FROM h_medications m JOIN h_allergies a ON a.PatientID = m.PatientID AND contains(lower(m.DrugName), lower(a.AllergenName))
+WHERE a.AllergyType = 'DRUG' AND a.AllergyStatus = 'ACTIVE'"""
+SQL["visits_by_weekend"] = "SELECT EncounterType, CAST(isodow(AdmitDate) >= 6 AS INTEGER) AS Weekend, COUNT(*) AS Visits FROM h_encounters GROUP BY 1, 2"

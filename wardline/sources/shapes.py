@@ -245,6 +245,26 @@ SELECT event_id AS AppointmentID, user_id AS PatientID, event_id % {_SUPPLIERS}
        CASE event_type WHEN 'view' THEN 'FOLLOW_UP' WHEN 'click' THEN 'CONSULT' ELSE 'PROCEDURE' END AS AppointmentType,
        CASE event_type WHEN 'error' THEN 'NO_SHOW' WHEN 'signup' THEN 'CANCELLED' WHEN 'purchase' THEN 'COMPLETED' ELSE 'SCHEDULED' END AS AppointmentStatus
 FROM {{events}}""",
+    # Shifts and waiting patients, with states outside the declared ones and repeated numbers among them.
+    "staff_schedules": """
+SELECT CASE WHEN o_orderkey % 101 = 0 THEN 7 ELSE o_orderkey END AS ScheduleID, o_custkey % 40 AS StaffID, CAST(o_orderdate AS DATE) AS ShiftDate,
+       CASE o_orderkey % 13 WHEN 0 THEN 'DAY' WHEN 1 THEN 'EVENING' WHEN 2 THEN 'NIGHT' WHEN 3 THEN 'ON_CALL' WHEN 4 THEN 'SPLIT' WHEN 5 THEN 'day' WHEN 6 THEN NULL ELSE 'DAY' END AS ShiftType,
+       CASE o_orderkey % 7 WHEN 0 THEN 'SCHEDULED' WHEN 1 THEN 'CONFIRMED' WHEN 2 THEN 'CANCELLED' WHEN 3 THEN 'CALLED_OFF' WHEN 4 THEN 'SWAPPED' WHEN 5 THEN 'LOST' ELSE 'SCHEDULED' END AS ScheduleStatus
+FROM {orders}""",
+    "waiting_list": """
+SELECT CASE WHEN c_custkey % 31 = 0 THEN NULL WHEN c_custkey % 29 = 0 THEN 1 ELSE c_custkey END AS WaitListID, c_custkey AS PatientID,
+       CASE c_custkey % 7 WHEN 0 THEN 'WAITING' WHEN 1 THEN 'NOTIFIED' WHEN 2 THEN 'SCHEDULED' WHEN 3 THEN 'CANCELLED' WHEN 4 THEN 'EXPIRED' WHEN 5 THEN 'GONE' ELSE 'WAITING' END AS WaitListStatus
+FROM {customer}""",
+    # Laboratory messages: a header, patient and order segment, results; line ends of both kinds, blank and short lines.
+    "lab_messages": f"""
+SELECT {_LINE_ID} AS LabResultID, CASE WHEN l_partkey % 41 = 0 THEN NULL ELSE CONCAT(
+       'MSH|^~&|LAB|HOSP|EHR|HOSP|', {_ymd('l_shipdate')}, '||ORU^R01|', CAST(l_orderkey AS STRING), '|P|2.3', CHR(13), CHR(10),
+       'PID|1||', CAST(o_custkey AS STRING), '^^^HOSP||DOE^', CAST(o_custkey % 7 AS STRING), CASE WHEN l_partkey % 3 = 0 THEN '  ' ELSE '' END, CHR(13),
+       CASE WHEN l_partkey % 5 = 0 THEN CONCAT('ZZ', CHR(13)) ELSE '' END, CASE WHEN l_partkey % 4 = 0 THEN CONCAT('   ', CHR(10)) ELSE '' END,
+       'OBR|1|', CAST(l_orderkey AS STRING), '||T', CAST(l_partkey % 40 AS STRING), '^Test', CHR(10),
+       'OBX|1|NM|T', CAST(l_partkey % 40 AS STRING), '||', CAST(CAST(l_quantity AS INT) AS STRING), '|mg/dL|', CASE WHEN l_partkey % 6 = 0 THEN '' ELSE '1-40' END, '|||F',
+       CASE WHEN l_partkey % 2 = 0 THEN CONCAT(CHR(13), 'NTE|1||', l_returnflag, '|') ELSE '' END) END AS RawHL7Message
+FROM {_LINES} WHERE l_linenumber % 4 = 1""",
     "hl7_messages": "SELECT doc_id AS LabResultID, text AS RawHL7Message FROM {documents}",
     "drug_pairs": f"""
 SELECT {_LINE_ID} AS PairID, {_drug('l_partkey')} AS DrugA,
@@ -301,7 +321,7 @@ SHAPES["encounters_after"] = (
 # Tables whose columns the profile reads. Message texts and requests are input, not stored tables.
 PROFILED = [
     n for n in SHAPES
-    if n not in ("messages", "encounters_after", "drug_pairs", "registrations", "admission_requests", "discharge_requests", "medication_requests")
+    if n not in ("messages", "lab_messages", "encounters_after", "drug_pairs", "registrations", "admission_requests", "discharge_requests", "medication_requests")
 ]
 
 

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``, or a folder in the warehouse where that is unset."""
+    """Folder all executors can reach: ``spark.checkpoint.dir``, the context's checkpoint folder, or one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    given = spark._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get()
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/wardline-staging"
 
 
@@ -40,9 +45,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     staged.staged_at = path
+    if _scopes:
+        _scopes[-1].append(staged)
     return staged
 
 
+_scopes: list[list[DataFrame]] = []
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Removes what was staged inside when the block ends: for callers that write a job's result in the block."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        release(*_scopes.pop())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
