@@ -211,3 +211,9 @@ def test_wall_clock_differences_ignore_the_session_zone(spark):
         assert one(spark, dialect.second_index(ts("1969-12-31 23:59:59.5"))) == -1
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_weekend(spark):
+    days = [("2001-07-20", False), ("2001-07-21", True), ("2001-07-22", True), ("2001-07-23", False), (None, None)]
+    df = spark.createDataFrame([(d,) for d, _ in days], "d string").select("d", dialect.is_weekend(F.to_date("d")).alias("w"))
+    assert [(r["d"], r["w"]) for r in df.collect()] == days

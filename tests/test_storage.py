@@ -200,3 +200,20 @@ def test_the_join_gets_changed_ranges_only(spark):
     assert values(found, "RecordID", "Action") == [(5, "UPDATE"), (50_000, "UPDATE")]
     met = [df.withColumn("_range", quality.key_range(df, "id", 1024)).join(changed, "_range", "left_semi").count() for df in (old, new)]
     assert met == [2048, 2048]
+
+
+# Foreign keys.
+def test_bitmaps_against_the_join(spark):
+    """Keys at the borders of pieces, negative and repeated ones, null keys, and a child key on a third of the rows."""
+    pick = random.Random(13)
+    held = [0, 1, 7, 8, 32_767, 32_768, 32_769, 65_536, -1, -40_000, None] + [pick.randrange(100_000) for _ in range(3000)]
+    used = [2, 32_766, 65_535, -2, 7, None] + [5] * 2000 + [pick.randrange(-50_000, 110_000) for _ in range(4000)]
+    tables = {
+        "parents": spark.createDataFrame([(k,) for k in held + held[:50]], "id long"),
+        "others": spark.createDataFrame([(k,) for k in range(10)], "id int"),
+        "children": spark.createDataFrame([(k, None if k is None else k % 12) for k in used], "parent long, other long"),
+    }
+    references = [("children", "parent", "parents", "id"), ("children", "other", "others", "id")]
+    found = quality.orphans_by_bitmap(tables, references)
+    assert values(found, "Reference", "Key", "Rows") == values(quality.all_orphans(tables, references), "Reference", "Key", "Rows")
+    assert found.where("Reference = 'children.other'").count() == 2

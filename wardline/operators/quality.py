@@ -369,6 +369,51 @@ def _missing(tables: dict[str, DataFrame], references: list[tuple[int, tuple]],
     return found.select("_reference", c("_key").cast("string").alias("Key"), "Rows")
 
 
+def parent_bitmaps(parents: dict[int, Column], tables: dict[int, DataFrame]) -> DataFrame:
+    """``_parent, _piece, _bits``: the whole-number keys of every parent table, a bit each in pieces of 32,768 keys.
+
+    Bits are set in every task first, so a repeated key costs nothing, and a table is a bit per key instead of a row.
+    """
+    known = [
+        tables[number].select(F.lit(number).alias("_parent"), key.cast("long").alias("_key")).filter(c("_key").isNotNull())
+        for number, key in parents.items()
+    ]
+    return (
+        union_all(known)
+        .groupBy("_parent", F.bitmap_bucket_number("_key").alias("_piece"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_key")).alias("_bits"))
+    )
+
+
+def has_bit(bits: Column, position: Column) -> Column:
+    """Whether a bitmap holds a position."""
+    byte = F.conv(F.hex(F.substring(bits, (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (position % 8).cast("int")) == 1
+
+
+def orphans_by_bitmap(tables: dict[str, DataFrame], references: list[tuple[str, str, str, str]]) -> DataFrame:
+    """``all_orphans`` for references between whole numbers: children are tested against the parents' bitmaps.
+
+    Children are folded to one row per key and reference as there; each then meets the one piece that can hold its
+    key. Keys should be running numbers: of keys far apart every one needs a piece of its own.
+    """
+    parents = list(dict.fromkeys((parent, key) for _, _, parent, key in references))
+    bitmaps = parent_bitmaps({n: c(key) for n, (_, key) in enumerate(parents)}, {n: tables[parent] for n, (parent, _) in enumerate(parents)})
+    children: dict[str, list[Column]] = {}
+    for number, (child, column, parent, key) in enumerate(references):
+        entry = F.struct(F.lit(number).alias("_reference"), F.lit(parents.index((parent, key))).alias("_parent"), c(column).cast("long").alias("_key"))
+        children.setdefault(child, []).append(entry)
+    used = []
+    for child, entries in children.items():
+        stacked = tables[child].select(F.explode(F.array(*entries)).alias("_p")).select("_p.*").filter(c("_key").isNotNull())
+        used.append(stacked.groupBy("_reference", "_parent", "_key").agg(F.count("*").alias("Rows")))
+    placed = union_all(used).withColumn("_piece", F.bitmap_bucket_number("_key"))
+    there = F.coalesce(has_bit(c("_bits"), F.bitmap_bit_position("_key")), F.lit(False))
+    missing = placed.join(bitmaps, ["_parent", "_piece"], "left").filter(~there)
+    labels = F.array(*[F.lit(f"{child}.{column}") for child, column, _, _ in references])
+    return missing.select(F.element_at(labels, c("_reference") + 1).alias("Reference"), c("_key").cast("string").alias("Key"), "Rows")
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, reference: str) -> DataFrame:
     """Keys of the child without a parent row, with how many rows use each.
 

@@ -77,10 +77,11 @@ _REFERENCES = [
     ("room_assignments", "RoomID", "rooms", "RoomID"),
     ("room_assignments", "EncounterID", "encounters_after", "EncounterID"),
 ]
-_ORPHANS = " UNION ALL ".join(
-    f"SELECT '{a}.{x}' AS Reference, CAST({x} AS VARCHAR) AS Key, COUNT(*) AS Rows FROM h_{a} c WHERE {x} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM h_{b} p WHERE p.{y} = c.{x}) GROUP BY ALL"
+_ORPHAN_PARTS = {
+    (a, x): f"SELECT '{a}.{x}' AS Reference, CAST({x} AS VARCHAR) AS Key, COUNT(*) AS Rows FROM h_{a} c WHERE {x} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM h_{b} p WHERE p.{y} = c.{x}) GROUP BY ALL"
     for a, x, b, y in _REFERENCES
-)
+}
+_ORPHANS = " UNION ALL ".join(_ORPHAN_PARTS.values())
 
 
 def _columns(table: str) -> list[str]:
@@ -144,3 +145,4 @@ SELECT PatientID, LastName || ', ' || FirstName || COALESCE(' ' || left(MiddleNa
        LastName || ', ' || FirstName || COALESCE(' ' || MiddleName, '') || COALESCE(', ' || Suffix, '') AS FORMAL, LastName || ', ' || FirstName AS OTHER FROM h_patients""",
 }
 SQL["snapshot_diff_by_range"] = SQL["snapshot_diff"]
+SQL["orphan_keys_by_bitmap"] = " UNION ALL ".join(text for (_, column), text in _ORPHAN_PARTS.items() if column != "ChargeCode")
