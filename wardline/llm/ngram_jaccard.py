@@ -30,10 +30,11 @@ from wardline.llm.words import NOT_BLANK, Words, blocks, mix, windows, words_of
 from wardline.workspace import release, stage
 
 BLOCK_BYTES = 4 << 20
-#: Parts of the fingerprint range that a set is counted in for the suffix filter.
-RANGES = 64
+#: Parts of the fingerprint range that a set is counted in for the suffix filter; a count above ``MOST_COUNTED`` is taken
+#: as that, which makes two sets look more alike, never less.
+RANGES, MOST_COUNTED = 64, 127
 #: N-grams of a prefix that every posting carries, so that most pairs come up once only.
-HEAD = 16
+HEAD = 8
 
 
 @dataclass(frozen=True)
@@ -186,7 +187,8 @@ def whole_sets(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
         for block in blocks(batches, "text", BLOCK_BYTES):
             code, text, cuts = shingles(words_of(block.column("text"), NOT_BLANK, lower=True), size)
             part = (code >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64)
-            ranges = np.bincount(text * RANGES + part, minlength=block.num_rows * RANGES).astype(np.int32)
+            counted = np.bincount(text * RANGES + part, minlength=block.num_rows * RANGES)
+            ranges = np.minimum(counted, MOST_COUNTED).astype(np.int8)
             names = set_names(code, text, cuts)
             found = pa.RecordBatch.from_arrays(
                 [
@@ -201,7 +203,7 @@ def whole_sets(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
             yield found.filter(pa.array(names[0] == found.column("class").to_numpy()))
 
     texts = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["first_id"])).select("class", "text")
-    sets = texts.mapInArrow(run, "class bigint, n bigint, grams array<bigint>, ranges array<int>")
+    sets = texts.mapInArrow(run, "class bigint, n bigint, grams array<bigint>, ranges array<tinyint>")
     return sets.dropDuplicates(["class"])
 
 
@@ -253,7 +255,7 @@ def possible(at_least: Threshold, x: str, y: str) -> Column:
     most = F.least(a["place"], b["place"]) + F.least(a["n"] - a["place"], b["n"] - b["place"])
     met = F.get(F.array_intersect(a["head"], b["head"]), F.lit(0))
     apart = F.aggregate(
-        F.zip_with(a["ranges"], b["ranges"], lambda p, q: F.abs(p - q)), F.lit(0), lambda sum_, d: sum_ + d
+        F.zip_with(a["ranges"], b["ranges"], lambda p, q: F.abs(p.cast("int") - q.cast("int"))), F.lit(0), lambda sum_, d: sum_ + d
     )
     return (
         (a["class"] != b["class"])
@@ -283,16 +285,15 @@ def linked_classes(sets: DataFrame, at_least: Threshold) -> DataFrame:
     ends = [F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")]
     first = stage(verified(stars.select(*ends), sets, at_least), "first-links")
     labels = components(first)
-    grouped = stage(
-        found.join(labels.withColumnRenamed("key", "class"), "class", "left").withColumn(
-            "label", F.coalesce("label", "class")
-        ),
-        "labelled-prefixes",
-    )
-    # Pairs across components: one side is outside its group's largest component or both are.
-    sizes = grouped.groupBy("gram", "label").agg(F.count("*").alias("size"))
+    # Pairs across components: one side is outside its group's largest component or both are. Labels are joined to
+    # class and n-gram alone; the rows themselves are taken from groups of several components only.
+    of = labels.withColumnRenamed("key", "class")
+    named = found.select("gram", "class").join(of, "class", "left").select("gram", F.coalesce("label", "class").alias("label"))
+    sizes = named.groupBy("gram", "label").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("gram").agg(F.max(F.struct("size", "label")).alias("most"), F.count("*").alias("parts"))
-    mixed = grouped.join(largest.where("parts > 1").select("gram", F.col("most.label").alias("main")), "gram")
+    parted = largest.where("parts > 1").select("gram", F.col("most.label").alias("main"))
+    mixed = found.join(parted, "gram").join(of, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    mixed = stage(mixed, "mixed-prefixes")
     left = mixed.where("label != main").select("gram", row.alias("x"), F.col("label").alias("la"))
     right = mixed.select("gram", row.alias("y"), F.col("label").alias("lb"), "main")
     once = (F.col("lb") == F.col("main")) | (F.col("x.class") < F.col("y.class"))
@@ -300,7 +301,7 @@ def linked_classes(sets: DataFrame, at_least: Threshold) -> DataFrame:
     # A pair that meets in a group of another component may have met its hub before: it is not verified twice.
     rest = across.select(*ends).join(first, ["a", "b"], "left_anti")
     linked = joined(labels, verified(rest, sets, at_least))
-    release(found, first, labels, grouped)
+    release(found, first, labels, mixed)
     return linked
 
 
@@ -320,7 +321,8 @@ def near_duplicates(
     links. Documents without words have an empty set and are linked with nothing. Null texts have no
     words. Null ids are linked like others and are nobody's ``component_id`` unless all of a component
     are null; repeated rows are linked with each other as equal sets. An empty table gives no rows; other columns are
-    ignored. N-grams are compared by 64-bit fingerprints, equal sets by 128 bits.
+    ignored. A very long text counts whole; its set is one row. N-grams are compared by 64-bit fingerprints, equal sets
+    by 128 bits.
     """
     spark = prepare(docs.sparkSession)
     at_least = Threshold(num, den)
