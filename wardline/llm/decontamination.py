@@ -328,22 +328,29 @@ def find_phrases(
     test row. Words are runs of digits, letters and bytes beyond ASCII, A-Z in lower case. Null and empty
     texts have no words and items without words match nothing; null item ids are listed as null.
     Repeated rows and null ids of documents pass through, empty tables give no rows or no hits, other
-    columns are ignored. Item ids are integers. Terms are compared by 64-bit fingerprints.
+    columns are ignored. A very long text is one document of its segment and is searched whole. Item ids are integers. Terms are compared by 64-bit fingerprints.
 
     Only terms of the test set have posting lists. A test set of more than ``QUERY_WORDS`` words is
     looked up in blocks, each with an index of its own; a document's rows of all blocks are then put together.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"doc_id {kind}, key bigint, n_words bigint, hits {SPANS}, items array<bigint>"
-    sets = test_sets(tests, size, item_id, item_text)
     whole = None
-    for block in (next(sets, None) or test_set([], [], size), *sets):
+    for block in one_at_least(test_sets(tests, size, item_id, item_text), size):
         index = build_index(docs, block.vocabulary, doc_id, text)
         found = over_segments(index, block, phrase_hits, schema)
         whole = found if whole is None else put_together(whole, found)
     return whole.drop("key")
 
 
+def one_at_least(sets: Iterator[TestSet], size: int) -> Iterator[TestSet]:
+    """Blocks of a test set, read one after the other; an empty block where there is none."""
+    first = next(sets, None)
+    yield test_set([], [], size) if first is None else first
+    first = None
+    yield from sets
+
+
 def put_together(whole: DataFrame, found: DataFrame) -> DataFrame:
     """The findings of one more block of the test set added to each row; rows that agree have equal findings."""
     more = found.dropDuplicates(["doc_id", "key"]).select(
