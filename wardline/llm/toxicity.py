@@ -177,8 +177,10 @@ def sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: st
         .limit(SAMPLE_DOCUMENTS)
     )
     texts = fit_for.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    # The sample has a fixed number of rows of two numbers each.
-    return texts.join(F.broadcast(chosen), "doc_id")
+    # The sample has a fixed number of rows of two numbers each. Of several texts of an id the least one is taken, in
+    # every task first, so an id that many rows have brings one of them.
+    met = texts.join(F.broadcast(chosen), "doc_id")
+    return met.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def train(
@@ -191,7 +193,8 @@ def train(
 ) -> Model:
     """Fit on at most ``SAMPLE_DOCUMENTS`` labelled documents of at most ``SAMPLE_BYTES`` bytes.
 
-    Labels other than 0 and 1 are no labels; of several labels of a document the larger holds.
+    Labels other than 0 and 1 are no labels; of several labels of a document the larger holds, of several texts of an
+    id the least.
     """
     rows = sample(docs, labels, doc_id, text, label, label_id)
     # In a fixed order, so that the same rows give the same weights bit by bit.
