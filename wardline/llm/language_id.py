@@ -2,8 +2,8 @@
 
 Every word has a label; forward-backward gives each word's label probabilities in its context, and a
 text's language is the one with the largest share of its words. A word's features are its prefixes and
-suffixes, its byte n-grams and its place in a lexicon of common words, all hashed into one weight table;
-transitions between the labels of neighbouring words are learned with them.
+suffixes, its byte n-grams and the word itself, which stands for an entry of a lexicon, all hashed into one weight
+table; transitions between the labels of neighbouring words are learned with them.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ STRETCH = 32
 
 UNKNOWN = "und"
 
-#: Bytes of words: ASCII letters, the apostrophe, and everything beyond ASCII.
+#: Bytes of words: ASCII letters and everything beyond ASCII.
 LETTERS = np.zeros(256, bool)
 LETTERS[0x41:0x5B] = LETTERS[0x61:0x7B] = LETTERS[0x80:] = True
 
@@ -301,8 +301,8 @@ def train(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str
             words = [drawn_words(t, most) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(words, pa.string())], batch.schema.names)
 
-    # The chosen ids are a bounded number for each language.
-    met = texts.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"])
+    # The chosen ids are a bounded number for each language; an id that many rows have brings the least of its texts.
+    met = texts.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     rows = met.select("doc_id", "lang", "text").mapInArrow(draw, met.select("doc_id", "lang", "text").schema)
     rows = rows.orderBy("doc_id", "text").toPandas()
     return fit(rows["text"].tolist(), rows["lang"].tolist())
