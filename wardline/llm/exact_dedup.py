@@ -28,6 +28,7 @@ def exact_duplicates(
     smallest id stays (``keep="min"``, or the largest with ``"max"``). Null ids lose against any id;
     a group of null ids alone has a null ``keep_id`` and keeps its rows. Rows that repeat the kept id
     are all kept, since nothing tells them apart. An empty table gives no rows; other columns are ignored.
+    A very long text is compared whole, as one key.
 
     The texts are grouped by (content hash, bytes): the hash deals them out, the bytes keep texts
     apart that collide in it. Each task first folds its own copies, so a text that makes up a third

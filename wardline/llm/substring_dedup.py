@@ -1,11 +1,10 @@
-"""Substring duplicates by parsing documents against an indexed reference, as in relative Lempel-Ziv.
+"""Substring duplicates by factoring documents against an indexed reference, after relative Lempel-Ziv.
 
 The reference is the corpus itself, cut into phrases of ``size`` words and indexed in blocks by the
-phrases' fingerprints. Every phrase of every document is looked up in the reference block that would hold it.
-A document is then parsed greedily: while the phrase at the next word is in the reference, the factor
-grows by that word. Phrases that straddle the border of two factors are looked up like all others,
-so a passage is found whole even where its halves have different origins. Factors shorter than a phrase
-do not count; the others are the duplicate spans.
+phrases' 64-bit fingerprints. Every phrase of every document is looked up in the reference block that would hold it,
+also those that straddle the border of two factors. Factors are the runs of phrases found, which is what greedy
+factoring against all reference texts comes to for factors of ``size`` words and more; no factor is extended word by
+word against the text of one reference, and phrases are not compared beyond their fingerprints.
 """
 
 from __future__ import annotations

@@ -66,7 +66,7 @@ def count_tokens(
     ``n_tokens`` is the number of tokens the tokenizers library gives for the file at ``path``, without
     added special tokens; a special string inside a text counts as its one token. Null and empty texts
     have 0 bytes and tokens. Rows are independent: repeated rows and null ids pass through, an empty
-    table gives no rows, other columns are ignored. The proof of whole tokens runs once on the driver.
+    table gives no rows, other columns are ignored. A very long text is counted whole by one task. The proof of whole tokens runs once on the driver.
     """
     spark = docs.sparkSession
     source = read_file(path)
