@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -10,6 +11,8 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.fixtures import documents, no_documents, odd_rows, prose, sorted_rows
@@ -197,7 +200,7 @@ def test_noisy_or():
 
 def test_marginals_are_those_of_the_plain_recursion():
     random_ = np.random.default_rng(0)
-    for labels in (1, 2, 4):
+    for labels in (1, 2, 4, language_id.MANY_LABELS, 20):
         lengths = [1, 2, 31, 32, 33, 64, 65, 200, 5, 1]
         scores, moves = random_.normal(size=(sum(lengths), labels)), random_.normal(size=(labels, labels))
         first = np.zeros(len(scores), bool)
@@ -216,6 +219,68 @@ def test_marginals_are_those_of_the_plain_recursion():
             at += n
 
 
+def random_model(labels, seed=0):
+    random_ = np.random.default_rng(seed)
+    weights = random_.normal(size=(language_id.FEATURES + labels, labels)) / 10
+    return language_id.Crf([f"l{k:03}" for k in range(labels)], weights, random_.normal(size=(labels, labels)))
+
+
+def shares_of(model, texts):
+    data, offsets = words.text_bytes(pa.array(texts))
+    start, end = words.spans(data, offsets, language_id.LETTERS)
+    text = np.searchsorted(offsets, start, "right") - 1
+    return language_id.text_shares(model, data, offsets, start, end, text)
+
+
+@pytest.mark.parametrize("labels", [1, 3, 20])
+def test_texts_in_pieces_have_the_same_shares(monkeypatch, labels):
+    model = random_model(labels)
+    texts = [prose(1, 30), "", prose(2, 400), "12 34", "x", prose(3, 12), prose(4, 90)]
+    whole = shares_of(model, texts)
+    for most in (1, 7, 32, 50, 100):
+        monkeypatch.setattr(language_id, "CELLS", most * labels)
+        assert np.allclose(shares_of(model, texts), whole)
+    assert np.allclose(whole.sum(1), [1, 0, 1, 0, 1, 1, 1])
+
+
+@pytest.mark.parametrize("labels", [64, 200])
+def test_memory_does_not_follow_labels_and_length(labels):
+    texts = [prose(1, 70_000)] + [prose(k, 500) for k in range(100)]
+    tracemalloc.start()
+    shares = shares_of(random_model(labels), texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The long text alone has several times as many words as a piece with 200 labels may hold.
+    assert np.allclose(shares.sum(1), 1) and peak < 400 << 20
+
+
+def test_lexicons_hold_common_words_of_each_language():
+    codes = np.array([5, 9, 11, 20], np.uint64)
+    # Documents 0 and 1 are of language 0, 2 and 3 of language 1.
+    distinct, text = np.array([0, 1, 0, 2, 0, 3, 3, 0, 3]), np.array([0, 0, 1, 1, 2, 2, 2, 3, 3])
+    found = language_id.lexicon_of(codes, distinct, text, np.array([0, 0, 1, 1]))
+    assert found.code.tolist() == [5, 5, 20] and found.label.tolist() == [0, 1, 1]
+    word, feature = found.features(np.array([20, 7, 5], np.uint64))
+    assert word.tolist() == [0, 2, 2] and (feature - language_id.FEATURES).tolist() == [1, 0, 1]
+    # Shared affixes and n-grams say nothing here; the lexicons get weights for their own language.
+    texts = [" ".join(w + "xyz" for w in ("ab", "ba", "abab")) * 3, " ".join(w + "xyz" for w in ("ba", "bb", "baba")) * 3] * 5
+    model = language_id.fit(texts, ["a", "b"] * 5)
+    own = model.weights[language_id.FEATURES :]
+    assert own[0, 0] > own[0, 1] and own[1, 1] > own[1, 0]
+
+
+def test_the_earliest_rows_of_each_language(spark):
+    rows = [(k, "many" if k % 10 else "few") for k in range(20_000)] + [(k, "rare") for k in range(3)] + [(7, "many")] * 500
+    keys = spark.createDataFrame(rows, "doc_id long, lang string")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    expected = keys.withColumn("place", F.row_number().over(order)).where("place <= 100").drop("place")
+    kept = language_id.earliest(keys, 100)
+    found = kept.withColumn("place", F.row_number().over(order)).where("place <= 100").drop("place")
+    assert sorted(found.collect()) == sorted(expected.collect())
+    counts = {r["lang"]: r["count"] for r in kept.groupBy("lang").count().collect()}
+    assert counts["rare"] == 3 and 100 <= counts["few"] < 400 and 100 <= counts["many"] < 1000
+
+
 def test_language_of_held_out_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     out = [r["doc_id"] for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
