@@ -219,43 +219,6 @@ def test_rows_of_numbers_are_no_copies(spark, bits):
     assert sorted_rows(found, "doc_id", "removed") == [(1, []), (2, [1]), (3, [0])]
 
 
-def test_the_bound_lets_every_similar_pair_pass():
-    pick = random.Random(9)
-    x, y = [], []
-    for _ in range(600):
-        a = "".join(pick.choice("abcdé 日") for _ in range(pick.randrange(0, 60)))
-        b = list(a)
-        for _ in range(pick.randrange(0, 14)):
-            at = pick.randrange(len(b) + 1)
-            b[at : at + pick.randrange(2)] = pick.choice([[], ["z"], ["a", "b"]])
-        x.append(a)
-        y.append("".join(b) if pick.random() < 0.8 else pick.choice(x))
-    passed = line_dedup.may_be_similar(x, y, 80)
-    assert all(p for p, a, b in zip(passed, x, y) if line_dedup.similar(a, b, 80))
-    assert (~passed).sum() > 50
-
-
-@pytest.mark.parametrize("few", [1, 24])
-def test_distances_side_by_side_are_those_one_by_one(monkeypatch, few):
-    monkeypatch.setattr(line_dedup, "FEW", few)
-    pick = random.Random(10)
-    x, y = ["", "", "a"], ["", "abc", ""]
-    for k in range(300):
-        a = [pick.choice("abcde fg") for _ in range(pick.choice([1, 30, 63, 64, 65, 128, 129, 200, 512, 513, 700]))]
-        x.append("".join(a))
-        for _ in range(pick.randrange(0, 40)):
-            at = pick.randrange(len(a) + 1)
-            a[at : at + pick.randrange(3)] = pick.choice([[], ["z"], ["a", "b"]])
-        y.append("".join(a))
-    bound = line_dedup.distance_bounds(x, y)
-    exact = np.array([line_dedup.edit_distance(a, b) for a, b in zip(x, y)])
-    least = np.array([min(len(a), len(b)) for a, b in zip(x, y)])
-    assert (bound <= exact).all()
-    if few == 1:
-        side = (least > 0) & (least <= 64 * line_dedup.WIDEST)
-        assert (bound[side] == exact[side]).all()
-
-
 def close(a, b, percent):
     before = list(range(len(b) + 1))
     for x, c in enumerate(a, 1):
