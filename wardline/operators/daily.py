@@ -27,18 +27,27 @@ def daily_bitmaps(facts: DataFrame, day: Column, by: list[str], ids: dict[str, C
     """``Day``, the group columns, ``Measure``, ``Piece``, ``Bits``: the ids of each measure seen on a day in a group.
 
     An id is one bit of a piece of 32,768 neighbouring ids, so ids should be running numbers. Null ids are left out.
-    Bits are set in every task first; a row repeated any number of times sets the same bit.
+    Repeated ids are folded in every task first, so a row repeated any number of times is shuffled as one; a bitmap is
+    then made from at most as many rows as it has bits, and no bitmaps are sorted or shuffled for it.
     """
     entries = F.array(*[F.struct(F.lit(name).alias("Measure"), value.cast("long").alias("_id")) for name, value in ids.items()])
     seen = facts.select(day.alias("Day"), *by, F.explode(entries).alias("_e")).select("Day", *by, "_e.*").filter(c("_id").isNotNull())
-    return seen.groupBy("Day", *by, "Measure", F.bitmap_bucket_number("_id").alias("Piece")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias("Bits")
-    )
+    piece = ["Day", *by, "Measure", "Piece"]
+    ids_once = seen.withColumn("Piece", F.bitmap_bucket_number("_id")).distinct()
+    return ids_once.repartition(*piece).groupBy(*piece).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias("Bits"))
+
+
+#: Bitmaps of 4 KB that one task merges: 64 MB to sort.
+BITMAPS_PER_TASK = 16_384
 
 
 def distinct_counts(bitmaps: DataFrame, by: list[str], measures: list[str]) -> DataFrame:
-    """Distinct ids per group over all days and loads of the bitmaps, a column per measure."""
-    pieces = bitmaps.groupBy(*by, "Measure", "Piece").agg(F.bitmap_or_agg("Bits").alias("Bits"))
+    """Distinct ids per group over all days and loads of the bitmaps, a column per measure.
+
+    Bitmaps are 4 KB each to sort but next to nothing compressed, so they are dealt by their number, not by their bytes.
+    """
+    tasks = max(1, -(-bitmaps.count() // BITMAPS_PER_TASK))
+    pieces = bitmaps.repartition(tasks, *by, "Measure", "Piece").groupBy(*by, "Measure", "Piece").agg(F.bitmap_or_agg("Bits").alias("Bits"))
     counted = pieces.withColumn("_n", F.bitmap_count("Bits"))
     return counted.groupBy(*by).agg(
         *[F.coalesce(F.sum(F.when(c("Measure") == m, c("_n"))), F.lit(0)).cast("long").alias(m) for m in measures]
