@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardline.clock import Clock
 from wardline.functions.dialect import last_first
 from wardline.operators.clinical_reports import c
-from wardline.operators.rows import union_all
+from wardline.operators.rows import fold_facts, union_all
 from wardline.workspace import stage
 
 RETENTION_MONTHS = 84
@@ -73,18 +73,17 @@ def archive_counts(
     retention_months: int = RETENTION_MONTHS,
     batch: int | None = None,
 ) -> DataFrame:
-    """Rows moved and kept per child table, each child folded to its visits before the join."""
+    """Rows moved and kept per child table, all children folded to one row per visit before the join."""
     keys = stage(archive_batch(encounters, clock, retention_months, batch), "archive-visits").select(
         "EncounterID", F.lit(True).alias("_old")
     )
-    held = union_all(
-        [
-            child.groupBy("EncounterID").agg(F.count("*").alias("_n")).withColumn("TableName", F.lit(name))
-            for name, child in children.items()
-        ]
-    )
+    # One fold with a count per table: a task keeps one hash table of visits, not one for every table.
+    counts = [f"_n{i}" for i in range(len(children))]
+    held = fold_facts("EncounterID", [child.select("EncounterID", F.lit(1).alias(n)) for n, child in zip(counts, children.values())], counts)
     side = F.when(c("_old"), "moved").otherwise("kept").alias("Side")
-    counted = held.join(keys, "EncounterID", "left").groupBy("TableName", side).agg(F.sum("_n").alias("Rows"))
+    sums = held.join(keys, "EncounterID", "left").groupBy(side).agg(*[F.sum(n).alias(n) for n in counts])
+    entries = F.array(*[F.struct(F.lit(name).alias("TableName"), c(n).alias("Rows")) for n, name in zip(counts, children)])
+    counted = sums.select("Side", F.explode(entries).alias("_c")).select("Side", "_c.*")
     # A side without rows is listed with 0; the names come from the caller.
     all_sides = F.explode(F.array(*[F.struct(F.lit(n).alias("TableName"), F.lit(s).alias("Side")) for n in children for s in ("moved", "kept")]))
     listed = held.sparkSession.range(1).select(all_sides.alias("_s")).select("_s.*")
