@@ -20,6 +20,8 @@ from wardline.workspace import run_dir
 SIZE = 3
 #: Posting lists that a pattern meets.
 RAREST = 2
+#: Rows whose grams one task makes.
+ROWS_PER_TASK = 25_000
 
 
 def grams(text: Column, size: int = SIZE) -> Column:
@@ -45,8 +47,11 @@ def build(rows: DataFrame, key: str, texts: list[str]) -> Index:
     """Index the texts of every row under its key; a key is found by any of its texts. Null texts hold nothing.
 
     Postings are written in ranges of grams, sorted, so that looking up a gram reads the row groups that can hold it.
+    A row gives many postings, so the rows are dealt out by their number first: a small file is one task otherwise.
     """
     spark = rows.sparkSession
+    read = rows.select(*dict.fromkeys([key, *texts]))
+    rows = read.repartition(max(1, -(-read.count() // ROWS_PER_TASK)))
     held = F.array_distinct(F.flatten(F.array(*[F.coalesce(grams(c(n)), F.array().cast("array<string>")) for n in texts])))
     posted = rows.select(F.explode(held).alias("_gram"), c(key).alias("_key")).distinct()
     path = run_dir(spark, "grams")
