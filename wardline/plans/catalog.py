@@ -46,6 +46,12 @@ def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
     return build
 
 
+def joined_query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """Register a function that reads tables made of line items several times: they are joined with their visits once."""
+    QUERIES[build.__name__] = lambda spark, folder: build(opened(spark, folder).joined())
+    return build
+
+
 def register(operator: Callable, *tables: str, clock: bool = False, name: str | None = None, **options) -> None:
     """Register an operator that takes tables in order, and the clock if asked for."""
     if clock:
@@ -277,14 +283,14 @@ def billing_tables(t: Tables) -> BillingTables:
 
 
 outputs(
-    lambda t: nightly_billing(billing_tables(t), CLOCK),
+    lambda t: nightly_billing(billing_tables(t.joined()), CLOCK),
     {"nightly_summary": "summary", "nightly_invoices": "invoices", "nightly_claim_lines": "claim_lines"},
 )
 
 RUN_STEPS = ("room_charges", "procedure_charges", "claims", "claim_lines", "submitted", "invoices")
 
 
-@query
+@joined_query
 def nightly_second_run(t: Tables) -> DataFrame:
     """Rows each step adds when the run is repeated on the tables that the first run left: none."""
     tables = billing_tables(t)
@@ -300,7 +306,7 @@ def nightly_claims_after(t: Tables) -> DataFrame:
     return left.claims.select("ClaimID", "ClaimNumber", "EncounterID", "TotalCharges", "ClaimStatus", "EDIBatchID")
 
 
-@query
+@joined_query
 def nightly_visit_totals(t: Tables) -> DataFrame:
     """Visits with the posted total that a run writes back, and how many of their charges it leaves open."""
     tables = billing_tables(t)
@@ -338,7 +344,7 @@ outputs(
 outputs(_purge, {"purged_charges": "purged_charges", "purge_kept_invoices": "kept_invoices"})
 
 
-@query
+@joined_query
 def archive_split_counts(t: Tables) -> DataFrame:
     return retention.archive_counts(t["encounters"], {n: t[n] for n in CHILD_TABLES}, CLOCK, ARCHIVE_MONTHS)
 
@@ -367,6 +373,8 @@ CHARGE_KEY = ["ChargeID", "ChargeCode", "ServiceDate", "ChargeAmount"]
 def charges_after_billing_and_purge(t: Tables) -> DataFrame:
     """Charges by year of service: those of new claims become BILLED, purged ones go, other years stay as written."""
     path = _partitioned(t, by_year(t["billing_charges"], "ServiceDate"))
+    # The jobs read the charges as they are stored now.
+    t = t.having("billing_charges", t.spark.read.schema(t["billing_charges"].schema).parquet(path))
     billed = by_year(_claiming(1)(t)["charges"], "ServiceDate").select(*CHARGE_KEY, "Year", "ChargeStatus")
     purged = by_year(_purge(t)["purged_charges"], "ServiceDate").select(*CHARGE_KEY, "Year")
     merge_partitions(t.spark, path, CHARGE_KEY, ["Year"], billed, purged)
@@ -412,7 +420,7 @@ def snapshot_diff_by_range(t: Tables) -> DataFrame:
     return quality.snapshot_diff_by_range(t["encounters"], t["encounters_after"], "EncounterID", "Encounters", CLOCK)
 
 
-@query
+@joined_query
 def constraint_violations(t: Tables) -> DataFrame:
     checked = {n: rules for n, rules in quality.CONSTRAINTS.items() if n in SHAPES}
     return union_all([quality.check_constraints(t[n], n, rules) for n, rules in checked.items()])
@@ -456,24 +464,24 @@ REFERENCES = [
 ]
 
 
-@query
+@joined_query
 def orphan_keys(t: Tables) -> DataFrame:
     return quality.all_orphans({n: t[n] for n in dict.fromkeys([r[0] for r in REFERENCES] + [r[2] for r in REFERENCES])}, REFERENCES)
 
 
-@query
+@joined_query
 def orphan_summary(t: Tables) -> DataFrame:
     return quality.orphan_summary(orphan_keys(t))
 
 
-@query
+@joined_query
 def orphan_keys_by_bitmap(t: Tables) -> DataFrame:
     """The references between whole numbers, tested against bitmaps of the parents' keys."""
     whole = [r for r in REFERENCES if r[3] != "ChargeCode"]
     return quality.orphans_by_bitmap({n: t[n] for n in dict.fromkeys([r[0] for r in whole] + [r[2] for r in whole])}, whole)
 
 
-@query
+@joined_query
 def table_profile(t: Tables) -> DataFrame:
     """Every column of every table, with exact distinct counts."""
     return union_all([quality.profile_table(t[n], n, exact=True) for n in PROFILED])
@@ -483,7 +491,7 @@ LATE_YEAR = 2000
 SKETCHED = {"billing_charges": "ServiceDate", "encounters": "AdmitDate", "payments": "PaymentDate"}
 
 
-@query
+@joined_query
 def table_profile_from_sketches(t: Tables) -> DataFrame:
     """Profiles of tables kept by year, merged from the stored sketches of the years; later years are added last."""
     parts = []
@@ -525,7 +533,7 @@ def _bitmaps(t: Tables, rows: DataFrame, by: list[str], ids: dict[str, str], day
     return t.spark.read.parquet(store)
 
 
-@query
+@joined_query
 def order_distinct_counts(t: Tables) -> DataFrame:
     """Distinct visits, patients and physicians per kind of order, from bitmaps of single days."""
     ids = {"Visits": "EncounterID", "Patients": "PatientID", "Physicians": "OrderingPhysicianID"}
@@ -565,27 +573,31 @@ def revenue_cycle_daily(t: Tables) -> DataFrame:
 BUCKETS = 16
 
 
-def _visit_facts(t: Tables) -> colocated.Colocated:
-    names = ("encounters", "procedures", "diagnoses", "billing_charges", "payments")
+VISIT_FACTS = ("encounters", "procedures", "diagnoses", "billing_charges", "payments")
+
+
+def _visit_facts(t: Tables, names: tuple[str, ...] = VISIT_FACTS) -> colocated.Colocated:
+    """Tables stored by visit: all of them, or those that a job reads."""
     return colocated.store({n: t[n] for n in names}, "EncounterID", BUCKETS, "visits")
 
 
-@query
+@joined_query
 def reconcile_encounters_colocated(t: Tables) -> DataFrame:
-    return _visit_facts(t).per_key(lambda f: billing.reconcile_encounters(f["encounters"], f["billing_charges"], f["payments"], CLOCK))
+    stored = _visit_facts(t, ("encounters", "billing_charges", "payments"))
+    return stored.per_key(lambda f: billing.reconcile_encounters(f["encounters"], f["billing_charges"], f["payments"], CLOCK))
 
 
-@query
+@joined_query
 def procedure_charges_colocated(t: Tables) -> DataFrame:
     def post(f: dict[str, DataFrame]) -> DataFrame:
         return billing.post_encounter_charges(
             f["procedures"], f["encounters"], t["chargemaster"], f["billing_charges"], t["departments"], t["physicians"], f["diagnoses"], CLOCK,
         )["charges"]
 
-    return _visit_facts(t).per_key(post)
+    return _visit_facts(t, ("encounters", "procedures", "diagnoses", "billing_charges")).per_key(post)
 
 
-@query
+@joined_query
 def patient_financial_summary_colocated(t: Tables) -> DataFrame:
     names = ("patients", "encounters", "billing_charges", "payments", "insurance_claims", "invoices", "collections")
     facts = colocated.store({n: t[n] for n in names}, "PatientID", BUCKETS, "patients")
@@ -642,7 +654,8 @@ def queue(t: Tables) -> DataFrame:
 def _billing_stream(output: str, with_postings: bool = False) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         t = opened(spark, folder)
-        effects = broker.billing_effects(CLOCK, billing_tables(t) if with_postings else None)
+        # Every batch reads the billing tables.
+        effects = broker.billing_effects(CLOCK, billing_tables(t.joined()) if with_postings else None)
         return broker.run_once(spark, queue(t), effects, output)
 
     return run

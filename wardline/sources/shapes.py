@@ -11,6 +11,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wardline.workspace import exists, run_dir
 
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -335,6 +338,8 @@ class Tables:
         self.folder = folder.rstrip("/")
         self._base: dict[str, DataFrame] = {}
         self._built: dict[str, DataFrame] = {}
+        self._lines: str | None = None
+        self._joined: "Tables | None" = None
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> "Tables":
@@ -350,10 +355,37 @@ class Tables:
             self._base[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._base[name]
 
+    def joined(self) -> "Tables":
+        """The same tables, with line items and their visits joined once and written to the shared folder.
+
+        For queries that read several tables made of line items, or one of them several times: every read of one
+        would join and shuffle both files again. The rows are those of the join, all of them.
+        """
+        known = self._joined
+        if known is None or not exists(self.spark, known._lines):
+            known = Tables(self.spark, self.folder)
+            known._base = self._base
+            known._lines = run_dir(self.spark, "lines")
+            needed = set(re.findall(r"\b[lo]_[a-z]+", " ".join(text for text in SHAPES.values() if _LINES in text)))
+            both = self.base("lineitem").join(self.base("orders"), F.expr("l_orderkey = o_orderkey"))
+            both.select(*[n for n in both.columns if n in needed]).write.parquet(known._lines)
+            self._joined = known
+        return known
+
+    def having(self, name: str, stored: DataFrame) -> "Tables":
+        """The same tables, one of them read from where a job has stored its rows."""
+        other = Tables(self.spark, self.folder)
+        other._base, other._built, other._lines = self._base, {**self._built, name: stored}, self._lines
+        return other
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             text = SHAPES[name]
+            if self._lines:
+                text = text.replace(_LINES, "{joined_lines}")
             used = {t: self.base(t) for t in BASE_TABLES if "{" + t + "}" in text}
+            if "{joined_lines}" in text:
+                used["joined_lines"] = self.spark.read.parquet(self._lines)
             self._built[name] = self.spark.sql(text, **used)
         return self._built[name]
 
