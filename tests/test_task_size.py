@@ -128,3 +128,8 @@ def test_neighbouring_visits_are_marked_together(spark, tmp_path):
     assert [s for s in seen.values() if s] == [
         {-1: False, 0: False, 1023: False}, {1023: True, 1024: False, -1: True, 5: False}, {0: True, 5: True, 6: False},
     ]
+
+
+def test_jobs_read_stored_charges_with_the_columns_of_the_table(spark, folder):
+    left = catalog.QUERIES["charges_after_billing_and_purge"](spark, folder)
+    assert left.columns == Tables(spark, folder)["billing_charges"].columns

@@ -374,7 +374,8 @@ def charges_after_billing_and_purge(t: Tables) -> DataFrame:
     """Charges by year of service: those of new claims become BILLED, purged ones go, other years stay as written."""
     path = _partitioned(t, by_year(t["billing_charges"], "ServiceDate"))
     # The jobs read the charges as they are stored now.
-    t = t.having("billing_charges", t.spark.read.schema(t["billing_charges"].schema).parquet(path))
+    stored = t.spark.read.schema(t["billing_charges"].schema).parquet(path)
+    t = t.having("billing_charges", stored.select(*t["billing_charges"].columns))
     billed = by_year(_claiming(1)(t)["charges"], "ServiceDate").select(*CHARGE_KEY, "Year", "ChargeStatus")
     purged = by_year(_purge(t)["purged_charges"], "ServiceDate").select(*CHARGE_KEY, "Year")
     merge_partitions(t.spark, path, CHARGE_KEY, ["Year"], billed, purged)

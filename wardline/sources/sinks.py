@@ -89,12 +89,16 @@ def merge_partitions(
     old = table.filter(in_partitions(touched, partition_by))
     # One structure as the key: nulls in it are equal, as in the folders' names.
     named = lambda df: df.withColumn("_row", F.struct(*identity))
-    new = named(old)
-    if changes is not None:
-        carried = named(_typed(changes, table)).drop(*identity)
-        new = upsert(new.drop(*identity), carried, ["_row"]).select("*", "_row.*")
+    new = named(old).drop(*identity)
+    carried = None if changes is None else named(_typed(changes, table)).drop(*identity)
+    # Rows go before others change: the table's rows keep their place for the second join and cross a shuffle once.
     if removed is not None:
-        new = new.join(named(_typed(removed.select(*identity), table)).select("_row"), "_row", "left_anti")
+        gone = named(_typed(removed.select(*identity), table)).select("_row")
+        new = new.join(gone, "_row", "left_anti")
+        carried = None if carried is None else carried.join(gone, "_row", "left_anti")
+    if carried is not None:
+        new = upsert(new, carried, ["_row"])
+    new = new.select("*", "_row.*")
     new = stage(new.select(*table.columns), "partitions")
     left = {tuple(r) for r in new.select(*partition_by).distinct().collect()}
     files = old.select(*partition_by, F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("_folder"))
