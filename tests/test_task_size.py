@@ -133,3 +133,12 @@ def test_neighbouring_visits_are_marked_together(spark, tmp_path):
 def test_jobs_read_stored_charges_with_the_columns_of_the_table(spark, folder):
     left = catalog.QUERIES["charges_after_billing_and_purge"](spark, folder)
     assert left.columns == Tables(spark, folder)["billing_charges"].columns
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(colocated, "ROWS_PER_BUCKET", 100)
+    rows = spark.range(1000).select((F.col("id") % 400).alias("k"), "id")
+    stored = colocated.store({"rows": rows, "few": rows.limit(5)}, "k", 4, "follow")
+    assert stored.buckets == 10
+    assert rows_of(stored.per_key(lambda f: f["rows"])) == rows_of(rows)
+    assert colocated.store({"few": rows.limit(5)}, "k", 4, "few").buckets == 4
