@@ -316,6 +316,51 @@ def check_constraints(df: DataFrame, table: str, rules: Rules) -> DataFrame:
     return single.unionByName(unique).select(F.lit(table).alias("TableName"), "*")
 
 
+def distinct_words(df: DataFrame, names: list[str]) -> DataFrame:
+    """``ColumnName, Rows, DistinctValues`` of the whole numbers or dates in each 64 neighbours that hold one; nulls are left out.
+
+    The rows of a column add up to its figures. A bit stands for each value, so running numbers shuffle one row for
+    64 of them, and numbers far apart one row for each.
+    """
+    dates = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)}
+    numbers = df.select(*[(F.unix_date(c(n)) if n in dates else c(n)).cast("long").alias(n) for n in names])
+    pairs = numbers.unpivot([], names, "ColumnName", "v").filter(c("v").isNotNull())
+    words = pairs.groupBy("ColumnName", F.shiftright("v", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(v & 63 AS INT))")).alias("bits"), F.count("*").alias("Rows")
+    )
+    return words.select("ColumnName", "Rows", F.bit_count("bits").cast("long").alias("DistinctValues"))
+
+
+def distinct_values(df: DataFrame) -> DataFrame:
+    """``ColumnName, DistinctValues`` of every column with a value, counted exactly; of texts ``Held, Low, High`` too.
+
+    Columns of one type are stacked and folded as that type. Least and greatest texts are looked for among the
+    distinct ones only, which are far fewer as a rule; ``Held`` are the rows with a value.
+    """
+    words, typed = [], {}
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.IntegralType, T.DateType)):
+            words.append(field.name)
+        else:
+            kept = isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType, T.DecimalType))
+            typed.setdefault(field.dataType if kept else T.StringType(), []).append(field.name)
+    counted, texts = [], []
+    if words:
+        counted.append(distinct_words(df, words).select("ColumnName", "DistinctValues"))
+    for kind, names in typed.items():
+        pairs = df.select(*[c(n).cast(kind).alias(n) for n in names]).unpivot([], names, "ColumnName", "v").filter(c("v").isNotNull())
+        if kind == T.StringType():
+            texts.append(pairs.groupBy("ColumnName", "v").agg(F.count("*").alias("Rows")))
+        else:
+            counted.append(pairs.distinct().select("ColumnName", F.lit(1).cast("long").alias("DistinctValues")))
+    parts = [union_all(counted).groupBy("ColumnName").agg(F.sum("DistinctValues").alias("DistinctValues"))] if counted else []
+    figures = [F.count("*").alias("DistinctValues"), F.sum("Rows").alias("Held"), F.min("v").alias("Low"), F.max("v").alias("High")]
+    parts += [folded.groupBy("ColumnName").agg(*figures) for folded in texts]
+    nothing = {"Held": F.lit(None).cast("long"), "Low": F.lit(None).cast("string"), "High": F.lit(None).cast("string")}
+    parts = [p if "Held" in p.columns else p.withColumns(nothing) for p in parts]
+    return union_all(parts)
+
+
 def _none_null(names: list[str]) -> Column:
     found = F.lit(True)
     for name in names:
@@ -434,11 +479,15 @@ def profile_table(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
     """Rows, nulls, distinct values, least and greatest value per column, over the whole table.
 
     One pass with a distinct-count sketch by default; all other figures are exact. ``exact``
-    counts distinct values from (column, value) pairs, folded map-side, in one more shuffle.
+    counts distinct values from (column, value) pairs of one type, folded map-side, in one more shuffle.
     """
     names = df.columns
+    # Texts are compared where they have been folded already.
+    later = {f.name for f in df.schema.fields if exact and f.dataType == T.StringType()}
     aggregates = [F.count("*").alias("_rows")]
     for i, name in enumerate(names):
+        if name in later:
+            continue
         text_low, text_high = F.min(name).cast("string"), F.max(name).cast("string")
         aggregates += [F.count(name).alias(f"c{i}"), text_low.alias(f"lo{i}"), text_high.alias(f"hi{i}")]
         if not exact:
@@ -446,12 +495,13 @@ def profile_table(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
     wide = df.agg(*aggregates)
     entries = []
     for i, name in enumerate(names):
+        none = F.lit(None).cast("string")
         fields = [
             F.lit(name).alias("ColumnName"),
             c("_rows").alias("Rows"),
-            (c("_rows") - c(f"c{i}")).alias("Nulls"),
-            c(f"lo{i}").alias("MinValue"),
-            c(f"hi{i}").alias("MaxValue"),
+            (F.lit(None).cast("long") if name in later else c("_rows") - c(f"c{i}")).alias("Nulls"),
+            (none if name in later else c(f"lo{i}")).alias("MinValue"),
+            (none if name in later else c(f"hi{i}")).alias("MaxValue"),
         ]
         if not exact:
             fields.append(c(f"d{i}").alias("DistinctValues"))
@@ -459,19 +509,15 @@ def profile_table(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
     profile = wide.select(F.explode(F.array(*entries)).alias("_p")).select(F.lit(table).alias("TableName"), "_p.*")
     if not exact:
         return profile
-    pairs = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(n).alias("ColumnName"), c(n).cast("string").alias("v")) for n in names])
-        ).alias("_v")
-    ).select("_v.*")
-    distinct = (
-        pairs.filter(c("v").isNotNull())
-        .distinct()
-        .groupBy("ColumnName")
-        .agg(F.count("*").alias("DistinctValues"))
-    )
-    return profile.join(distinct, "ColumnName", "left").withColumn(
-        "DistinctValues", F.coalesce("DistinctValues", F.lit(0))
+    joined = profile.join(distinct_values(df), "ColumnName", "left")
+    return joined.select(
+        "ColumnName",
+        "TableName",
+        "Rows",
+        F.coalesce("Nulls", c("Rows") - F.coalesce("Held", F.lit(0))).alias("Nulls"),
+        F.coalesce("MinValue", "Low").alias("MinValue"),
+        F.coalesce("MaxValue", "High").alias("MaxValue"),
+        F.coalesce("DistinctValues", F.lit(0)).alias("DistinctValues"),
     )
 
 
