@@ -39,3 +39,15 @@ def test_no_number_is_shuffled_as_text(spark):
     df = spark.range(10).select("id", F.col("id").cast("timestamp").alias("at"), F.col("id").cast("decimal(10,2)").alias("m"))
     plan = quality.distinct_values(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "as string" not in plan
+    rules = quality.Rules({}, ("id",), unique=("id", ("id", "m")))
+    plan = quality.check_constraints(df, "x", rules)._jdf.queryExecution().optimizedPlan().toString()
+    assert "shiftright" in plan
+
+
+def test_repeated_keys(spark):
+    df = numbers(spark, VALUES).withColumn("t", F.col("k").cast("string"))
+    rules = quality.Rules({}, ("k",), unique=("k", "t", ("k", "t")))
+    found = {r["ColumnName"]: r["Violations"] for r in quality.check_constraints(df, "x", rules).where("Rule = 'UNIQUE'").collect()}
+    assert found == {"k": 3, "t": 3, "k+t": 3}
+    none = quality.check_constraints(df.where("k = 1"), "x", rules).where("Rule = 'UNIQUE'").collect()
+    assert {r["Violations"] for r in none} == {0} and len(none) == 3
