@@ -1,5 +1,7 @@
 """Whole numbers that are folded 64 neighbours to a row: profiles, unique keys and references."""
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from wardline.operators import quality
@@ -51,3 +53,22 @@ def test_repeated_keys(spark):
     assert found == {"k": 3, "t": 3, "k+t": 3}
     none = quality.check_constraints(df.where("k = 1"), "x", rules).where("Rule = 'UNIQUE'").collect()
     assert {r["Violations"] for r in none} == {0} and len(none) == 3
+
+
+def test_missing_keys_of_number_references(spark):
+    parents = [None, 0, 64, -65, 5, 5, 2**40]
+    tables = {"c": numbers(spark, VALUES).withColumn("k2", F.col("k").cast("string")), "p": numbers(spark, parents), "d": numbers(spark, [0, 5]),
+              "s": spark.createDataFrame([("1",), ("x",)], "k2 string")}
+    references = [("c", "k", "p", "k"), ("d", "k", "p", "k"), ("c", "k2", "s", "k2"), ("d", "k", "c", "k")]
+    found = {(r["Reference"], r["Key"]): r["Rows"] for r in quality.all_orphans(tables, references).collect()}
+    known = [v for v in VALUES if v is not None]
+    wanted = {("c.k", str(k)): n for k, n in Counter(v for v in known if v not in parents).items()}
+    wanted |= {("c.k2", str(k)): n for k, n in Counter(v for v in known if v != 1).items()}
+    wanted[("d.k", "5")] = 1
+    assert found == wanted
+
+
+def test_no_missing_key(spark):
+    tables = {"c": numbers(spark, [None, 1, 1]), "p": numbers(spark, [1, 2])}
+    found = quality.all_orphans(tables, [("c", "k", "p", "k")])
+    assert found.columns == ["Reference", "Key", "Rows"] and found.collect() == []

@@ -21,6 +21,7 @@ from wardline.functions.clinical import (
 from wardline.functions.dialect import xml_attributes
 from wardline.operators.clinical_reports import c
 from wardline.operators.rows import union_all
+from wardline.workspace import stage
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, table: str, clock: Clock, by: str = "SYSTEM") -> DataFrame:
@@ -377,16 +378,16 @@ def _none_null(names: list[str]) -> Column:
 def all_orphans(tables: dict[str, DataFrame], references: list[tuple[str, str, str, str]]) -> DataFrame:
     """Keys without a parent row over many references ``(child, column, parent, column)``, with how many rows use each.
 
-    Each child table is read once: its references are stacked as (reference, key) pairs and folded, whole
-    numbers as such. So are the parents' keys, and one join finds what is missing.
+    References between whole numbers are compared 64 neighbouring keys to a row first; only the child tables of those
+    that miss a key are read again, for the rows that use it. Other keys are stacked as (reference, key) pairs and
+    folded. So are the parents' keys, and one join finds what is missing.
     """
-    parts = []
-    for whole in (True, False):
-        chosen = [
-            (i, r) for i, r in enumerate(references) if _whole(tables[r[0]], r[1]) & _whole(tables[r[2]], r[3]) == whole
-        ]
-        if chosen:
-            parts.append(_missing(tables, chosen, "long" if whole else "string"))
+    numbers, others = [], []
+    for i, r in enumerate(references):
+        (numbers if _whole(tables[r[0]], r[1]) & _whole(tables[r[2]], r[3]) else others).append((i, r))
+    parts = [_missing_numbers(tables, numbers)] if numbers else []
+    if others:
+        parts.append(_missing(tables, others, "string"))
     labels = F.array(*[F.lit(f"{child}.{column}") for child, column, _, _ in references])
     return union_all(parts).select(F.element_at(labels, c("_reference") + 1).alias("Reference"), "Key", "Rows")
 
@@ -395,6 +396,53 @@ def _whole(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.IntegralType)
 
 
+def _missing_numbers(tables: dict[str, DataFrame], references: list[tuple[int, tuple]]) -> DataFrame:
+    """``_reference, Key, Rows`` of the missing keys of references between whole numbers."""
+    parents = list(dict.fromkeys((parent, key) for _, (_, _, parent, key) in references))
+    children: dict[str, dict[int, str]] = {}
+    for number, (child, column, _, _) in references:
+        children.setdefault(child, {})[number] = column
+    known: dict[str, dict[int, str]] = {}
+    for number, (parent, key) in enumerate(parents):
+        known.setdefault(parent, {})[number] = key
+    of = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(parents.index((r[2], r[3]))).alias("p")) for n, r in references])
+    parent_of = F.filter(of, lambda x: x["n"] == c("_reference"))[0]["p"]
+    used = union_all([_key_words(_numbered(tables[child], columns, "_reference"), "_reference") for child, columns in children.items()])
+    there = union_all([_key_words(_numbered(tables[parent], columns, "_parent"), "_parent") for parent, columns in known.items()])
+    there = there.withColumnRenamed("_bits", "_there")
+    joined = used.withColumn("_parent", parent_of).join(there, ["_parent", "_word"], "left")
+    lost = c("_bits").bitwiseAND(F.bitwise_not(F.coalesce("_there", F.lit(0).cast("long"))))
+    missing = stage(joined.select("_reference", "_word", lost.alias("_lost")).filter("_lost != 0"), "missing-words")
+    # As many numbers as there are references at most.
+    open_ = {r["_reference"] for r in missing.select("_reference").distinct().collect()}
+    parts = []
+    for child, columns in children.items():
+        chosen = {n: column for n, column in columns.items() if n in open_}
+        if chosen:
+            parts.append(_numbered(tables[child], chosen, "_reference").groupBy("_reference", "_key").agg(F.count("*").alias("Rows")))
+    if not parts:
+        return missing.select("_reference", c("_lost").cast("string").alias("Key"), c("_lost").alias("Rows"))
+    rows = union_all(parts).withColumn("_word", F.shiftright("_key", 6))
+    found = rows.join(missing, ["_reference", "_word"]).filter(c("_lost").bitwiseAND(F.expr(_KEY_BIT)) != 0)
+    return found.select("_reference", c("_key").cast("string").alias("Key"), "Rows")
+
+
+#: The bit of a key among its 64 neighbours.
+_KEY_BIT = "shiftleft(1L, CAST(_key & 63 AS INT))"
+
+
+def _numbered(df: DataFrame, columns: dict[int, str], name: str) -> DataFrame:
+    """Columns of whole numbers stacked as their number, under ``name``, and ``_key``; nulls are left out."""
+    stacked = df.select(*[c(column).cast("long").alias(str(n)) for n, column in columns.items()])
+    pairs = stacked.unpivot([], [str(n) for n in columns], name, "_key").filter(c("_key").isNotNull())
+    return pairs.withColumn(name, c(name).cast("int"))
+
+
+def _key_words(pairs: DataFrame, name: str) -> DataFrame:
+    """One row for each 64 neighbouring keys of which there is one, a bit for each."""
+    return pairs.groupBy(name, F.shiftright("_key", 6).alias("_word")).agg(F.bit_or(F.expr(_KEY_BIT)).alias("_bits"))
+
+
 def _missing(tables: dict[str, DataFrame], references: list[tuple[int, tuple]], kind: str) -> DataFrame:
     """``_reference, Key, Rows`` of the missing keys of references whose keys are all of one kind."""
     parents = list(dict.fromkeys((parent, key) for _, (_, _, parent, key) in references))
