@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tests.compare import values
+from tests.compare import rows_of, values
 from wardline.clock import Clock
 from wardline.operators import admissions, billing, quality, retention
 from wardline.operators import management_reports as management
@@ -38,6 +38,17 @@ def test_second_nightly_run_adds_nothing(night):
         assert again[name].count() == 0, name
 
 
+def test_nightly_totals_start_from_the_written_charges(night):
+    inputs, result = night
+    text = result["totals"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "ProcedureStatus" not in text and "StandardCharge" not in text
+    again = billing.post_encounter_charges(
+        inputs.procedures, inputs.encounters.filter(F.col("EncounterType").isin(*billing.ROOM_CODE)), inputs.chargemaster,
+        inputs.charges.unionByName(result["room_charges"], allowMissingColumns=True), inputs.departments, inputs.physicians, inputs.diagnoses, CLOCK,
+    )["totals"]
+    assert rows_of(result["totals"]) == rows_of(again)
+
+
 def test_claim_lines_add_up(tables):
     made = billing.create_claims(
         tables["encounters"], tables["patients"], tables["insurers"], tables["insurance_claims"],

@@ -105,6 +105,17 @@ def test_lines_are_joined_once(spark, folder):
     assert "Join" in plan(t["orders"])
 
 
+def test_only_columns_of_named_tables_are_joined(spark, folder):
+    t = Tables(spark, folder)
+    narrow = t.joined("billing_charges")
+    assert t.joined("billing_charges") is narrow
+    held = spark.read.parquet(narrow._lines).columns
+    assert "l_quantity" in held and "l_tax" not in held and "o_orderkey" not in held
+    assert rows_of(narrow["billing_charges"]) == rows_of(t["billing_charges"])
+    whole = t.joined()
+    assert whole is not narrow and t.joined("payments") is whole
+
+
 def test_rows_of_a_merge_cross_one_shuffle(spark):
     path = run_dir(spark, "merged")
     table = spark.range(40).select("id", (F.col("id") % 3).cast("int").alias("Year"), F.lit("a").alias("state"))

@@ -156,8 +156,24 @@ def post_encounter_charges(
     unpriced = due.join(current_fees(chargemaster, clock), "CPTCode", "left_anti").select(
         "ProcedureID", "EncounterID", "CPTCode"
     )
-    # New posted total per active visit: what is on file plus what was just added. Charges
-    # are folded before they meet the visits, so only one row per visit is shuffled.
+    totals = posted_totals(active, charges, added)
+    text = F.concat(
+        F.lit("Posted "),
+        c("Posted").cast("string"),
+        F.lit(" charges totaling $"),
+        c("TotalCharges").cast("string"),
+        F.lit(" for encounter "),
+        c("EncounterID").cast("string"),
+    )
+    audit = audit_rows(totals, "BillingCharges", c("EncounterID"), "CHARGE_POSTING", text, by, clock)
+    return {"charges": added, "unpriced": unpriced, "totals": totals, "audit": audit}
+
+
+def posted_totals(active: DataFrame, charges: DataFrame, added: DataFrame) -> DataFrame:
+    """New posted total per active visit: what is on file plus what was just added.
+
+    Charges are folded before they meet the visits, so only one row per visit is shuffled.
+    """
     on_file = charges.filter(c("ChargeStatus") == "POSTED")
     totals = active.select("EncounterID").join(
         fold_facts(
@@ -171,21 +187,11 @@ def post_encounter_charges(
         "EncounterID",
         "left",
     )
-    totals = totals.select(
+    return totals.select(
         "EncounterID",
         money(c("TotalCharges")).alias("TotalCharges"),
         F.coalesce("Posted", F.lit(0)).cast("long").alias("Posted"),
     )
-    text = F.concat(
-        F.lit("Posted "),
-        c("Posted").cast("string"),
-        F.lit(" charges totaling $"),
-        c("TotalCharges").cast("string"),
-        F.lit(" for encounter "),
-        c("EncounterID").cast("string"),
-    )
-    audit = audit_rows(totals, "BillingCharges", c("EncounterID"), "CHARGE_POSTING", text, by, clock)
-    return {"charges": added, "unpriced": unpriced, "totals": totals, "audit": audit}
 
 
 # Daily room charge per visit type (fixed values).

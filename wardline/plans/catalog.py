@@ -46,12 +46,19 @@ def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
     return build
 
 
-def joined_query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-    """Register a function that reads tables made of line items several times: they are joined with their visits once."""
-    QUERIES[build.__name__] = lambda spark, folder: build(opened(spark, folder).joined())
+def joined_query(build: Callable[[Tables], DataFrame], *names: str) -> Callable[[Tables], DataFrame]:
+    """Register a function that reads tables made of line items several times: they are joined with their visits once.
+
+    ``names`` are the tables made of line items that it reads; all of them, if none are given.
+    """
+    QUERIES[build.__name__] = lambda spark, folder: build(opened(spark, folder).joined(*names))
     return build
 
 
+def joined_query_of(*names: str) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
+    return lambda build: joined_query(build, *names)
+
+
 def register(operator: Callable, *tables: str, clock: bool = False, name: str | None = None, **options) -> None:
     """Register an operator that takes tables in order, and the clock if asked for."""
     if clock:
@@ -306,7 +313,7 @@ def nightly_claims_after(t: Tables) -> DataFrame:
     return left.claims.select("ClaimID", "ClaimNumber", "EncounterID", "TotalCharges", "ClaimStatus", "EDIBatchID")
 
 
-@joined_query
+@joined_query_of("procedures", "diagnoses", "billing_charges", "payments")
 def nightly_visit_totals(t: Tables) -> DataFrame:
     """Visits with the posted total that a run writes back, and how many of their charges it leaves open."""
     tables = billing_tables(t)

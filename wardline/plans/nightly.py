@@ -76,7 +76,8 @@ def nightly_billing(tables: BillingTables, clock: Clock) -> dict[str, DataFrame]
         "room_charges": room,
         "procedure_charges": added,
         "unpriced": posting["unpriced"],
-        "totals": posting["totals"],
+        # From the written charges: those of ``posting`` would be worked out a second time.
+        "totals": billing.posted_totals(staying, on_file, added),
         "claims": created,
         "claim_lines": billing.claim_lines(claiming["visits"], posted),
         "billed_charges": claiming["charges"],

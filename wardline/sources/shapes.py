@@ -339,7 +339,7 @@ class Tables:
         self._base: dict[str, DataFrame] = {}
         self._built: dict[str, DataFrame] = {}
         self._lines: str | None = None
-        self._joined: "Tables | None" = None
+        self._joined: list[tuple[set[str], "Tables"]] = []
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> "Tables":
@@ -355,21 +355,24 @@ class Tables:
             self._base[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._base[name]
 
-    def joined(self) -> "Tables":
+    def joined(self, *names: str) -> "Tables":
         """The same tables, with line items and their visits joined once and written to the shared folder.
 
         For queries that read several tables made of line items, or one of them several times: every read of one
-        would join and shuffle both files again. The rows are those of the join, all of them.
+        would join and shuffle both files again. The rows are those of the join, all of them. With ``names``, only
+        these of the tables made of line items can be read, and only their columns are joined.
         """
-        known = self._joined
-        if known is None or not exists(self.spark, known._lines):
-            known = Tables(self.spark, self.folder)
-            known._base = self._base
-            known._lines = run_dir(self.spark, "lines")
-            needed = set(re.findall(r"\b[lo]_[a-z]+", " ".join(text for text in SHAPES.values() if _LINES in text)))
-            both = self.base("lineitem").join(self.base("orders"), F.expr("l_orderkey = o_orderkey"))
-            both.select(*[n for n in both.columns if n in needed]).write.parquet(known._lines)
-            self._joined = known
+        texts = [SHAPES[n] for n in names or SHAPES]
+        needed = set(re.findall(r"\b[lo]_[a-z]+", " ".join(text.replace(_LINES, "") for text in texts if _LINES in text)))
+        for columns, known in self._joined:
+            if needed <= columns and exists(self.spark, known._lines):
+                return known
+        known = Tables(self.spark, self.folder)
+        known._base = self._base
+        known._lines = run_dir(self.spark, "lines")
+        both = self.base("lineitem").join(self.base("orders"), F.expr("l_orderkey = o_orderkey"))
+        both.select(*[n for n in both.columns if n in needed]).write.option("compression", "zstd").parquet(known._lines)
+        self._joined.append((needed, known))
         return known
 
     def having(self, name: str, stored: DataFrame) -> "Tables":
