@@ -2,6 +2,7 @@
 
 import random
 import re
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,6 +126,18 @@ def test_profile_of_stored_sketches(spark):
     assert abs(found["id"]["Quartiles"][1] - 20_000) < 800 and found["text"]["Quartiles"] is None and found["empty"]["Quartiles"] is None
 
 
+def test_tables_are_profiled_side_by_side(spark, folder, monkeypatch):
+    all_there, single = Barrier(len(catalog.SKETCHED)), catalog._partitioned
+
+    def waiting(t, rows):
+        all_there.wait(60)
+        return single(t, rows)
+
+    monkeypatch.setattr(catalog, "_partitioned", waiting)
+    found = catalog.QUERIES["table_profile_from_sketches"](spark, folder)
+    assert {r["TableName"] for r in found.select("TableName").distinct().collect()} == set(catalog.SKETCHED)
+
+
 def test_only_new_partitions_are_read(spark):
     path, store = run_dir(spark, "table"), run_dir(spark, "sketches")
     write_partitioned(numbers(spark, 4000), path, ["day"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -499,19 +500,23 @@ LATE_YEAR = 2000
 SKETCHED = {"billing_charges": "ServiceDate", "encounters": "AdmitDate", "payments": "PaymentDate"}
 
 
-@joined_query
+@joined_query_of("billing_charges", "payments")
 def table_profile_from_sketches(t: Tables) -> DataFrame:
     """Profiles of tables kept by year, merged from the stored sketches of the years; later years are added last."""
-    parts = []
-    for name, day in SKETCHED.items():
-        rows = by_year(t[name], day)
+
+    def profile(name: str, rows: DataFrame) -> DataFrame:
         late = F.coalesce(F.col("Year") >= LATE_YEAR, F.lit(False))
         path, store = _partitioned(t, rows.where(~late)), run_dir(t.spark, "sketches")
         profiles.refresh(t.spark, t.spark.read.schema(rows.schema).parquet(path), ["Year"], store)
         write_partitioned(rows.where(late), path, ["Year"], mode="append")
         table = t.spark.read.schema(rows.schema).parquet(path)
         profiles.refresh(t.spark, table, ["Year"], store)
-        parts.append(profiles.stored_profile(t.spark, table, ["Year"], store, name))
+        return profiles.stored_profile(t.spark, table, ["Year"], store, name)
+
+    # The tables do not depend on each other: the jobs of one fill the cores that those of another leave free.
+    rows = [by_year(t[name], day) for name, day in SKETCHED.items()]
+    with ThreadPoolExecutor(len(rows)) as pool:
+        parts = list(pool.map(profile, SKETCHED, rows))
     return union_all(parts).select("TableName", "ColumnName", "Rows", "Nulls", "MinValue", "MaxValue")
 
 
