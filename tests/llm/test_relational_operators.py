@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -429,3 +430,18 @@ def test_control_strings_are_escaped_reversibly(spark):
         assert rows[conv]["formatted"].count("<|im_start|>") == len(own) == rows[conv]["formatted"].count("<|im_end|>")
         assert len(rows[conv]["learned"]) == sum(len(t) for r, t in own if r == "assistant")
     assert chat.format_trees(chat.conversation_nodes(frame.limit(0))).count() == 0
+
+
+def test_shuffles_of_written_steps_are_freed(spark):
+    def shuffled():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").count("shuffle_")
+
+    counts = spark.range(20_000).groupBy((F.col("id") % 5000).alias("k")).agg(F.count("*").alias("n"))
+    line_dedup.free_shuffles(spark)
+    time.sleep(2)
+    before = shuffled()
+    steps = [line_dedup.written(counts, "counts") for _ in range(3)]
+    until = time.time() + 20
+    while shuffled() > before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffled() <= before and all(step.count() == 5000 for step in steps)
